@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +18,31 @@ def qcol(name: str):
     return F.col(f"`{name}`")
 
 
+def qname(name: str) -> str:
+    """The name quoted for a SQL expression string."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_str(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give multi-pass work (model fits, quantile selection) at least
+    ``min_partitions`` (default: the cluster's default parallelism) input
+    partitions.
+
+    A large scan already has thousands of splits and is returned unchanged,
+    so no shuffle is added at scale; a small input held in one file split
+    (one Parquet row group) would otherwise run every pass in one task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def feature_columns(df: DataFrame, label: str, by: str = "type") -> list[str]:
     """Feature names for ``label``.
 
@@ -58,3 +86,15 @@ def sample_rows(df: DataFrame, order_by: Sequence[str], n: int = 10,
     top-n, then one merge of at most n rows per partition)."""
     out = df.orderBy(*order_by).limit(n)
     return out.select(*columns) if columns else out
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep ``df`` for a multi-pass step (a pipeline fit reads its input once
+    per fitted stage) and release it afterwards. Blocks spill to disk rather
+    than fail, and a lost executor's blocks are recomputed from lineage."""
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

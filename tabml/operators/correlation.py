@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabml.functions.expressions import DIGITS
 
-from tabml.operators.columns import qcol
+from tabml.operators.columns import persisted, qcol, qname, spread, sql_str
 
 
 def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
@@ -29,26 +29,23 @@ def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS
     diagonal included (1, or null for a constant column)."""
     cols = list(columns)
     k = len(cols)
-    xs = [qcol(c).cast("double") for c in cols]
-    aggs = [F.stddev_samp(x).alias(f"s{i}") for i, x in enumerate(xs)]
-    aggs += [F.covar_samp(xs[i], xs[j]).alias(f"c{i}_{j}") for i in range(k) for j in range(i + 1, k)]
-    one = df.agg(*aggs)
+    xs = [f"CAST({qname(c)} AS DOUBLE)" for c in cols]
+    aggs = [f"stddev_samp({x}) AS s{i}" for i, x in enumerate(xs)]
+    aggs += [f"covar_samp({xs[i]}, {xs[j]}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k)]
+    one = df.selectExpr(*aggs)
 
-    def ratio(i: int, j: int):
+    def ratio(i: int, j: int) -> str:
         a, b = min(i, j), max(i, j)
-        num = F.col(f"s{a}") * F.col(f"s{a}") if a == b else F.col(f"c{a}_{b}")
-        return num / F.nullif(F.col(f"s{a}") * F.col(f"s{b}"), F.lit(0.0))
+        num = f"s{a} * s{a}" if a == b else f"c{a}_{b}"
+        v = f"{num} / nullif(s{a} * s{b}, 0D)"
+        return f"round({v}, {digits})" if digits is not None else v
 
     structs = [
-        F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(i).alias("pos_a"),
-                 F.lit(cols[j]).alias("feature_b"), F.lit(j).alias("pos_b"),
-                 ratio(i, j).alias("corr"))
+        f"named_struct('feature_a', {sql_str(cols[i])}, 'pos_a', {i}, "
+        f"'feature_b', {sql_str(cols[j])}, 'pos_b', {j}, 'corr', {ratio(i, j)})"
         for i in range(k) for j in range(k)
     ]
-    out = one.select(F.inline(F.array(*structs)))
-    if digits is not None:
-        out = out.withColumn("corr", F.round("corr", digits))
-    return out
+    return one.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
@@ -63,7 +60,9 @@ def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = D
     spark = df.sparkSession
     vec = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
         df.select(*[qcol(c).cast("double").alias(c) for c in columns]))
-    m = Correlation.corr(vec, "_features", "pearson").head()[0].toArray()
+    # two passes (column summary, then Gramian): keep the vectors between them
+    with persisted(spread(vec.select("_features"))) as kept:
+        m = Correlation.corr(kept, "_features", "pearson").head()[0].toArray()
     rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     out = spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
     out = out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))

@@ -25,16 +25,28 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def _class_metrics(conf: DataFrame) -> DataFrame:
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
-    true = conf.groupBy("label").agg(F.sum("count").alias("n_true"), F.sum(hit).alias("tp"))
-    pred = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("count").alias("n_pred"))
-    return true.join(pred, "label", "left").fillna(0, ["n_pred"])
+    """Per class: true count, predicted count and hits. Each confusion cell
+    contributes one row to its true class and one to its predicted class, so
+    a single aggregate (no self-join, one evaluation of ``conf``) suffices."""
+    cell = F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.col("count").alias("n_true"),
+                 F.lit(0).cast("long").alias("n_pred"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("count"))
+                 .otherwise(F.lit(0).cast("long")).alias("tp")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("n_true"),
+                 F.col("count").alias("n_pred"), F.lit(0).cast("long").alias("tp")),
+    )).alias("c")
+    return (conf.select(cell).select("c.*").groupBy("cls")
+            .agg(F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred"),
+                 F.sum("tp").alias("tp")))
 
 
 def metrics_from_confusion(conf: DataFrame, digits: int | None = DIGITS) -> DataFrame:
     """One row ``(weighted_f1, accuracy)`` from a confusion table."""
     per = _class_metrics(conf)
     f1 = F.col("n_true") * F.lit(2.0) * F.col("tp") / (F.col("n_true") + F.col("n_pred"))
+    # classes that are only predicted have n_true = 0: weight 0, no division
+    f1 = F.when(F.col("n_true") > 0, f1).otherwise(F.lit(0.0))
     out = per.agg((F.sum(f1) / F.sum("n_true")).alias("weighted_f1"),
                   (F.sum("tp") / F.sum("n_true")).alias("accuracy"))
     if digits is not None:

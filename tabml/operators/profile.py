@@ -13,11 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabml.functions.expressions import DIGITS
 
-from tabml.functions.expressions import is_missing
-from tabml.operators.columns import qcol
+from tabml.operators.columns import qcol, qname, sql_str
 
 
 def label_distribution(df: DataFrame, label: str, count_col: str = "count") -> DataFrame:
@@ -27,38 +27,37 @@ def label_distribution(df: DataFrame, label: str, count_col: str = "count") -> D
 
 def _stack(one_row: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
     """Turn a one-row frame with columns ``{prefix}{i}`` into one row per
-    input column: ``column`` plus one output field per ``fields`` entry."""
-    structs = [
-        F.struct(
-            F.lit(name).alias("column"),
-            *[F.col(f"{prefix}{i}").alias(out) for out, prefix in fields.items()],
-        )
-        for i, name in enumerate(columns)
-    ]
-    return one_row.select(F.inline(F.array(*structs)))
+    input column: ``column`` plus one output field per ``fields`` entry.
+    Built as one SQL expression (one call, however many columns)."""
+    structs = []
+    for i, name in enumerate(columns):
+        parts = [f"'column', {sql_str(name)}"]
+        parts += [f"{sql_str(out)}, {prefix}{i}" for out, prefix in fields.items()]
+        structs.append(f"named_struct({', '.join(parts)})")
+    return one_row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, missing)``: nulls (and NaN for floating columns) per column."""
     cols = list(columns or df.columns)
-    one = df.agg(*[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(cols)])
-    return _stack(one, cols, {"missing": "m"})
+    exprs = []
+    for i, c in enumerate(cols):
+        cond = f"{qname(c)} IS NULL"
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+            cond += f" OR isnan({qname(c)})"
+        exprs.append(f"count_if({cond}) AS m{i}")
+    return _stack(df.selectExpr(*exprs), cols, {"missing": "m"})
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
     """``(column, count, mean, stddev, min, max)`` as typed values (sample
     standard deviation), one scan for all columns."""
-    aggs = []
+    exprs = []
     for i, c in enumerate(columns):
-        x = qcol(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"a{i}"),
-            F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.max(x).alias(f"hi{i}"),
-        ]
-    out = _stack(df.agg(*aggs), columns,
+        x = f"CAST({qname(c)} AS DOUBLE)"
+        exprs += [f"count({x}) AS n{i}", f"avg({x}) AS a{i}", f"stddev_samp({x}) AS s{i}",
+                  f"min({x}) AS lo{i}", f"max({x}) AS hi{i}"]
+    out = _stack(df.selectExpr(*exprs), columns,
                  {"count": "n", "mean": "a", "stddev": "s", "min": "lo", "max": "hi"})
     if digits is None:
         return out

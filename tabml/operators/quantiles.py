@@ -27,16 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.operators.columns import qcol
+from tabml.operators.columns import qcol, qname, spread, sql_str
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value)`` for every non-null value of ``columns`` (as double)."""
-    structs = [
-        F.struct(F.lit(c).alias("column"), qcol(c).cast("double").alias("value"))
-        for c in columns
-    ]
-    return df.select(F.inline(F.array(*structs))).where(F.col("value").isNotNull())
+    structs = ", ".join(
+        f"named_struct('column', {sql_str(c)}, 'value', CAST({qname(c)} AS DOUBLE))" for c in columns)
+    return df.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -86,7 +84,7 @@ def exact_quantiles(
     if any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
     spark = df.sparkSession
-    long = long_values(df, columns)
+    long = long_values(spread(df), columns)
 
     stats = {r["column"]: (r["n"], r["d"]) for r in long.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("d")).collect()}
@@ -161,9 +159,11 @@ def exact_quantiles(
     bdf = spark.createDataFrame(
         [(b, v["column"], v["lo"], v["hi"], v["below"]) for b, v in brackets.items()],
         _BRACKET_SCHEMA)
-    rdf = spark.createDataFrame(
-        [(b, c, r) for (c, r), b in rank_bracket.items()], "bid int, column string, rank long")
-    tdf = spark.createDataFrame(targets, "column string, p double, pos double, r_lo long, r_hi long")
+    # each target needs the values at two ranks (equal when (n-1)p is whole)
+    needs = spark.createDataFrame(
+        [(rank_bracket[(c, r)], c, p, pos, lo_r, r, hi)
+         for c, p, pos, lo_r, hi_r in targets for r, hi in ((lo_r, False), (hi_r, True))],
+        "bid int, column string, p double, pos double, r_lo long, rank long, is_hi boolean")
 
     w = Window.partitionBy("bid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
@@ -171,23 +171,17 @@ def exact_quantiles(
         .groupBy("bid", "below", "value").agg(F.count(F.lit(1)).alias("c"))
         .withColumn("end", F.col("below") + F.sum("c").over(w))
     )
-    r = rdf.alias("r")
-    at_rank = (
-        ranked.alias("k")
-        .join(F.broadcast(r), (F.col("k.bid") == F.col("r.bid"))
-              & (F.col("k.end") - F.col("k.c") <= F.col("r.rank"))
-              & (F.col("r.rank") < F.col("k.end")))
-        .select(F.col("r.column").alias("column"), F.col("r.rank").alias("rank"),
-                F.col("k.value").alias("value"))
-    )
-    lo = at_rank.select(F.col("column").alias("lc"), F.col("rank").alias("lr"), F.col("value").alias("v_lo"))
-    hi = at_rank.select(F.col("column").alias("hc"), F.col("rank").alias("hr"), F.col("value").alias("v_hi"))
-    t = (tdf.join(lo, (tdf["column"] == lo["lc"]) & (tdf["r_lo"] == lo["lr"]))
-         .join(hi, (tdf["column"] == hi["hc"]) & (tdf["r_hi"] == hi["hr"])))
+    k, n = ranked.alias("k"), needs.alias("n")
+    hit = k.join(F.broadcast(n), (F.col("k.bid") == F.col("n.bid"))
+                 & (F.col("k.end") - F.col("k.c") <= F.col("n.rank"))
+                 & (F.col("n.rank") < F.col("k.end")))
+    pair = hit.groupBy("n.column", "n.p", "n.pos", "n.r_lo").agg(
+        F.max(F.when(~F.col("n.is_hi"), F.col("k.value"))).alias("v_lo"),
+        F.max(F.when(F.col("n.is_hi"), F.col("k.value"))).alias("v_hi"))
     frac = F.col("pos") - F.col("r_lo")
     value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
         F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo")))
-    return t.select("column", "p", value.alias("value"))
+    return pair.select("column", "p", value.alias("value"))
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], *, exact: bool = True,

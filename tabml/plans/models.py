@@ -19,7 +19,9 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame
 
+from tabml.operators.columns import persisted, spread
 from tabml.operators.transform import (
     ASSEMBLED,
     NORMALIZED,
@@ -116,6 +118,17 @@ def forest_regressor(features: Sequence[str], label: str, *, num_trees: int = 20
     return Pipeline(stages=stages)
 
 
+def fit(pipeline: Pipeline, df: DataFrame, persist: bool = True) -> PipelineModel:
+    """Fit on ``df`` spread over at least the default parallelism (a no-op
+    for a large scan; see ``operators.columns.spread``). Every fitted stage
+    (scaler, label index, model) reads the input, so it is persisted for the
+    duration of the fit unless ``persist=False``."""
+    if not persist:
+        return pipeline.fit(spread(df))
+    with persisted(spread(df)) as kept:
+        return pipeline.fit(kept)
+
+
 def model_stage(model: PipelineModel, kind: str | type | None = None):
     """The fitted model stage of a pipeline: by class (or class name), else
     the last stage that has ``featureImportances`` or ``coefficientMatrix``."""

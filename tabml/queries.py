@@ -461,13 +461,14 @@ def q_metrics_report(spark, d):
 # original values (depth 20, 25 trees).
 
 def _scored(model, test: DataFrame, extra: list[str] = ()) -> DataFrame:
-    return model.transform(test).select(*KEYS, LABEL, "prediction", *extra)
+    # scoring is a narrow map; spread() only matters for a one-split input
+    return model.transform(cols_op.spread(test)).select(*KEYS, LABEL, "prediction", *extra)
 
 
 @register("lr_classify")
 def q_lr_classify(spark, d):
     train, test = _split(spark, d)
-    model = models.logistic_regression(FEATURES, LABEL, max_iter=10, scale="minmax").fit(train)
+    model = models.fit(models.logistic_regression(FEATURES, LABEL, max_iter=10, scale="minmax"), train)
     return _scored(model, test, ["label"])
 
 
@@ -475,21 +476,21 @@ def q_lr_classify(spark, d):
 def q_lr_l1_classify(spark, d):
     train, test = _split(spark, d)
     pipe = models.logistic_regression(FEATURES, LABEL, max_iter=10, reg=0.01, elastic_net=1.0, scale="minmax")
-    return _scored(pipe.fit(train), test, ["label"])
+    return _scored(models.fit(pipe, train), test, ["label"])
 
 
 @register("rf_classify")
 def q_rf_classify(spark, d):
     train, test = _split(spark, d)
     pipe = models.forest_classifier(FEATURES, LABEL, num_trees=10, max_depth=5)
-    return _scored(pipe.fit(train), test)
+    return _scored(models.fit(pipe, train), test)
 
 
 @register("rf_classify_proba")
 def q_rf_classify_proba(spark, d):
     train, test = _split(spark, d)
     pipe = models.forest_classifier(FEATURES, LABEL, num_trees=10, max_depth=8, index_label=True)
-    out = pipe.fit(train).transform(test)
+    out = models.fit(pipe, train).transform(cols_op.spread(test))
     from pyspark.ml.functions import vector_to_array
     return out.select(*KEYS, LABEL, "label", "prediction",
                       vector_to_array("probability").alias("probability"))
@@ -499,27 +500,27 @@ def q_rf_classify_proba(spark, d):
 def q_rf_regress(spark, d):
     train, test = _split(spark, d)
     pipe = models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=5, ordinal=False)
-    return _scored(pipe.fit(train), test)
+    return _scored(models.fit(pipe, train), test)
 
 
 @register("rf_ordinal")
 def q_rf_ordinal(spark, d):
     train, test = _split(spark, d)
     pipe = models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=8)
-    return _scored(pipe.fit(train), test, [models.ORDINAL])
+    return _scored(models.fit(pipe, train), test, [models.ORDINAL])
 
 
 @register("model_summary")
 def q_model_summary(spark, d):
     train, _ = _split(spark, d)
-    fitted = models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=8).fit(train)
+    fitted = models.fit(models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=8), train)
     return models.model_summary(spark, fitted)
 
 
 @register("save_load_score")
 def q_save_load_score(spark, d):
     train, test = _split(spark, d)
-    fitted = models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=8).fit(train)
+    fitted = models.fit(models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=8), train)
     path = model_io.save_pipeline(fitted, scratch_path(spark, "model"))
     return _scored(model_io.load_pipeline(path), test, [models.ORDINAL])
 
@@ -548,5 +549,5 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Split, assemble, min-max scale, forest regressor, round to classes,
     confusion counts of the held-out rows."""
     train, test = _split(spark, d)
-    fitted = models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=5).fit(train)
-    return metrics.confusion_counts(fitted.transform(test), LABEL, models.ORDINAL)
+    fitted = models.fit(models.forest_regressor(FEATURES, LABEL, num_trees=10, max_depth=5), train)
+    return metrics.confusion_counts(fitted.transform(cols_op.spread(test)), LABEL, models.ORDINAL)
