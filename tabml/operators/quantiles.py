@@ -153,8 +153,9 @@ def exact_quantiles(
         brackets = {b: v for b, v in brackets.items() if b in used}
 
     value_schema = "column string, p double, value double"
+    empty = [(c, float(p), None) for c in columns if stats.get(c, (0, 0))[0] == 0 for p in probs]
     if not targets:
-        return spark.createDataFrame([], value_schema)
+        return spark.createDataFrame(empty, value_schema)
 
     bdf = spark.createDataFrame(
         [(b, v["column"], v["lo"], v["hi"], v["below"]) for b, v in brackets.items()],
@@ -181,7 +182,10 @@ def exact_quantiles(
     frac = F.col("pos") - F.col("r_lo")
     value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
         F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo")))
-    return pair.select("column", "p", value.alias("value"))
+    out = pair.select("column", "p", value.alias("value"))
+    if empty:  # columns with no values: null quantiles
+        out = out.unionByName(spark.createDataFrame(empty, value_schema))
+    return out
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], *, exact: bool = True,

@@ -129,6 +129,14 @@ def fit(pipeline: Pipeline, df: DataFrame, persist: bool = True) -> PipelineMode
         return pipeline.fit(kept)
 
 
+def model_stage_spec(pipeline: Pipeline):
+    """The (unfitted) model estimator of a pipeline built here."""
+    for s in reversed(pipeline.getStages()):
+        if isinstance(s, (LogisticRegression, RandomForestClassifier, RandomForestRegressor)):
+            return s
+    raise LookupError("no model stage")
+
+
 def model_stage(model: PipelineModel, kind: str | type | None = None):
     """The fitted model stage of a pipeline: by class (or class name), else
     the last stage that has ``featureImportances`` or ``coefficientMatrix``."""

@@ -1,0 +1,71 @@
+"""Exact quantiles against brute force, including refinement rounds and a
+hot value holding a third of the rows; approximate rank error; IQR outliers."""
+
+import numpy as np
+import pytest
+
+from tabml.operators import outliers, quantiles
+
+
+def _frame(spark, n=3000, seed=7):
+    rng = np.random.default_rng(seed)
+    a = rng.normal(100, 15, n).round(3)
+    b = rng.integers(0, 50, n).astype(float)
+    b[: n // 3] = 17.0  # hot value: a third of all rows
+    c = rng.exponential(2.0, n)
+    c[::10] = np.nan  # NaN is a value (sorts last), not missing
+    rows = [(float(x), float(y), float(z), None if i % 7 == 0 else float(x)) for i, (x, y, z) in
+            enumerate(zip(a, b, c))]
+    return spark.createDataFrame(rows, "a double, b double, c double, d double"), a, b, c
+
+
+def _expected(values, p):
+    v = np.sort(np.asarray([x for x in values if x is not None], dtype=float))
+    pos = (len(v) - 1) * p
+    lo, hi = int(np.floor(pos)), int(np.ceil(pos))
+    if v[lo] == v[hi] or lo == hi:
+        return v[lo]
+    return v[lo] + (pos - lo) * (v[hi] - v[lo])
+
+
+@pytest.mark.parametrize("max_exact", [1_000_000, 40])
+def test_exact_matches_brute_force(spark, max_exact):
+    df, a, b, c = _frame(spark)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
+        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000).collect()}
+    d = [float(x) if i % 7 else None for i, x in enumerate(a)]
+    for name, vals in (("a", a), ("b", b), ("d", d)):
+        for p in probs:
+            assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
+
+
+def test_nan_sorts_last_and_empty_column_is_null(spark):
+    df, _, _, c = _frame(spark)
+    df = df.withColumn("e", df["d"] * None)
+    got = {(r["column"], r["p"]): r["value"] for r in
+           quantiles.exact_quantiles(df, ["c", "e"], [0.25, 0.95]).collect()}
+    v = np.sort(c)  # numpy also sorts NaN last
+    assert got[("c", 0.25)] == pytest.approx(_expected(list(v), 0.25))
+    assert np.isnan(got[("c", 0.95)])
+    assert got[("e", 0.25)] is None
+
+
+def test_approx_rank_error_within_bound(spark):
+    df, a, _, _ = _frame(spark, n=5000)
+    q = {r["column"]: r for r in quantiles.quartiles(df, ["a"], exact=False, relative_error=0.05).collect()}
+    v = np.sort(a)
+    for p, key in ((0.25, "q1"), (0.75, "q3")):
+        rank = np.searchsorted(v, q["a"][key], side="right") / len(v)
+        assert abs(rank - p) <= 0.05 + 1e-9
+
+
+def test_iqr_outliers_brute_force(spark):
+    df, a, b, _ = _frame(spark)
+    got = {r["column"]: r for r in outliers.iqr_outlier_counts(df, ["a", "b"], digits=None).collect()}
+    for name, v in (("a", a), ("b", b)):
+        q1, q3 = _expected(v, 0.25), _expected(v, 0.75)
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert got[name]["outliers"] == int(((v < lo) | (v > hi)).sum())
+    rows = outliers.iqr_outlier_rows(df, "a").count()
+    assert rows == got["a"]["outliers"]

@@ -1,0 +1,93 @@
+"""Transformers (constant columns, unseen labels, rounding) and delimited
+I/O in the quoted-header ';' CRLF dialect."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabml.functions import round_half_up
+from tabml.operators import transform
+from tabml.operators.transform import NORMALIZED, STANDARDIZED
+from tabml.sources import delimited
+
+
+def test_round_half_up(spark):
+    df = spark.createDataFrame([(4.5,), (-4.5,), (0.5,), (2.5,), (2.4999,)], "x double")
+    assert [r[0] for r in df.select(round_half_up("x")).collect()] == [5.0, -5.0, 1.0, 3.0, 2.0]
+
+
+def test_scalers_on_constant_column(spark):
+    df = spark.createDataFrame([(1.0, 7.0), (3.0, 7.0), (5.0, 7.0)], "a double, k double")
+    m = transform.fit_scalers(df, ["a", "k"], minmax=True, standard=True)
+    out = transform.vector_columns(m.transform(df), NORMALIZED, ["ma", "mk"], keep=[STANDARDIZED])
+    out = transform.vector_columns(out, STANDARDIZED, ["za", "zk"], keep=["ma", "mk"]).collect()
+    assert [r["ma"] for r in out] == [0.0, 0.5, 1.0]
+    assert all(r["mk"] == 0.5 for r in out)
+    assert [r["za"] for r in out] == pytest.approx([-1.0, 0.0, 1.0])
+    assert all(r["zk"] == 0.0 for r in out)
+
+
+def test_label_index_frequency_ties_and_unseen(spark):
+    train = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "y string")
+    model = transform.label_indexer("y").fit(train)
+    assert list(model.labels) == ["c", "a", "b"]  # count desc, then alphabetical
+    test = spark.createDataFrame([("a",), ("z",)], "y string")
+    assert [r["label"] for r in model.transform(test).collect()] == [1.0, 3.0]
+
+
+def test_assembler_null_is_error_unless_skipped(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
+    with pytest.raises(Exception):
+        transform.assemble(df, ["a", "b"]).collect()
+    assert transform.assemble(df, ["a", "b"], handle_invalid="skip").count() == 1
+
+
+DIALECT = (
+    '"""fixed acidity""";"""citric acid""";"""free sulfur dioxide""";"""quality"""\r\n'
+    "7.4;0;11;5\r\n"
+    "7.8;0.04;25;5\r\n"
+    "11.2;0.56;17;6\r\n"
+)
+
+
+@pytest.fixture()
+def dialect_file(tmp_path):
+    p = tmp_path / "valid.csv"
+    p.write_bytes(DIALECT.encode())
+    return str(p)
+
+
+def test_read_quoted_headers_inferred(spark, dialect_file):
+    df = delimited.read_delimited(spark, dialect_file, infer=True)
+    assert df.columns == ["fixed acidity", "citric acid", "free sulfur dioxide", "quality"]
+    assert dict(df.dtypes)["free sulfur dioxide"] == "int"
+    fixed = T.StructType([T.StructField(c, T.DoubleType()) for c in df.columns[:-1]]
+                         + [T.StructField("quality", T.IntegerType())])
+    typed = delimited.apply_schema(df, fixed)
+    assert dict(typed.dtypes)["free sulfur dioxide"] == "double"
+    assert typed.agg(F.sum("citric acid")).first()[0] == pytest.approx(0.6)
+
+
+def test_read_with_schema_and_clean_idempotent(spark, dialect_file):
+    schema = "fa double, ca double, fsd double, quality int"
+    df = delimited.read_delimited(spark, dialect_file, schema=schema)
+    assert df.count() == 3 and df.columns == ["fa", "ca", "fsd", "quality"]
+    raw = delimited.read_delimited(spark, dialect_file, clean=False)
+    once = delimited.clean_headers(raw)
+    assert delimited.clean_headers(once).columns == once.columns
+    assert all('"' in c for c in raw.columns)
+
+
+def test_duplicate_headers_raise(spark):
+    df = spark.createDataFrame([(1, 2)], ['"a"', "a"])
+    with pytest.raises(ValueError):
+        delimited.clean_headers(df)
+
+
+def test_write_read_roundtrip(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.5, "x;y"), (2, None, 'q"t')], "k int, v double, s string")
+    delimited.write_delimited(df, str(tmp_path / "out"))
+    text = b"".join(p.read_bytes() for p in (tmp_path / "out").glob("part-*.csv")).decode()
+    assert '"""k"""' in text and "\r\n" in text
+    back = delimited.read_delimited(spark, str(tmp_path / "out"), schema=df.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
