@@ -6,10 +6,11 @@ Exact quantiles use linear interpolation between the two values around rank
 one aggregation buffer. The selection runs as a few passes:
 
 1. per column: ``count`` and ``approx_count_distinct`` (one scan);
-2. while a bracket still holds more than ``max_exact`` distinct values, a
-   ``percentile_approx`` grid inside the bracket narrows it around each
-   wanted rank, and one counting pass fixes the exact rank offset of the new
-   bracket (each round shrinks a bracket by about ``grid / 3``);
+2. while a bracket holds more than ``max_exact`` rows and more than
+   ``max_exact / 100`` distinct values (or more than ``max_exact`` distinct
+   values), a ``percentile_approx`` grid inside the bracket narrows it around
+   each wanted rank, and one counting pass fixes the exact rank offset of the
+   new bracket (each round shrinks a bracket by about ``grid / 3``);
 3. one final scan: ``groupBy(bracket, value).count()`` (map-side combine
    folds hot values to one row) and a running sum per bracket find the value
    at each rank exactly.
@@ -106,10 +107,20 @@ def exact_quantiles(
             rank_bracket[(c, lo_r)] = bid
             rank_bracket[(c, hi_r)] = bid
 
+    # Refine a bracket while it has many rows AND many distinct values: the
+    # final step shuffles at most min(rows, map tasks x distinct values) rows
+    # (partial aggregation folds repeats, so a hot value costs one row per
+    # task), and its running sum holds one bracket's distinct values.
+    few_distinct = max(1, max_exact // 100)
+
+    def needs_refining(v: dict) -> bool:
+        if v.get("stuck") or (v["lo"] is not None and v["lo"] == v["hi"]):
+            return False
+        return v["d"] > max_exact or (v["upto"] - v["below"] > max_exact and v["d"] > few_distinct)
+
     grid_ps = [i / grid for i in range(grid + 1)]
     for _ in range(max_rounds):
-        big = {b: v for b, v in brackets.items()
-               if v["d"] > max_exact and (v["lo"] is None or v["lo"] != v["hi"])}
+        big = {b: v for b, v in brackets.items() if needs_refining(v)}
         if not big:
             break
         bdf = spark.createDataFrame(
@@ -138,13 +149,18 @@ def exact_quantiles(
         for k, (key, c, rank, lo, hi, b) in enumerate(proposals):
             old, r = big[b], counted[k]
             nb = dict(column=c, lo=lo, hi=hi, below=r["below"], upto=r["upto"], d=r["d"])
-            if not (nb["below"] <= rank < nb["upto"]):  # sketch missed: keep the old bracket
-                nb = dict(old)
-                nb["d"] = max_exact  # stop refining it; the exact step stays correct
+            if not (nb["below"] <= rank < nb["upto"]) or (nb["below"], nb["upto"]) == (
+                    old["below"], old["upto"]):
+                # the sketch missed, or the bracket did not shrink (a hot value
+                # at its edge): keep the old bracket and stop refining it; the
+                # exact step is correct for any bracket
+                nb = dict(old, stuck=True)
             same = [x for x, v in brackets.items()
                     if v["column"] == c and v["lo"] == nb["lo"] and v["hi"] == nb["hi"]]
             if same:
                 rank_bracket[key] = same[0]
+                if nb.get("stuck"):
+                    brackets[same[0]]["stuck"] = True
             else:
                 nid = max(brackets) + 1
                 brackets[nid] = nb

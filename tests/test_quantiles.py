@@ -28,7 +28,7 @@ def _expected(values, p):
     return v[lo] + (pos - lo) * (v[hi] - v[lo])
 
 
-@pytest.mark.parametrize("max_exact", [1_000_000, 40])
+@pytest.mark.parametrize("max_exact", [1_000_000, 40, 300])
 def test_exact_matches_brute_force(spark, max_exact):
     df, a, b, c = _frame(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -69,3 +69,15 @@ def test_iqr_outliers_brute_force(spark):
         assert got[name]["outliers"] == int(((v < lo) | (v > hi)).sum())
     rows = outliers.iqr_outlier_rows(df, "a").count()
     assert rows == got["a"]["outliers"]
+
+
+def test_low_cardinality_hot_column_with_refinement(spark):
+    # many rows, few distinct values, one value holding half the rows:
+    # refinement must stop (single-value or stuck brackets) and stay exact
+    vals = [float(i % 13) if i % 2 else 6.0 for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.05, 0.25, 0.5, 0.8, 0.99]
+    got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(
+        df, ["x"], probs, max_exact=100, grid=10, accuracy=500).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(_expected(vals, p)), p
