@@ -28,23 +28,25 @@ def _expected(values, p):
     return v[lo] + (pos - lo) * (v[hi] - v[lo])
 
 
-@pytest.mark.parametrize("max_exact", [1_000_000, 40, 300])
-def test_exact_matches_brute_force(spark, max_exact):
+@pytest.mark.parametrize("method,max_exact", [("single", 0), ("select", 1_000_000), ("select", 40),
+                                              ("select", 300)])
+def test_exact_matches_brute_force(spark, method, max_exact):
     df, a, b, c = _frame(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000).collect()}
+        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000, method=method).collect()}
     d = [float(x) if i % 7 else None for i, x in enumerate(a)]
     for name, vals in (("a", a), ("b", b), ("d", d)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
 
 
-def test_nan_sorts_last_and_empty_column_is_null(spark):
+@pytest.mark.parametrize("method", ["single", "select"])
+def test_nan_sorts_last_and_empty_column_is_null(spark, method):
     df, _, _, c = _frame(spark)
     df = df.withColumn("e", df["d"] * None)
     got = {(r["column"], r["p"]): r["value"] for r in
-           quantiles.exact_quantiles(df, ["c", "e"], [0.25, 0.95]).collect()}
+           quantiles.exact_quantiles(df, ["c", "e"], [0.25, 0.95], method=method).collect()}
     v = np.sort(c)  # numpy also sorts NaN last
     assert got[("c", 0.25)] == pytest.approx(_expected(list(v), 0.25))
     assert np.isnan(got[("c", 0.95)])
@@ -78,6 +80,6 @@ def test_low_cardinality_hot_column_with_refinement(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.05, 0.25, 0.5, 0.8, 0.99]
     got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(
-        df, ["x"], probs, max_exact=100, grid=10, accuracy=500).collect()}
+        df, ["x"], probs, max_exact=100, grid=10, accuracy=500, method="select").collect()}
     for p in probs:
         assert got[p] == pytest.approx(_expected(vals, p)), p
