@@ -545,6 +545,52 @@ def q_cv_rmse(spark, d):
     return _cv(spark, d, tuning.rmse_evaluator(LABEL), {"numTrees": [5, 10], "maxDepth": [4, 8]})
 
 
+# Binary label on text shape: documents joined with labels (whole texts).
+# One explicit whitespace class for both engines (Java and RE2 disagree on \s).
+_WS = r"[ \t\n\r\f]+"
+DOC_FEATURES = ["n_chars", "words", "distinct_words", "digits", "lines"]
+
+
+def doc_shape(spark: SparkSession, d: str) -> DataFrame:
+    """``documents`` inner join ``labels`` on doc_id with text-shape features.
+    The join is planned by Catalyst/AQE from table sizes (labels grows with
+    the data, so it is not forced into a broadcast)."""
+    docs = tables.read_table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    labels = tables.read_table(spark, d, "labels").select("doc_id", "quality")
+    tokens = F.filter(F.split("text", _WS), lambda t: t != "")
+    return docs.join(labels, "doc_id").select(
+        "doc_id", "quality", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(tokens).cast("double").alias("words"),
+        F.size(F.array_distinct(tokens)).cast("double").alias("distinct_words"),
+        F.length(F.regexp_replace("text", "[^0-9]", "")).cast("double").alias("digits"),
+        F.size(F.split("text", "\n")).cast("double").alias("lines"))
+
+
+_TOK_SQL = f"list_filter(string_split_regex(text, '{_WS}'), lambda x: x <> '')"
+DOC_SHAPE_SQL = (
+    "SELECT d.doc_id, l.quality, CAST(d.n_chars AS DOUBLE) AS n_chars, "
+    f"CAST(len({_TOK_SQL}) AS DOUBLE) AS words, "
+    f"CAST(len(list_distinct({_TOK_SQL})) AS DOUBLE) AS distinct_words, "
+    "CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) AS digits, "
+    "CAST(len(string_split(text, chr(10))) AS DOUBLE) AS lines "
+    "FROM documents d JOIN labels l USING (doc_id)")
+
+
+@register("doc_shape_features", DOC_SHAPE_SQL)
+def q_doc_shape_features(spark, d):
+    return doc_shape(spark, d)
+
+
+@register("doc_quality_classify")
+def q_doc_quality_classify(spark, d):
+    """Random forest on the binary quality label of documents, held out by a
+    hash of doc_id."""
+    train, test = split.hash_split(doc_shape(spark, d), "doc_id", 70)
+    pipe = models.forest_classifier(DOC_FEATURES, "quality", num_trees=20, max_depth=6)
+    return models.fit(pipe, train).transform(cols_op.spread(test)).select(
+        "doc_id", "quality", "prediction")
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Split, assemble, min-max scale, forest regressor, round to classes,
     confusion counts of the held-out rows."""

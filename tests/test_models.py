@@ -93,3 +93,11 @@ def test_cross_validation_on_hash_folds_is_repeatable(spark, data):
     assert runs[0][1] > runs[0][0]  # deeper trees score better on rounded F1
     assert tuning.cv_table(spark, tuning.cross_validate(
         pipe, grid, tuning.rmse_evaluator(Q.LABEL), train, folds=3)).count() == 2
+
+
+def test_document_quality_beats_majority_class(spark):
+    from .conftest import SF01
+    scored = Q.QUERIES["doc_quality_classify"](spark, SF01)
+    f1 = _f1(scored, "quality", "prediction")
+    majority = _f1(scored.withColumn("p", F.lit(1.0)), "quality", "p")
+    assert f1 > majority + 0.03, (f1, majority)
