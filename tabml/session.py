@@ -12,21 +12,25 @@ from pyspark.sql import SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a folder chosen here, and
-    then it is registered with the session so later lookups agree.
+    Spark registers that setting as the context's checkpoint directory; it is
+    read from there. Only when nothing is configured (local tests) is a folder
+    chosen here, and then it is registered with ``setCheckpointDir`` so
+    checkpoints and later lookups agree. A cluster without the setting is an
+    error: a machine-local folder would not survive executor loss.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster needs a shared folder"
             )
         root = tempfile.mkdtemp(prefix="tabml-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc.setCheckpointDir(root)
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
