@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabml.operators.columns import persisted, spread
+
 ASSEMBLED = "assembledFeatures"
 NORMALIZED = "normalizedFeatures"
 STANDARDIZED = "standardScaledFeatures"
@@ -70,7 +72,8 @@ def fit_scalers(df: DataFrame, features: Sequence[str], minmax: bool = True,
         stages.append(minmax_scaler())
     if standard:
         stages.append(standard_scaler())
-    return Pipeline(stages=stages).fit(df)
+    with persisted(spread(df)) as kept:  # one summary pass per scaler
+        return Pipeline(stages=stages).fit(kept)
 
 
 def index_labels(df: DataFrame, input_col: str, output: str = "label") -> DataFrame:

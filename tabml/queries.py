@@ -351,14 +351,14 @@ def _split(spark, d):
 def q_minmax_scale(spark, d):
     train, test = _split(spark, d)
     model = transform.fit_scalers(train, FEATURES, minmax=True)
-    return transform.vector_columns(model.transform(test), NORMALIZED, _S, keep=KEYS, digits=D)
+    return transform.vector_columns(model.transform(cols_op.spread(test)), NORMALIZED, _S, keep=KEYS, digits=D)
 
 
 @register("standard_scale", _standard_sql(f"{SPLIT_SQL} = 'train'", f"{SPLIT_SQL} = 'test'"))
 def q_standard_scale(spark, d):
     train, test = _split(spark, d)
     model = transform.fit_scalers(train, FEATURES, minmax=False, standard=True)
-    return transform.vector_columns(model.transform(test), STANDARDIZED, _Z, keep=KEYS, digits=D)
+    return transform.vector_columns(model.transform(cols_op.spread(test)), STANDARDIZED, _Z, keep=KEYS, digits=D)
 
 
 def _both_sql() -> str:
