@@ -28,19 +28,30 @@ def sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes through the optimized
+    plan; no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           small_bytes: int = 256 << 20) -> DataFrame:
     """Give multi-pass work (model fits, quantile selection) at least
     ``min_partitions`` (default: the cluster's default parallelism) input
-    partitions.
+    partitions when the input is small.
 
-    A large scan already has thousands of splits and is returned unchanged,
-    so no shuffle is added at scale; a small input held in one file split
-    (one Parquet row group) would otherwise run every pass in one task.
+    The decision uses Catalyst's size estimate, so nothing is executed: an
+    input estimated above ``small_bytes`` already spans many file splits (row
+    groups) and is returned unchanged, so no shuffle is added at scale; a
+    small input may sit in one row group and would otherwise run every pass
+    in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if estimated_bytes(df) > small_bytes:
         return df
-    return df.repartition(target)
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def feature_columns(df: DataFrame, label: str, by: str = "type") -> list[str]:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.operators.columns import qcol, qname, spread, sql_str
+from tabml.operators.columns import estimated_bytes, qcol, qname, spread, sql_str
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,14 +101,6 @@ def _single_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float])
     return wanted.join(found, ["column", "p"], "left")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (from file sizes; no job runs)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],

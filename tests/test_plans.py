@@ -1,0 +1,61 @@
+"""Plan-shape guards over every registered query: no cartesian or
+nested-loop joins, no Python in the plan, no single-buffer exact percentile,
+and the projections/filters that should reach the Parquet scan do."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as E
+
+from .conftest import SF001
+
+# model queries fit eagerly; their plans are checked through the others
+PLANNED = sorted(set(E.oracle_sql()) | {"quartiles_approx", "random_split"})
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_plan_has_no_forbidden_operators(spark, name):
+    plan = _plan(E.queries()[name](spark, SF001))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                "ArrowEvalPython", "percentile("):
+        assert bad not in plan, (name, bad)
+
+
+def test_outlier_bounds_reach_the_scan(spark):
+    plan = _plan(E.queries()["iqr_outlier_rows"](spark, SF001))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", plan)
+    assert pushed and "LessThan(value" in pushed.group(1) and "GreaterThan(value" in pushed.group(1)
+
+
+@pytest.mark.parametrize("name,cols", [
+    ("describe_columns", {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}),
+    ("metrics_report", {"l_quantity", "l_discount"}),
+    ("hash_split", {"l_orderkey", "l_linenumber"}),
+])
+def test_scan_reads_only_needed_columns(spark, name, cols):
+    plan = _plan(E.queries()[name](spark, SF001)).split("== Initial Plan ==")[0]
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas
+    for s in schemas:
+        assert {f.split(":")[0] for f in s.split(",")} == cols, (name, s)
+
+
+def test_profiles_scan_once(spark):
+    for name in ("describe_columns", "missing_counts", "corr_pairs", "metrics_report"):
+        df = E.queries()[name](spark, SF001)
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") == 1, name
+
+
+def test_spread_only_touches_small_inputs(spark):
+    from tabml.operators.columns import spread
+    from tabml.sources.tables import read_table
+    li = read_table(spark, SF001, "lineitem")
+    assert spread(li).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(li, small_bytes=0) is li
