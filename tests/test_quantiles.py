@@ -83,3 +83,25 @@ def test_low_cardinality_hot_column_with_refinement(spark):
         df, ["x"], probs, max_exact=100, grid=10, accuracy=500, method="select").collect()}
     for p in probs:
         assert got[p] == pytest.approx(_expected(vals, p)), p
+
+
+def test_select_path_matches_duckdb_on_lineitem(spark):
+    """Refinement rounds on a real table (forced by a small max_exact) give
+    the same values as DuckDB's quantile_cont."""
+    import duckdb
+
+    from tabml import queries as Q
+
+    from .conftest import SF01
+
+    probs = [0.01, 0.25, 0.5, 0.75, 0.999]
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
+        Q.labelled(spark, SF01), Q._DESC_COLS, probs, method="select",
+        max_exact=2000, grid=50, accuracy=5000).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF01}/lineitem.parquet')")
+    for c in Q._DESC_COLS:
+        for p in probs:
+            want = con.execute(f"SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) "
+                               f"FROM ({Q.LABELLED_SQL}) s").fetchone()[0]
+            assert got[(c, p)] == pytest.approx(want, rel=1e-12, abs=1e-12), (c, p)
