@@ -37,9 +37,23 @@ def with_folds(df: DataFrame, keys: Sequence[str] | str, folds: int, name: str =
     return df.withColumn(name, (head % F.lit(folds)).cast("int"))
 
 
+ROW_KEY = "_row"
+
+
+def with_row_key(df: DataFrame, name: str = ROW_KEY) -> DataFrame:
+    """Add a per-row key so identical rows are told apart: a split or fold
+    keyed by every column plus this key assigns copies independently, so a
+    group of copies holding a third of the rows is still split 70/30.
+    ``monotonically_increasing_id`` is fixed by the input split and the row's
+    place in it, so it is the same on every evaluation and task retry of an
+    unchanged input."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def random_split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int = 42):
     """Spark's sampling split, kept for parity; depends on the partitioning."""
     return df.randomSplit(list(weights), seed)
 
 
-__all__ = ["hash_bucket", "hash_split", "random_split", "with_folds", "with_split"]
+__all__ = ["ROW_KEY", "hash_bucket", "hash_split", "random_split", "with_folds", "with_row_key",
+           "with_split"]

@@ -63,3 +63,20 @@ def test_random_split_complete(spark):
     li = Q.labelled(spark, SF01)
     tr, te = split.random_split(li, (0.7, 0.3), 42)
     assert tr.count() + te.count() == li.count()
+
+
+def test_row_key_splits_a_hot_group_of_copies(spark):
+    """A third of the rows are one repeated row: keyed by content alone they
+    would all fall on one side; with the row key the split stays 70/30."""
+    li = Q.labelled(spark, SF01).select(*Q.FEATURES)
+    n = li.count()
+    copies = spark.range(n // 2).select(*[F.lit(1.0).alias(c) for c in Q.FEATURES])
+    data = li.unionByName(copies)
+    total = data.count()
+    by_content, _ = split.hash_split(data, data.columns)
+    keyed = split.with_row_key(data)
+    by_row, _ = split.hash_split(keyed, keyed.columns)
+    share_row = by_row.count() / total
+    assert abs(share_row - 0.70) < 0.02
+    share_content = by_content.count() / total
+    assert abs(share_content - 0.70) > 0.1  # the copies moved together
