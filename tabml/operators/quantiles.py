@@ -3,20 +3,22 @@
 Exact quantiles use linear interpolation between the two values around rank
 ``(n - 1) * p`` (the same definition as Spark's ``percentile`` and SQL's
 ``quantile_cont``), but unlike ``percentile`` they never hold a whole column in
-one aggregation buffer. The selection runs as a few passes:
-
-1. per column: ``count`` and ``approx_count_distinct`` (one scan);
-2. while a bracket holds more than ``max_exact`` rows and more than
-   ``max_exact / 100`` distinct values (or more than ``max_exact`` distinct
-   values), a ``percentile_approx`` grid inside the bracket narrows it around
-   each wanted rank, and one counting pass fixes the exact rank offset of the
-   new bracket (each round shrinks a bracket by about ``grid / 3``);
-3. one final scan: ``groupBy(bracket, value).count()`` (map-side combine
-   folds hot values to one row) and a running sum per bracket find the value
-   at each rank exactly.
-
-Only bounded statistics reach the driver: one row per (column, wanted rank)
-and ``grid + 1`` values per bracket.
+one aggregation buffer. Three methods:
+
+* ``histogram`` (default above 1 MB of input): one aggregate for count, min
+  and max per column, then rounds of equal-width bucket counts inside ever
+  narrower value brackets (partial aggregation: at most ``buckets + 3`` rows
+  per bracket and task, whatever the skew), then one exact count of the
+  values inside the final brackets. Brackets are literals, so later passes
+  push their ranges into the Parquet scan. Usually three scans; no sketch.
+* ``select``: the same bracketing driven by ``percentile_approx`` grids, with
+  a counting pass per round for the exact rank offsets.
+* ``single`` (tiny inputs): one job, each column's distinct values in one
+  window task.
+
+In every method the final step is ``groupBy(bracket, value).count()``
+(map-side combine folds hot values to one row per task) and a running sum
+per bracket; only one row per wanted rank reaches the driver.
 """
 
 from __future__ import annotations
@@ -101,6 +103,178 @@ def _single_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float])
     return wanted.join(found, ["column", "p"], "left")
 
 
+def _dlit(x: float) -> str:
+    """An exact double literal for a SQL string (shortest round-trip form)."""
+    return f"{x!r}D" if x >= 0 else f"(-{-x!r}D)"
+
+
+def _bucket_scale(lo: float, hi: float, buckets: int) -> float | None:
+    """Multiplier that maps ``[lo, hi]`` onto ``[0, buckets]`` (halves keep
+    ``hi - lo`` finite for any pair of doubles); None when the range cannot be
+    split further."""
+    width = hi * 0.5 - lo * 0.5
+    if not width > 0:
+        return None
+    scale = buckets / width
+    return scale if math.isfinite(scale) else None
+
+
+def _bracket_rows(df: DataFrame, brackets: Sequence[dict], buckets: int | None) -> DataFrame:
+    """``(bid, key, value)`` for every value inside a bracket (``key`` only
+    when ``buckets`` is given). Brackets are literals of the projection, so no
+    join is needed; bracket ranges are also a filter on the wide rows, which
+    reaches the Parquet scan."""
+    structs, ranges = [], []
+    for b in brackets:
+        x = f"CAST({qname(b['column'])} AS DOUBLE)"
+        if b.get("whole"):
+            inside = f"{x} IS NOT NULL"
+        else:
+            inside = f"{x} >= {_dlit(b['lo'])} AND {x} <= {_dlit(b['hi'])}"
+            ranges.append(f"({inside})")
+        fields = f"'bid', {b['bid']}, 'value', CASE WHEN {inside} THEN {x} END"
+        if buckets is not None:
+            if b.get("scale") and b.get("lo") is not None:
+                step = (f"CAST(FLOOR(LEAST({buckets - 1}D, GREATEST(0D, "
+                        f"({x} * 0.5D - {_dlit(b['lo'] * 0.5)}) * {_dlit(b['scale'])}))) AS INT)")
+            else:
+                step = "0"
+            fields += (f", 'key', CASE WHEN {x} > double('-inf') AND {x} < double('inf') THEN {step} "
+                       f"WHEN {x} = double('-inf') THEN -1 WHEN {x} = double('inf') THEN {buckets} "
+                       f"ELSE {buckets + 1} END")
+        structs.append(f"named_struct({fields})")
+    if ranges and len(ranges) == len(brackets):
+        df = df.where(" OR ".join(ranges))
+    return df.selectExpr(f"inline(array({', '.join(structs)}))").where("value IS NOT NULL")
+
+
+def _ranked_hits(spark, counted: DataFrame, order: str, wanted: Sequence[tuple],
+                 extra: Sequence[str]) -> list:
+    """Running count per bracket over ``order`` (rows ``(bid, <order>, c,
+    ...)``), joined with the wanted local ranks ``(bid, tid, rank)``: the rows
+    that hold them."""
+    needs = spark.createDataFrame(list(wanted), "bid int, tid int, rank long")
+    w = Window.partitionBy("bid").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    k = counted.withColumn("end", F.sum("c").over(w)).alias("k")
+    n = needs.alias("n")
+    hit = k.join(F.broadcast(n), (F.col("k.bid") == F.col("n.bid"))
+                 & (F.col("k.end") - F.col("k.c") <= F.col("n.rank"))
+                 & (F.col("n.rank") < F.col("k.end")))
+    return hit.select("n.tid", *[f"k.{c}" for c in (order, "c", "end", *extra)]).collect()
+
+
+def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
+                      buckets: int, max_exact: int, max_rounds: int) -> DataFrame:
+    """Exact quantiles by histogram selection.
+
+    1. One aggregate over the wide input: count, min and max (finite values)
+       per column.
+    2. Each round maps the values of every open bracket to ``buckets``
+       equal-width buckets (plus -inf, +inf and NaN in the first round) and
+       counts them with min and max per bucket. Partial aggregation leaves at
+       most ``buckets + 3`` rows per bracket and task, whatever the skew. A
+       running count over the buckets of each bracket (a window over those
+       few rows) finds the bucket holding each wanted rank; only those rows
+       reach the driver. A bucket with one value is the answer; a bucket of
+       at most ``max_exact`` rows goes to step 3; a larger one becomes the
+       next round's bracket, ``[its min, its max]``, so a round shrinks the
+       value range by about ``buckets``.
+    3. One pass counts each value inside the final brackets
+       (``groupBy(bracket, value)``, at most ``max_exact`` distinct values per
+       bracket) and a running count picks the exact value at each rank.
+
+    Bucket numbers are monotone in the value (every floating step is
+    monotone), so buckets never overlap and counts below a bucket are exact.
+    Brackets are literals (a few per column), so later passes filter the
+    scan to the bracket ranges and explode only the values inside them.
+    """
+    spark = df.sparkSession
+    max_rounds = max(1, max_rounds)
+    inf = float("inf")
+    aggs = []
+    for i, c in enumerate(columns):
+        x = qcol(c).cast("double")
+        finite = F.when((x > F.lit(-inf)) & (x < F.lit(inf)), x)
+        aggs += [F.count(x).alias(f"n{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
+    head = df.agg(*aggs).collect()[0]
+
+    # one target per (column, p); each needs the values at ranks floor and
+    # ceil of (n - 1) * p, 0-based
+    targets = []  # (column, p, pos, r_lo, r_hi)
+    rank_ids: dict[tuple[str, int], int] = {}
+    value_at: dict[int, float] = {}
+    state: dict[int, tuple] = {}  # rank id -> (bracket key, rows below the bracket)
+    brackets: dict[tuple, dict] = {}  # (column,) for a whole column, or (column, lo, hi)
+    for i, c in enumerate(columns):
+        n, lo, hi = head[f"n{i}"], head[f"lo{i}"], head[f"hi{i}"]
+        if not n:
+            continue
+        scale = _bucket_scale(lo, hi, buckets) if lo is not None else None
+        brackets[(c,)] = dict(column=c, whole=True, lo=lo, hi=hi, scale=scale)
+        for p in probs:
+            pos = (n - 1) * float(p)
+            r_lo, r_hi = math.floor(pos), math.ceil(pos)
+            targets.append((c, float(p), pos, r_lo, r_hi))
+            for r in (r_lo, r_hi):
+                if (c, r) not in rank_ids:
+                    rank_ids[(c, r)] = len(rank_ids)
+                    state[rank_ids[(c, r)]] = ((c,), 0)
+    ranks = {rid: r for (_, r), rid in rank_ids.items()}
+
+    def numbered(open_ids, table):
+        used = sorted({state[rid][0] for rid in open_ids}, key=repr)
+        bid = {k: i for i, k in enumerate(used)}
+        rows = [dict(table[k], bid=bid[k]) for k in used]
+        wanted = [(bid[state[rid][0]], rid, ranks[rid] - state[rid][1]) for rid in open_ids]
+        return rows, wanted
+
+    final: dict[tuple, dict] = {}
+    for _ in range(max_rounds):
+        open_ids = [rid for rid, (k, _) in state.items() if k in brackets]
+        if not open_ids:
+            break
+        rows, wanted = numbered(open_ids, brackets)
+        counted = (_bracket_rows(df, rows, buckets).groupBy("bid", "key")
+                   .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("vmin"),
+                        F.max("value").alias("vmax")))
+        nxt: dict[tuple, dict] = {}
+        for r in _ranked_hits(spark, counted, "key", wanted, ["vmin", "vmax"]):
+            rid = r["tid"]
+            bkey, below = state[rid]
+            below += r["end"] - r["c"]
+            lo, hi = r["vmin"], r["vmax"]
+            if r["key"] < 0 or r["key"] >= buckets or lo == hi:
+                # -inf, +inf or NaN (first round only), or a single value
+                value_at[rid] = lo
+                del state[rid]
+                continue
+            col = brackets[bkey]["column"]
+            nkey = (col, lo, hi)
+            scale = _bucket_scale(lo, hi, buckets)
+            if r["c"] <= max_exact or scale is None:
+                final[nkey] = dict(column=col, lo=lo, hi=hi)
+            else:
+                nxt[nkey] = dict(column=col, lo=lo, hi=hi, scale=scale)
+            state[rid] = (nkey, below)
+        brackets = nxt
+    final.update(brackets)  # rounds exhausted: count what is still open exactly
+
+    open_ids = list(state)
+    if open_ids:
+        rows, wanted = numbered(open_ids, final)
+        counted = _bracket_rows(df, rows, None).groupBy("bid", "value").agg(F.count(F.lit(1)).alias("c"))
+        for r in _ranked_hits(spark, counted, "value", wanted, []):
+            value_at[r["tid"]] = r["value"]
+
+    out = []
+    for c, p, pos, r_lo, r_hi in targets:
+        a, b = value_at[rank_ids[(c, r_lo)]], value_at[rank_ids[(c, r_hi)]]
+        out.append((c, p, a if a == b else a + (pos - r_lo) * (b - a)))
+    found = {c for c, *_ in targets}
+    out += [(c, float(p), None) for c in columns if c not in found for p in probs]
+    return spark.createDataFrame(out, "column string, p double, value double")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -110,23 +284,30 @@ def exact_quantiles(
     grid: int = 1000,
     accuracy: int = 100_000,
     max_rounds: int = 8,
-    single_pass_bytes: int = 16 << 20,
+    buckets: int = 4096,
+    single_pass_bytes: int = 1 << 20,
     method: str = "auto",
 ) -> DataFrame:
     """``(column, p, value)``: exact interpolated quantiles of each column.
 
     Nulls are ignored; a column without values gives null. ``method``:
     'single' (one job, each column's distinct values in one window task),
-    'select' (the bounded multi-pass selection), or 'auto': 'single' when
-    Catalyst estimates the projected input at most ``single_pass_bytes``.
+    'histogram' (bounded histogram selection, no sketch: see
+    ``_histogram_select``), 'select' (bounded selection narrowed by
+    ``percentile_approx`` grids), or 'auto': 'single' when Catalyst
+    estimates the projected input at most ``single_pass_bytes``, else
+    'histogram'.
     """
     if any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
     if method == "auto":
         small = estimated_bytes(df.select(*[qcol(c) for c in columns])) <= single_pass_bytes
-        method = "single" if small else "select"
+        method = "single" if small else "histogram"
     if method == "single":
         return _single_pass(df, columns, probs)
+    if method == "histogram":
+        return _histogram_select(df, columns, probs, buckets=buckets, max_exact=max_exact,
+                                 max_rounds=max_rounds)
     spark = df.sparkSession
     long = long_values(spread(df), columns)
 

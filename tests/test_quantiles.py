@@ -29,19 +29,21 @@ def _expected(values, p):
 
 
 @pytest.mark.parametrize("method,max_exact", [("single", 0), ("select", 1_000_000), ("select", 40),
-                                              ("select", 300)])
+                                              ("select", 300), ("histogram", 1_000_000),
+                                              ("histogram", 40), ("histogram", 300)])
 def test_exact_matches_brute_force(spark, method, max_exact):
     df, a, b, c = _frame(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000, method=method).collect()}
+        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000, buckets=8,
+        method=method).collect()}
     d = [float(x) if i % 7 else None for i, x in enumerate(a)]
     for name, vals in (("a", a), ("b", b), ("d", d)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
 
 
-@pytest.mark.parametrize("method", ["single", "select"])
+@pytest.mark.parametrize("method", ["single", "select", "histogram"])
 def test_nan_sorts_last_and_empty_column_is_null(spark, method):
     df, _, _, c = _frame(spark)
     df = df.withColumn("e", df["d"] * None)
@@ -105,3 +107,63 @@ def test_select_path_matches_duckdb_on_lineitem(spark):
             want = con.execute(f"SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) "
                                f"FROM ({Q.LABELLED_SQL}) s").fetchone()[0]
             assert got[(c, p)] == pytest.approx(want, rel=1e-12, abs=1e-12), (c, p)
+
+
+@pytest.mark.parametrize("buckets,max_exact", [(4096, 1_000_000), (4, 50), (2, 10)])
+def test_histogram_infinities_nan_and_hot_values(spark, buckets, max_exact):
+    # -inf < finite < +inf < NaN; a value holding a third of the rows; ties
+    # at bucket edges; refinement forced by a tiny max_exact and bucket count
+    rng = np.random.default_rng(11)
+    n = 3000
+    x = rng.normal(0, 1e6, n).round(2)
+    x[: n // 3] = 2.5
+    x[n // 3: n // 3 + 40] = float("-inf")
+    x[n // 3 + 40: n // 3 + 70] = float("inf")
+    x[n // 3 + 70: n // 3 + 100] = float("nan")
+    y = np.where(np.arange(n) % 2 == 0, 1e-300, -1e300)  # two far-apart values
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    probs = [0.0, 0.005, 0.013, 0.2, 0.333, 0.5, 0.7, 0.97, 0.985, 0.99, 1.0]
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
+        df, ["x", "y"], probs, method="histogram", buckets=buckets, max_exact=max_exact,
+        max_rounds=64).collect()}
+    for name, vals in (("x", x), ("y", y)):
+        v = list(np.sort(vals))
+        for p in probs:
+            want = _expected(v, p)
+            if np.isnan(want):
+                assert np.isnan(got[(name, p)]), (name, p)
+            else:
+                assert got[(name, p)] == pytest.approx(want, rel=1e-12, abs=0), (name, p)
+
+
+def test_histogram_matches_duckdb_on_lineitem_with_refinement(spark):
+    import duckdb
+
+    from tabml import queries as Q
+
+    from .conftest import SF01
+
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF01}/lineitem.parquet')")
+    for kw in ({}, {"buckets": 16, "max_exact": 500}):
+        got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
+            Q.labelled(spark, SF01), Q._DESC_COLS, probs, method="histogram", **kw).collect()}
+        for c in Q._DESC_COLS:
+            for p in probs:
+                want = con.execute(f"SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) "
+                                   f"FROM ({Q.LABELLED_SQL}) s").fetchone()[0]
+                assert got[(c, p)] == pytest.approx(want, rel=1e-12, abs=1e-12), (c, p, kw)
+
+
+def test_histogram_later_rounds_filter_the_scan(spark):
+    from tabml.operators.quantiles import _bracket_rows
+    from tabml.sources.tables import read_table
+
+    from .conftest import SF001
+
+    li = read_table(spark, SF001, "lineitem")
+    rows = _bracket_rows(li, [dict(bid=0, column="l_extendedprice", lo=1000.5, hi=2000.25)], 8)
+    plan = rows._sc._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(l_extendedprice,1000.5)" in plan
+    assert "LessThanOrEqual(l_extendedprice,2000.25)" in plan
