@@ -29,11 +29,13 @@ def iqr_bounds(q: DataFrame, factor: float = 1.5) -> DataFrame:
 
 
 def _bounds(df: DataFrame, columns: Sequence[str], exact: bool, factor: float, **kw):
-    # checkpoint(): the tiny bounds table is written once to the shared
-    # checkpoint folder, so the collect below and the returned frame do not
-    # recompute the quantile passes.
-    b = iqr_bounds(quartiles(df, columns, exact=exact, **kw), factor).checkpoint()
-    return b, {r["column"]: (r["lower"], r["upper"]) for r in b.collect()}
+    # The bounds table has one row per column: it is collected once and
+    # returned as local rows, so neither the literals below nor the returned
+    # frame recompute the quantile passes.
+    b = iqr_bounds(quartiles(df, columns, exact=exact, **kw), factor)
+    rows = b.collect()
+    local = df.sparkSession.createDataFrame(rows, b.schema)
+    return local, {r["column"]: (r["lower"], r["upper"]) for r in rows}
 
 
 def _outside(name: str, lower, upper):

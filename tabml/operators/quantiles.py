@@ -5,7 +5,7 @@ Exact quantiles use linear interpolation between the two values around rank
 ``quantile_cont``), but unlike ``percentile`` they never hold a whole column in
 one aggregation buffer. Three methods:
 
-* ``histogram`` (default above 1 MB of input): one aggregate for count, min
+* ``histogram`` (the default): one aggregate for count, min
   and max per column, then rounds of equal-width bucket counts inside ever
   narrower value brackets (partial aggregation: at most ``buckets + 3`` rows
   per bracket and task, whatever the skew), then one exact count of the
@@ -13,8 +13,8 @@ one aggregation buffer. Three methods:
   push their ranges into the Parquet scan. Usually three scans; no sketch.
 * ``select``: the same bracketing driven by ``percentile_approx`` grids, with
   a counting pass per round for the exact rank offsets.
-* ``single`` (tiny inputs): one job, each column's distinct values in one
-  window task.
+* ``single`` (for inputs known to be tiny): one job, each column's
+  distinct values in one window task.
 
 In every method the final step is ``groupBy(bracket, value).count()``
 (map-side combine folds hot values to one row per task) and a running sum
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabml.operators.columns import estimated_bytes, qcol, qname, spread, sql_str
+from tabml.operators.columns import qcol, qname, spread, sql_str
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -285,27 +285,21 @@ def exact_quantiles(
     accuracy: int = 100_000,
     max_rounds: int = 8,
     buckets: int = 4096,
-    single_pass_bytes: int = 1 << 20,
     method: str = "auto",
 ) -> DataFrame:
     """``(column, p, value)``: exact interpolated quantiles of each column.
 
     Nulls are ignored; a column without values gives null. ``method``:
-    'single' (one job, each column's distinct values in one window task),
-    'histogram' (bounded histogram selection, no sketch: see
+    'histogram' (or 'auto'; bounded histogram selection, no sketch: see
     ``_histogram_select``), 'select' (bounded selection narrowed by
-    ``percentile_approx`` grids), or 'auto': 'single' when Catalyst
-    estimates the projected input at most ``single_pass_bytes``, else
-    'histogram'.
+    ``percentile_approx`` grids), or 'single' (one job, each column's
+    distinct values in one window task: only for inputs known to be small).
     """
     if any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
-    if method == "auto":
-        small = estimated_bytes(df.select(*[qcol(c) for c in columns])) <= single_pass_bytes
-        method = "single" if small else "histogram"
     if method == "single":
         return _single_pass(df, columns, probs)
-    if method == "histogram":
+    if method in ("auto", "histogram"):
         return _histogram_select(df, columns, probs, buckets=buckets, max_exact=max_exact,
                                  max_rounds=max_rounds)
     spark = df.sparkSession
