@@ -99,6 +99,27 @@ def sample_rows(df: DataFrame, order_by: Sequence[str], n: int = 10,
     return out.select(*columns) if columns else out
 
 
+@contextmanager
+def multipass(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+              small_bytes: int = 256 << 20) -> Iterator[DataFrame]:
+    """Input for work that reads it several times (pipeline fits, searches,
+    two-pass statistics).
+
+    A small input (see ``spread``) is repartitioned once and kept, so the
+    passes neither re-run that shuffle nor run in one task. A large input is
+    yielded unchanged and not cached: every pass re-reads the pruned, pushed-
+    down scan, and Spark ML keeps its own working set (a forest's binned
+    sample, logistic regression's instances, each cross-validation fold), so
+    no second copy of the data is held in executor memory or disk.
+    """
+    wide = spread(df, small_bytes=small_bytes)
+    if wide is df:
+        yield df
+        return
+    with persisted(wide, level) as kept:
+        yield kept
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` for a multi-pass step (a pipeline fit reads its input once

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tabml.functions.expressions import DIGITS
 
-from tabml.operators.columns import persisted, qcol, qname, spread, sql_str
+from tabml.operators.columns import multipass, qcol, qname, sql_str
 
 
 def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
@@ -60,9 +60,9 @@ def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = D
     spark = df.sparkSession
     vec = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
         df.select(*[qcol(c).cast("double").alias(c) for c in columns]))
-    # two passes (column summary, then Gramian): keep the vectors between them
-    with persisted(spread(vec.select("_features"))) as kept:
-        m = Correlation.corr(kept, "_features", "pearson").head()[0].toArray()
+    # two passes (column summary, then Gramian)
+    with multipass(vec.select("_features")) as src:
+        m = Correlation.corr(src, "_features", "pearson").head()[0].toArray()
     rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
     out = spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
     out = out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.operators.columns import persisted, spread
+from tabml.operators.columns import multipass
 
 ASSEMBLED = "assembledFeatures"
 NORMALIZED = "normalizedFeatures"
@@ -72,8 +72,8 @@ def fit_scalers(df: DataFrame, features: Sequence[str], minmax: bool = True,
         stages.append(minmax_scaler())
     if standard:
         stages.append(standard_scaler())
-    with persisted(spread(df)) as kept:  # one summary pass per scaler
-        return Pipeline(stages=stages).fit(kept)
+    with multipass(df) as src:  # one summary pass per scaler
+        return Pipeline(stages=stages).fit(src)
 
 
 def index_labels(df: DataFrame, input_col: str, output: str = "label") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from tabml.operators.columns import persisted, spread
+from tabml.operators.columns import multipass, spread
 from tabml.operators.transform import (
     ASSEMBLED,
     NORMALIZED,
@@ -119,14 +119,14 @@ def forest_regressor(features: Sequence[str], label: str, *, num_trees: int = 20
 
 
 def fit(pipeline: Pipeline, df: DataFrame, persist: bool = True) -> PipelineModel:
-    """Fit on ``df`` spread over at least the default parallelism (a no-op
-    for a large scan; see ``operators.columns.spread``). Every fitted stage
-    (scaler, label index, model) reads the input, so it is persisted for the
-    duration of the fit unless ``persist=False``."""
+    """Fit on ``df``. Every fitted stage (scaler, label index, model) reads
+    the input, so a small input is spread over the default parallelism and
+    kept for the fit (``operators.columns.multipass``); a large scan is fitted
+    as it is. ``persist=False`` only spreads."""
     if not persist:
         return pipeline.fit(spread(df))
-    with persisted(spread(df)) as kept:
-        return pipeline.fit(kept)
+    with multipass(df) as src:
+        return pipeline.fit(src)
 
 
 def model_stage_spec(pipeline: Pipeline):

@@ -59,3 +59,15 @@ def test_spread_only_touches_small_inputs(spark):
     li = read_table(spark, SF001, "lineitem")
     assert spread(li).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(li, small_bytes=0) is li
+
+
+def test_multipass_keeps_only_small_inputs(spark):
+    from tabml.operators.columns import multipass
+    from tabml.sources.tables import read_table
+    li = read_table(spark, SF001, "lineitem")
+    with multipass(li) as small:
+        assert small is not li and small.storageLevel.useMemory
+        assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert not small.storageLevel.useMemory
+    with multipass(li, small_bytes=0) as large:  # a large scan: no shuffle, no second copy
+        assert large is li and not large.storageLevel.useMemory
