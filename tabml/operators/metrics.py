@@ -17,38 +17,53 @@ from tabml.functions.expressions import DIGITS
 from tabml.operators.columns import qcol
 
 
-def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``(label, prediction, count)`` with both keys as double."""
-    return df.groupBy(qcol(label).cast("double").alias("label"),
-                      qcol(prediction).cast("double").alias("prediction")).agg(
-        F.count(F.lit(1)).alias("count"))
+def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     raw: str | None = None) -> DataFrame:
+    """``(label, prediction, count)`` with both keys as double. With ``raw``
+    (e.g. a regressor's unrounded output) each cell also carries ``sse``, the
+    sum of squared errors ``(label - raw)^2``, so RMSE comes from the same
+    pass as the class metrics."""
+    y = qcol(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("count")]
+    if raw is not None:
+        err = y - qcol(raw).cast("double")
+        aggs.append(F.sum(err * err).alias("sse"))
+    return df.groupBy(y.alias("label"), qcol(prediction).cast("double").alias("prediction")).agg(*aggs)
 
 
 def _class_metrics(conf: DataFrame) -> DataFrame:
-    """Per class: true count, predicted count and hits. Each confusion cell
+    """Per class: true count, predicted count and hits (and the squared error
+    of its true rows when ``conf`` has ``sse``). Each confusion cell
     contributes one row to its true class and one to its predicted class, so
     a single aggregate (no self-join, one evaluation of ``conf``) suffices."""
+    zero, none = F.lit(0).cast("long"), F.lit(0.0)
+    sse = "sse" in conf.columns
     cell = F.explode(F.array(
         F.struct(F.col("label").alias("cls"), F.col("count").alias("n_true"),
-                 F.lit(0).cast("long").alias("n_pred"),
+                 zero.alias("n_pred"),
                  F.when(F.col("label") == F.col("prediction"), F.col("count"))
-                 .otherwise(F.lit(0).cast("long")).alias("tp")),
-        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("n_true"),
-                 F.col("count").alias("n_pred"), F.lit(0).cast("long").alias("tp")),
+                 .otherwise(zero).alias("tp"),
+                 (F.col("sse") if sse else none).alias("sse")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("n_true"),
+                 F.col("count").alias("n_pred"), zero.alias("tp"), none.alias("sse")),
     )).alias("c")
     return (conf.select(cell).select("c.*").groupBy("cls")
             .agg(F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred"),
-                 F.sum("tp").alias("tp")))
+                 F.sum("tp").alias("tp"), F.sum("sse").alias("sse")))
 
 
 def metrics_from_confusion(conf: DataFrame, digits: int | None = DIGITS) -> DataFrame:
-    """One row ``(weighted_f1, accuracy)`` from a confusion table."""
+    """One row ``(weighted_f1, accuracy)`` from a confusion table, plus
+    ``rmse`` when the table carries ``sse``."""
     per = _class_metrics(conf)
     f1 = F.col("n_true") * F.lit(2.0) * F.col("tp") / (F.col("n_true") + F.col("n_pred"))
     # classes that are only predicted have n_true = 0: weight 0, no division
     f1 = F.when(F.col("n_true") > 0, f1).otherwise(F.lit(0.0))
-    out = per.agg((F.sum(f1) / F.sum("n_true")).alias("weighted_f1"),
-                  (F.sum("tp") / F.sum("n_true")).alias("accuracy"))
+    aggs = [(F.sum(f1) / F.sum("n_true")).alias("weighted_f1"),
+            (F.sum("tp") / F.sum("n_true")).alias("accuracy")]
+    if "sse" in conf.columns:
+        aggs.append(F.sqrt(F.sum("sse") / F.sum("n_true")).alias("rmse"))
+    out = per.agg(*aggs)
     if digits is not None:
         out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
     return out
@@ -73,18 +88,23 @@ def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction",
     return out.select(F.round("rmse", digits).alias("rmse")) if digits is not None else out
 
 
-def metrics_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """``(metric, value, pct)`` rows for weighted F1 and accuracy, percent with
-    one decimal, from a single confusion table (one scan of ``df``)."""
-    m = metrics_from_confusion(confusion_counts(df, label, prediction), digits=None)
-    rows = m.select(F.inline(F.array(
-        F.struct(F.lit("f1").alias("metric"), F.col("weighted_f1").alias("value")),
-        F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")),
-    )))
+def metrics_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                   raw: str | None = None) -> DataFrame:
+    """``(metric, value, pct)`` rows for weighted F1 and accuracy (and RMSE of
+    ``raw`` when given), percent with one decimal, from a single confusion
+    table (one scan of ``df``)."""
+    m = metrics_from_confusion(confusion_counts(df, label, prediction, raw), digits=None)
+    rows = [F.struct(F.lit("f1").alias("metric"), F.col("weighted_f1").alias("value")),
+            F.struct(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))]
+    if raw is not None:
+        rows.append(F.struct(F.lit("rmse").alias("metric"), F.col("rmse").alias("value")))
+    rows = m.select(F.inline(F.array(*rows)))
     return rows.select("metric", F.round("value", DIGITS).alias("value"),
                        F.round(F.col("value") * 100, 1).alias("pct"))
 
 
-def metric_values(df: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
-    """The report as a small dict (bounded: two numbers) for jobs and logs."""
-    return {r["metric"]: r["value"] for r in metrics_report(df, label, prediction).collect()}
+def metric_values(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                  raw: str | None = None) -> dict:
+    """The report as a small dict (bounded: two or three numbers) for jobs
+    and logs."""
+    return {r["metric"]: r["value"] for r in metrics_report(df, label, prediction, raw).collect()}

@@ -141,7 +141,7 @@ def _csv_copy(spark: SparkSession, d: str) -> str:
     """Write lineitem in the quoted-header, ';', CRLF dialect to the shared
     scratch folder; return the path."""
     path = scratch_path(spark, "csv")
-    delimited.write_delimited(tables.read_table(spark, d, "lineitem"), path)
+    delimited.write_delimited(tables.read_table(spark, d, "lineitem"), path, parallel=True)
     return path
 
 

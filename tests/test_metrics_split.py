@@ -27,6 +27,19 @@ def test_metrics_equal_evaluators(spark):
     assert m["weighted_f1"] == pytest.approx(0.508274, abs=1e-6)  # value stated for the fixture
 
 
+def test_one_pass_report_with_rmse_equals_evaluators(spark):
+    df = Q.ruled(spark, SF01)
+    rep = metrics.metrics_report(df, "quality", "prediction", raw="raw")
+    got = {r["metric"]: r["value"] for r in rep.collect()}
+    rm = RegressionEvaluator(labelCol="quality", predictionCol="raw", metricName="rmse").evaluate(
+        df.withColumn("quality", F.col("quality").cast("double")))
+    assert got["rmse"] == pytest.approx(rm, abs=1e-6)
+    assert got["f1"] == pytest.approx(_eval(df, "f1"), abs=1e-6)
+    assert got["accuracy"] == pytest.approx(_eval(df, "accuracy"), abs=1e-6)
+    plan = rep._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_single_class_and_predicted_only_class(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (1.0, 1.0)], "label double, prediction double")
     m = metrics.metrics_from_confusion(metrics.confusion_counts(df), digits=None).first()
