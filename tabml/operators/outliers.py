@@ -28,14 +28,11 @@ def iqr_bounds(q: DataFrame, factor: float = 1.5) -> DataFrame:
                     (F.col("q3") + F.lit(factor) * iqr).alias("upper"))
 
 
-def _bounds(df: DataFrame, columns: Sequence[str], exact: bool, factor: float, **kw):
-    # The bounds table has one row per column: it is collected once and
-    # returned as local rows, so neither the literals below nor the returned
-    # frame recompute the quantile passes.
+def _bounds(df: DataFrame, columns: Sequence[str], exact: bool, factor: float, **kw) -> dict:
+    """``column -> (q1, q3, lower, upper)``: one row per column, collected
+    once, so nothing after it recomputes the quantile passes."""
     b = iqr_bounds(quartiles(df, columns, exact=exact, **kw), factor)
-    rows = b.collect()
-    local = df.sparkSession.createDataFrame(rows, b.schema)
-    return local, {r["column"]: (r["lower"], r["upper"]) for r in rows}
+    return {r["column"]: (r["q1"], r["q3"], r["lower"], r["upper"]) for r in b.collect()}
 
 
 def _outside(name: str, lower, upper):
@@ -47,12 +44,18 @@ def _outside(name: str, lower, upper):
 
 def iqr_outlier_counts(df: DataFrame, columns: Sequence[str], *, exact: bool = True,
                        factor: float = 1.5, digits: int | None = DIGITS, **kw) -> DataFrame:
-    """``(column, q1, q3, lower, upper, outliers)``."""
-    b, lim = _bounds(df, columns, exact, factor, **kw)
-    one = df.agg(*[F.count_if(_outside(c, *lim.get(c, (None, None)))).alias(f"o{i}")
-                   for i, c in enumerate(columns)])
-    counts = _stack(one, columns, {"outliers": "o"})
-    out = b.join(counts, "column", "right")
+    """``(column, q1, q3, lower, upper, outliers)``. The bounds are literals
+    of the one counting aggregate, so the result needs no join."""
+    lim = _bounds(df, columns, exact, factor, **kw)
+    none = (None, None, None, None)
+    fields = {"q1": "q1_", "q3": "q3_", "lower": "lo_", "upper": "hi_"}
+    aggs = []
+    for i, c in enumerate(columns):
+        q1, q3, lo, hi = lim.get(c, none)
+        aggs.append(F.count_if(_outside(c, lo, hi)).alias(f"o{i}"))
+        for v, prefix in zip((q1, q3, lo, hi), fields.values()):
+            aggs.append(F.lit(v).cast("double").alias(f"{prefix}{i}"))
+    out = _stack(df.agg(*aggs), columns, {**fields, "outliers": "o"})
     if digits is not None:
         out = out.select("column", *[F.round(c, digits).alias(c)
                                      for c in ("q1", "q3", "lower", "upper")], "outliers")
@@ -63,5 +66,5 @@ def iqr_outlier_rows(df: DataFrame, column: str, *, exact: bool = True,
                      factor: float = 1.5, **kw) -> DataFrame:
     """Rows of ``df`` whose ``column`` lies outside the IQR bounds. The bounds
     are literals, so the filter pushes down into the Parquet scan."""
-    _, lim = _bounds(df, [column], exact, factor, **kw)
-    return df.where(_outside(column, *lim.get(column, (None, None))))
+    _, _, lo, hi = _bounds(df, [column], exact, factor, **kw).get(column, (None,) * 4)
+    return df.where(_outside(column, lo, hi))

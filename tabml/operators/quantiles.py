@@ -100,7 +100,9 @@ def _single_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float])
     # columns without any value still get (null) rows
     spark = df.sparkSession
     wanted = spark.createDataFrame([(c, float(p)) for c in columns for p in probs], "column string, p double")
-    return wanted.join(found, ["column", "p"], "left")
+    # both sides are one row per (column, p); a Python-built frame has no
+    # size estimate, so the broadcast is stated
+    return wanted.join(F.broadcast(found), ["column", "p"], "left")
 
 
 def _dlit(x: float) -> str:
