@@ -3,15 +3,17 @@
 ``corr_pairs`` computes every pair in ONE aggregate (``covar_samp`` and
 ``stddev_samp`` share the scan, partial aggregation on the map side); the
 ratio uses ``nullif`` so a constant column gives null instead of an ANSI
-divide-by-zero error. For very wide inputs (about 60+ columns, i.e. 1800+
-aggregates) ``corr_matrix_ml`` uses ``pyspark.ml.stat.Correlation`` (a
-distributed Gramian) instead. Results are long tables ``(feature_a,
-feature_b, corr)``; the wide, named matrix is a pivot of the long one, so
-names travel with values and no row-id join is needed.
+divide-by-zero error. For very wide inputs (over 60 columns, i.e. 1800+
+aggregates) the same functions switch to ``pyspark.ml.stat.Correlation`` (a
+distributed Gramian); ``corr_matrix_ml`` always takes that route. Results
+are long tables ``(feature_a, feature_b, corr)``; the wide, named matrix is
+a pivot of the long one, so names travel with values and no row-id join is
+needed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -24,11 +26,21 @@ from tabml.functions.expressions import DIGITS
 from tabml.operators.columns import multipass, qcol, qname, sql_str
 
 
-def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
+# Above this many columns the pair aggregates (k(k-1)/2 covariances in one
+# expression) give way to the distributed Gramian of ``Correlation.corr``.
+WIDE_COLUMNS = 60
+
+
+def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS,
+              method: str = "auto") -> DataFrame:
     """``(feature_a, pos_a, feature_b, pos_b, corr)`` for all ordered pairs,
-    diagonal included (1, or null for a constant column)."""
+    diagonal included (1, or null for a constant column). ``method``: 'sql'
+    (one aggregate of all pairs), 'ml' (``Correlation.corr``), or 'auto'
+    ('ml' beyond ``WIDE_COLUMNS`` columns)."""
     cols = list(columns)
     k = len(cols)
+    if method == "ml" or (method == "auto" and k > WIDE_COLUMNS):
+        return _corr_ml_long(df, cols, digits)
     xs = [f"CAST({qname(c)} AS DOUBLE)" for c in cols]
     aggs = [f"stddev_samp({x}) AS s{i}" for i, x in enumerate(xs)]
     aggs += [f"covar_samp({xs[i]}, {xs[j]}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k)]
@@ -48,29 +60,55 @@ def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS
     return one.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
+def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS,
+               method: str = "auto") -> DataFrame:
     """``(feature_a, feature_b, corr)`` for all ordered pairs."""
-    return corr_long(df, columns, digits).select("feature_a", "feature_b", "corr")
+    return corr_long(df, columns, digits, method).select("feature_a", "feature_b", "corr")
 
 
-def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
-    """Same table through ``Correlation.corr`` on an assembled vector. The
+def _corr_ml_long(df: DataFrame, columns: Sequence[str], digits: int | None) -> DataFrame:
+    """``corr_long`` through ``Correlation.corr`` on an assembled vector. The
     k x k matrix (bounded by the column count, not the rows) comes back to
-    the driver and is returned as rows."""
+    the driver and is returned as rows; NaN (a constant column) becomes null."""
     spark = df.sparkSession
     vec = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
         df.select(*[qcol(c).cast("double").alias(c) for c in columns]))
     # two passes (column summary, then Gramian)
     with multipass(vec.select("_features")) as src:
         m = Correlation.corr(src, "_features", "pearson").head()[0].toArray()
-    rows = [(a, b, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    out = spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    for i in _constant_columns(m, df, columns):
+        m[i][i] = float("nan")  # 0/0, as in the pair aggregate (Spark ML puts 1 here)
+    rows = [(a, i, b, j, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    out = spark.createDataFrame(
+        rows, "feature_a string, pos_a int, feature_b string, pos_b int, corr double")
     out = out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
     if digits is not None:
         out = out.withColumn("corr", F.round("corr", digits))
     return out
 
 
+def _constant_columns(m, df: DataFrame, columns: Sequence[str]) -> set[int]:
+    """Positions of columns without variance, read off a correlation matrix:
+    a column with any defined off-diagonal entry varies, and against such a
+    column ``p`` a column ``i`` is constant exactly when ``m[i][p]`` is NaN.
+    Only when at most one column varies does that not decide it; then one
+    aggregate of standard deviations does."""
+    k = len(columns)
+    varying = [j for j in range(k) if any(not math.isnan(m[j][i]) for i in range(k) if i != j)]
+    if varying:
+        p = varying[0]
+        return {i for i in range(k) if i != p and math.isnan(m[i][p])}
+    sd = df.agg(*[F.stddev_samp(qcol(c).cast("double")).alias(f"s{i}")
+                  for i, c in enumerate(columns)]).first()
+    return {i for i in range(k) if not sd[f"s{i}"]}
+
+
+def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
+    """``corr_pairs`` through ``Correlation.corr`` (a distributed Gramian),
+    whatever the width."""
+    return corr_pairs(df, columns, digits, method="ml")
+
+
 def corr_matrix_wide(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pivot a long pair table to ``(feature, <one column per feature>)``.
     The pivot values are given, so no extra job discovers them."""
@@ -78,9 +116,10 @@ def corr_matrix_wide(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
             .pivot("feature_b", list(columns)).agg(F.first("corr")))
 
 
-def high_corr_features(df: DataFrame, columns: Sequence[str], threshold: float = 0.7) -> DataFrame:
+def high_corr_features(df: DataFrame, columns: Sequence[str], threshold: float = 0.7,
+                       method: str = "auto") -> DataFrame:
     """``(feature)``: each column whose |corr| with an EARLIER column (schema
     order) exceeds ``threshold``, named once."""
-    pairs = corr_long(df, columns, digits=None)
+    pairs = corr_long(df, columns, digits=None, method=method)
     return (pairs.where((F.col("pos_b") < F.col("pos_a")) & (F.abs("corr") > threshold))
             .select(F.col("feature_a").alias("feature")).distinct())

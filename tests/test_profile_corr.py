@@ -65,3 +65,37 @@ def test_corr_matches_numpy_and_constant_is_null(spark):
     assert high == {"b", "neg"}  # each named once, only against an earlier column
     wide = correlation.corr_matrix_wide(correlation.corr_pairs(df, cols), cols)
     assert wide.columns == ["feature", *cols] and wide.count() == 4
+
+
+def test_wide_inputs_take_the_gramian_route(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    a = rng.normal(size=400)
+    rows = [(float(x), float(0.9 * x + e), float(e), float(x * x), 2.0)
+            for x, e in zip(a, rng.normal(scale=0.2, size=400))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, k double")
+    cols = ["a", "b", "c", "d", "k"]
+    sql = {(r["feature_a"], r["pos_a"], r["feature_b"], r["pos_b"]): r["corr"]
+           for r in correlation.corr_long(df, cols, method="sql").collect()}
+    monkeypatch.setattr(correlation, "WIDE_COLUMNS", 3)
+    wide = correlation.corr_long(df, cols)
+    assert "LogicalRDD" in wide._jdf.queryExecution().analyzed().toString()  # matrix rows, no pair aggregate
+    got = {(r["feature_a"], r["pos_a"], r["feature_b"], r["pos_b"]): r["corr"] for r in wide.collect()}
+    assert got.keys() == sql.keys()
+    for key, v in sql.items():
+        assert (got[key] is None) == (v is None), key
+        if v is not None:
+            assert got[key] == pytest.approx(v, abs=1e-6), key
+    assert ({r["feature"] for r in correlation.high_corr_features(df, cols, 0.7).collect()}
+            == {r["feature"] for r in correlation.high_corr_features(df, cols, 0.7, method="sql").collect()})
+
+
+def test_gramian_route_constant_columns_are_null_like_the_aggregate(spark):
+    # one varying column and constants: the matrix alone cannot tell, so the
+    # standard deviations decide
+    df = spark.createDataFrame([(float(i), 3.0, 1.0) for i in range(20)], "x double, c double, d double")
+    for cols in (["x", "c", "d"], ["c", "d"], ["x"], ["c"]):
+        ml = {(r["feature_a"], r["feature_b"]): r["corr"]
+              for r in correlation.corr_long(df, cols, method="ml").collect()}
+        sql = {(r["feature_a"], r["feature_b"]): r["corr"]
+               for r in correlation.corr_long(df, cols, method="sql").collect()}
+        assert ml == sql, cols
