@@ -71,3 +71,10 @@ def test_multipass_keeps_only_small_inputs(spark):
     assert not small.storageLevel.useMemory
     with multipass(li, small_bytes=0) as large:  # a large scan: no shuffle, no second copy
         assert large is li and not large.storageLevel.useMemory
+
+
+def test_outlier_counts_need_no_join(spark):
+    # the bounds are literals of the one counting aggregate
+    df = E.queries()["iqr_outlier_counts"](spark, SF001)
+    plan = _plan(df)
+    assert "Join" not in plan and plan.count("FileScan parquet") == 1
