@@ -6,7 +6,9 @@ prediction sink.
 The pipeline's own assembler decides which columns it reads, so extra
 columns in the new data are ignored (nothing is dropped by name). When the
 label column is present, weighted F1 and accuracy are printed in percent,
-computed from one confusion table (one pass over the scored rows).
+computed from one confusion table. With ``--output`` the model runs once:
+the predictions are written, and the metrics read back only the label and
+prediction columns.
 """
 
 from __future__ import annotations
@@ -48,12 +50,14 @@ def run(spark: SparkSession, args) -> dict:
     pred = ORDINAL if ORDINAL in scored.columns else "prediction"
     label = "label" if "label" in scored.columns else args.label
     out = {}
-    if label in scored.columns:
-        out = metrics.metric_values(scored, label, pred)
-        emit(step="score", f1_pct=round(out["f1"] * 100, 1), accuracy_pct=round(out["accuracy"] * 100, 1))
     if args.output:
+        # score once: the metrics read two columns of the written predictions
         plain(scored).write.mode("overwrite").parquet(args.output)
         emit(step="written", path=args.output)
+        scored = spark.read.parquet(args.output)
+    if label in scored.columns:
+        out = metrics.metric_values(scored, label, pred)
+        emit(step="score", f1_pct=round(out["f1"] * 100, 1), accuracy_pct=round(out["accuracy"] * 100, 1))
     return out
 
 
