@@ -136,9 +136,10 @@ def _bracket_rows(df: DataFrame, brackets: Sequence[dict], buckets: int | None)
             ranges.append(f"({inside})")
         fields = f"'bid', {b['bid']}, 'value', CASE WHEN {inside} THEN {x} END"
         if buckets is not None:
-            if b.get("scale") and b.get("lo") is not None:
+            scale = _bucket_scale(b["lo"], b["hi"], buckets) if b.get("lo") is not None else None
+            if scale:
                 step = (f"CAST(FLOOR(LEAST({buckets - 1}D, GREATEST(0D, "
-                        f"({x} * 0.5D - {_dlit(b['lo'] * 0.5)}) * {_dlit(b['scale'])}))) AS INT)")
+                        f"({x} * 0.5D - {_dlit(b['lo'] * 0.5)}) * {_dlit(scale)}))) AS INT)")
             else:
                 step = "0"
             fields += (f", 'key', CASE WHEN {x} > double('-inf') AND {x} < double('inf') THEN {step} "
@@ -165,6 +166,11 @@ def _ranked_hits(spark, counted: DataFrame, order: str, wanted: Sequence[tuple],
     return hit.select("n.tid", *[f"k.{c}" for c in (order, "c", "end", *extra)]).collect()
 
 
+# Most (bracket, bucket) groups one histogram round may produce, so a task's
+# partial-aggregation map stays bounded for inputs with many columns.
+HIST_MAX_GROUPS = 1 << 20
+
+
 def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
                       buckets: int, max_exact: int, max_rounds: int) -> DataFrame:
     """Exact quantiles by histogram selection.
@@ -174,7 +180,8 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     2. Each round maps the values of every open bracket to ``buckets``
        equal-width buckets (plus -inf, +inf and NaN in the first round) and
        counts them with min and max per bucket. Partial aggregation leaves at
-       most ``buckets + 3`` rows per bracket and task, whatever the skew. A
+       most ``buckets + 3`` rows per bracket and task, whatever the skew
+       (fewer buckets when many brackets would exceed ``HIST_MAX_GROUPS``). A
        running count over the buckets of each bracket (a window over those
        few rows) finds the bucket holding each wanted rank; only those rows
        reach the driver. A bucket with one value is the answer; a bucket of
@@ -211,8 +218,7 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         n, lo, hi = head[f"n{i}"], head[f"lo{i}"], head[f"hi{i}"]
         if not n:
             continue
-        scale = _bucket_scale(lo, hi, buckets) if lo is not None else None
-        brackets[(c,)] = dict(column=c, whole=True, lo=lo, hi=hi, scale=scale)
+        brackets[(c,)] = dict(column=c, whole=True, lo=lo, hi=hi)
         for p in probs:
             pos = (n - 1) * float(p)
             r_lo, r_hi = math.floor(pos), math.ceil(pos)
@@ -236,7 +242,10 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         if not open_ids:
             break
         rows, wanted = numbered(open_ids, brackets)
-        counted = (_bracket_rows(df, rows, buckets).groupBy("bid", "key")
+        # bound the groups a task's partial aggregation holds, however wide
+        # the input: fewer buckets per bracket when there are many brackets
+        nb = max(16, min(buckets, HIST_MAX_GROUPS // len(rows)))
+        counted = (_bracket_rows(df, rows, nb).groupBy("bid", "key")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("vmin"),
                         F.max("value").alias("vmax")))
         nxt: dict[tuple, dict] = {}
@@ -245,18 +254,17 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
             bkey, below = state[rid]
             below += r["end"] - r["c"]
             lo, hi = r["vmin"], r["vmax"]
-            if r["key"] < 0 or r["key"] >= buckets or lo == hi:
+            if r["key"] < 0 or r["key"] >= nb or lo == hi:
                 # -inf, +inf or NaN (first round only), or a single value
                 value_at[rid] = lo
                 del state[rid]
                 continue
             col = brackets[bkey]["column"]
             nkey = (col, lo, hi)
-            scale = _bucket_scale(lo, hi, buckets)
-            if r["c"] <= max_exact or scale is None:
+            if r["c"] <= max_exact or _bucket_scale(lo, hi, buckets) is None:
                 final[nkey] = dict(column=col, lo=lo, hi=hi)
             else:
-                nxt[nkey] = dict(column=col, lo=lo, hi=hi, scale=scale)
+                nxt[nkey] = dict(column=col, lo=lo, hi=hi)
             state[rid] = (nkey, below)
         brackets = nxt
     final.update(brackets)  # rounds exhausted: count what is still open exactly

@@ -167,3 +167,16 @@ def test_histogram_later_rounds_filter_the_scan(spark):
     plan = rows._sc._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
     assert "GreaterThanOrEqual(l_extendedprice,1000.5)" in plan
     assert "LessThanOrEqual(l_extendedprice,2000.25)" in plan
+
+
+def test_histogram_many_brackets_use_fewer_buckets(spark, monkeypatch):
+    # a tight group budget forces the minimum bucket count and more rounds;
+    # results stay exact
+    monkeypatch.setattr(quantiles, "HIST_MAX_GROUPS", 32)
+    df, a, b, c = _frame(spark)
+    probs = [0.1, 0.5, 0.9]
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
+        df, ["a", "b"], probs, method="histogram", max_exact=20, max_rounds=32).collect()}
+    for name, vals in (("a", a), ("b", b)):
+        for p in probs:
+            assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
