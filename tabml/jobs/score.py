@@ -45,7 +45,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def run(spark: SparkSession, args) -> dict:
     model = load_pipeline(args.model_path)
-    data = read_input(spark, args.new_data, args.format, args.sep)
+    data = read_input(spark, args.new_data, args.format, args.sep, keep=(args.label,))
     scored = model.transform(data)
     pred = ORDINAL if ORDINAL in scored.columns else "prediction"
     label = "label" if "label" in scored.columns else args.label
