@@ -122,33 +122,43 @@ def _bucket_scale(lo: float, hi: float, buckets: int) -> float | None:
 
 
 def _bracket_rows(df: DataFrame, brackets: Sequence[dict], buckets: int | None) -> DataFrame:
-    """``(bid, key, value)`` for every value inside a bracket (``key`` only
-    when ``buckets`` is given). Brackets are literals of the projection, so no
-    join is needed; bracket ranges are also a filter on the wide rows, which
+    """``(bid, key, value)`` for every value inside a bracket, a finite range
+    ``[lo, hi]`` of one column (``key``, the equal-width bucket, only when
+    ``buckets`` is given). Brackets are literals of the projection, so no
+    join is needed; their ranges are also a filter on the wide rows, which
     reaches the Parquet scan."""
     structs, ranges = [], []
     for b in brackets:
         x = f"CAST({qname(b['column'])} AS DOUBLE)"
-        if b.get("whole"):
-            inside = f"{x} IS NOT NULL"
-        else:
-            inside = f"{x} >= {_dlit(b['lo'])} AND {x} <= {_dlit(b['hi'])}"
-            ranges.append(f"({inside})")
+        inside = f"{x} >= {_dlit(b['lo'])} AND {x} <= {_dlit(b['hi'])}"
+        ranges.append(f"({inside})")
         fields = f"'bid', {b['bid']}, 'value', CASE WHEN {inside} THEN {x} END"
         if buckets is not None:
-            scale = _bucket_scale(b["lo"], b["hi"], buckets) if b.get("lo") is not None else None
-            if scale:
-                step = (f"CAST(FLOOR(LEAST({buckets - 1}D, GREATEST(0D, "
-                        f"({x} * 0.5D - {_dlit(b['lo'] * 0.5)}) * {_dlit(scale)}))) AS INT)")
-            else:
-                step = "0"
-            fields += (f", 'key', CASE WHEN {x} > double('-inf') AND {x} < double('inf') THEN {step} "
-                       f"WHEN {x} = double('-inf') THEN -1 WHEN {x} = double('inf') THEN {buckets} "
-                       f"ELSE {buckets + 1} END")
+            scale = _bucket_scale(b["lo"], b["hi"], buckets)
+            step = (f"CAST(FLOOR(LEAST({buckets - 1}D, GREATEST(0D, "
+                    f"({x} * 0.5D - {_dlit(b['lo'] * 0.5)}) * {_dlit(scale)}))) AS INT)") if scale else "0"
+            fields += f", 'key', {step}"
         structs.append(f"named_struct({fields})")
-    if ranges and len(ranges) == len(brackets):
-        df = df.where(" OR ".join(ranges))
-    return df.selectExpr(f"inline(array({', '.join(structs)}))").where("value IS NOT NULL")
+    return (df.where(" OR ".join(ranges)).selectExpr(f"inline(array({', '.join(structs)}))")
+            .where("value IS NOT NULL"))
+
+
+# Fixed first-round buckets: 64 per octave of |x| (each spans a factor of
+# 2^(1/64), about 1.1%), so any double has one of at most about 270k keys.
+LOG_STEPS = 64
+_OFF = 1 << 21  # above |floor(log2|x| * LOG_STEPS)| for every double
+
+
+def _magnitude_key(x: str) -> str:
+    """An int that never decreases as the double ``x`` grows: -inf < negative
+    values (by falling magnitude) < zero < positive values (by rising
+    magnitude) < +inf < NaN. It needs no statistics of the data, because
+    ``log2`` is monotone (Java's log is semi-monotonic) and so is every other
+    step."""
+    mag = f"CAST(FLOOR(LOG2(ABS({x})) * {LOG_STEPS}D) AS INT)"
+    return (f"CASE WHEN isnan({x}) THEN {4 * _OFF + 1} WHEN {x} = double('inf') THEN {4 * _OFF} "
+            f"WHEN {x} = double('-inf') THEN 0 WHEN {x} > 0D THEN {3 * _OFF} + {mag} "
+            f"WHEN {x} < 0D THEN {_OFF} - {mag} ELSE {2 * _OFF} END")
 
 
 def _ranked_hits(spark, counted: DataFrame, order: str, wanted: Sequence[tuple],
@@ -175,58 +185,91 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
                       buckets: int, max_exact: int, max_rounds: int) -> DataFrame:
     """Exact quantiles by histogram selection.
 
-    1. One aggregate over the wide input: count, min and max (finite values)
-       per column.
-    2. Each round maps the values of every open bracket to ``buckets``
-       equal-width buckets (plus -inf, +inf and NaN in the first round) and
-       counts them with min and max per bucket. Partial aggregation leaves at
-       most ``buckets + 3`` rows per bracket and task, whatever the skew
-       (fewer buckets when many brackets would exceed ``HIST_MAX_GROUPS``). A
-       running count over the buckets of each bracket (a window over those
-       few rows) finds the bucket holding each wanted rank; only those rows
-       reach the driver. A bucket with one value is the answer; a bucket of
-       at most ``max_exact`` rows goes to step 3; a larger one becomes the
-       next round's bracket, ``[its min, its max]``, so a round shrinks the
-       value range by about ``buckets``.
+    1. One pass counts every column's values by magnitude bucket (64 per
+       octave, with -inf, zero, +inf and NaN on their own; see
+       ``_magnitude_key``), with min and max per bucket. The keys need no
+       statistics of the data, so this is the first scan. Partial
+       aggregation leaves at most a few hundred rows per column and task on
+       typical data, whatever the skew. A running count and the column total
+       per column (windows over those few rows) give each wanted rank's
+       bucket in the same plan; only those rows reach the driver.
+    2. A bucket with one value is the answer; one of at most ``max_exact``
+       rows goes to step 3; a larger one becomes a bracket ``[its min, its
+       max]``, and each further round maps every open bracket to ``buckets``
+       equal-width buckets (fewer when many brackets would exceed
+       ``HIST_MAX_GROUPS``), shrinking the value range by about ``buckets``.
     3. One pass counts each value inside the final brackets
        (``groupBy(bracket, value)``, at most ``max_exact`` distinct values per
        bracket) and a running count picks the exact value at each rank.
 
-    Bucket numbers are monotone in the value (every floating step is
-    monotone), so buckets never overlap and counts below a bucket are exact.
-    Brackets are literals (a few per column), so later passes filter the
-    scan to the bracket ranges and explode only the values inside them.
+    Bucket numbers never decrease as the value grows, so buckets never
+    overlap and counts below a bucket are exact. Brackets are literals (a
+    few per column), so later passes filter the scan to the bracket ranges
+    and explode only the values inside them. On typical data this is two
+    scans; a 100 TB column takes one linear round more.
     """
     spark = df.sparkSession
-    max_rounds = max(1, max_rounds)
-    inf = float("inf")
-    aggs = []
-    for i, c in enumerate(columns):
-        x = qcol(c).cast("double")
-        finite = F.when((x > F.lit(-inf)) & (x < F.lit(inf)), x)
-        aggs += [F.count(x).alias(f"n{i}"), F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
-    head = df.agg(*aggs).collect()[0]
+    structs = ", ".join(f"named_struct('bid', {i}, 'value', CAST({qname(c)} AS DOUBLE))"
+                        for i, c in enumerate(columns))
+    long = df.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
+    counted = (long.groupBy("bid", F.expr(_magnitude_key("value")).alias("key"))
+               .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("vmin"),
+                    F.max("value").alias("vmax")))
+    run = Window.partitionBy("bid").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    ps = F.array(*[F.lit(float(p)) for p in probs])
+    ranked = (counted.withColumn("end", F.sum("c").over(run))
+              .withColumn("n", F.sum("c").over(Window.partitionBy("bid")))
+              .select("*", F.explode(ps).alias("p"))
+              .withColumn("pos", (F.col("n") - 1) * F.col("p")))
+
+    def covers(r):
+        return (F.col("end") - F.col("c") <= r) & (r < F.col("end"))
+
+    first = ranked.where(covers(F.floor("pos")) | covers(F.ceil("pos"))).select(
+        "bid", "n", "key", "c", "end", "vmin", "vmax").collect()
 
     # one target per (column, p); each needs the values at ranks floor and
     # ceil of (n - 1) * p, 0-based
+    hits_of: dict[int, list] = {}
+    n_of: dict[int, int] = {}
+    for r in first:
+        hits_of.setdefault(r["bid"], []).append(r)
+        n_of[r["bid"]] = r["n"]
     targets = []  # (column, p, pos, r_lo, r_hi)
     rank_ids: dict[tuple[str, int], int] = {}
     value_at: dict[int, float] = {}
-    state: dict[int, tuple] = {}  # rank id -> (bracket key, rows below the bracket)
-    brackets: dict[tuple, dict] = {}  # (column,) for a whole column, or (column, lo, hi)
+    state: dict[int, tuple] = {}  # open rank id -> (bracket key, rows below the bracket)
+    final: dict[tuple, dict] = {}
+    brackets: dict[tuple, dict] = {}  # (column, lo, hi) -> bracket
+
+    def place(rid: int, col: str, r, below: int) -> None:
+        """Resolve a rank from the bucket row ``r`` that holds it, or open
+        the bucket as a bracket (exact count or another round)."""
+        lo, hi = r["vmin"], r["vmax"]
+        if lo == hi or not (math.isfinite(lo) and math.isfinite(hi)):
+            value_at[rid] = lo  # one value (incl. -inf, +inf, NaN buckets)
+            return
+        key = (col, lo, hi)
+        if r["c"] <= max_exact or _bucket_scale(lo, hi, buckets) is None:
+            final[key] = dict(column=col, lo=lo, hi=hi)
+        else:
+            brackets[key] = dict(column=col, lo=lo, hi=hi)
+        state[rid] = (key, below)
+
     for i, c in enumerate(columns):
-        n, lo, hi = head[f"n{i}"], head[f"lo{i}"], head[f"hi{i}"]
+        n = n_of.get(i)
         if not n:
             continue
-        brackets[(c,)] = dict(column=c, whole=True, lo=lo, hi=hi)
         for p in probs:
             pos = (n - 1) * float(p)
             r_lo, r_hi = math.floor(pos), math.ceil(pos)
             targets.append((c, float(p), pos, r_lo, r_hi))
-            for r in (r_lo, r_hi):
-                if (c, r) not in rank_ids:
-                    rank_ids[(c, r)] = len(rank_ids)
-                    state[rank_ids[(c, r)]] = ((c,), 0)
+            for rank in (r_lo, r_hi):
+                if (c, rank) in rank_ids:
+                    continue
+                rid = rank_ids[(c, rank)] = len(rank_ids)
+                r = next(h for h in hits_of[i] if h["end"] - h["c"] <= rank < h["end"])
+                place(rid, c, r, r["end"] - r["c"])
     ranks = {rid: r for (_, r), rid in rank_ids.items()}
 
     def numbered(open_ids, table):
@@ -236,9 +279,8 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         wanted = [(bid[state[rid][0]], rid, ranks[rid] - state[rid][1]) for rid in open_ids]
         return rows, wanted
 
-    final: dict[tuple, dict] = {}
     for _ in range(max_rounds):
-        open_ids = [rid for rid, (k, _) in state.items() if k in brackets]
+        open_ids = [rid for rid, (k, _) in state.items() if k in brackets and rid not in value_at]
         if not open_ids:
             break
         rows, wanted = numbered(open_ids, brackets)
@@ -248,28 +290,15 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         counted = (_bracket_rows(df, rows, nb).groupBy("bid", "key")
                    .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("vmin"),
                         F.max("value").alias("vmax")))
-        nxt: dict[tuple, dict] = {}
+        current, brackets = brackets, {}
         for r in _ranked_hits(spark, counted, "key", wanted, ["vmin", "vmax"]):
             rid = r["tid"]
-            bkey, below = state[rid]
-            below += r["end"] - r["c"]
-            lo, hi = r["vmin"], r["vmax"]
-            if r["key"] < 0 or r["key"] >= nb or lo == hi:
-                # -inf, +inf or NaN (first round only), or a single value
-                value_at[rid] = lo
-                del state[rid]
-                continue
-            col = brackets[bkey]["column"]
-            nkey = (col, lo, hi)
-            if r["c"] <= max_exact or _bucket_scale(lo, hi, buckets) is None:
-                final[nkey] = dict(column=col, lo=lo, hi=hi)
-            else:
-                nxt[nkey] = dict(column=col, lo=lo, hi=hi)
-            state[rid] = (nkey, below)
-        brackets = nxt
-    final.update(brackets)  # rounds exhausted: count what is still open exactly
+            bkey, below = state.pop(rid)
+            place(rid, current[bkey]["column"], r, below + r["end"] - r["c"])
+    # rounds exhausted: what is still open is counted exactly as well
+    final.update(brackets)
 
-    open_ids = list(state)
+    open_ids = [rid for rid in state if rid not in value_at]
     if open_ids:
         rows, wanted = numbered(open_ids, final)
         counted = _bracket_rows(df, rows, None).groupBy("bid", "value").agg(F.count(F.lit(1)).alias("c"))
