@@ -5,12 +5,12 @@ Exact quantiles use linear interpolation between the two values around rank
 ``quantile_cont``), but unlike ``percentile`` they never hold a whole column in
 one aggregation buffer. Three methods:
 
-* ``histogram`` (the default): one aggregate for count, min and max per
-  column, then rounds of equal-width bucket counts inside ever narrower
-  value brackets (partial aggregation: at most ``buckets + 3`` rows per
-  bracket and task, whatever the skew), then one exact count of the values
-  inside the final brackets. Brackets are literals, so later passes push
-  their ranges into the Parquet scan. Usually three scans; no sketch.
+* ``histogram`` (the default): counts by fixed magnitude buckets, then
+  rounds of equal-width bucket counts inside ever narrower value brackets
+  (partial aggregation keeps a bounded number of rows per bracket and task,
+  whatever the skew), then one exact count of the values inside the final
+  brackets. Brackets are literals, so later passes push their ranges into
+  the Parquet scan. Two scans on typical data; no sketch.
 * ``select``: the same bracketing driven by ``percentile_approx`` grids, with
   a counting pass per round for the exact rank offsets.
 * ``single`` (for inputs known to be tiny): one job, each column's
