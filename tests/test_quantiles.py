@@ -180,3 +180,36 @@ def test_histogram_many_brackets_use_fewer_buckets(spark, monkeypatch):
     for name, vals in (("a", a), ("b", b)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
+
+
+def test_histogram_property_against_numpy(spark):
+    """Random columns (repeats, signs, zeros of both signs, extremes, +-inf,
+    NaN) under tiny bucket and exact-count limits, so every round kind runs."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    values = st.one_of(
+        st.floats(allow_nan=True, allow_infinity=True, width=64),
+        st.sampled_from([0.0, -0.0, 1.0, -1.0, 2.5, 1e-300, -1e300, 5e-324]),
+        st.integers(-50, 50).map(float),
+    )
+
+    @settings(max_examples=12, deadline=None, derandomize=True,
+              suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+    @given(st.lists(values, min_size=1, max_size=120), st.sampled_from([(2, 3), (4, 10), (16, 1_000_000)]))
+    def check(xs, limits):
+        buckets, max_exact = limits
+        df = spark.createDataFrame([(x,) for x in xs], "x double")
+        probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+        got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(
+            df, ["x"], probs, method="histogram", buckets=buckets, max_exact=max_exact,
+            max_rounds=64).collect()}
+        v = list(np.sort(np.asarray(xs, dtype=float)))
+        for p in probs:
+            want = _expected(v, p)
+            if np.isnan(want):
+                assert np.isnan(got[p]), (xs, p)
+            else:
+                assert got[p] == want or got[p] == pytest.approx(want, rel=1e-12, abs=0), (xs, p)
+
+    check()
