@@ -93,3 +93,28 @@ def test_row_key_splits_a_hot_group_of_copies(spark):
     assert abs(share_row - 0.70) < 0.02
     share_content = by_content.count() / total
     assert abs(share_content - 0.70) > 0.1  # the copies moved together
+
+
+def test_metrics_property_against_evaluators(spark):
+    """Random label/prediction pairs, including classes that are only
+    predicted or never predicted: F1, accuracy and RMSE from one confusion
+    table equal Spark's evaluators."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    pairs = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 7)), min_size=1, max_size=80)
+
+    @settings(max_examples=10, deadline=None, derandomize=True,
+              suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+    @given(pairs)
+    def check(rows):
+        df = spark.createDataFrame([(float(a), float(b), b + 0.25) for a, b in rows],
+                                   "label double, prediction double, raw double")
+        got = {r["metric"]: r["value"] for r in
+               metrics.metrics_report(df, "label", "prediction", raw="raw").collect()}
+        assert got["f1"] == pytest.approx(_eval(df, "f1", "label"), abs=1e-6)
+        assert got["accuracy"] == pytest.approx(_eval(df, "accuracy", "label"), abs=1e-6)
+        rm = RegressionEvaluator(labelCol="label", predictionCol="raw", metricName="rmse").evaluate(df)
+        assert got["rmse"] == pytest.approx(rm, abs=1e-6)
+
+    check()
