@@ -143,19 +143,20 @@ def _bracket_rows(df: DataFrame, brackets: Sequence[dict], buckets: int | None)
             .where("value IS NOT NULL"))
 
 
-# Fixed first-round buckets: 64 per octave of |x| (each spans a factor of
-# 2^(1/64), about 1.1%), so any double has one of at most about 270k keys.
+# Fixed first-round buckets: at most 64 per octave of |x| (each spans a
+# factor of 2^(1/64), about 1.1%), so any double has one of at most about
+# 270k keys.
 LOG_STEPS = 64
 _OFF = 1 << 21  # above |floor(log2|x| * LOG_STEPS)| for every double
 
 
-def _magnitude_key(x: str) -> str:
+def _magnitude_key(x: str, steps: int = LOG_STEPS) -> str:
     """An int that never decreases as the double ``x`` grows: -inf < negative
     values (by falling magnitude) < zero < positive values (by rising
-    magnitude) < +inf < NaN. It needs no statistics of the data, because
-    ``log2`` is monotone (Java's log is semi-monotonic) and so is every other
-    step."""
-    mag = f"CAST(FLOOR(LOG2(ABS({x})) * {LOG_STEPS}D) AS INT)"
+    magnitude) < +inf < NaN, with ``steps`` keys per octave. It needs no
+    statistics of the data, because ``log2`` is monotone (Java's log is
+    semi-monotonic) and so is every other step."""
+    mag = f"CAST(FLOOR(LOG2(ABS({x})) * {int(steps)}D) AS INT)"
     return (f"CASE WHEN isnan({x}) THEN {4 * _OFF + 1} WHEN {x} = double('inf') THEN {4 * _OFF} "
             f"WHEN {x} = double('-inf') THEN 0 WHEN {x} > 0D THEN {3 * _OFF} + {mag} "
             f"WHEN {x} < 0D THEN {_OFF} - {mag} ELSE {2 * _OFF} END")
@@ -212,7 +213,10 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     structs = ", ".join(f"named_struct('bid', {i}, 'value', CAST({qname(c)} AS DOUBLE))"
                         for i, c in enumerate(columns))
     long = df.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
-    counted = (long.groupBy("bid", F.expr(_magnitude_key("value")).alias("key"))
+    # steps per octave within the group budget for data spanning about 32
+    # octaves: 64 for up to ~500 columns, fewer for wider inputs
+    steps = max(1, min(LOG_STEPS, HIST_MAX_GROUPS // (32 * max(1, len(columns)))))
+    counted = (long.groupBy("bid", F.expr(_magnitude_key("value", steps)).alias("key"))
                .agg(F.count(F.lit(1)).alias("c"), F.min("value").alias("vmin"),
                     F.max("value").alias("vmax")))
     run = Window.partitionBy("bid").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
