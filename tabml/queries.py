@@ -186,6 +186,16 @@ def q_feature_columns(spark, d):
     return cols_op.select_features(df, LABEL, by="type")
 
 
+@register("feature_position",
+          f"SELECT {', '.join(FEATURES)}, l_returnflag, {LABEL_SQL} AS {LABEL} FROM lineitem")
+def q_feature_position(spark, d):
+    # every column but the label, in schema order; the label is named, not
+    # assumed to be last (here it comes first)
+    li = tables.read_table(spark, d, "lineitem")
+    df = li.select(F.expr(LABEL_SPARK).alias(LABEL), *FEATURES, "l_returnflag")
+    return cols_op.select_features(df, LABEL, by="position")
+
+
 @register("round_prediction",
           f"SELECT l_orderkey, l_linenumber, {LABEL}, raw, prediction FROM ({RULED_SQL}) q")
 def q_round_prediction(spark, d):

@@ -118,3 +118,14 @@ def test_auto_escape_keeps_rfc_quotes_of_written_files(spark, tmp_path):
     delimited.write_delimited(df, str(tmp_path / "w"))
     back = delimited.read_delimited(spark, str(tmp_path / "w"), schema=df.schema)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_feature_columns_by_position_and_type(spark):
+    from tabml.operators import columns
+
+    df = spark.createDataFrame([(5, 1.0, "a", 2)], "quality int, x double, s string, k int")
+    assert columns.feature_columns(df, "quality", by="position") == ["x", "s", "k"]
+    assert columns.feature_columns(df, "quality", by="type") == ["x", "k"]
+    assert columns.select_features(df, "quality", by="position").columns == ["x", "s", "k", "quality"]
+    with pytest.raises(ValueError):
+        columns.feature_columns(df, "label")
