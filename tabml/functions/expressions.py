@@ -53,12 +53,13 @@ def hash_bucket(keys: Sequence[str] | str, buckets: int = 100) -> Column:
 
     The first 32 bits of ``md5(key)`` decide the bucket, so the assignment is
     independent of partitioning, file layout and retries. Composite keys are
-    joined with '|'.
+    joined with '|' (nulls skipped); a null single key counts as ''.
     """
     if isinstance(keys, str):
         keys = [keys]
     if len(keys) == 1:
-        text = F.col(keys[0]).cast("string")
+        # a null key hashes like '' (it must land on a side, not vanish)
+        text = F.coalesce(F.col(keys[0]).cast("string"), F.lit(""))
     else:
         text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")

@@ -118,3 +118,10 @@ def test_metrics_property_against_evaluators(spark):
         assert got["rmse"] == pytest.approx(rm, abs=1e-6)
 
     check()
+
+
+def test_hash_split_keeps_rows_with_null_keys(spark):
+    df = spark.createDataFrame([(None, i) for i in range(5)] + [(i, i) for i in range(200)], "k int, v int")
+    train, test = split.hash_split(df, "k", 70)
+    assert train.count() + test.count() == df.count()
+    assert train.join(test, ["k", "v"]).count() == 0
