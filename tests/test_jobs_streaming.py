@@ -58,3 +58,18 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     assert out.count() == df.count()
     batch = model.transform(df).agg(F.sum(models.ORDINAL)).first()[0]
     assert out.agg(F.sum(models.ORDINAL)).first()[0] == batch
+
+
+def test_stream_restart_neither_skips_nor_repeats(spark, tmp_path):
+    src, sink, ckpt = tmp_path / "incoming", str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    df = Q.labelled(spark, SF001)
+    model = models.fit(models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=3, max_depth=4), df)
+    first, second = df.where("l_orderkey % 2 = 0"), df.where("l_orderkey % 2 = 1")
+    first.write.parquet(str(src / "a"))
+    score_stream(spark, model, str(src / "*"), df.schema, sink, checkpoint=ckpt).awaitTermination(120)
+    assert spark.read.parquet(sink).count() == first.count()
+    second.write.parquet(str(src / "b"))  # files arriving after the first run
+    score_stream(spark, model, str(src / "*"), df.schema, sink, checkpoint=ckpt).awaitTermination(120)
+    out = spark.read.parquet(sink)
+    assert out.count() == df.count()
+    assert out.select(*Q.KEYS, "l_quantity").distinct().count() == df.select(*Q.KEYS, "l_quantity").distinct().count()
