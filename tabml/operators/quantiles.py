@@ -476,8 +476,12 @@ def quartiles(df: DataFrame, columns: Sequence[str], *, exact: bool = True,
                for r in exact_quantiles(df, cols, [0.25, 0.75], **kwargs).collect()}
         return df.sparkSession.createDataFrame(
             [(c, got.get((c, 0.25)), got.get((c, 0.75))) for c in cols], "column string, q1 double, q3 double")
-    long = approx_quantiles(df, columns, [0.25, 0.75], max(1, round(1 / relative_error)))
-    return long.groupBy("column").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-        F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"),
-    )
+    # the sketch aggregate is one row; both quartiles of a column are read
+    # from it directly (no second aggregation)
+    ps = F.array(F.lit(0.25), F.lit(0.75))
+    acc = max(1, round(1 / relative_error))
+    one = df.agg(*[F.percentile_approx(qcol(c).cast("double"), ps, acc).alias(f"q{i}")
+                   for i, c in enumerate(columns)])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"q{i}")[0].alias("q1"), F.col(f"q{i}")[1].alias("q3"))
+        for i, c in enumerate(columns)])))
