@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import simhash
+from tabml.llm import piece_codec, simhash
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file; the package is installed where the workers run."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.codec_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
