@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import piece_codec, simhash
+from tabml.llm import packing, piece_codec, simhash
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,18 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_bpe() -> tuple[str, str, str]:
+    """The byte-level vocabulary: its file, the same as ranks, and the split pattern."""
+    import public_tokenizers
+
+    return tokenizer("byte_bpe_50k.json"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2, capacity=1024)
+
+
 @query
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.codec_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
