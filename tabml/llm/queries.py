@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import packing, piece_codec, simhash
+from tabml.llm import language_id, packing, piece_codec, simhash
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,15 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.codec_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(docs["doc_id"], 4, 2)
+    model = language_id.fit_language_model(docs.filter(~held), hidden=12, steps=200)
+    out = language_id.predict_languages(docs, model)
+    return out.withColumn("held_out", language_id.held_out(out["doc_id"], 4, 2))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
