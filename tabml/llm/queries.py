@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import language_id, packing, piece_codec, simhash
+from tabml.llm import language_id, packing, piece_codec, simhash, toxicity
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels.filter(~language_id.held_out(labels["doc_id"], 5, 0)))
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", language_id.held_out(out["doc_id"], 5, 0).alias("held_out"), "score", "predicted")
