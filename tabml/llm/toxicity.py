@@ -185,10 +185,16 @@ def _lexicons(samples: list[tuple[str, int]], evidence: float, ratio: float) ->
     for t in clean:
         for c, found, wanted in zip(good, _features_of(t), few, strict=True):
             c.update(found & wanted)
+    most = Counter()  # the commonest word of each beginning: a beginning that is nearly one word teaches nothing more
+    for w, n in bad[0].items():
+        for k in range(_SHORTEST, min(len(w), _LONGEST + 1)):
+            most[w[:k]] = max(most[w[:k]], n)
     base, out = len(toxic) / max(1, len(samples)), []
     for kind in (0, 1):
         taken = {}
         for x in few[kind]:
+            if kind and most[x] > 0.6 * bad[1][x]:
+                continue
             a, b = bad[kind][x], good[kind][x]
             odds = math.log((a + 0.5) / (len(toxic) + 1)) - math.log((b + 0.5) / (len(clean) + 1))
             if odds >= math.log(ratio) and a * math.log(a / ((a + b) * base)) >= evidence:
