@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import language_id, packing, piece_codec, simhash, toxicity
+from tabml.llm import language_id, licenses, packing, piece_codec, simhash, toxicity
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def tokenizer(name: str) -> str:
     """Place of a public tokenizer's file; the package is installed where the workers run."""
     import public_tokenizers
