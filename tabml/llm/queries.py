@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import language_id, licenses, packing, piece_codec, simhash, toxicity
+from tabml.llm import imatch, language_id, licenses, packing, piece_codec, simhash, toxicity
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit_toxicity(docs, labels.filter(~language_id.held_out(labels["doc_id"], 5, 0)))
     out = toxicity.score_toxicity(docs, model)
     return out.select("doc_id", language_id.held_out(out["doc_id"], 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
