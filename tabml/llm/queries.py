@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import imatch, language_id, licenses, packing, piece_codec, simhash, toxicity
+from tabml.llm import imatch, language_id, licenses, packing, piece_codec, simhash, toxicity, warc
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive_round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
