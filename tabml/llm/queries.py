@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabml.llm import imatch, language_id, licenses, packing, piece_codec, simhash, toxicity, warc
+from tabml.llm import embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, toxicity, warc
 from tabml.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+@query
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")

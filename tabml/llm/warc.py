@@ -78,7 +78,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     wide = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     key = wide.select("page_id", "url", F.sha2("html", 256).alias("sha"), F.octet_length("html").alias("n"))
     key = stored(key.groupBy("page_id", "sha", "n").agg(F.min("url").alias("url")), "warc-keys")
-    first = key.filter(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("pages"))
+    first = key.filter(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("*").alias("pages"))
     first = stored(first.filter("pages > 1"), "warc-first").select(F.col("sha").alias("f_sha"), F.col("n").alias("f_n"), "first")
     roles = key.join(first, (key.sha == first.f_sha) & (key.n == first.f_n), "left").select(
         F.col("page_id").alias("r_id"), F.col("sha").alias("r_sha"), F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url")
@@ -94,7 +94,8 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, archive_
 
     ``pages``: page_id, url, html (null: empty). Among repeated rows of one
     page with one payload, the first is what the page would be alone and the
-    others are revisits to it. A null id takes part; null sorts before all ids.
+    others are revisits to it. A page without id is a revisit if a page with an id
+    has its payload, else a response.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
