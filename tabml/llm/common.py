@@ -8,16 +8,28 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - binds pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabml.session import scratch_path
 
 
-def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The id (long) and the whole text (null: empty) under fixed names."""
-    return df.select(
-        df[id_col].cast("long").alias("doc_id"),
-        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
-    )
+def id_text(df: DataFrame, id_col: str, text_col: str, with_row: bool = False) -> DataFrame:
+    """The id (long) and the whole text (null: empty) under fixed names, and the whole row as a struct if asked for."""
+    row = [F.struct(*df.columns).alias("row")] if with_row else []
+    return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"), *row)
+
+
+def schema_of(ddl: str, rows: DataFrame) -> StructType:
+    """The schema ``ddl`` describes, with the struct ``row`` of ``rows`` behind it if it has one."""
+    out = StructType.fromDDL(ddl)
+    return out.add(rows.schema["row"]) if "row" in rows.columns else out
+
+
+def with_row_of(batch: pa.RecordBatch, columns: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+    """The columns as a batch, with the struct ``row`` of ``batch`` behind them if it has one."""
+    at = batch.schema.get_field_index("row")
+    more = ([batch.column(at)], ["row"]) if at >= 0 else ([], [])
+    return pa.RecordBatch.from_arrays(columns + more[0], names + more[1])
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import pieces
+from tabml.llm.common import id_text, pieces, schema_of, with_row_of
 
 #: Bytes of a segment, and segments that are remembered per worker (a memory that is full becomes the old one).
 SEGMENT, MEMORY = 32, 250_000
@@ -196,8 +196,8 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return train([(r.t, r.l) for r in rows], **train_args)
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score (the pooled probability, 0 to 1) of every whole text.
+def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score (the pooled probability, 0 to 1) of every whole text, and the input row as ``row`` if asked for.
 
     A text that is null or without letters is ``und`` with score 0, and so is
     every text if the model has learned no label; ties go to the label that
@@ -233,7 +233,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
                 p /= p.sum()
                 lang.append(model.labels[int(p.argmax())])
                 score.append(float(min(1.0, p.max())))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+            yield with_row_of(b, [b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    chosen = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    chosen = id_text(docs, id_col, text_col, with_row)
+    return chosen.mapInArrow(run, schema_of("doc_id long, lang_pred string, score double", chosen))

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from tabml.llm.common import id_text, pieces, scratch_path, shuffle_partitions, stored
+from tabml.llm.common import pieces, schema_of, scratch_path, shuffle_partitions, stored
 from tabml.llm.suffix_array import common_prefixes, two_stage
 
 SEED_BYTES = 20
@@ -135,24 +136,26 @@ def _slices(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def _batches(size: int):
-    """Rows of (batch, ids, texts) with a few MB of text each; names are new in every attempt."""
+    """Rows of (batch, ids, texts, rows) with a few MB of text each; names are new in every attempt."""
 
-    def out(ids, texts):
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary())]
-        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([uuid.uuid4().int >> 65, ids, texts], kinds, strict=True)], ["batch", "ids", "texts"])
+    def out(ids, texts, rows, kind):
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(kind)]
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([uuid.uuid4().int >> 65, ids, texts, rows], kinds, strict=True)], ["batch", "ids", "texts", "rows"])
 
     def run(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, held = [], [], 0
+        ids, texts, rows, held, kind = [], [], [], 0, pa.null()
         for b in pieces(docs, "text", size):
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            kind = b.schema.field("row").type
+            for i, t, r in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("row").to_pylist(), strict=True):
                 ids.append(i)
                 texts.append(t)
+                rows.append(r)
                 held += len(t)
                 if held >= size:
-                    yield out(ids, texts)
-                    ids, texts, held = [], [], 0
+                    yield out(ids, texts, rows, kind)
+                    ids, texts, rows, held = [], [], [], 0
         if ids:
-            yield out(ids, texts)
+            yield out(ids, texts, rows, kind)
 
     return run
 
@@ -219,7 +222,8 @@ class Contexts:
         self.values, self.bucket, self.number = [values[i] for i in by], bucket[by], place[number]
 
 
-def _in_order(table: pa.Table) -> tuple[int, list[int | None], list[bytes]]:
+def _only(table: pa.Table) -> tuple[int, list[int | None], list[bytes]]:
+    """The values of the one row of a batch."""
     return tuple(table.column(c)[0].as_py() for c in ("batch", "ids", "texts"))
 
 
@@ -228,7 +232,7 @@ def _context_rows(window: int, buckets: int):
         kinds, names = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], ["bucket", "batch", "sizes", "bytes", "least"]
         out = []
         if docs.num_rows and bits.num_rows:
-            batch, ids, texts = _in_order(docs)
+            batch, ids, texts = _only(docs)
             c = Contexts(texts, dict(zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist(), strict=True)), window, buckets)
             least = np.full(len(c.values), LAST, np.int64)
             np.minimum.at(least, c.number, _ids(ids)[c.runs.doc[c.used]])
@@ -295,10 +299,11 @@ def _removal(window: int, buckets: int):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        kinds, names = [pa.int64(), pa.int64(), span, pa.binary()], ["doc_id", "n_bytes", "spans", "kept"]
+        kinds, names = [pa.int64(), pa.int64(), span, pa.binary(), docs.schema.field("rows").type.value_type], ["doc_id", "n_bytes", "spans", "kept", "row"]
         if not docs.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in kinds], names)
-        _, ids, texts = _in_order(docs)
+        _, ids, texts = _only(docs)
+        given = docs.column("rows")[0].as_py()
         number = _ids(ids)
         cols = {c: known.column(c).to_pylist() for c in ("bucket", "bits", "answers")}
         bits = {b: x for b, x in zip(cols["bucket"], cols["bits"], strict=True) if x is not None}
@@ -326,15 +331,15 @@ def _removal(window: int, buckets: int):
             np.add.at(edges, start + b[pick[gone]] + window, -1)
         rows, begin = [], 0
         removed = None if edges is None else np.cumsum(edges[:-1]) > 0
-        for i, t in zip(ids, texts, strict=True):
+        for i, t, r in zip(ids, texts, given, strict=True):
             part = None if removed is None else removed[begin:begin + len(t)]
             begin += len(t)
             if part is None or not part.any():
-                rows.append((i, len(t), [], t))
+                rows.append((i, len(t), [], t, r))
                 continue
             turn = np.flatnonzero(np.diff(np.r_[False, part, False].astype(np.int8)))
             spans = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2], strict=True)]
-            rows.append((i, len(t), spans, np.frombuffer(t, np.uint8)[~part].tobytes()))
+            rows.append((i, len(t), spans, np.frombuffer(t, np.uint8)[~part].tobytes(), r))
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
     return run
@@ -344,7 +349,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Removes repeated byte strings from every whole text.
 
     Returns doc_id, n_bytes, spans (removed byte ranges, start and end, maximal
-    and in order) and kept (the remaining bytes), one row per input row. A null
+    and in order), kept (the remaining bytes) and row (the other columns of the
+    input row, as a struct), one row per input row. A null
     text is empty. Rows with one id don't remove from each other; rows without
     an id come after all others, and their doc_id stays null.
     """
@@ -354,7 +360,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = shuffle_partitions(spark)
     buckets = 4 * parts
     name = f"suffix_dedup_{uuid.uuid4().hex}"
-    batched = id_text(docs, id_col, text_col).mapInArrow(_batches(batch_bytes), "batch long, ids array<long>, texts array<binary>")
+    rest = F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")
+    chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), rest)
+    kind = chosen.schema["row"].dataType
+    held = StructType.fromDDL("batch long, ids array<long>, texts array<binary>").add("rows", ArrayType(kind))
+    batched = chosen.mapInArrow(_batches(batch_bytes), held)
     batched.write.bucketBy(parts, "batch").option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
     batches = spark.table(name)
 
@@ -363,4 +373,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = batches.groupBy("batch").cogroup(bits.groupBy("batch")).applyInArrow(_context_rows(window, buckets), "bucket int, batch long, sizes binary, bytes binary, least binary")
     answers = stored(contexts.groupBy("bucket").applyInArrow(_least_ids(window), "batch long, bucket int, answers binary"), "suffix-answers")
     known = bits.withColumn("answers", F.lit(None).cast("binary")).unionByName(answers.withColumn("bits", F.lit(None).cast("binary")))
-    return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_removal(window, buckets), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_removal(window, buckets), schema_of("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", chosen))

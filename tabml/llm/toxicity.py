@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import id_text, pieces
+from tabml.llm.common import id_text, pieces, schema_of, with_row_of
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER", "END"
 # General English words of each class.
@@ -246,8 +246,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return learn((r.t, r.y) for r in sorted(rows, key=lambda r: (r.k, r.t)))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score (0 to 1), predicted (1 from 0.5 on), clauses (the matched ones: score, words) of every whole text.
+def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
+    """doc_id, score (0 to 1), predicted (1 from 0.5 on), clauses (the matched ones: score, words) of every whole text, and the input row as ``row`` if asked for.
 
     A null text is empty; an empty one has the base score. A null id stays
     null and repeated rows come back as often as given.
@@ -263,9 +263,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
                 worst, total = (max(s for s, _ in found), math.log1p(sum(s for s, _ in found))) if found else (0.0, 0.0)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * worst + c * total)))))
                 matched.append([{"score": s, "words": w} for s, w in found])
-            yield pa.RecordBatch.from_arrays(
+            yield with_row_of(
+                batch,
                 [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(matched, kind)],
                 ["doc_id", "score", "predicted", "clauses"],
             )
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, predicted int, clauses array<struct<score:double,words:string>>")
+    chosen = id_text(docs, id_col, text_col, with_row)
+    return chosen.mapInArrow(run, schema_of("doc_id long, score double, predicted int, clauses array<struct<score:double,words:string>>", chosen))
