@@ -212,7 +212,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
             counts = []
             for t in b.column("text").to_pylist():
                 # a text has a letter if any of its characters is one
-                counts.append(segments(t) if t and any(map(str.isalpha, t)) else None)
+                counts.append(segments(t) if t and model.labels and any(map(str.isalpha, t)) else None)
             new = list({s for c in counts if c for s in c if s not in known})
             if new:
                 if len(known) + len(new) > MEMORY:  # keep what this batch needs
@@ -224,7 +224,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
                 pooled = np.concatenate([pooled, model.pooled(new)])
             lang, score = [], []
             for c in counts:
-                if not c or not model.labels:
+                if not c:
                     lang.append(UNKNOWN)
                     score.append(0.0)
                     continue
