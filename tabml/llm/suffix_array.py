@@ -19,10 +19,10 @@ def words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
 def descending(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is larger than its successor (equal bytes: as the next one; the last is)."""
     n = len(text)
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
     differs = np.append(text[:-1] != text[1:], True)
     down = np.append(text[:-1] > text[1:], True)
-    nxt = np.minimum.accumulate(np.where(differs, at, n)[::-1])[::-1]
+    nxt = np.minimum.accumulate(np.where(differs, at, at.dtype.type(n - 1))[::-1])[::-1]
     return down[nxt]
 
 

@@ -39,6 +39,8 @@ from tabml.llm.suffix_array import common_prefixes, two_stage
 SEED_BYTES = 20
 #: Bytes of text in a batch, and windows that are looked at in one go.
 BATCH, CHUNK = 4 << 20, 1 << 20
+#: Buckets of hashes for each shuffle partition: what a bucket sorts must fit beside the JVM.
+BUCKETS = 16
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
 _LOW = np.uint64((1 << 40) - 1)
@@ -358,7 +360,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("the window must be 24 to 60000 bytes")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = 4 * parts
+    buckets = BUCKETS * parts
     name = f"suffix_dedup_{uuid.uuid4().hex}"
     rest = F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), rest)
