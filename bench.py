@@ -35,7 +35,8 @@ def _run(df) -> None:
 def _f1(name: str, pred: str):
     def go(spark, d):
         scored = Q.QUERIES[name](spark, d)
-        return metrics.weighted_f1(scored, Q.LABEL if pred != "label" else "label", pred)
+        # predictions of an indexed label are compared with the index
+        return metrics.weighted_f1(scored, *(("label", "prediction") if pred == "label" else (Q.LABEL, pred)))
     return go
 
 
@@ -53,7 +54,11 @@ HEADLINE = {
     "index_labels": Q.QUERIES["index_labels"],
     "csv_roundtrip": Q.QUERIES["csv_roundtrip"],
     "rf_ordinal_f1": _f1("rf_ordinal", models.ORDINAL),
+    "rf_proba_f1": _f1("rf_classify_proba", "label"),
     "lr_classify_f1": _f1("lr_classify", "label"),
+    "lr_l1_f1": _f1("lr_l1_classify", "label"),
+    "doc_quality_classify": Q.QUERIES["doc_quality_classify"],
+    "csv_text_roundtrip": Q.QUERIES["csv_text_roundtrip"],
 }
 
 

@@ -20,6 +20,11 @@ _FLOATING = (T.FloatType, T.DoubleType)
 DIGITS = 7
 
 
+def qname(name: str) -> str:
+    """The name quoted for a SQL expression string."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def numeric_fields(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     """Names of the numeric columns of ``df`` in schema order."""
     skip = set(exclude)
@@ -36,7 +41,7 @@ def is_missing(df: DataFrame, name: str) -> Column:
     ``isnan`` is applied by type only: under ANSI mode it raises on strings and
     fails analysis on timestamps.
     """
-    c = F.col(name)
+    c = F.col(qname(name))
     dtype = df.schema[name].dataType
     if isinstance(dtype, _FLOATING):
         return c.isNull() | F.isnan(c)
@@ -59,9 +64,9 @@ def hash_bucket(keys: Sequence[str] | str, buckets: int = 100) -> Column:
         keys = [keys]
     if len(keys) == 1:
         # a null key hashes like '' (it must land on a side, not vanish)
-        text = F.coalesce(F.col(keys[0]).cast("string"), F.lit(""))
+        text = F.coalesce(F.col(qname(keys[0])).cast("string"), F.lit(""))
     else:
-        text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        text = F.concat_ws("|", *[F.col(qname(k)).cast("string") for k in keys])
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return (head % F.lit(buckets)).cast("int")
 

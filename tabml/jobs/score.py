@@ -15,12 +15,16 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabml.jobs.common import emit, read_input
 from tabml.operators import metrics
+from tabml.operators.columns import qcol
 from tabml.plans.models import ORDINAL
 from tabml.sources.models import load_pipeline
 
@@ -36,11 +40,22 @@ def parse_args(argv=None):
     return p.parse_args(argv)
 
 
+def label_index(model: PipelineModel, label: str) -> StringIndexerModel | None:
+    """The pipeline's own index of the label column, if it has one."""
+    return next((s for s in model.stages if isinstance(s, StringIndexerModel) and s.getInputCol() == label), None)
+
+
+def label_column(model: PipelineModel, label: str) -> str:
+    """What predictions compare with: the output of that index, else the label itself."""
+    index = label_index(model, label)
+    return index.getOutputCol() if index is not None else label
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Vectors as arrays, so any table sink (and SQL) can read the output."""
     return df.select(*[
-        vector_to_array(df[f"`{f.name}`"]).alias(f.name) if isinstance(f.dataType, VectorUDT)
-        else df[f"`{f.name}`"] for f in df.schema.fields])
+        vector_to_array(qcol(f.name)).alias(f.name) if isinstance(f.dataType, VectorUDT)
+        else qcol(f.name) for f in df.schema.fields])
 
 
 def run(spark: SparkSession, args) -> dict:
@@ -48,7 +63,7 @@ def run(spark: SparkSession, args) -> dict:
     data = read_input(spark, args.new_data, args.format, args.sep)
     scored = model.transform(data)
     pred = ORDINAL if ORDINAL in scored.columns else "prediction"
-    label = "label" if "label" in scored.columns else args.label
+    label = label_column(model, args.label)
     out = {}
     if args.output:
         # score once: the metrics read two columns of the written predictions
@@ -56,8 +71,14 @@ def run(spark: SparkSession, args) -> dict:
         emit(step="written", path=args.output)
         scored = spark.read.parquet(args.output)
     if label in scored.columns:
+        index = label_index(model, args.label)
+        if index is not None:
+            known = scored.select(F.count_if(qcol(args.label).isNotNull()).alias("given"),
+                                  F.count_if(qcol(label) < len(index.labels)).alias("known")).first()
+            if known["given"] and not known["known"]:
+                raise ValueError(f"no value of {args.label!r} is among the labels of the pipeline: {index.labels[:10]}")
         out = metrics.metric_values(scored, label, pred)
-        emit(step="score", f1_pct=round(out["f1"] * 100, 1), accuracy_pct=round(out["accuracy"] * 100, 1))
+        emit(step="score", **{f"{k}_pct": None if out[k] is None else round(out[k] * 100, 1) for k in ("f1", "accuracy")})
     return out
 
 

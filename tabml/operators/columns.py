@@ -10,17 +10,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.functions.expressions import numeric_fields
+from tabml.functions.expressions import is_missing, numeric_fields, qname
 
 
 def qcol(name: str):
-    """A column reference that tolerates spaces and dots in the name."""
-    return F.col(f"`{name}`")
-
-
-def qname(name: str) -> str:
-    """The name quoted for a SQL expression string."""
-    return "`" + name.replace("`", "``") + "`"
+    """A column reference that tolerates any name (dots, blanks, backticks)."""
+    return F.col(qname(name))
 
 
 def sql_str(text: str) -> str:
@@ -28,30 +23,18 @@ def sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes through the optimized
-    plan; no job runs)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-def spread(df: DataFrame, min_partitions: int | None = None,
-           small_bytes: int = 256 << 20) -> DataFrame:
-    """Give multi-pass work (model fits, quantile selection) at least
-    ``min_partitions`` (default: the cluster's default parallelism) input
-    partitions when the input is small.
-
-    The decision uses Catalyst's size estimate, so nothing is executed: an
-    input estimated above ``small_bytes`` already spans many file splits (row
-    groups) and is returned unchanged, so no shuffle is added at scale; a
-    small input may sit in one row group and would otherwise run every pass
-    in one task.
+def fixed_layout(df: DataFrame, keys: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt out by a hash of ``keys`` (default: all columns) over
+    ``partitions`` (default: ``spark.sql.shuffle.partitions``), each partition
+    in the order of all columns.
+
+    What a partition holds then depends on the rows alone, not on files, splits
+    or tasks: work that is sensitive to it (a forest samples its rows by
+    partition and place) gives the same result on any layout of the input.
     """
-    if estimated_bytes(df) > small_bytes:
-        return df
-    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = [qcol(c) for c in df.columns]
+    return df.repartition(n, *([qcol(k) for k in keys] if keys else every)).sortWithinPartitions(*every)
 
 
 def feature_columns(df: DataFrame, label: str, by: str = "type") -> list[str]:
@@ -86,8 +69,12 @@ def drop_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null (or NaN) in any of ``subset`` (default: all)."""
-    return df.na.drop(how="any", subset=list(subset) if subset else None)
+    """Drop rows with a null (or NaN) in any of ``subset`` (default: all).
+    Plain conjuncts, so that the null tests reach the scan."""
+    keep = F.lit(True)
+    for c in subset or df.columns:
+        keep = keep & ~is_missing(df, c)
+    return df.where(keep)
 
 
 def sample_rows(df: DataFrame, order_by: Sequence[str], n: int = 10,
@@ -100,23 +87,19 @@ def sample_rows(df: DataFrame, order_by: Sequence[str], n: int = 10,
 
 
 @contextmanager
-def multipass(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-              small_bytes: int = 256 << 20) -> Iterator[DataFrame]:
-    """Input for work that reads it several times (pipeline fits, searches,
-    two-pass statistics).
-
-    A small input (see ``spread``) is repartitioned once and kept, so the
-    passes neither re-run that shuffle nor run in one task. A large input is
-    yielded unchanged and not cached: every pass re-reads the pruned, pushed-
-    down scan, and Spark ML keeps its own working set (a forest's binned
-    sample, logistic regression's instances, each cross-validation fold), so
-    no second copy of the data is held in executor memory or disk.
+def multipass(df: DataFrame, keys: Sequence[str] | None = None, partitions: int | None = None,
+              persist: bool = True) -> Iterator[DataFrame]:
+    """Input for work that reads it several times and must not depend on the
+    input's layout (pipeline fits, searches): ``fixed_layout``, kept
+    (MEMORY_AND_DISK) for the work unless ``persist`` is False, in which case
+    every pass runs the input and its shuffle again. The same at every size;
+    give it the narrow frame that the work needs.
     """
-    wide = spread(df, small_bytes=small_bytes)
-    if wide is df:
-        yield df
+    laid = fixed_layout(df, keys, partitions)
+    if not persist:
+        yield laid
         return
-    with persisted(wide, level) as kept:
+    with persisted(laid) as kept:
         yield kept
 
 

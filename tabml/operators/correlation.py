@@ -1,19 +1,21 @@
-"""Pearson correlation of many columns.
-
-``corr_pairs`` computes every pair in ONE aggregate (``covar_samp`` and
-``stddev_samp`` share the scan, partial aggregation on the map side); the
-ratio uses ``nullif`` so a constant column gives null instead of an ANSI
-divide-by-zero error. For very wide inputs (over 60 columns, i.e. 1800+
-aggregates) the same functions switch to ``pyspark.ml.stat.Correlation`` (a
-distributed Gramian); ``corr_matrix_ml`` always takes that route. Results
-are long tables ``(feature_a, feature_b, corr)``; the wide, named matrix is
-a pivot of the long one, so names travel with values and no row-id join is
-needed.
+"""Pearson correlation of many columns, each pair over its complete rows.
+
+``corr_pairs`` takes one route at every width. Each Arrow batch gives the
+masked counts, sums, squares and cross-products of all pairs as matrix
+products; a task adds up its batches and returns one row per pair, and a
+grouped sum joins the tasks. Nulls and NaN are missing: all five moments of a
+pair run over the rows where both columns have a value. Values are taken
+relative to the column means (one plain aggregate before), so that large
+offsets don't cancel. Results are long tables ``(feature_a, feature_b, corr)``;
+the wide, named matrix is a pivot of the long one, so names travel with values
+and no row-id join is needed.
+
+``corr_matrix_ml`` is the same table through ``pyspark.ml.stat.Correlation``,
+which needs rows without missing values and leaves the others out.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
@@ -23,90 +25,103 @@ from pyspark.sql import functions as F
 
 from tabml.functions.expressions import DIGITS
 
-from tabml.operators.columns import multipass, qcol, qname, sql_str
+from tabml.operators.columns import persisted, qcol, sql_str
 
+_MOMENTS = ("n", "sa", "sb", "qa", "qb", "c")
+# a variance below this share of the squared values is rounding of a constant
+_TINY = 1e-13
 
-# Above this many columns the pair aggregates (k(k-1)/2 covariances in one
-# expression) give way to the distributed Gramian of ``Correlation.corr``.
-WIDE_COLUMNS = 60
 
+def _pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per pair ``i <= j``: complete rows, sums, squares and
+    cross-product of the values less the column means."""
+    import numpy as np
 
-def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS,
-              method: str = "auto") -> DataFrame:
+    k = len(columns)
+    typed = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(columns)])
+    # one mean per column: bounded by the width, and only a shift (any value is right)
+    means = typed.agg(*[F.avg(f"x{i}").alias(f"m{i}") for i in range(k)]).first()
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    upper = np.triu_indices(k)
+
+    def run(batches):
+        import pyarrow as pa
+
+        total = np.zeros((6, k, k))
+        seen = False
+        for batch in batches:
+            for start in range(0, batch.num_rows, 65_536):
+                part = batch.slice(start, 65_536)
+                # a null is NaN here
+                x = np.column_stack([part.column(i).to_numpy(zero_copy_only=False) for i in range(k)]).astype(float) - shift
+                seen = True
+                there = ~np.isnan(x)
+                x = np.where(there, x, 0.0)
+                m = there.astype(float)
+                s, q = x.T @ m, (x * x).T @ m
+                total += np.stack([m.T @ m, s, s.T, q, q.T, x.T @ x])
+        if seen:
+            i, j = upper
+            cols = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(t[i, j]) for t in total]]
+            yield pa.RecordBatch.from_arrays(cols, ["i", "j", *_MOMENTS])
+
+    parts = typed.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in _MOMENTS))
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _MOMENTS])
+
+
+def corr_long(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
     """``(feature_a, pos_a, feature_b, pos_b, corr)`` for all ordered pairs,
-    diagonal included (1, or null for a constant column). ``method``: 'sql'
-    (one aggregate of all pairs), 'ml' (``Correlation.corr``), or 'auto'
-    ('ml' beyond ``WIDE_COLUMNS`` columns)."""
+    diagonal included (1). Null where fewer than two rows are complete or
+    either column is constant over them, as pandas' ``corr()`` gives NaN."""
     cols = list(columns)
-    k = len(cols)
-    if method == "ml" or (method == "auto" and k > WIDE_COLUMNS):
-        return _corr_ml_long(df, cols, digits)
-    xs = [f"CAST({qname(c)} AS DOUBLE)" for c in cols]
-    aggs = [f"stddev_samp({x}) AS s{i}" for i, x in enumerate(xs)]
-    aggs += [f"covar_samp({xs[i]}, {xs[j]}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k)]
-    one = df.selectExpr(*aggs)
-
-    def ratio(i: int, j: int) -> str:
-        a, b = min(i, j), max(i, j)
-        num = f"s{a} * s{a}" if a == b else f"c{a}_{b}"
-        v = f"{num} / nullif(s{a} * s{b}, 0D)"
-        return f"round({v}, {digits})" if digits is not None else v
-
-    structs = [
-        f"named_struct('feature_a', {sql_str(cols[i])}, 'pos_a', {i}, "
-        f"'feature_b', {sql_str(cols[j])}, 'pos_b', {j}, 'corr', {ratio(i, j)})"
-        for i in range(k) for j in range(k)
-    ]
-    return one.selectExpr(f"inline(array({', '.join(structs)}))")
-
-
-def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS,
-               method: str = "auto") -> DataFrame:
+    m = _pair_moments(df, cols)
+    va, vb = F.col("qa") - F.col("sa") * F.col("sa") / F.col("n"), F.col("qb") - F.col("sb") * F.col("sb") / F.col("n")
+    cov = F.col("c") - F.col("sa") * F.col("sb") / F.col("n")
+    # square roots apart: their product can neither overflow nor underflow before the columns do
+    value = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(cov / F.sqrt("va") / F.sqrt("vb"))
+    defined = (F.col("n") > 1) & (F.col("va") > _TINY * F.col("qa")) & (F.col("vb") > _TINY * F.col("qb"))
+    corr = F.when(defined & ~F.isnan(value), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))
+    got = m.filter("n > 0").withColumn("va", va).withColumn("vb", vb).select("i", "j", corr.alias("corr"))
+    if digits is not None:
+        got = got.withColumn("corr", F.round("corr", digits))
+    # every pair is there, also of columns (or tables) without any complete row
+    names = "array(" + ", ".join(sql_str(c) for c in cols) + ")"
+    every = df.sparkSession.range(len(cols) * len(cols)).select(
+        (F.col("id") / len(cols)).cast("int").alias("pos_a"), (F.col("id") % len(cols)).cast("int").alias("pos_b"))
+    hit = (F.least("pos_a", "pos_b") == F.col("i")) & (F.greatest("pos_a", "pos_b") == F.col("j"))
+    return every.join(got, hit, "left").select(
+        F.expr(f"element_at({names}, pos_a + 1)").alias("feature_a"), "pos_a",
+        F.expr(f"element_at({names}, pos_b + 1)").alias("feature_b"), "pos_b", "corr")
+
+
+def corr_pairs(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
     """``(feature_a, feature_b, corr)`` for all ordered pairs."""
-    return corr_long(df, columns, digits, method).select("feature_a", "feature_b", "corr")
+    return corr_long(df, columns, digits).select("feature_a", "feature_b", "corr")
 
 
-def _corr_ml_long(df: DataFrame, columns: Sequence[str], digits: int | None) -> DataFrame:
-    """``corr_long`` through ``Correlation.corr`` on an assembled vector. The
-    k x k matrix (bounded by the column count, not the rows) comes back to
-    the driver and is returned as rows; NaN (a constant column) becomes null."""
+def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
+    """``corr_pairs`` through ``Correlation.corr`` on an assembled vector,
+    over the rows complete in ALL columns (its Gramian knows no missing
+    values); without nulls both agree. The k x k matrix (bounded by the
+    column count, not the rows) comes back to the driver and is returned as
+    rows; a constant column gives null, and so does everything when no row is
+    complete."""
     spark = df.sparkSession
-    vec = VectorAssembler(inputCols=list(columns), outputCol="_features").transform(
-        df.select(*[qcol(c).cast("double").alias(c) for c in columns]))
+    cols = list(columns)
+    typed = df.select(*[F.nanvl(qcol(c).cast("double"), F.lit(None)).alias(f"x{i}") for i, c in enumerate(cols)]).na.drop()
+    vec = VectorAssembler(inputCols=typed.columns, outputCol="_features").transform(typed)
     # two passes (column summary, then Gramian)
-    with multipass(vec.select("_features")) as src:
-        m = Correlation.corr(src, "_features", "pearson").head()[0].toArray()
-    for i in _constant_columns(m, df, columns):
-        m[i][i] = float("nan")  # 0/0, as in the pair aggregate (Spark ML puts 1 here)
-    rows = [(a, i, b, j, float(m[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    out = spark.createDataFrame(
-        rows, "feature_a string, pos_a int, feature_b string, pos_b int, corr double")
-    out = out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
-    if digits is not None:
-        out = out.withColumn("corr", F.round("corr", digits))
-    return out
-
-
-def _constant_columns(m, df: DataFrame, columns: Sequence[str]) -> set[int]:
-    """Positions of columns without variance, read off a correlation matrix:
-    a column with any defined off-diagonal entry varies, and against such a
-    column ``p`` a column ``i`` is constant exactly when ``m[i][p]`` is NaN.
-    Only when at most one column varies does that not decide it; then one
-    aggregate of standard deviations does."""
-    k = len(columns)
-    varying = [j for j in range(k) if any(not math.isnan(m[j][i]) for i in range(k) if i != j)]
-    if varying:
-        p = varying[0]
-        return {i for i in range(k) if i != p and math.isnan(m[i][p])}
-    sd = df.agg(*[F.stddev_samp(qcol(c).cast("double")).alias(f"s{i}")
-                  for i, c in enumerate(columns)]).first()
-    return {i for i in range(k) if not sd[f"s{i}"]}
-
-
-def corr_matrix_ml(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
-    """``corr_pairs`` through ``Correlation.corr`` (a distributed Gramian),
-    whatever the width."""
-    return corr_pairs(df, columns, digits, method="ml")
+    with persisted(vec.select("_features")) as src:
+        same = vec.agg(*[(F.min(c) == F.max(c)).alias(c) for c in typed.columns]).first()
+        constant = [s is None or s for s in same]
+        m = None if same[0] is None else Correlation.corr(src, "_features", "pearson").head()[0].toArray()
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            v = None if m is None or constant[i] or constant[j] else float(m[i][j])
+            rows.append((a, b, v))
+    out = spark.createDataFrame(rows, "feature_a string, feature_b string, corr double")
+    return out if digits is None else out.withColumn("corr", F.round("corr", digits))
 
 
 def corr_matrix_wide(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,10 +131,9 @@ def corr_matrix_wide(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:
             .pivot("feature_b", list(columns)).agg(F.first("corr")))
 
 
-def high_corr_features(df: DataFrame, columns: Sequence[str], threshold: float = 0.7,
-                       method: str = "auto") -> DataFrame:
+def high_corr_features(df: DataFrame, columns: Sequence[str], threshold: float = 0.7) -> DataFrame:
     """``(feature)``: each column whose |corr| with an EARLIER column (schema
     order) exceeds ``threshold``, named once."""
-    pairs = corr_long(df, columns, digits=None, method=method)
+    pairs = corr_long(df, columns, digits=None)
     return (pairs.where((F.col("pos_b") < F.col("pos_a")) & (F.abs("corr") > threshold))
             .select(F.col("feature_a").alias("feature")).distinct())

@@ -5,6 +5,10 @@ prediction).count()``: the data is scanned once, and the table has at most
 (#labels x #predicted classes) rows, so everything after it is tiny.
 Weighted F1 is ``sum_l n_l * 2 tp_l / (n_l + p_l) / N`` (equal to
 ``MulticlassClassificationEvaluator(metricName="f1")``).
+
+One rule for missing values: a metric runs over the rows that have a label and
+a prediction (both not null; for RMSE, the raw prediction). The confusion
+table itself counts all rows, nulls in cells of their own.
 """
 
 from __future__ import annotations
@@ -21,13 +25,14 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
                      raw: str | None = None) -> DataFrame:
     """``(label, prediction, count)`` with both keys as double. With ``raw``
     (e.g. a regressor's unrounded output) each cell also carries ``sse``, the
-    sum of squared errors ``(label - raw)^2``, so RMSE comes from the same
-    pass as the class metrics."""
+    sum of squared errors ``(label - raw)^2``, and ``n_raw``, the rows that
+    have it, so RMSE comes from the same pass as the class metrics."""
     y = qcol(label).cast("double")
     aggs = [F.count(F.lit(1)).alias("count")]
     if raw is not None:
         err = y - qcol(raw).cast("double")
-        aggs.append(F.sum(err * err).alias("sse"))
+        # a cell without any raw prediction has no squared error
+        aggs += [F.coalesce(F.sum(err * err), F.lit(0.0)).alias("sse"), F.count(err).alias("n_raw")]
     return df.groupBy(y.alias("label"), qcol(prediction).cast("double").alias("prediction")).agg(*aggs)
 
 
@@ -43,26 +48,28 @@ def _class_metrics(conf: DataFrame) -> DataFrame:
                  zero.alias("n_pred"),
                  F.when(F.col("label") == F.col("prediction"), F.col("count"))
                  .otherwise(zero).alias("tp"),
-                 (F.col("sse") if sse else none).alias("sse")),
+                 (F.col("sse") if sse else none).alias("sse"),
+                 (F.col("n_raw") if sse else zero).alias("n_raw")),
         F.struct(F.col("prediction").alias("cls"), zero.alias("n_true"),
-                 F.col("count").alias("n_pred"), zero.alias("tp"), none.alias("sse")),
+                 F.col("count").alias("n_pred"), zero.alias("tp"), none.alias("sse"),
+                 zero.alias("n_raw")),
     )).alias("c")
     return (conf.select(cell).select("c.*").groupBy("cls")
             .agg(F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred"),
-                 F.sum("tp").alias("tp"), F.sum("sse").alias("sse")))
+                 F.sum("tp").alias("tp"), F.sum("sse").alias("sse"), F.sum("n_raw").alias("n_raw")))
 
 
 def metrics_from_confusion(conf: DataFrame, digits: int | None = DIGITS) -> DataFrame:
     """One row ``(weighted_f1, accuracy)`` from a confusion table, plus
     ``rmse`` when the table carries ``sse``."""
-    per = _class_metrics(conf)
+    per = _class_metrics(conf.where("label IS NOT NULL AND prediction IS NOT NULL"))
     f1 = F.col("n_true") * F.lit(2.0) * F.col("tp") / (F.col("n_true") + F.col("n_pred"))
     # classes that are only predicted have n_true = 0: weight 0, no division
     f1 = F.when(F.col("n_true") > 0, f1).otherwise(F.lit(0.0))
     aggs = [(F.sum(f1) / F.sum("n_true")).alias("weighted_f1"),
             (F.sum("tp") / F.sum("n_true")).alias("accuracy")]
     if "sse" in conf.columns:
-        aggs.append(F.sqrt(F.sum("sse") / F.sum("n_true")).alias("rmse"))
+        aggs.append(F.sqrt(F.sum("sse") / F.sum("n_raw")).alias("rmse"))
     out = per.agg(*aggs)
     if digits is not None:
         out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])

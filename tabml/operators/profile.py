@@ -1,8 +1,8 @@
 """Profiling aggregates: label distribution, missing values, summary
 statistics, per-label means.
 
-Each profile is ONE aggregate over all requested columns (one scan, partial
-aggregation on the map side), reshaped to a long table afterwards. Hot label
+Each profile scans its table once for all requested columns, with partial
+aggregation on the map side, and returns a long table. Hot label
 values cost nothing extra: partial aggregation collapses them before the
 shuffle.
 """
@@ -13,11 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabml.functions.expressions import DIGITS
-
-from tabml.operators.columns import qcol, qname, sql_str
+from tabml.functions.expressions import DIGITS, is_missing, numeric_fields, qname
+from tabml.operators.columns import qcol, sql_str
 
 
 def label_distribution(df: DataFrame, label: str, count_col: str = "count") -> DataFrame:
@@ -40,31 +38,56 @@ def _stack(one_row: DataFrame, columns: Sequence[str], fields: dict[str, str]) -
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, missing)``: nulls (and NaN for floating columns) per column."""
     cols = list(columns or df.columns)
-    exprs = []
-    for i, c in enumerate(cols):
-        cond = f"{qname(c)} IS NULL"
-        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            cond += f" OR isnan({qname(c)})"
-        exprs.append(f"count_if({cond}) AS m{i}")
-    return _stack(df.selectExpr(*exprs), cols, {"missing": "m"})
+    return _stack(df.select(*[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(cols)]), cols, {"missing": "m"})
+
+
+def _long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
+    """``(column, value)`` rows: one per input row and column, cast to
+    ``kind``. Aggregates per column over it have one set of buffers however
+    many columns there are, where one aggregate over all columns outgrows
+    code generation."""
+    structs = ", ".join(f"named_struct('column', {sql_str(c)}, 'value', CAST({qname(c)} AS {kind}))" for c in columns)
+    return df.selectExpr(f"inline(array({structs}))")
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str], digits: int | None = DIGITS) -> DataFrame:
-    """``(column, count, mean, stddev, min, max)`` as typed values (sample
-    standard deviation), one scan for all columns."""
-    exprs = []
-    for i, c in enumerate(columns):
-        x = f"CAST({qname(c)} AS DOUBLE)"
-        exprs += [f"count({x}) AS n{i}", f"avg({x}) AS a{i}", f"stddev_samp({x}) AS s{i}",
-                  f"min({x}) AS lo{i}", f"max({x}) AS hi{i}"]
-    out = _stack(df.selectExpr(*exprs), columns,
-                 {"count": "n", "mean": "a", "stddev": "s", "min": "lo", "max": "hi"})
+    """``(column, count, mean, stddev, min, max)`` of numeric columns as typed
+    values (sample standard deviation), one scan for all. Values are doubles:
+    whole numbers beyond 2^53 lose their last digits."""
+    v = F.col("value")
+    out = _long(df, columns, "DOUBLE").groupBy("column").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"), F.min(v).alias("min"), F.max(v).alias("max"))
+    # columns of an empty table have a row as well
+    names = "array(" + ", ".join(sql_str(c) for c in columns) + ")"
+    every = df.sparkSession.range(1, numPartitions=1).select(F.explode(F.expr(names)).alias("column"))
+    out = every.join(out, "column", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     if digits is None:
         return out
     return out.select("column", "count", *[F.round(c, digits).alias(c)
                                            for c in ("mean", "stddev", "min", "max")])
 
 
+def describe_all(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = DIGITS) -> DataFrame:
+    """``(column, count, mean, stddev, min, max)`` of columns of any type:
+    count, and min and max as text; mean and stddev for numeric columns, null
+    for others. Min and max of a number are those of its value, of a date,
+    time or boolean those of its text, in binary order."""
+    cols = list(columns or df.columns)
+    numeric = [c for c in cols if c in set(numeric_fields(df))]
+    other = [c for c in cols if c not in numeric]
+    parts = []
+    if numeric:
+        d = describe_columns(df, numeric, digits)
+        parts.append(d.select("column", "count", "mean", "stddev", F.col("min").cast("string").alias("min"), F.col("max").cast("string").alias("max")))
+    if other:
+        none = F.lit(None).cast("double")
+        text = _long(df, other, "STRING").groupBy("column").agg(F.count("value").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"))
+        names = "array(" + ", ".join(sql_str(c) for c in other) + ")"
+        every = df.sparkSession.range(1, numPartitions=1).select(F.explode(F.expr(names)).alias("column"))
+        parts.append(every.join(text, "column", "left").select("column", F.coalesce("count", F.lit(0)).alias("count"), none.alias("mean"), none.alias("stddev"), "min", "max"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def group_mean_ci(df: DataFrame, group: str, value: str, z: float = 1.96,
                   digits: int | None = DIGITS) -> DataFrame:
     """Per group: ``(group, n, mean, ci)`` where ``ci = z * stddev / sqrt(n)``

@@ -3,22 +3,17 @@
 Exact quantiles use linear interpolation between the two values around rank
 ``(n - 1) * p`` (the same definition as Spark's ``percentile`` and SQL's
 ``quantile_cont``), but unlike ``percentile`` they never hold a whole column in
-one aggregation buffer. Three methods:
-
-* ``histogram`` (the default): counts by fixed magnitude buckets, then
-  rounds of equal-width bucket counts inside ever narrower value brackets
-  (partial aggregation keeps a bounded number of rows per bracket and task,
-  whatever the skew), then one exact count of the values inside the final
-  brackets. Brackets are literals, so later passes push their ranges into
-  the Parquet scan. Two scans on typical data; no sketch.
-* ``select``: the same bracketing driven by ``percentile_approx`` grids, with
-  a counting pass per round for the exact rank offsets.
-* ``single`` (for inputs known to be tiny): one job, each column's
-  distinct values in one window task.
-
-In every method the final step is ``groupBy(bracket, value).count()``
-(map-side combine folds hot values to one row per task) and a running sum
-per bracket; only one row per wanted rank reaches the driver.
+one aggregation buffer: counts by fixed magnitude buckets, then rounds of
+equal-width bucket counts inside ever narrower value brackets (partial
+aggregation keeps a bounded number of rows per bracket and task, whatever the
+skew), then one exact count of the values inside the final brackets. Brackets
+are literals; for one column their range is pushed into the Parquet scan (for
+several a row group is skipped only if all of their brackets miss it). Two
+scans on typical data; no sketch.
+
+The final step is ``groupBy(bracket, value).count()`` (map-side combine folds
+hot values to one row per task) and a running sum per bracket; only one row per
+wanted rank reaches the driver.
 """
 
 from __future__ import annotations
@@ -28,81 +23,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabml.operators.columns import qcol, qname, spread, sql_str
-
-
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value)`` for every non-null value of ``columns`` (as double)."""
-    structs = ", ".join(
-        f"named_struct('column', {sql_str(c)}, 'value', CAST({qname(c)} AS DOUBLE))" for c in columns)
-    return df.selectExpr(f"inline(array({structs}))").where("value IS NOT NULL")
-
-
-def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                     accuracy: int = 10000) -> DataFrame:
-    """``(column, p, value)`` from one ``percentile_approx`` pass over all
-    columns; the rank error is at most ``1 / accuracy`` of the rows."""
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    one = df.agg(*[
-        F.percentile_approx(qcol(c).cast("double"), ps, accuracy).alias(f"q{i}")
-        for i, c in enumerate(columns)
-    ])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("qs"))
-               for i, c in enumerate(columns)]
-    pairs = F.arrays_zip(ps.alias("p"), F.col("qs").alias("value"))
-    return (one.select(F.inline(F.array(*structs)))
-            .select("column", F.inline(pairs)))
-
-
-_BRACKET_SCHEMA = T.StructType([
-    T.StructField("bid", T.IntegerType()),
-    T.StructField("column", T.StringType()),
-    T.StructField("lo", T.DoubleType()),
-    T.StructField("hi", T.DoubleType()),
-    T.StructField("below", T.LongType()),
-])
-
-
-def _inside() -> F.Column:
-    v = F.col("value")
-    return (F.col("lo").isNull() | (v >= F.col("lo"))) & (F.col("hi").isNull() | (v <= F.col("hi")))
-
-
-def _single_pass(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles in one job for inputs known to be small: distinct
-    values per column with counts, a running count per column, and the ranks
-    computed in the plan (no driver round trip)."""
-    long = long_values(spread(df), columns)
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    # the running count streams; the column total comes from a one-row-per-
-    # column aggregate (a whole-partition window frame would buffer and spill)
-    run = Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    totals = counted.groupBy("column").agg(F.sum("c").alias("n"))
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    ranked = (counted.withColumn("end", F.sum("c").over(run)).join(F.broadcast(totals), "column")
-              .select("column", "value", "c", "end", "n", F.explode(ps).alias("p"))
-              .withColumn("pos", (F.col("n") - 1) * F.col("p"))
-              .withColumn("r_lo", F.floor("pos")).withColumn("r_hi", F.ceil("pos")))
-
-    def covers(r):
-        return (F.col("end") - F.col("c") <= F.col(r)) & (F.col(r) < F.col("end"))
-
-    pair = ranked.where(covers("r_lo") | covers("r_hi")).groupBy("column", "p").agg(
-        F.first("pos").alias("pos"), F.first("r_lo").alias("r_lo"),
-        F.max(F.when(covers("r_lo"), F.col("value"))).alias("v_lo"),
-        F.max(F.when(covers("r_hi"), F.col("value"))).alias("v_hi"))
-    frac = F.col("pos") - F.col("r_lo")
-    value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo")))
-    found = pair.select("column", "p", value.alias("value"))
-    # columns without any value still get (null) rows
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(c, float(p)) for c in columns for p in probs], "column string, p double")
-    # both sides are one row per (column, p); a Python-built frame has no
-    # size estimate, so the broadcast is stated
-    return wanted.join(F.broadcast(found), ["column", "p"], "left")
+from tabml.functions.expressions import qname
+from tabml.operators.columns import qcol
 
 
 def _dlit(x: float) -> str:
@@ -183,7 +106,7 @@ HIST_MAX_GROUPS = 1 << 20
 
 
 def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *,
-                      buckets: int, max_exact: int, max_rounds: int) -> DataFrame:
+                      buckets: int, max_exact: int) -> DataFrame:
     """Exact quantiles by histogram selection.
 
     1. One pass counts every column's values by magnitude bucket (64 per
@@ -283,7 +206,9 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
         wanted = [(bid[state[rid][0]], rid, ranks[rid] - state[rid][1]) for rid in open_ids]
         return rows, wanted
 
-    for _ in range(max_rounds):
+    # ends: a round narrows each bracket about ``buckets`` times, until it holds few rows, one value, or a
+    # range that doubles cannot divide further
+    while True:
         open_ids = [rid for rid, (k, _) in state.items() if k in brackets and rid not in value_at]
         if not open_ids:
             break
@@ -299,9 +224,6 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
             rid = r["tid"]
             bkey, below = state.pop(rid)
             place(rid, current[bkey]["column"], r, below + r["end"] - r["c"])
-    # rounds exhausted: what is still open is counted exactly as well
-    final.update(brackets)
-
     open_ids = [rid for rid in state if rid not in value_at]
     if open_ids:
         rows, wanted = numbered(open_ids, final)
@@ -318,151 +240,19 @@ def _histogram_select(df: DataFrame, columns: Sequence[str], probs: Sequence[flo
     return spark.createDataFrame(out, "column string, p double, value double")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    *,
-    max_exact: int = 1_000_000,
-    grid: int = 1000,
-    accuracy: int = 100_000,
-    max_rounds: int = 8,
-    buckets: int = 4096,
-    method: str = "auto",
-) -> DataFrame:
-    """``(column, p, value)``: exact interpolated quantiles of each column.
-
-    Nulls are ignored; a column without values gives null. ``method``:
-    'histogram' (or 'auto'; bounded histogram selection, no sketch: see
-    ``_histogram_select``), 'select' (bounded selection narrowed by
-    ``percentile_approx`` grids), or 'single' (one job, each column's
-    distinct values in one window task: only for inputs known to be small).
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], *, max_exact: int = 1_000_000,
+                    buckets: int = 4096) -> DataFrame:
+    """``(column, p, value)``: exact interpolated quantiles of each column
+    (see ``_histogram_select``).
+
+    Nulls are ignored; a column without values gives null. Values are
+    doubles: whole numbers beyond 2^53 lose their last digits.
     """
     if any(not 0.0 <= p <= 1.0 for p in probs):
         raise ValueError("probabilities must lie in [0, 1]")
-    if method == "single":
-        return _single_pass(df, columns, probs)
-    if method in ("auto", "histogram"):
-        return _histogram_select(df, columns, probs, buckets=buckets, max_exact=max_exact,
-                                 max_rounds=max_rounds)
-    spark = df.sparkSession
-    long = long_values(spread(df), columns)
-
-    stats = {r["column"]: (r["n"], r["d"]) for r in long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("value").alias("d")).collect()}
-
-    # wanted ranks, 0-based: floor and ceil of (n - 1) * p
-    targets = []  # (column, p, pos, r_lo, r_hi)
-    brackets: dict[int, dict] = {}
-    rank_bracket: dict[tuple[str, int], int] = {}
-    for c in columns:
-        n, d = stats.get(c, (0, 0))
-        if n == 0:
-            continue
-        bid = len(brackets)
-        brackets[bid] = dict(column=c, lo=None, hi=None, below=0, upto=n, d=d)
-        for p in probs:
-            pos = (n - 1) * float(p)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            targets.append((c, float(p), pos, lo_r, hi_r))
-            rank_bracket[(c, lo_r)] = bid
-            rank_bracket[(c, hi_r)] = bid
-
-    # Refine a bracket while it has many rows AND many distinct values: the
-    # final step shuffles at most min(rows, map tasks x distinct values) rows
-    # (partial aggregation folds repeats, so a hot value costs one row per
-    # task), and its running sum holds one bracket's distinct values.
-    few_distinct = max(1, max_exact // 100)
-
-    def needs_refining(v: dict) -> bool:
-        if v.get("stuck") or (v["lo"] is not None and v["lo"] == v["hi"]):
-            return False
-        return v["d"] > max_exact or (v["upto"] - v["below"] > max_exact and v["d"] > few_distinct)
-
-    grid_ps = [i / grid for i in range(grid + 1)]
-    for _ in range(max_rounds):
-        big = {b: v for b, v in brackets.items() if needs_refining(v)}
-        if not big:
-            break
-        bdf = spark.createDataFrame(
-            [(b, v["column"], v["lo"], v["hi"], v["below"]) for b, v in big.items()], _BRACKET_SCHEMA)
-        cand = long.join(F.broadcast(bdf), "column").where(_inside())
-        qs = {r["bid"]: r["q"] for r in cand.groupBy("bid").agg(
-            F.percentile_approx("value", grid_ps, accuracy).alias("q")).collect()}
-        proposals = []  # (key, column, rank, new lo, new hi, old bracket)
-        for (c, rank), b in rank_bracket.items():
-            if b not in big:
-                continue
-            v = big[b]
-            m = v["upto"] - v["below"]
-            f = (rank - v["below"]) / (m - 1) if m > 1 else 0.0
-            i = max(0, math.floor(f * grid) - 1)
-            j = min(grid, math.ceil(f * grid) + 1)
-            proposals.append(((c, rank), c, rank, qs[b][i], qs[b][j], b))
-        pdf = spark.createDataFrame(
-            [(k, c, lo, hi) for k, (_, c, _, lo, hi, _) in enumerate(proposals)],
-            "pid int, column string, lo double, hi double")
-        counted = {r["pid"]: r for r in long.join(F.broadcast(pdf), "column").groupBy("pid").agg(
-            F.count_if(F.col("value") < F.col("lo")).alias("below"),
-            F.count_if(F.col("value") <= F.col("hi")).alias("upto"),
-            F.approx_count_distinct(F.when(_inside(), F.col("value"))).alias("d"),
-        ).collect()}
-        for k, (key, c, rank, lo, hi, b) in enumerate(proposals):
-            old, r = big[b], counted[k]
-            nb = dict(column=c, lo=lo, hi=hi, below=r["below"], upto=r["upto"], d=r["d"])
-            if not (nb["below"] <= rank < nb["upto"]) or (nb["below"], nb["upto"]) == (
-                    old["below"], old["upto"]):
-                # the sketch missed, or the bracket did not shrink (a hot value
-                # at its edge): keep the old bracket and stop refining it; the
-                # exact step is correct for any bracket
-                nb = dict(old, stuck=True)
-            same = [x for x, v in brackets.items()
-                    if v["column"] == c and v["lo"] == nb["lo"] and v["hi"] == nb["hi"]]
-            if same:
-                rank_bracket[key] = same[0]
-                if nb.get("stuck"):
-                    brackets[same[0]]["stuck"] = True
-            else:
-                nid = max(brackets) + 1
-                brackets[nid] = nb
-                rank_bracket[key] = nid
-        used = set(rank_bracket.values())
-        brackets = {b: v for b, v in brackets.items() if b in used}
-
-    value_schema = "column string, p double, value double"
-    empty = [(c, float(p), None) for c in columns if stats.get(c, (0, 0))[0] == 0 for p in probs]
-    if not targets:
-        return spark.createDataFrame(empty, value_schema)
-
-    bdf = spark.createDataFrame(
-        [(b, v["column"], v["lo"], v["hi"], v["below"]) for b, v in brackets.items()],
-        _BRACKET_SCHEMA)
-    # each target needs the values at two ranks (equal when (n-1)p is whole)
-    needs = spark.createDataFrame(
-        [(rank_bracket[(c, r)], c, p, pos, lo_r, r, hi)
-         for c, p, pos, lo_r, hi_r in targets for r, hi in ((lo_r, False), (hi_r, True))],
-        "bid int, column string, p double, pos double, r_lo long, rank long, is_hi boolean")
-
-    w = Window.partitionBy("bid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        long.join(F.broadcast(bdf), "column").where(_inside())
-        .groupBy("bid", "below", "value").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("end", F.col("below") + F.sum("c").over(w))
-    )
-    k, n = ranked.alias("k"), needs.alias("n")
-    hit = k.join(F.broadcast(n), (F.col("k.bid") == F.col("n.bid"))
-                 & (F.col("k.end") - F.col("k.c") <= F.col("n.rank"))
-                 & (F.col("n.rank") < F.col("k.end")))
-    pair = hit.groupBy("n.column", "n.p", "n.pos", "n.r_lo").agg(
-        F.max(F.when(~F.col("n.is_hi"), F.col("k.value"))).alias("v_lo"),
-        F.max(F.when(F.col("n.is_hi"), F.col("k.value"))).alias("v_hi"))
-    frac = F.col("pos") - F.col("r_lo")
-    value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo")))
-    out = pair.select("column", "p", value.alias("value"))
-    if empty:  # columns with no values: null quantiles
-        out = out.unionByName(spark.createDataFrame(empty, value_schema))
-    return out
+    # the values once per pass, however many brackets test them
+    doubles = df.select(*[qcol(c).cast("double").alias(c) for c in dict.fromkeys(columns)])
+    return _histogram_select(doubles, list(dict.fromkeys(columns)), probs, buckets=buckets, max_exact=max_exact)
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], *, exact: bool = True,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.functions.expressions import hash_bucket, split_label
+from tabml.operators.columns import qcol
 
 
 def with_split(df: DataFrame, keys: Sequence[str] | str, train_percent: int = 70,
@@ -32,7 +33,7 @@ def with_folds(df: DataFrame, keys: Sequence[str] | str, folds: int, name: str =
     A salt keeps folds independent of the train/test split buckets."""
     if isinstance(keys, str):
         keys = [keys]
-    salted = F.concat_ws("|", F.lit("fold"), *[F.col(k).cast("string") for k in keys])
+    salted = F.concat_ws("|", F.lit("fold"), *[qcol(k).cast("string") for k in keys])
     head = F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("bigint")
     return df.withColumn(name, (head % F.lit(folds)).cast("int"))
 
@@ -45,8 +46,9 @@ def with_row_key(df: DataFrame, name: str = ROW_KEY) -> DataFrame:
     keyed by every column plus this key assigns copies independently, so a
     group of copies holding a third of the rows is still split 70/30.
     ``monotonically_increasing_id`` is fixed by the input split and the row's
-    place in it, so it is the same on every evaluation and task retry of an
-    unchanged input."""
+    place in it: the same on every evaluation and task retry while files and
+    split settings stay, but another with other files, splits or core counts.
+    For splits that don't depend on those, key by columns."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.operators.columns import multipass
+from tabml.operators.columns import persisted, qcol
 
 ASSEMBLED = "assembledFeatures"
 NORMALIZED = "normalizedFeatures"
@@ -39,10 +39,12 @@ def standard_scaler(input_col: str = ASSEMBLED, output: str = STANDARDIZED) -> S
     return StandardScaler(inputCol=input_col, outputCol=output, withMean=True, withStd=True)
 
 
-def label_indexer(input_col: str, output: str = "label", handle_invalid: str = "keep") -> StringIndexer:
+def label_indexer(input_col: str, output: str = "label", handle_invalid: str = "skip") -> StringIndexer:
     """Index labels by descending frequency, ties alphabetically. Fitted inside
-    a pipeline (never on rows that are later held out); unseen labels get the
-    extra index ``numLabels`` with ``keep``."""
+    a pipeline (never on rows that are later held out). Null labels, and in
+    cross validation labels that the fold was not fitted on, are left out
+    (``skip``), so the classes are the labels seen and nothing else;
+    ``plans.models.fit`` lets the fitted index keep other labels when scoring."""
     return StringIndexer(inputCol=input_col, outputCol=output, handleInvalid=handle_invalid)
 
 
@@ -72,10 +74,16 @@ def fit_scalers(df: DataFrame, features: Sequence[str], minmax: bool = True,
         stages.append(minmax_scaler())
     if standard:
         stages.append(standard_scaler())
-    with multipass(df) as src:  # one summary pass per scaler
-        return Pipeline(stages=stages).fit(src)
+    # one summary pass per scaler; the narrow frame is kept for the second
+    narrow = df.select(*[qcol(c) for c in features])
+    if minmax and standard:
+        with persisted(narrow) as src:
+            return Pipeline(stages=stages).fit(src)
+    return Pipeline(stages=stages).fit(narrow)
 
 
 def index_labels(df: DataFrame, input_col: str, output: str = "label") -> DataFrame:
-    """Fit a label index on ``df`` and apply it."""
-    return label_indexer(input_col, output).fit(df).transform(df)
+    """Fit a label index on ``df`` and apply it; a null gets the index after
+    all labels. One row per distinct label reaches the driver: for labels,
+    not for keys."""
+    return label_indexer(input_col, output, "keep").fit(df).transform(df)

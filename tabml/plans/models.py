@@ -17,11 +17,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from tabml.operators.columns import multipass, spread
+from tabml.functions.expressions import is_missing
+from tabml.operators.columns import multipass
 from tabml.operators.transform import (
     ASSEMBLED,
     NORMALIZED,
@@ -63,17 +64,19 @@ def rounding_stage(prediction: str = "prediction", output: str = ORDINAL,
     return SQLTransformer(statement=f"SELECT *, CAST({expr} AS DOUBLE) AS {output} FROM __THIS__")
 
 
-def logistic_regression(features: Sequence[str], label: str, *, max_iter: int = 10,
+def logistic_regression(features: Sequence[str], label: str, *, max_iter: int = 100,
                         reg: float = 0.0, elastic_net: float = 0.0, scale: str | None = None,
-                        index_label: bool = True) -> Pipeline:
+                        index_label: bool = True, label_index: str = "label",
+                        handle_invalid: str = "error") -> Pipeline:
     """Multinomial logistic regression. ``elastic_net``: 0 = L2, 1 = L1 (only
     matters with ``reg > 0``). With ``index_label`` the label is indexed by
-    frequency inside the pipeline and predictions are indices."""
-    stages, fcol = feature_stages(features, scale)
+    frequency inside the pipeline (as ``label_index``) and predictions are
+    indices. ``handle_invalid``: the assembler's answer to missing features."""
+    stages, fcol = feature_stages(features, scale, handle_invalid)
     label_col = label
     if index_label:
-        stages.append(label_indexer(label, "label"))
-        label_col = "label"
+        stages.append(label_indexer(label, label_index))
+        label_col = label_index
     stages.append(LogisticRegression(featuresCol=fcol, labelCol=label_col, maxIter=max_iter,
                                      regParam=reg, elasticNetParam=elastic_net))
     return Pipeline(stages=stages)
@@ -82,13 +85,14 @@ def logistic_regression(features: Sequence[str], label: str, *, max_iter: int =
 def forest_classifier(features: Sequence[str], label: str, *, num_trees: int = 20,
                       max_depth: int = 5, seed: int | None = 42, scale: str | None = None,
                       index_label: bool = False, max_bins: int = 32,
-                      max_memory_mb: int = 512) -> Pipeline:
+                      max_memory_mb: int = 512, label_index: str = "label",
+                      handle_invalid: str = "error") -> Pipeline:
     """Random forest classifier; ``probability`` holds the class probabilities."""
-    stages, fcol = feature_stages(features, scale)
+    stages, fcol = feature_stages(features, scale, handle_invalid)
     label_col = label
     if index_label:
-        stages.append(label_indexer(label, "label"))
-        label_col = "label"
+        stages.append(label_indexer(label, label_index))
+        label_col = label_index
     rf = RandomForestClassifier(featuresCol=fcol, labelCol=label_col, numTrees=num_trees,
                                 maxDepth=max_depth, maxBins=max_bins, probabilityCol="probability",
                                 maxMemoryInMB=max_memory_mb, cacheNodeIds=max_depth > 10)
@@ -101,11 +105,11 @@ def forest_classifier(features: Sequence[str], label: str, *, num_trees: int = 2
 def forest_regressor(features: Sequence[str], label: str, *, num_trees: int = 20,
                      max_depth: int = 5, seed: int | None = 42, scale: str | None = "minmax",
                      ordinal: bool = True, max_bins: int = 32, max_memory_mb: int = 512,
-                     clamp: tuple[float, float] | None = None) -> Pipeline:
+                     clamp: tuple[float, float] | None = None, handle_invalid: str = "error") -> Pipeline:
     """Random forest regressor; with ``ordinal`` a rounding stage adds
     ``ordinal_prediction``. Deep trees cache node ids (checkpointed to the
     session's checkpoint folder every 10 iterations)."""
-    stages, fcol = feature_stages(features, scale)
+    stages, fcol = feature_stages(features, scale, handle_invalid)
     rf = RandomForestRegressor(featuresCol=fcol, labelCol=label, numTrees=num_trees,
                                maxDepth=max_depth, maxBins=max_bins, maxMemoryInMB=max_memory_mb,
                                cacheNodeIds=max_depth > 10)
@@ -118,15 +122,40 @@ def forest_regressor(features: Sequence[str], label: str, *, num_trees: int = 20
     return Pipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, df: DataFrame, persist: bool = True) -> PipelineModel:
-    """Fit on ``df``. Every fitted stage (scaler, label index, model) reads
-    the input, so a small input is spread over the default parallelism and
-    kept for the fit (``operators.columns.multipass``); a large scan is fitted
-    as it is. ``persist=False`` only spreads."""
-    if not persist:
-        return pipeline.fit(spread(df))
-    with multipass(df) as src:
-        return pipeline.fit(src)
+def label_input(pipeline: Pipeline) -> str:
+    """The input column that holds the label: what the label index reads, else
+    the model's own label column."""
+    label = model_stage_spec(pipeline).getLabelCol()
+    for s in pipeline.getStages():
+        if isinstance(s, StringIndexer) and s.getOutputCol() == label:
+            return s.getInputCol()
+    return label
+
+
+def trainable(pipeline: Pipeline, df: DataFrame) -> DataFrame:
+    """The rows that have a label: a null (or NaN) label is no class."""
+    return df.where(~is_missing(df, label_input(pipeline)))
+
+
+def scorable(model: PipelineModel) -> PipelineModel:
+    """Lets a fitted label index keep labels that it has not seen (or null):
+    they get the index after all classes, which no prediction equals."""
+    for s in model.stages:
+        if isinstance(s, StringIndexerModel):
+            s.setHandleInvalid("keep")
+    return model
+
+
+def fit(pipeline: Pipeline, df: DataFrame, *, keys: Sequence[str] | None = None,
+        partitions: int | None = None, persist: bool = True) -> PipelineModel:
+    """Fit on the rows of ``df`` that have a label. Every fitted stage (scaler,
+    label index, model) reads the input several times, so it is dealt out once
+    by ``keys`` (``operators.columns.multipass``) and kept: the same rows give
+    the same model on any layout of the input and any number of cores, at
+    every size. ``partitions`` (default: the session's shuffle partitions) is
+    part of what the model depends on."""
+    with multipass(trainable(pipeline, df), keys, partitions, persist) as src:
+        return scorable(pipeline.fit(src))
 
 
 def model_stage_spec(pipeline: Pipeline):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -33,9 +34,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tabml/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in this application's own folder under the shared
+    checkpoint folder. That folder goes when Python exits in the ordinary way;
+    results read from it have to be consumed or written elsewhere by then."""
+    sc = spark.sparkContext
+    folder = _SCRATCH.get(sc.applicationId)
+    if folder is None:
+        folder = _SCRATCH[sc.applicationId] = f"{checkpoint_root(spark)}/tabml/{sc.applicationId}-{uuid.uuid4().hex[:12]}"
+        atexit.register(_discard, sc, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _discard(sc, folder: str) -> None:
+    """Deletes the application's scratch folder, through the store that holds it."""
+    if sc._jsc is None:  # stopped before: nothing to ask any more
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_session(cpus: int | None = None, app: str = "tabml") -> SparkSession:

@@ -16,18 +16,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tabml.session import scratch_path
-
 
 def score_stream(spark: SparkSession, model: PipelineModel, source: str, schema: T.StructType,
-                 sink: str, *, fmt: str = "parquet", checkpoint: str | None = None,
+                 sink: str, *, checkpoint: str, fmt: str = "parquet",
                  available_now: bool = True, max_files_per_trigger: int | None = None,
                  options: dict | None = None) -> StreamingQuery:
     """Start a query reading ``source`` (a folder of ``fmt`` files with
     ``schema``), scoring every row, and appending to Parquet at ``sink``.
     ``available_now`` processes what is there and stops; otherwise it keeps
-    running. The checkpoint defaults to a folder under the session's shared
-    checkpoint directory."""
+    running. ``checkpoint`` belongs to the sink: the same folder on every
+    start for it, in storage that all nodes share. A new checkpoint for a sink
+    that another has written to would meet the sink's log and lose batches."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -38,6 +37,6 @@ def score_stream(spark: SparkSession, model: PipelineModel, source: str, schema:
         vector_to_array(scored[f"`{f.name}`"]).alias(f.name) if isinstance(f.dataType, VectorUDT)
         else scored[f"`{f.name}`"] for f in scored.schema.fields])
     writer = (plain.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start(sink)

@@ -2,10 +2,13 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tabml import queries as Q
 from tabml.jobs import score, train
+from tabml.jobs.common import read_input
 from tabml.plans import models
 from tabml.sources import delimited
 from tabml.streaming import score_stream
@@ -73,3 +76,52 @@ def test_stream_restart_neither_skips_nor_repeats(spark, tmp_path):
     out = spark.read.parquet(sink)
     assert out.count() == df.count()
     assert out.select(*Q.KEYS, "l_quantity").distinct().count() == df.select(*Q.KEYS, "l_quantity").distinct().count()
+
+
+def _train_args(path, out, *more):
+    return train.parse_args(["--train_dataset", path, "--save_model_path", out, "--num_trees", "3", "--max_depth", "4", "--split_key", "k", *more])
+
+
+@pytest.fixture(scope="module")
+def graded(spark):
+    return spark.range(600).selectExpr("cast(id as int) k", "cast(id % 7 as double) a", "cast(id % 11 as int) b", "cast(if(id % 7 > 3, 6, 5) as int) quality")
+
+
+def test_a_model_of_one_format_scores_the_other(spark, graded, tmp_path):
+    delimited.write_delimited(graded, str(tmp_path / "d.csv"))
+    graded.write.parquet(str(tmp_path / "d.parquet"))
+    train.run(spark, _train_args(str(tmp_path / "d.csv"), str(tmp_path / "m"), "--model", "lr"))
+    f1 = [score.run(spark, score.parse_args(["--model_path", str(tmp_path / "m/pipeline"), "--new_data", str(tmp_path / f"d.{x}")]))["f1"] for x in ("csv", "parquet")]
+    assert f1[0] == f1[1] > 0.9
+    # a column that happens to be called "label" is no matter; labels that the pipeline has never seen are an error
+    graded.selectExpr("*", "'other' label").write.parquet(str(tmp_path / "l.parquet"))
+    named = score.run(spark, score.parse_args(["--model_path", str(tmp_path / "m/pipeline"), "--new_data", str(tmp_path / "l.parquet")]))
+    assert named["f1"] == f1[0]
+    graded.withColumn("quality", F.lit("nothing like it")).write.parquet(str(tmp_path / "x.parquet"))
+    with pytest.raises(ValueError, match="among the labels"):
+        score.run(spark, score.parse_args(["--model_path", str(tmp_path / "m/pipeline"), "--new_data", str(tmp_path / "x.parquet")]))
+
+
+def test_dotted_names_empty_input_and_missing_values(spark, graded, tmp_path):
+    gaps = graded.selectExpr("k", "if(k % 50 = 0, null, a) `l.q`", "b `x``y`", "if(k % 40 = 0, null, quality) quality")
+    gaps.write.parquet(str(tmp_path / "d.parquet"))
+    with pytest.raises(Exception):
+        train.run(spark, _train_args(str(tmp_path / "d.parquet"), str(tmp_path / "m")))
+    for missing in ("skip", "keep"):
+        done = train.run(spark, _train_args(str(tmp_path / "d.parquet"), str(tmp_path / missing), "--missing", missing, "--model", "rf"))
+        assert done["f1"] > 0.8 and set(done["features"]) == {"k", "l_q", "x_y"}
+    gaps.limit(0).write.parquet(str(tmp_path / "none.parquet"))
+    out = score.run(spark, score.parse_args(["--model_path", str(tmp_path / "skip/pipeline"), "--new_data", str(tmp_path / "none.parquet")]))
+    assert out == {"f1": None, "accuracy": None}
+    with pytest.raises(ValueError, match="distinct"):
+        read_input(spark, _written(gaps.selectExpr("`l.q`", "quality as l_q"), tmp_path))
+
+
+def _written(df, tmp_path):
+    df.write.parquet(str(tmp_path / "clash.parquet"))
+    return str(tmp_path / "clash.parquet")
+
+
+def test_defaults_of_the_regression_job():
+    args = train.parse_args(["--train_dataset", "x"])
+    assert (args.reg, args.elastic_net, args.max_iter, args.max_depth, args.num_trees, args.folds) == (0.01, 1.0, 100, 20, 25, 10)

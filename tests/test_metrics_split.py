@@ -125,3 +125,14 @@ def test_hash_split_keeps_rows_with_null_keys(spark):
     train, test = split.hash_split(df, "k", 70)
     assert train.count() + test.count() == df.count()
     assert train.join(test, ["k", "v"]).count() == 0
+
+
+def test_one_rule_for_rows_without_label_or_prediction(spark):
+    rows = [(1.0, 1.0, 1.2), (2.0, 1.0, 1.4), (None, 1.0, 1.0), (2.0, None, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "y double, p double, raw double")
+    report = metrics.metric_values(df, "y", "p", "raw")
+    assert report["accuracy"] == metrics.accuracy(df, "y", "p").first()[0] == 0.5
+    assert report["rmse"] == pytest.approx(metrics.rmse(df, "y", "raw").first()[0]) == pytest.approx(((0.04 + 0.36) / 2) ** 0.5)
+    assert report["f1"] == metrics.weighted_f1(df, "y", "p").first()[0]
+    none = metrics.metric_values(df.limit(0), "y", "p", "raw")
+    assert none == {"f1": None, "accuracy": None, "rmse": None}

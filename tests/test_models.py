@@ -101,3 +101,30 @@ def test_document_quality_beats_majority_class(spark):
     f1 = _f1(scored, "quality", "prediction")
     majority = _f1(scored.withColumn("p", F.lit(1.0)), "quality", "p")
     assert f1 > majority + 0.03, (f1, majority)
+
+
+def _labelled(spark, n=300):
+    return spark.range(n).selectExpr("id", "cast(id % 7 as double) a", "cast(id % 11 as double) b", "if(id % 3 = 0, null, cast(id % 7 > 3 as int)) y")
+
+
+def test_null_labels_are_no_class_and_a_binary_label_has_two(spark):
+    df = _labelled(spark)
+    fitted = models.fit(models.logistic_regression(["a", "b"], "y", max_iter=20), df)
+    lr = models.model_stage(fitted)
+    assert lr.numClasses == 2 and lr.coefficientMatrix.numRows == 1
+    scored = fitted.transform(df.unionByName(df.limit(1).withColumn("y", F.lit(9))))
+    assert scored.count() == 301 and {r["prediction"] for r in scored.select("prediction").distinct().collect()} <= {0.0, 1.0}
+    forest = models.fit(models.forest_classifier(["a", "b"], "y", num_trees=3, index_label=True), df)
+    assert models.model_stage(forest, "RandomForestClassificationModel").numClasses == 2
+    assert models.fit(models.forest_regressor(["a", "b"], "y", num_trees=2), df).transform(df).count() == 300
+
+
+@pytest.mark.parametrize("persist", [True, False])
+def test_a_model_depends_on_the_rows_and_not_on_their_layout(spark, persist):
+    df = _labelled(spark, 2000).na.drop()
+    sums = set()
+    for n in (1, 4, 8):
+        pipe = models.forest_regressor(["a", "b"], "y", num_trees=5, max_depth=6)
+        fitted = models.fit(pipe, df.repartition(n), keys=["id"], partitions=4, persist=persist)
+        sums.add(fitted.transform(df).agg(F.sum("prediction")).first()[0])
+    assert len({round(s, 9) for s in sums}) == 1

@@ -67,35 +67,72 @@ def test_corr_matches_numpy_and_constant_is_null(spark):
     assert wide.columns == ["feature", *cols] and wide.count() == 4
 
 
-def test_wide_inputs_take_the_gramian_route(spark, monkeypatch):
+def _pandas_agrees(df, pdf, cols):
+    got = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation.corr_pairs(df, cols).collect()}
+    want = pdf.corr()
+    assert len(got) == len(cols) ** 2
+    for (a, b), v in got.items():
+        w = want.loc[a, b]
+        assert (v is None and w != w) or v == pytest.approx(w, abs=1e-6), (a, b, v, w)
+
+
+def test_pairs_run_over_their_complete_rows_as_in_pandas(spark):
+    import pandas as pd
+
     rng = np.random.default_rng(5)
-    a = rng.normal(size=400)
-    rows = [(float(x), float(0.9 * x + e), float(e), float(x * x), 2.0)
-            for x, e in zip(a, rng.normal(scale=0.2, size=400))]
-    df = spark.createDataFrame(rows, "a double, b double, c double, d double, k double")
-    cols = ["a", "b", "c", "d", "k"]
-    sql = {(r["feature_a"], r["pos_a"], r["feature_b"], r["pos_b"]): r["corr"]
-           for r in correlation.corr_long(df, cols, method="sql").collect()}
-    monkeypatch.setattr(correlation, "WIDE_COLUMNS", 3)
-    wide = correlation.corr_long(df, cols)
-    assert "LogicalRDD" in wide._jdf.queryExecution().analyzed().toString()  # matrix rows, no pair aggregate
-    got = {(r["feature_a"], r["pos_a"], r["feature_b"], r["pos_b"]): r["corr"] for r in wide.collect()}
-    assert got.keys() == sql.keys()
-    for key, v in sql.items():
-        assert (got[key] is None) == (v is None), key
-        if v is not None:
-            assert got[key] == pytest.approx(v, abs=1e-6), key
-    assert ({r["feature"] for r in correlation.high_corr_features(df, cols, 0.7).collect()}
-            == {r["feature"] for r in correlation.high_corr_features(df, cols, 0.7, method="sql").collect()})
-
-
-def test_gramian_route_constant_columns_are_null_like_the_aggregate(spark):
-    # one varying column and constants: the matrix alone cannot tell, so the
-    # standard deviations decide
-    df = spark.createDataFrame([(float(i), 3.0, 1.0) for i in range(20)], "x double, c double, d double")
-    for cols in (["x", "c", "d"], ["c", "d"], ["x"], ["c"]):
-        ml = {(r["feature_a"], r["feature_b"]): r["corr"]
-              for r in correlation.corr_long(df, cols, method="ml").collect()}
-        sql = {(r["feature_a"], r["feature_b"]): r["corr"]
-               for r in correlation.corr_long(df, cols, method="sql").collect()}
-        assert ml == sql, cols
+    p = pd.DataFrame({"a": rng.normal(size=600) + 1e9, "b": rng.normal(size=600), "constant": 7.1})
+    p["c"] = p.a * 2 + p.b * 0.1
+    p.loc[rng.random(600) < 0.9, "b"] = np.nan
+    p.loc[3:580, "c"] = np.nan
+    p["d.x"] = np.arange(600) % 3 + 0.0
+    p["none"] = np.nan
+    p.loc[p.b.isna(), "constant"] = rng.normal(size=int(p.b.isna().sum()))  # constant only beside b
+    rows = [tuple(None if x != x else float(x) for x in r) for r in p.itertuples(index=False)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in p.columns)).repartition(5)
+    _pandas_agrees(df, p, list(p.columns))
+
+
+def test_two_complete_rows_decide(spark):
+    rows = [(1.0, 100.0)] + [(float(i), None) for i in range(2, 7)] + [(9.0, 300.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    assert {r["corr"] for r in correlation.corr_pairs(df, ["a", "b"]).collect()} == {1.0}
+    nan = spark.createDataFrame([(a, float("nan") if b is None else b) for a, b in rows], "a double, b double")
+    assert {r["corr"] for r in correlation.corr_pairs(nan, ["a", "b"]).collect()} == {1.0}
+    none = spark.createDataFrame([], "a double, b double")
+    for corr in (correlation.corr_pairs, correlation.corr_matrix_ml):
+        assert [r["corr"] for r in corr(none, ["a", "b"]).collect()] == [None] * 4
+
+
+def test_many_columns_take_the_same_route(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(300, 80))
+    base[rng.random(base.shape) < 0.2] = np.nan
+    p = pd.DataFrame(base, columns=[f"c{i}" for i in range(80)])
+    rows = [tuple(None if x != x else float(x) for x in r) for r in base]
+    _pandas_agrees(spark.createDataFrame(rows, ", ".join(f"c{i} double" for i in range(80))), p, list(p.columns))
+
+
+def test_ml_route_uses_rows_complete_in_all_columns(spark):
+    df = spark.createDataFrame([(float(i), float(i * i), None if i % 3 else float(-i), 4.0) for i in range(30)],
+                               "a double, b double, c double, k double")
+    complete = df.na.drop()
+    ml = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation.corr_matrix_ml(df, df.columns).collect()}
+    same = {(r["feature_a"], r["feature_b"]): r["corr"] for r in correlation.corr_pairs(complete, df.columns).collect()}
+    assert ml.keys() == same.keys()
+    for key, v in same.items():
+        assert (ml[key] is None) == (v is None) and (v is None or ml[key] == pytest.approx(v, abs=1e-6)), key
+
+
+def test_describe_all_types_and_many_columns(spark):
+    df = spark.sql("select cast(id as int) i, id * 0.5D x, if(id % 2 = 0, concat('t', id), null) `a text`, date '2024-01-01' d, id % 3 = 0 b from range(10)")
+    got = {r["column"]: tuple(r)[1:] for r in profile.describe_all(df).collect()}
+    assert got["i"][:2] == (10, 4.5) and got["i"][3:] == ("0.0", "9.0")
+    assert got["a text"] == (5, None, None, "t0", "t8") and got["d"] == (10, None, None, "2024-01-01", "2024-01-01")
+    assert got["b"] == (10, None, None, "false", "true")
+    empty = {r["column"]: tuple(r)[1:] for r in profile.describe_all(df.limit(0)).collect()}
+    assert empty["x"] == (0, None, None, None, None) and empty["a text"] == (0, None, None, None, None)
+    wide = spark.range(50).selectExpr(*[f"id * {i} as c{i}" for i in range(100)])
+    assert {r["column"]: r["max"] for r in profile.describe_columns(wide, wide.columns).collect()} == {f"c{i}": 49.0 * i for i in range(100)}
+

@@ -28,27 +28,23 @@ def _expected(values, p):
     return v[lo] + (pos - lo) * (v[hi] - v[lo])
 
 
-@pytest.mark.parametrize("method,max_exact", [("single", 0), ("select", 1_000_000), ("select", 40),
-                                              ("select", 300), ("histogram", 1_000_000),
-                                              ("histogram", 40), ("histogram", 300)])
-def test_exact_matches_brute_force(spark, method, max_exact):
+@pytest.mark.parametrize("max_exact", [1_000_000, 40, 300])
+def test_exact_matches_brute_force(spark, max_exact):
     df, a, b, c = _frame(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        df, ["a", "b", "d"], probs, max_exact=max_exact, grid=20, accuracy=2000, buckets=8,
-        method=method).collect()}
+        df, ["a", "b", "d"], probs, max_exact=max_exact, buckets=8).collect()}
     d = [float(x) if i % 7 else None for i, x in enumerate(a)]
     for name, vals in (("a", a), ("b", b), ("d", d)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
 
 
-@pytest.mark.parametrize("method", ["single", "select", "histogram"])
-def test_nan_sorts_last_and_empty_column_is_null(spark, method):
+def test_nan_sorts_last_and_empty_column_is_null(spark):
     df, _, _, c = _frame(spark)
     df = df.withColumn("e", df["d"] * None)
     got = {(r["column"], r["p"]): r["value"] for r in
-           quantiles.exact_quantiles(df, ["c", "e"], [0.25, 0.95], method=method).collect()}
+           quantiles.exact_quantiles(df, ["c", "e"], [0.25, 0.95]).collect()}
     v = np.sort(c)  # numpy also sorts NaN last
     assert got[("c", 0.25)] == pytest.approx(_expected(list(v), 0.25))
     assert np.isnan(got[("c", 0.95)])
@@ -82,33 +78,11 @@ def test_low_cardinality_hot_column_with_refinement(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     probs = [0.05, 0.25, 0.5, 0.8, 0.99]
     got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(
-        df, ["x"], probs, max_exact=100, grid=10, accuracy=500, method="select").collect()}
+        df, ["x"], probs, max_exact=100, buckets=16).collect()}
     for p in probs:
         assert got[p] == pytest.approx(_expected(vals, p)), p
 
 
-def test_select_path_matches_duckdb_on_lineitem(spark):
-    """Refinement rounds on a real table (forced by a small max_exact) give
-    the same values as DuckDB's quantile_cont."""
-    import duckdb
-
-    from tabml import queries as Q
-
-    from .conftest import SF01
-
-    probs = [0.01, 0.25, 0.5, 0.75, 0.999]
-    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        Q.labelled(spark, SF01), Q._DESC_COLS, probs, method="select",
-        max_exact=2000, grid=50, accuracy=5000).collect()}
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF01}/lineitem.parquet')")
-    for c in Q._DESC_COLS:
-        for p in probs:
-            want = con.execute(f"SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) "
-                               f"FROM ({Q.LABELLED_SQL}) s").fetchone()[0]
-            assert got[(c, p)] == pytest.approx(want, rel=1e-12, abs=1e-12), (c, p)
-
-
 @pytest.mark.parametrize("buckets,max_exact", [(4096, 1_000_000), (4, 50), (2, 10)])
 def test_histogram_infinities_nan_and_hot_values(spark, buckets, max_exact):
     # -inf < finite < +inf < NaN; a value holding a third of the rows; ties
@@ -124,8 +98,7 @@ def test_histogram_infinities_nan_and_hot_values(spark, buckets, max_exact):
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
     probs = [0.0, 0.005, 0.013, 0.2, 0.333, 0.5, 0.7, 0.97, 0.985, 0.99, 1.0]
     got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        df, ["x", "y"], probs, method="histogram", buckets=buckets, max_exact=max_exact,
-        max_rounds=64).collect()}
+        df, ["x", "y"], probs, buckets=buckets, max_exact=max_exact).collect()}
     for name, vals in (("x", x), ("y", y)):
         v = list(np.sort(vals))
         for p in probs:
@@ -148,7 +121,7 @@ def test_histogram_matches_duckdb_on_lineitem_with_refinement(spark):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{SF01}/lineitem.parquet')")
     for kw in ({}, {"buckets": 16, "max_exact": 500}):
         got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-            Q.labelled(spark, SF01), Q._DESC_COLS, probs, method="histogram", **kw).collect()}
+            Q.labelled(spark, SF01), Q._DESC_COLS, probs, **kw).collect()}
         for c in Q._DESC_COLS:
             for p in probs:
                 want = con.execute(f"SELECT quantile_cont(CAST({c} AS DOUBLE), {p}) "
@@ -176,7 +149,7 @@ def test_histogram_many_brackets_use_fewer_buckets(spark, monkeypatch):
     df, a, b, c = _frame(spark)
     probs = [0.1, 0.5, 0.9]
     got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(
-        df, ["a", "b"], probs, method="histogram", max_exact=20, max_rounds=32).collect()}
+        df, ["a", "b"], probs, max_exact=20).collect()}
     for name, vals in (("a", a), ("b", b)):
         for p in probs:
             assert got[(name, p)] == pytest.approx(_expected(vals, p), rel=1e-12, abs=1e-12), (name, p)
@@ -202,8 +175,7 @@ def test_histogram_property_against_numpy(spark):
         df = spark.createDataFrame([(x,) for x in xs], "x double")
         probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
         got = {r["p"]: r["value"] for r in quantiles.exact_quantiles(
-            df, ["x"], probs, method="histogram", buckets=buckets, max_exact=max_exact,
-            max_rounds=64).collect()}
+            df, ["x"], probs, buckets=buckets, max_exact=max_exact).collect()}
         v = list(np.sort(np.asarray(xs, dtype=float)))
         for p in probs:
             want = _expected(v, p)

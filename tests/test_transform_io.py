@@ -29,7 +29,7 @@ def test_scalers_on_constant_column(spark):
 
 def test_label_index_frequency_ties_and_unseen(spark):
     train = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "y string")
-    model = transform.label_indexer("y").fit(train)
+    model = transform.label_indexer("y", handle_invalid="keep").fit(train)
     assert list(model.labels) == ["c", "a", "b"]  # count desc, then alphabetical
     test = spark.createDataFrame([("a",), ("z",)], "y string")
     assert [r["label"] for r in model.transform(test).collect()] == [1.0, 3.0]
@@ -43,10 +43,10 @@ def test_assembler_null_is_error_unless_skipped(spark):
 
 
 DIALECT = (
-    '"""fixed acidity""";"""citric acid""";"""free sulfur dioxide""";"""quality"""\r\n'
-    "7.4;0;11;5\r\n"
-    "7.8;0.04;25;5\r\n"
-    "11.2;0.56;17;6\r\n"
+    '"""first size""";"""second share""";"""third amount""";"""grade"""\r\n'
+    "3.5;0;20;1\r\n"
+    "4.5;0.25;30;1\r\n"
+    "6.0;0.5;10;2\r\n"
 )
 
 
@@ -59,19 +59,19 @@ def dialect_file(tmp_path):
 
 def test_read_quoted_headers_inferred(spark, dialect_file):
     df = delimited.read_delimited(spark, dialect_file, infer=True)
-    assert df.columns == ["fixed acidity", "citric acid", "free sulfur dioxide", "quality"]
-    assert dict(df.dtypes)["free sulfur dioxide"] == "int"
+    assert df.columns == ["first size", "second share", "third amount", "grade"]
+    assert dict(df.dtypes)["third amount"] == "int"
     fixed = T.StructType([T.StructField(c, T.DoubleType()) for c in df.columns[:-1]]
-                         + [T.StructField("quality", T.IntegerType())])
+                         + [T.StructField("grade", T.IntegerType())])
     typed = delimited.apply_schema(df, fixed)
-    assert dict(typed.dtypes)["free sulfur dioxide"] == "double"
-    assert typed.agg(F.sum("citric acid")).first()[0] == pytest.approx(0.6)
+    assert dict(typed.dtypes)["third amount"] == "double"
+    assert typed.agg(F.sum("second share")).first()[0] == pytest.approx(0.75)
 
 
 def test_read_with_schema_and_clean_idempotent(spark, dialect_file):
-    schema = "fa double, ca double, fsd double, quality int"
+    schema = "`first size` double, `second share` double, `third amount` double, grade int"
     df = delimited.read_delimited(spark, dialect_file, schema=schema)
-    assert df.count() == 3 and df.columns == ["fa", "ca", "fsd", "quality"]
+    assert df.count() == 3 and df.columns == ["first size", "second share", "third amount", "grade"]
     raw = delimited.read_delimited(spark, dialect_file, clean=False)
     once = delimited.clean_headers(raw)
     assert delimited.clean_headers(once).columns == once.columns
@@ -94,10 +94,10 @@ def test_write_read_roundtrip(spark, tmp_path):
 
 
 FOUR_QUOTES = (
-    '""""fixed acidity"""";""""citric acid"""";""""free sulfur dioxide"""";""""quality""""\r\n'
-    "7.4;0;11;5\r\n"
-    "7.8;0.04;25;5\r\n"
-    "11.2;0.56;17;6\r\n"
+    '""""first size"""";""""second share"""";""""third amount"""";""""grade""""\r\n'
+    "3.5;0;20;1\r\n"
+    "4.5;0.25;30;1\r\n"
+    "6.0;0.5;10;2\r\n"
 )
 
 
@@ -107,10 +107,10 @@ def test_read_headers_wrapped_in_four_quotes(spark, tmp_path):
     p = tmp_path / "four.csv"
     p.write_bytes(FOUR_QUOTES.encode())
     df = delimited.read_delimited(spark, str(p), infer=True)
-    assert df.columns == ["fixed acidity", "citric acid", "free sulfur dioxide", "quality"]
-    assert df.count() == 3 and df.agg(F.sum("free sulfur dioxide")).first()[0] == 53
-    typed = delimited.read_delimited(spark, str(p), schema="fa double, ca double, fsd double, q int")
-    assert typed.agg(F.sum("ca")).first()[0] == pytest.approx(0.6)
+    assert df.columns == ["first size", "second share", "third amount", "grade"]
+    assert df.count() == 3 and df.agg(F.sum("third amount")).first()[0] == 60
+    typed = delimited.read_delimited(spark, str(p), schema="`first size` double, `second share` double, `third amount` double, grade int")
+    assert typed.agg(F.sum("second share")).first()[0] == pytest.approx(0.75)
 
 
 def test_auto_escape_keeps_rfc_quotes_of_written_files(spark, tmp_path):
@@ -129,3 +129,27 @@ def test_feature_columns_by_position_and_type(spark):
     assert columns.select_features(df, "quality", by="position").columns == ["x", "s", "k", "quality"]
     with pytest.raises(ValueError):
         columns.feature_columns(df, "label")
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    rows = [("  lead", 1), ("trail  ", 2), ("", 3), (None, 4), ("a\nb\r\nc\r", 5), ('q"u"o;te', 6), ("back\\slash \\n \\\\n \\N", 7), ("\\N", 8),
+            ("\\", 9), ('"', 10), (" ", 11), ("\t", 12), ("x\\\n", 13), ("\\r\\\\r", 14), ("#c", 15), ("é漢😀", 16)]
+    df = spark.createDataFrame(rows, "t string, `a.b` long")
+    delimited.write_delimited(df, str(tmp_path / "t"), escapes=True, partitions=3)
+    back = delimited.read_delimited(spark, str(tmp_path / "t"), schema=df.schema, escapes=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows
+
+
+def test_without_escapes_blanks_stay_and_line_breaks_stop_the_write(spark, tmp_path):
+    df = spark.createDataFrame([("  lead", 1), ("trail  ", 2), (None, 3)], "t string, k int")
+    delimited.write_delimited(df, str(tmp_path / "t"))
+    back = delimited.read_delimited(spark, str(tmp_path / "t"), schema=df.schema)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == [("  lead", 1), ("trail  ", 2), (None, 3)]
+    with pytest.raises(Exception, match="line break"):
+        delimited.write_delimited(spark.createDataFrame([("a\nb",)], "t string"), str(tmp_path / "u"))
+
+
+def test_schema_must_name_the_columns_in_order(spark, tmp_path):
+    delimited.write_delimited(spark.createDataFrame([(1, "x")], "a int, b string"), str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="header"):
+        delimited.read_delimited(spark, str(tmp_path / "t"), schema="b string, a int")
