@@ -37,13 +37,13 @@ def brute(rows, rare=3, least=0.6):
                     if share >= least:
                         labels.add(t.label)
                         score = max(score, min(1.0, share))
-        out.append((i, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), round(score, 9)))
+        out.append((i, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | labels)), round(score, 6)))
     return sorted(out, key=str)
 
 
 def columns(df):
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    return sorted((tuple(r[:7]) + (round(r[7], 9),) for r in df.select(*names).collect()), key=str)
+    return sorted((tuple(r[:7]) + (round(r[7], 6),) for r in df.select(*names).collect()), key=str)
 
 
 def test_odd_documents(odd, odd_rows):
