@@ -184,14 +184,19 @@ def held_out(id_col: Column, modulus: int, rest: int) -> Column:
 
 
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 600, sample_chars: int = 4000, **train_args) -> LanguageModel:
-    """Trains on at most ``sample`` labelled rows: those with the smallest hash of the id.
+    """Trains on at most ``sample`` labelled rows: those with the smallest hash of the id modulo 2^20.
 
     The bound holds for the fit alone; of a sampled text the first
     ``sample_chars`` are used there. Rows without text or language are left out.
     """
+    labelled = docs.filter(F.col(lang_col).isNotNull())
+    # about four times as many by hash, so that a task sends a few rows however many it reads
+    share = min(1.0, 4 * sample / max(1, labelled.count()))
+    h = F.xxhash64(F.col(id_col))
+    m = F.pmod(h, F.lit(1 << 20))
     rows = (
-        docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.substring(F.col(text_col), 1, sample_chars).alias("t"), F.col(lang_col).cast("string").alias("l"))
-        .filter("t is not null and l is not null and t != ''").orderBy("h", "t", "l").limit(sample).collect()
+        labelled.filter(m < math.ceil(share * (1 << 20))).select(m.alias("m"), h.alias("h"), F.substring(F.col(text_col), 1, sample_chars).alias("t"), F.col(lang_col).cast("string").alias("l"))
+        .filter("t is not null and t != ''").orderBy("m", "h", "t", "l").limit(sample).collect()
     )
     return train([(r.t, r.l) for r in rows], **train_args)
 
