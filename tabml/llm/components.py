@@ -55,22 +55,22 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _toward(nb: DataFrame, low: DataFrame) -> DataFrame:
     """Neighbour rows (u, v) with the smallest neighbour m of u, from stored minima."""
-    low = stored(low, "components-min").select(F.col("u").alias("w"), "m")
+    low = low.select(F.col("u").alias("w"), "m")
     return nb.join(low, nb.u == low.w).select("u", "v", "m")
 
 
 def _large(edges: DataFrame) -> DataFrame:
     nb = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    low = nb.groupBy("u").agg(F.min("v").alias("m")).filter("m < u")
+    low = stored(nb.groupBy("u").agg(F.min("v").alias("m")).filter("m < u"), "components-min")
     moved = _toward(nb.filter("v > u"), low).select(F.col("v").alias("a"), F.col("m").alias("b"))
     # a vertex below all its neighbours keeps its edges: no join, however many they are
-    kept = edges.join(stored(low, "components-min").select(F.col("u").alias("b")), "b", "left_anti")
+    kept = edges.join(low.select(F.col("u").alias("b")), "b", "left_anti")
     return moved.union(kept.select("a", "b")).distinct()
 
 
 def _small(edges: DataFrame) -> DataFrame:
     nb = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    low = nb.groupBy("u").agg(F.min("v").alias("m"))
+    low = stored(nb.groupBy("u").agg(F.min("v").alias("m")), "components-min")
     own = low.select(F.col("u").alias("a"), F.col("m").alias("b"))
     rest = _toward(nb, low).filter("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return own.union(rest).distinct()

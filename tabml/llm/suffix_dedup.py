@@ -23,13 +23,14 @@ A passage in a third of all documents costs a row per batch, not per document.
 
 from __future__ import annotations
 
+import atexit
 import struct
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -347,6 +348,12 @@ def _removal(window: int, buckets: int):
     return run
 
 
+def _forget(spark: SparkSession, table: str) -> None:
+    """Takes the batches' table out of the catalog when Python exits; results are read from it until then."""
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, batch_bytes: int = BATCH) -> DataFrame:
     """Removes repeated byte strings from every whole text.
 
@@ -368,6 +375,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     held = StructType.fromDDL("batch long, ids array<long>, texts array<binary>").add("rows", ArrayType(kind))
     batched = chosen.mapInArrow(_batches(batch_bytes), held)
     batched.write.bucketBy(parts, "batch").option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
+    atexit.register(_forget, spark, name)
     batches = spark.table(name)
 
     anchors = batches.mapInArrow(_anchor_rows(window, buckets), "bucket int, batch long, keys binary, several binary")
