@@ -14,9 +14,18 @@ from tabml.session import scratch_path
 
 
 def id_text(df: DataFrame, id_col: str, text_col: str, with_row: bool = False) -> DataFrame:
-    """The id (long) and the whole text (null: empty) under fixed names, and the whole row as a struct if asked for."""
-    row = [F.struct(*df.columns).alias("row")] if with_row else []
-    return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"), *row)
+    """The id (long) and the whole text (null: empty) under fixed names; or the id and the whole row as a struct."""
+    key = df[id_col].cast("long").alias("doc_id")
+    if with_row:
+        return df.select(key, F.struct(*df.columns).alias("row"))
+    return df.select(key, F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
+
+
+def texts_of(batch: pa.RecordBatch, text_col: str = "text") -> pa.Array:
+    """The texts of a batch of :func:`id_text`; those of whole rows come from the row (null: empty)."""
+    if "text" in batch.schema.names:
+        return batch.column("text")
+    return pa.compute.struct_field(batch.column("row"), text_col).cast(pa.string()).fill_null("")
 
 
 def schema_of(ddl: str, rows: DataFrame) -> StructType:
@@ -49,13 +58,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Record batches re-cut so that ``column`` holds about ``limit`` bytes each.
+def pieces(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches re-cut so that their texts hold about ``limit`` bytes each.
 
-    A single longer value is a batch of its own; nothing is cut inside a value.
+    A single longer text is a batch of its own; nothing is cut inside one.
     """
     for batch in batches:
-        col = batch.column(batch.schema.get_field_index(column))
+        col = batch.column(text_col) if text_col in batch.schema.names else texts_of(batch, text_col)
         if col.nbytes <= limit or batch.num_rows < 2:
             yield batch
             continue

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import id_text, pieces, schema_of, with_row_of
+from tabml.llm.common import id_text, pieces, schema_of, texts_of, with_row_of
 
 #: Bytes of a segment, and segments that are remembered per worker (a memory that is full becomes the old one).
-SEGMENT, MEMORY = 32, 250_000
+SEGMENT, MEMORY = 32, 200_000
 UNKNOWN = "und"
 
 
@@ -213,9 +213,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         pooled = np.empty((0, len(model.labels)), np.float32)
-        for b in pieces(batches, "text", 4 << 20):
+        for b in pieces(batches, text_col, 2 << 20):
             counts = []
-            for t in b.column("text").to_pylist():
+            for t in texts_of(b, text_col).to_pylist():
                 # a text has a letter if any of its characters is one
                 counts.append(segments(t) if t and model.labels and any(map(str.isalpha, t)) else None)
             new = list({s for c in counts if c for s in c if s not in known})

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import id_text, pieces, schema_of, with_row_of
+from tabml.llm.common import id_text, pieces, schema_of, texts_of, with_row_of
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER", "END"
 # General English words of each class.
@@ -45,6 +45,8 @@ NEGATION_REACH, TARGET_REACH = 2, 4
 FACTORS = {"targeted": 1.25, "negated": 0.25, "reported": 0.5}
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 _SHORTEST, _LONGEST = 4, 10
+#: Words that a worker remembers the class of; results don't depend on it.
+MEMORY = 200_000
 
 
 @dataclass(frozen=True)
@@ -125,7 +127,7 @@ class ToxicityModel:
             learned = max([self.words.get(word, 0.0), *(self.starts.get(word[:k], 0.0) for k in range(_SHORTEST, min(len(word), _LONGEST + 1)))])
             if learned > found[1]:
                 found = (INSULT, learned)
-            if len(self.memo) >= 300_000:
+            if len(self.memo) >= MEMORY:
                 self.memo.clear()
             self.memo[word] = found
         return found
@@ -256,9 +258,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("score", pa.float64()), ("words", pa.string())]))
         a, b, c = model.coef
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, text_col, 2 << 20):
             scores, matched = [], []
-            for t in batch.column("text").to_pylist():
+            for t in texts_of(batch, text_col).to_pylist():
                 found = model.clauses(t)
                 worst, total = (max(s for s, _ in found), math.log1p(sum(s for s, _ in found))) if found else (0.0, 0.0)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * worst + c * total)))))
