@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import id_text, pieces, stored
+from tabml.llm.common import id_text, pieces, shuffle_partitions, stored
 
 #: Documents of a pack, and packs of a round that meet in one pack of the next.
 PACK, MERGE = 8192, 8
@@ -160,7 +160,9 @@ def best_fit(items: DataFrame, capacity: int = 1024, pack_size: int = PACK) -> D
     now = short.select("uid", "length", "h", F.pmod("h", F.lit(packs)).alias("pack"), F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"), F.lit(False).alias("full"))
     done, level = [full], 0
     while True:
-        now = stored(now.groupBy("pack").applyInPandas(_packed(capacity, level, pack_size), now.schema), f"packing-{level}")
+        # a number of partitions: rows are small and the work on them is not, so merging by size would leave few tasks
+        dealt = now.repartition(min(packs, shuffle_partitions(items.sparkSession)), "pack")
+        now = stored(dealt.groupBy("pack").applyInPandas(_packed(capacity, level, pack_size), now.schema), f"packing-{level}")
         last = packs == 1
         done.append((now if last else now.filter("full")).select("uid", "sequence_id", "offset"))
         if last:
