@@ -22,7 +22,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import pieces, stored
+from tabml.llm.common import pieces, shuffle_partitions, stored
 from tabml.session import scratch_path
 
 #: Bytes after which a task begins the next archive, of a range at most, and of a gap that a range reads over.
@@ -176,7 +176,9 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
                 names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds)], names[:len(rows[0])])
 
-    chosen = index.select("archive", "offset", "length").repartition("archive", F.floor(F.col("offset") / PART)).sortWithinPartitions("archive", "offset")
+    # a number of partitions, since the rows are small and what they point at is not: merging by size would leave few tasks
+    parts = shuffle_partitions(index.sparkSession)
+    chosen = index.select("archive", "offset", "length").repartition(parts, "archive", F.floor(F.col("offset") / PART)).sortWithinPartitions("archive", "offset")
     return chosen.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string" + ", payload string" * payloads)
 
 
