@@ -232,14 +232,20 @@ def learn(samples: Iterable[tuple[str, int]], evidence: float = 18.0, ratio: flo
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: tuple[int, int] = (1200, 2400), sample_chars: int = 20_000) -> ToxicityModel:
-    """Learns from at most ``sample`` (toxic, clean) labelled documents, those with the smallest hash of the id.
+    """Learns from at most ``sample`` (toxic, clean) labelled documents, those with the smallest hash of the id modulo 2^20.
 
     The bounds hold for the fit alone, as does ``sample_chars``, the part of a
     sampled text that it reads. Rows without id, text or label are left out.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("y")).filter("k is not null and y is not null")
-    marked = marked.groupBy("k").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("k"))
-    chosen = [r for y, n in ((1, sample[0]), (0, sample[1])) for r in marked.filter(F.col("y") == y).orderBy("h", "k").limit(n).collect()]
+    marked = marked.filter("y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
+    marked = marked.withColumn("h", F.xxhash64("k")).withColumn("m", F.pmod("h", F.lit(1 << 20)))
+    given = {r.y: r.n for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    chosen = []
+    for y, n in ((1, sample[0]), (0, sample[1])):
+        # about four times as many by hash, so that a task sends a few rows however many it has
+        share = min(1.0, 4 * n / max(1, given.get(y, 0)))
+        chosen += marked.filter((F.col("y") == y) & (F.col("m") < math.ceil(share * (1 << 20)))).orderBy("m", "h", "k").limit(n).collect()
     if not chosen:
         return learn([])
     picked = docs.sparkSession.createDataFrame([(r.k, r.y) for r in chosen], "k long, y int")  # as many as ``sample`` says
