@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from tabml.llm.common import id_text, pieces
 
 MARK = "▁"
-#: Entries of each per-worker memory (runs, token pairs); results don't depend on them. When a memory is full it
-#: becomes the old one, and what is met again moves to the new one.
-MEMORY = 250_000
+#: Entries of the per-worker memories of runs and of token pairs; results don't depend on them. When that of runs is
+#: full it becomes the old one, and what is met again moves to the new one; that of pairs is emptied.
+MEMORY, PAIRS = 250_000, 1_000_000
 SHORT = 48
 
 
@@ -66,17 +66,25 @@ class PieceCodec:
 
     def _merged(self, text: str) -> list[str]:
         """Encoding by replayed merges, for the short joined texts of two tokens."""
-        parts = list(text)
+        parts, score = list(text), self.score.get
+        gain = [score(a + b) for a, b in zip(parts, parts[1:])]
         while True:
-            best = max(((s, -k) for k in range(len(parts) - 1) if (s := self.score.get(parts[k] + parts[k + 1])) is not None), default=None)
+            best, at = None, -1
+            for k, g in enumerate(gain):
+                if g is not None and (best is None or g > best):
+                    best, at = g, k
             if best is None:
                 return parts
-            k = -best[1]
-            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del gain[at]
+            if at:
+                gain[at - 1] = score(parts[at - 1] + parts[at])
+            if at < len(gain):
+                gain[at] = score(parts[at] + parts[at + 1])
 
     def _compatible(self, before: int, piece: int) -> bool:
         """Whether the token ``piece`` can follow the token ``before`` (-1: start, or a character without a piece)."""
-        if len(self.apart) >= MEMORY:
+        if len(self.apart) >= PAIRS:
             self.apart.clear()
         parts = [self.piece[piece]] if before < 0 else [self.piece[before], self.piece[piece]]
         ok = self.apart[(before << 16) + piece] = self._merged("".join(parts)) == parts
