@@ -5,8 +5,8 @@ The network reads the bytes of a segment (a run without white space, cut after
 document's probabilities are the mean over the positions of all its segments.
 Segments start from a zero state, so equal segments have equal labels and a
 worker computes each of them once. Weights are learned in numpy by
-backpropagation through time with Adam on a bounded sample of labelled
-documents.
+backpropagation through time with Adam on a bounded sample of the documents
+of each label.
 """
 
 from __future__ import annotations
@@ -183,22 +183,38 @@ def held_out(id_col: Column, modulus: int, rest: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % modulus == rest
 
 
+def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> DataFrame:
+    """v, l, t: the rows of each label with the smallest hash v of id and text, somewhat more than ``sample`` different ones if there are as many.
+
+    Rows without label, or whose text is null or blank, are left out. Every
+    other label has a row at least; the driver receives one row per label.
+    """
+    rows = docs.select(
+        F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 10).alias("v"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")
+    ).filter(F.col("l").isNotNull() & F.col("t").rlike(r"\S"))
+    given = rows.groupBy("l").agg(F.approx_count_distinct("v", 0.02).alias("n"), F.min("v").alias("first")).collect()
+    # a share with room for the spread of a draw and of the count
+    many = 1.1 * sample + 6 * math.sqrt(sample)
+    below = [(r.l, max(r.first + 1, math.ceil(min(1.0, many / max(1, r.n)) * (1 << 54)))) for r in given]
+    cuts = docs.sparkSession.createDataFrame(below, "l string, below long")
+    return rows.join(F.broadcast(cuts), "l").filter("v < below").select("v", "l", "t")
+
+
 def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 600, sample_chars: int = 4000, **train_args) -> LanguageModel:
-    """Trains on at most ``sample`` labelled rows: those with the smallest hash of the id modulo 2^20.
+    """Trains on at most ``sample`` different labelled rows of each label: those with the smallest hash of id and text.
 
-    The bound holds for the fit alone; of a sampled text the first
-    ``sample_chars`` are used there. Rows without text or language are left out.
+    Every label that has a text is learned, however rare. The bound holds for
+    the fit alone; of a sampled text the first ``sample_chars`` are used there.
+    Rows without label, or whose text is null or blank, are left out.
     """
-    labelled = docs.filter(F.col(lang_col).isNotNull())
-    # about four times as many by hash, so that a task sends a few rows however many it reads
-    share = min(1.0, 4 * sample / max(1, labelled.count()))
-    h = F.xxhash64(F.col(id_col))
-    m = F.pmod(h, F.lit(1 << 20))
-    rows = (
-        labelled.filter(m < math.ceil(share * (1 << 20))).select(m.alias("m"), h.alias("h"), F.substring(F.col(text_col), 1, sample_chars).alias("t"), F.col(lang_col).cast("string").alias("l"))
-        .filter("t is not null and t != ''").orderBy("m", "h", "t", "l").limit(sample).collect()
-    )
-    return train([(r.t, r.l) for r in rows], **train_args)
+    rows = _sampled(docs, id_col, text_col, lang_col, sample).dropDuplicates(["l", "v"]).select("l", "v", F.substring("t", 1, sample_chars).alias("t")).collect()
+    taken: Counter[str] = Counter()
+    samples = []
+    for r in sorted(rows, key=lambda r: (r.l, r.v)):
+        taken[r.l] += 1
+        if taken[r.l] <= sample:
+            samples.append((r.t, r.l))
+    return train(samples, **train_args)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:

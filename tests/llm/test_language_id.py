@@ -71,3 +71,27 @@ def test_query_on_held_out_documents(llm):
     held = [r for r in got if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.97
     assert QUERIES["op6_language_id"](llm, SF001).count() == 200
+
+
+def test_rare_labels_are_learned(llm):
+    words = {"en": "the thing with other", "de": "der und nicht schön", "rare": "zxq qzz xqx zzq"}
+    rows = [(k, f"{words[lang]} {k}", lang) for k in range(3000) for lang in [("en", "de")[k % 2]]]
+    rows += [(4000 + k, words["rare"], "rare") for k in range(3)] + [(5000 + k, t, "blank") for k, t in enumerate([None, "", " \t"] * 9)]
+    rows += [(None, words["rare"], None)] + [(6000, "one row again and again", "copies")] * 900 + [(None, f"ohne id {k}", "none") for k in range(900)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.fit_language_model(docs, sample=10, hidden=6, steps=150)
+    assert model.labels == ["copies", "de", "en", "none", "rare"]
+    got = language_id.predict_languages(docs.filter("lang in ('en', 'de', 'rare')"), model, with_row=True).collect()
+    assert sum(r.lang_pred == r.row.lang for r in got) > 0.97 * len(got) and all(r.lang_pred == "rare" for r in got if r.row.lang == "rare")
+    assert {lang: n for lang, n in zip(("en", "rare"), (10, 3))} == {lang: language_sample(docs, 10)[lang] for lang in ("en", "rare")}
+
+
+def language_sample(docs, sample):
+    """How many texts of each label the fit is given."""
+    given = {}
+    was, language_id.train = language_id.train, lambda samples, **_: [given.update({y: given.get(y, 0) + 1}) for _, y in samples]
+    try:
+        language_id.fit_language_model(docs, sample=sample)
+    finally:
+        language_id.train = was
+    return given
