@@ -217,6 +217,24 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return train(samples, **train_args)
 
 
+def least_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.01, part: float = 0.75, sample: int = 600) -> dict[str, float]:
+    """For each learned label the score from which on a long text counts as one of that language.
+
+    It lies ``part`` of the way from chance (one over the number of labels) to
+    the low ``quantile`` of the scores of rightly predicted labelled rows, and
+    nearer to chance the fewer they are (half of that with 10). About ``sample``
+    rows of each label are scored, whole; they must not be rows that the model
+    was fitted to. A label without such rows is left out. With a single label
+    every score is 1, and nothing can be told apart.
+    """
+    held = predict_languages(_sampled(docs, id_col, text_col, lang_col, sample), model, "v", "t", with_row=True)
+    scores: dict[str, list[float]] = {}
+    for r in held.filter("lang_pred = row.l").select("doc_id", "lang_pred", "score").distinct().collect():
+        scores.setdefault(r.lang_pred, []).append(r.score)
+    chance = 1 / max(1, len(model.labels))
+    return {lang: chance + part * len(x) / (len(x) + 10) * (float(np.quantile(x, quantile)) - chance) for lang, x in scores.items()}
+
+
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
     """doc_id, lang_pred, score (the pooled probability, 0 to 1) of every whole text, and the input row as ``row`` if asked for.
 

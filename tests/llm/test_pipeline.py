@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
@@ -87,3 +88,20 @@ def test_odd_and_empty_input(llm, odd, none, name):
         assert all(r.text and any(map(str.isalpha, r.text)) for r in out)
     if name == "simhash_near_dedup":
         assert sum(r.doc_id is None for r in out) == 2
+
+
+def test_language_stage_rejects_what_it_has_not_learned(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(2)
+    noise = [(10**9 + k, "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 600)), None) for k in range(40)]
+    for missing, hidden in ((None, 0), ("de", 0.8), ("fr", 0.7)):
+        # documents of the missing language are there, but not labelled
+        lang = F.when(~F.col("lang").eqNullSafe(missing), F.col("lang"))
+        rows = docs.select("doc_id", "text", lang.alias("lang"), F.col("lang").alias("truth")).union(llm.createDataFrame([(*r, "noise") for r in noise], "doc_id long, text string, lang string, truth string"))
+        given = {r.truth: r.n for r in rows.groupBy("truth").agg(F.count("*").alias("n")).collect()}
+        kept = {r.truth: r.n for r in P.language_stage(llm, rows, SF001).groupBy("truth").agg(F.count("*").alias("n")).collect()}
+        for truth, n in given.items():
+            if truth in ("noise", missing):
+                assert kept.get(truth, 0) <= (1 - hidden if truth == missing else 0.5) * n, (missing, truth, kept)
+            else:
+                assert kept[truth] >= 0.99 * n, (missing, truth, kept)
