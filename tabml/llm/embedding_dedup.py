@@ -143,7 +143,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.93, id_col: str =
     label = F.lit(0) if label_col is None else vectors[label_col]
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), label.cast("long").alias("label"), vectors[vector_col].cast("array<double>").alias("x"))
     usable = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & _usable(F.col("x"))
-    keyed = rows.withColumn("ok", usable).withColumn("h1", F.xxhash64("x", F.lit(1))).withColumn("h2", F.xxhash64("x", F.lit(2)))
+    keyed = rows.withColumn("ok", usable)
+    # the number comes first: a hash is the seed of the next column's, so behind x both would follow from one hash of x
+    keyed = keyed.withColumn("h1", F.xxhash64(F.lit(1), "x")).withColumn("h2", F.xxhash64(F.lit(2), "x"))
     same = ["label", "h1", "h2"]
     classes = keyed.filter("ok").groupBy(*same).agg(F.min("vec_id").alias("v"), F.count("*").alias("m"), F.min_by("x", "vec_id").alias("x"))
     classes = stored(classes.withColumn("dim", F.size("x")), "embedding-classes")

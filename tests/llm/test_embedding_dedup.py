@@ -69,3 +69,21 @@ def test_query_against_brute_force(llm):
     d = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in llm.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert sorted(map(tuple, QUERIES["op8_embeddings"](llm, d).collect()), key=str) == brute(rows)
+
+
+def test_vectors_of_equal_hash_stay_apart(llm):
+    one, two, end, top = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x27D4EB2F165667C5, (1 << 64) - 1
+    bits = lambda x: int(np.float64(x).view(np.uint64))
+    turn = lambda x, k: (x << k | x >> 64 - k) & top
+    pairs = [(1.0, 0.5), *((-1.0 - k / 1000, 1.0) for k in range(4000))]
+    seeds = [r.h % (1 << 64) for r in llm.createDataFrame(pairs, "x double, y double").selectExpr("xxhash64(array(x)) h").collect()]
+    # xxhash64 of a long can be solved for the long: a second component that gives the hash of the first pair
+    want = (seeds[0] + end + 8) & top ^ turn(bits(0.5) * two & top, 31) * one & top
+    for (x, _), seed in zip(pairs[1:], seeds[1:], strict=True):
+        k1 = want ^ (seed + end + 8) & top
+        y = float(np.uint64(turn(k1 * pow(one, -1, 1 << 64) & top, 33) * pow(two, -1, 1 << 64) & top).view(np.float64))
+        if 1e-3 < abs(y) < 1e3:
+            break
+    df = llm.createDataFrame([(1, [1.0, 0.5], 0), (2, [x, y], 0)], "vec_id long, embedding array<double>, label int")
+    assert df.selectExpr("xxhash64(embedding) h").distinct().count() == 1
+    assert sorted(map(tuple, embedding_dedup.embedding_groups(df, threshold=0.999).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
