@@ -235,7 +235,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """Learns from at most ``sample`` (toxic, clean) labelled documents, those with the smallest hash of the id modulo 2^20.
 
     The bounds hold for the fit alone, as does ``sample_chars``, the part of a
-    sampled text that it reads. Rows without id, text or label are left out.
+    sampled text that it reads. Of the texts of a repeated id the one with the
+    smallest hash counts. Rows without id, text or label are left out.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("y")).filter("k is not null and y is not null")
     marked = marked.filter("y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
@@ -250,7 +251,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         return learn([])
     picked = docs.sparkSession.createDataFrame([(r.k, r.y) for r in chosen], "k long, y int")  # as many as ``sample`` says
     texts = docs.select(F.col(id_col).cast("long").alias("k"), F.substring(F.col(text_col), 1, sample_chars).alias("t"))
-    rows = texts.filter("t is not null").join(F.broadcast(picked), "k").select("k", "t", "y").collect()
+    # one text of each id: a task sends one however often the id is repeated
+    rows = texts.filter("t is not null").join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")).collect()
     return learn((r.t, r.y) for r in sorted(rows, key=lambda r: (r.k, r.t)))
 
 

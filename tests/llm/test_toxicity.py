@@ -72,3 +72,12 @@ def test_query_on_held_out_labels(llm):
     bad, good = [s for s, y in held if y], [s for s, y in held if not y]
     assert sum(s >= 0.5 for s in bad) / len(bad) > 0.85 and sum(s >= 0.5 for s in good) / len(good) < 0.03
     assert sum((p > n) + (p == n) / 2 for p in bad for n in good) / len(bad) / len(good) > 0.95
+
+
+def test_a_repeated_id_is_one_sample(llm, monkeypatch):
+    docs = llm.createDataFrame([(k % 3, f"text {k}") for k in range(90)], "doc_id long, text string").repartition(6)
+    labels = llm.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    given = []
+    monkeypatch.setattr(toxicity, "learn", lambda samples: given.extend(samples))
+    toxicity.fit_toxicity(docs, labels)
+    assert sorted(y for _, y in given) == [0, 0, 1]
