@@ -41,15 +41,15 @@ def with_row_of(batch: pa.RecordBatch, columns: list[pa.Array], names: list[str]
     return pa.RecordBatch.from_arrays(columns + more[0], names + more[1])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 
     Cuts the lineage like ``checkpoint()``, survives lost executors, and the
-    planner knows the size of what it reads.
+    planner knows the size of what it reads. ``compression``: default the session's.
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

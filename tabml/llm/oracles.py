@@ -71,4 +71,24 @@ n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
-ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8}
+
+OP13 = f"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, m, array_to_string(ws[i + 1:i + m], ' ') AS phrase FROM (
+    SELECT lang, ws, m, unnest(range(len(ws) - m + 1)) AS i FROM p, (VALUES (1), (2), (3), (4)) s(m) WHERE len(ws) >= m)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+inside AS (SELECT lang, array_to_string(ws[i + 1:i + j], ' ') AS phrase, max(a) AS within FROM (
+    SELECT lang, m, a, ws, j, unnest(range(m - j + 1)) AS i FROM c, (VALUES (2), (3)) s(j) WHERE j < m) GROUP BY ALL),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+scored AS (SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, CAST((CAST(a AS HUGEINT) * 2000000) // (x.f + y.f) AS BIGINT) AS score FROM cuts
+    JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE within IS NULL OR 100 * within < 80 * a)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8, "op13_collocations": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
+from tabml.llm import collocations, embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
 from tabml.llm.common import ship
 from tabml.llm.oracles import ORACLE  # noqa: F401 - for the entry
 
@@ -102,3 +102,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000)
