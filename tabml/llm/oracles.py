@@ -72,6 +72,25 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id =
 """
 
 
+def _words(text: str, word: str = WORD) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{word}')"
+
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, {_words('text')} AS w FROM documents),
+i AS (SELECT item_id, {_words('text')} AS w FROM benchmark),
+k AS (SELECT item_id, s, array_to_string(w[j + 1:j + s], ' ') AS z FROM (
+    SELECT item_id, w, least(len(w), 10) AS s, unnest(range(len(w) - least(len(w), 10) + 1)) AS j FROM i WHERE len(w) > 0)),
+g AS (SELECT doc_id, s, j, array_to_string(w[j + 1:j + s], ' ') AS z FROM (
+    SELECT doc_id, w, s, unnest(range(len(w) - s + 1)) AS j FROM d, (SELECT DISTINCT s FROM k) WHERE len(w) >= s)),
+hit AS (SELECT DISTINCT doc_id, s, j, item_id FROM g JOIN k USING (s, z)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(j, j + s)) AS p FROM hit) GROUP BY doc_id),
+m AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
 OP13 = f"""
 WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM (
     SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
@@ -91,4 +110,4 @@ ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DES
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
 
-ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8, "op13_collocations": OP13}
+ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8, "op12_decontamination": OP12, "op13_collocations": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import collocations, embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
+from tabml.llm import collocations, decontamination, embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
 from tabml.llm.common import ship
 from tabml.llm.oracles import ORACLE  # noqa: F401 - for the entry
 
@@ -104,6 +104,14 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                      (F.size("spans") > 0).alias("contaminated"))
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), least=30, longest=4, top=2000)
