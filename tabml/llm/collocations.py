@@ -23,22 +23,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabml.llm.common import stored
-from tabml.llm.words import Sieve, byte_table, cut, make_sieve, mixed, words_of
+from tabml.llm.words import Sieve, byte_table, cut, hashes, make_sieve, mixed, words_of
 
 #: Words are separated by blanks and tabs, pieces by punctuation and line ends.
 TABLE = byte_table(lambda b: b in (0x20, 0x09), b".,;:!?\n\x0b\x0c\r")
-#: Text of a block, and its documents.
-BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 65_536
+#: Text of a block; a worker holds a few of them, one for each language that it meets.
+BLOCK_BYTES, BLOCKS_HELD, BATCH_ROWS = 8 << 20, 4, 65_536
 #: Rows of a batch that a worker returns.
 ROWS = 65_536
 
-_RELATION = "block long, lang string, gaps binary, words binary, word_ids binary, starts binary, grams binary, gram_ids binary"
+# word and group numbers within a block point into the ids; without grams, words are the groups and every row starts one
+_RELATION = "block long, lang string, gaps binary, words binary, word_ids binary, heads binary, grams binary, gram_ids binary"
 _FIRST = "block long, lang string, gaps binary, words binary, n_words long, distinct array<string>, counts array<long>"
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    return pa.schema([(name, _KINDS[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+
+
+def _small(n: int) -> type:
+    """What holds the numbers below n."""
+    return np.uint16 if n <= 1 << 16 else np.int32
 
 
 def _blob(x: np.ndarray, kind: type) -> bytes:
@@ -47,66 +59,102 @@ def _blob(x: np.ndarray, kind: type) -> bytes:
 
 def _gaps(position: np.ndarray, far: int) -> np.ndarray:
     """Steps between positions that rise, ``far`` before the first; a step of ``far`` or more is as good as any other."""
-    return np.minimum(np.diff(position, prepend=-far), far).astype(np.uint8)
+    return np.minimum(np.diff(position, prepend=-far), far)
 
 
 def _positions(gaps: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(gaps, np.uint8).astype(np.int64))
+    return np.cumsum(np.frombuffer(gaps, np.uint8), dtype=np.int64)
+
+
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """One at a time: each holds megabytes."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _word_blocks(far: int):
-    """The words of the texts of each language, as one block per batch and language."""
+    """The words of the texts of each language, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for batch in cut(batches, BLOCK_BYTES, BLOCK_ROWS):
+        held: dict[str, list[pa.Array]] = {}
+        size: dict[str, int] = {}
+
+        def packed(lang: str) -> Iterator[pa.RecordBatch]:
+            nonlocal block
+            w = words_of(pa.concat_arrays(held.pop(lang)), TABLE)
+            del size[lang]
+            if not len(w.code):
+                return
+            # one step within a piece, at least ``far`` between pieces
+            position = np.arange(len(w.code)) + far * np.cumsum(np.diff(w.piece, prepend=w.piece[0]) > 0)
+            counts = np.bincount(w.code, minlength=len(w.distinct))
+            ends = pa.array([0, len(counts)], pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block]), pa.array([lang], pa.string()), pa.array([_blob(_gaps(position, far), np.uint8)]), pa.array([_blob(w.code, _small(len(counts)))]),
+                pa.array([len(w.code)]), pa.ListArray.from_arrays(ends, w.distinct), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
+            ], schema=_arrow(_FIRST))
+            block += 1
+
+        for batch in cut(batches, BLOCK_BYTES, BATCH_ROWS):
             langs = batch.column("lang").dictionary_encode()
-            of, names = langs.indices.to_numpy(zero_copy_only=False), langs.dictionary.to_pylist()
-            for i, lang in enumerate(names):
-                w = words_of(batch.column("text").filter(pa.array(of == i)), TABLE)
-                if not len(w.code):
-                    continue
-                # one step within a piece, at least ``far`` between pieces
-                position = np.arange(len(w.code)) + far * (np.cumsum(np.diff(w.piece, prepend=w.piece[0]) > 0))
-                counts = np.bincount(w.code, minlength=len(w.distinct))
-                yield pa.RecordBatch.from_pylist([{
-                    "block": block, "lang": lang, "gaps": _blob(_gaps(position, far), np.uint8), "words": _blob(w.code, np.int32), "n_words": len(w.code),
-                    "distinct": w.distinct.to_pylist(), "counts": counts.tolist()}], schema=_arrow(_FIRST))
-                block += 1
+            of = langs.indices.to_numpy(zero_copy_only=False)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                texts = batch.column("text").filter(pa.array(of == i))
+                held.setdefault(lang, []).append(texts)
+                size[lang] = size.get(lang, 0) + texts.nbytes
+                if size[lang] >= BLOCK_BYTES:
+                    yield from packed(lang)
+            while sum(size.values()) > BLOCKS_HELD * BLOCK_BYTES:
+                yield from packed(max(size, key=size.get))
+        for lang in list(held):
+            yield from packed(lang)
 
     return run
 
 
-def _arrow(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
-    return pa.schema([(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(", "))])
+def _word_hash(lang: str, words: pa.Array) -> np.ndarray:
+    return hashes(words, xxhash.xxh64_intdigest(lang) & 0xFFFFFFFF)
 
 
-def _ids(table: pa.Table, key: str, size: int) -> np.ndarray:
-    """The number of each of a block's own groups; -1 for those that aren't frequent."""
-    out = np.full(size, -1, np.int64)
-    out[table.column(key).to_numpy()] = table.column("id").to_numpy()
-    return out
+def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        of = langs.indices.to_numpy(zero_copy_only=False)
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            h = _word_hash(lang, batch.column("phrase").filter(pa.array(of == i)))
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64))})
+
+
+def _likely_words(sieve: Sieve):
+    """The words of each block that pass the sieve."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words, lang = batch.column("distinct")[i].values, batch.column("lang")[i].as_py()
+                code = pa.array(np.flatnonzero(sieve.passes(_word_hash(lang, words))))
+                yield pa.RecordBatch.from_arrays([
+                    pa.repeat(batch.column("block")[i], len(code)), pa.repeat(lang, len(code)), code, words.take(code)], ["of", "lang", "code", "phrase"])
+
+    return run
 
 
 def _number_words(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The relation of a block's frequent words: both the words and the first groups."""
+    """The relation of a block's frequent words."""
     rows = []
-    for row in left.to_pylist():
-        code = np.frombuffer(row["words"], np.int32)
-        size = int(code.max()) + 1
-        ids = _ids(right, "code", size)
+    for row in _rows(left):
+        code = np.frombuffer(row["words"], _small(row["distinct"]))
+        ids = np.full(row["distinct"], -1, np.int64)  # -1: not frequent
+        ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
         kept = np.flatnonzero(ids >= 0)
-        local = np.full(size, -1, np.int32)
+        local = np.full(len(ids), -1, np.int32)
         local[kept] = np.arange(len(kept))
         word = local[code]
         there = word >= 0
-        position, word = _positions(row["gaps"])[there], word[there]
-        far = row["gaps"][0]
-        blob = _blob(word, np.int32)
-        if len(word):
-            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(position, far), np.uint8), "words": blob, "word_ids": _blob(ids[kept], np.int64),
-                         "starts": _blob(np.arange(len(word)), np.int32), "grams": blob, "gram_ids": _blob(ids[kept], np.int64)})
+        if there.any():
+            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(_positions(row["gaps"])[there], row["gaps"][0]), np.uint8),
+                         "words": _blob(word[there], _small(len(kept))), "word_ids": _blob(ids[kept], np.int64), "heads": b"", "grams": b"", "gram_ids": b""})
     return pa.Table.from_pylist(rows, schema=_arrow(_RELATION))
 
 
@@ -114,10 +162,15 @@ class _Relation:
     """A block's words by position, and its groups of ``k`` words by the place of their first word."""
 
     def __init__(self, row: dict, k: int):
-        self.row, self.k = row, k
-        self.position = _positions(row["gaps"])
-        self.word, self.word_id = np.frombuffer(row["words"], np.int32), np.frombuffer(row["word_ids"], np.int64)
-        self.start, self.gram, self.gram_id = np.frombuffer(row["starts"], np.int32), np.frombuffer(row["grams"], np.int32), np.frombuffer(row["gram_ids"], np.int64)
+        self.k, self.position = k, _positions(row["gaps"])
+        self.word_id = np.frombuffer(row["word_ids"], np.int64)
+        self.word = np.frombuffer(row["words"], _small(len(self.word_id)))
+        if k == 1:
+            self.start, self.gram, self.gram_id = np.arange(len(self.word)), self.word, self.word_id
+        else:
+            self.gram_id = np.frombuffer(row["gram_ids"], np.int64)
+            self.start = np.flatnonzero(np.frombuffer(row["heads"], np.uint8))
+            self.gram = np.frombuffer(row["grams"], _small(len(self.gram_id)))
 
     def extended(self) -> tuple[np.ndarray, np.ndarray]:
         """Merge join: (row of the group, row of the word) where the word follows the group in its piece,
@@ -150,7 +203,7 @@ def _batches(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
 def _count_groups(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 _, pre, last, n = _Relation(row, k).groups()
                 yield from _batches({"pre": pre, "last": last, "n": n})
 
@@ -172,7 +225,7 @@ def _likely_groups(k: int, sieve: Sieve):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 key, pre, last, _ = _Relation(row, k).groups()
                 ok = sieve.passes(_pair_hash(pre, last))
                 yield from _batches({"block": np.full(int(ok.sum()), row["block"]), "code": key[ok], "pre": pre[ok], "last": last[ok]})
@@ -185,7 +238,7 @@ def _keep_groups(k: int):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
-        for row in left.to_pylist():
+        for row in _rows(left):
             r = _Relation(row, k)
             code, ids = right.column("code").to_numpy(), right.column("id").to_numpy()
             order = np.argsort(code)
@@ -203,9 +256,11 @@ def _keep_groups(k: int):
             np.add.at(edge, start + k + 1, -1)
             covered = np.cumsum(edge)[: len(r.word)] > 0
             place = np.cumsum(covered) - 1
-            far = row["gaps"][0]
-            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(r.position[covered], far), np.uint8), "words": _blob(r.word[covered], np.int32),
-                         "word_ids": row["word_ids"], "starts": _blob(place[start], np.int32), "grams": _blob(gram, np.int32), "gram_ids": _blob(ids, np.int64)})
+            heads = np.zeros(int(covered.sum()), np.uint8)
+            heads[place[start]] = 1
+            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(r.position[covered], row["gaps"][0]), np.uint8),
+                         "words": _blob(r.word[covered], _small(len(r.word_id))), "word_ids": row["word_ids"], "heads": heads.tobytes(),
+                         "grams": _blob(gram, _small(len(ids))), "gram_ids": _blob(ids, np.int64)})
         return pa.Table.from_pylist(rows, schema=_arrow(_RELATION))
 
     return run
@@ -222,12 +277,13 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_co
     far = longest + 1
     first = stored(texts.mapInArrow(_word_blocks(far), _FIRST), "setm-words", compression="zstd")
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    entries = first.select("block", "lang", F.posexplode(F.arrays_zip("distinct", "counts")).alias("code", "e"))
-    entries = entries.select("block", "lang", F.col("code").cast("long").alias("code"), F.col("e.distinct").alias("phrase"), F.col("e.counts").alias("n"))
+    entries = first.select("lang", F.explode(F.arrays_zip("distinct", "counts")).alias("e")).select("lang", F.col("e.distinct").alias("phrase"), F.col("e.counts").alias("n"))
     often = entries.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     words = stored(often.select(F.monotonically_increasing_id().alias("id"), "lang", F.lit(1).alias("len"), "phrase", "f"), "setm-frequent")
-    numbered = entries.select("block", "lang", "code", "phrase").join(words.select("lang", "phrase", "id"), ["lang", "phrase"]).select(F.col("block").alias("of"), "code", "id")
-    relation = first.select("block", "lang", "gaps", "words").groupBy("block").cogroup(numbered.groupBy("of")).applyInArrow(_number_words, _RELATION)
+    sieve = make_sieve(words.select("lang", "phrase").mapInArrow(_hash_words, "h long"))
+    numbered = first.select("block", "lang", "distinct").mapInArrow(_likely_words(sieve), "of long, lang string, code long, phrase string")
+    numbered = numbered.join(words.select("lang", "phrase", "id"), ["lang", "phrase"]).select("of", "code", "id")
+    relation = first.select("block", "lang", "gaps", "words", F.size("distinct").alias("distinct")).groupBy("block").cogroup(numbered.groupBy("of")).applyInArrow(_number_words, _RELATION)
     relation = stored(relation, "setm-1", compression="zstd")
     found, before = words, words
     for k in range(1, longest):
