@@ -6,15 +6,14 @@ in the order of the text. For each length
 
 1. the relation of the occurrences so far is merge-joined with that of the
    words, by piece and adjacent position, within each block;
-2. the joined rows are counted by group (earlier group, next word): each block
+2. the joined rows are counted by group (the words of the earlier group, and the next): each block
    counts its own, and a grouped sum adds the blocks up;
-3. groups that occur often enough are stored with a number, and the blocks'
-   groups are semi-joined with them; what is left of the relation is persisted
-   and extended next.
+3. groups that occur often enough are stored, each block's occurrences are
+   semi-joined with them, and what is left is persisted and extended next.
 
-Groups are known by exact numbers (of the earlier group, of the next word), never by
-hashes. A sieve of bounded size (``words.Sieve``) keeps most groups that can't be
-frequent out of the join with the frequent ones; it decides nothing.
+The semi-join is one with a Bloom filter of bounded size (``words.Sieve``), so occurrences stay where they are. It loses no
+frequent group; one that it passes wrongly is counted again with its next word and can't be frequent then, as no group is more
+frequent than a part of it. Words are known by hashes that are checked to differ.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +36,10 @@ BLOCK_BYTES, BLOCKS_HELD, BATCH_ROWS = 8 << 20, 4, 65_536
 #: Rows of a batch that a worker returns.
 ROWS = 65_536
 
-# word and group numbers within a block point into the ids; without grams, words are the groups and every row starts one
-_RELATION = "block long, lang string, gaps binary, words binary, word_ids binary, heads binary, grams binary, gram_ids binary"
-_FIRST = "block long, lang string, gaps binary, words binary, n_words long, distinct array<string>, counts array<long>"
+# words are numbers within a block, of a place in word_ids; groups are numbers of a row of parts (their words); heads marks
+# where a group starts. Without parts, each word is a group
+_RELATION = "lang string, gaps binary, words binary, word_ids binary, heads binary, grams binary, parts binary"
+_FIRST = "lang string, gaps binary, words binary, n_words long, distinct array<string>, counts array<long>"
 _KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
 
 
@@ -76,12 +75,10 @@ def _word_blocks(far: int):
     """The words of the texts of each language, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
         held: dict[str, list[pa.Array]] = {}
         size: dict[str, int] = {}
 
         def packed(lang: str) -> Iterator[pa.RecordBatch]:
-            nonlocal block
             w = words_of(pa.concat_arrays(held.pop(lang)), TABLE)
             del size[lang]
             if not len(w.code):
@@ -91,10 +88,9 @@ def _word_blocks(far: int):
             counts = np.bincount(w.code, minlength=len(w.distinct))
             ends = pa.array([0, len(counts)], pa.int32())
             yield pa.RecordBatch.from_arrays([
-                pa.array([block]), pa.array([lang], pa.string()), pa.array([_blob(_gaps(position, far), np.uint8)]), pa.array([_blob(w.code, _small(len(counts)))]),
+                pa.array([lang], pa.string()), pa.array([_blob(_gaps(position, far), np.uint8)]), pa.array([_blob(w.code, _small(len(counts)))]),
                 pa.array([len(w.code)]), pa.ListArray.from_arrays(ends, w.distinct), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())),
             ], schema=_arrow(_FIRST))
-            block += 1
 
         for batch in cut(batches, BLOCK_BYTES, BATCH_ROWS):
             langs = batch.column("lang").dictionary_encode()
@@ -113,68 +109,107 @@ def _word_blocks(far: int):
     return run
 
 
-def _word_hash(lang: str, words: pa.Array) -> np.ndarray:
-    return hashes(words, xxhash.xxh64_intdigest(lang) & 0xFFFFFFFF)
+def _word_hash(lang: str, words: pa.Array, seed: int) -> np.ndarray:
+    return hashes(words, xxhash.xxh64_intdigest(lang, seed) & 0xFFFFFFFF)
 
 
-def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs = batch.column("lang").dictionary_encode()
-        of = langs.indices.to_numpy(zero_copy_only=False)
-        for i, lang in enumerate(langs.dictionary.to_pylist()):
-            h = _word_hash(lang, batch.column("phrase").filter(pa.array(of == i)))
-            yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64))})
+def _block_words(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, pa.Array, np.ndarray, pa.Array]]:
+    """(language, words, their hashes, their occurrences) of each block."""
+    for i in range(batch.num_rows):
+        lang, words = batch.column("lang")[i].as_py(), batch.column("distinct")[i].values
+        yield lang, words, _word_hash(lang, words, seed), batch.column("counts")[i].values
+
+
+def _count_words(seed: int):
+    """The words of each block under their hashes, with another hash to tell those of different words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words, h, n in _block_words(batch, seed):
+                other = _word_hash(lang, words, seed + 1_000_003)
+                full = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(other.view(np.int64)), n], ["h", "other", "n"])
+                for at in range(0, len(h), ROWS):
+                    yield full.slice(at, ROWS)
+
+    return run
+
+
+def _spell(sieve: Sieve, seed: int):
+    """The words that pass the sieve, with their letters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, words, h, _ in _block_words(batch, seed):
+                ok = sieve.passes(h)
+                yield pa.RecordBatch.from_arrays([pa.array(h[ok].view(np.int64)), pa.repeat(lang, int(ok.sum())), words.filter(pa.array(ok))], ["h", "lang", "phrase"])
+
+    return run
 
 
-def _likely_words(sieve: Sieve):
-    """The words of each block that pass the sieve."""
+def _frequent_words(first: DataFrame, least: int) -> tuple[DataFrame, Sieve, int]:
+    """(h, lang, phrase, f) of the words that occur ``least`` times, their sieve, and the seed of their hashes.
+
+    Words are known by their hashes from here on, so they are tried out: under a seed that gives a frequent word
+    and any other of any language the same hash (by a second hash of 64 bits), the next one is taken.
+    """
+    seed = 0
+    while True:
+        counts = first.select("lang", "distinct", "counts").mapInArrow(_count_words(seed), "h long, other long, n long").groupBy("h")
+        often = counts.agg(F.sum("n").alias("f"), F.min("other").alias("one"), F.max("other").alias("other")).filter(F.col("f") >= least)
+        often = stored(often, "setm-words-often")
+        if often.filter("one != other").isEmpty():
+            break
+        seed += 1
+    sieve = make_sieve(often)
+    letters = first.select("lang", "distinct", "counts").mapInArrow(_spell(sieve, seed), "h long, lang string, phrase string").distinct()
+    return stored(often.select("h", "f").join(letters, "h"), "setm-frequent"), sieve, seed
+
+
+def _first_relation(sieve: Sieve, seed: int):
+    """A block's occurrences of the words that pass the sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                words, lang = batch.column("distinct")[i].values, batch.column("lang")[i].as_py()
-                code = pa.array(np.flatnonzero(sieve.passes(_word_hash(lang, words))))
-                yield pa.RecordBatch.from_arrays([
-                    pa.repeat(batch.column("block")[i], len(code)), pa.repeat(lang, len(code)), code, words.take(code)], ["of", "lang", "code", "phrase"])
+            for i, (lang, _, h, _) in enumerate(_block_words(batch, seed)):
+                kept = np.flatnonzero(sieve.passes(h))
+                local = np.full(len(h), -1, np.int32)
+                local[kept] = np.arange(len(kept))
+                word = local[np.frombuffer(batch.column("words")[i].as_py(), _small(len(h)))]
+                gaps, there = batch.column("gaps")[i].as_py(), word >= 0
+                if there.any():
+                    yield _packed(lang, _gaps(_positions(gaps)[there], gaps[0]), word[there], h[kept])
 
     return run
 
 
-def _number_words(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The relation of a block's frequent words."""
-    rows = []
-    for row in _rows(left):
-        code = np.frombuffer(row["words"], _small(row["distinct"]))
-        ids = np.full(row["distinct"], -1, np.int64)  # -1: not frequent
-        ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
-        kept = np.flatnonzero(ids >= 0)
-        local = np.full(len(ids), -1, np.int32)
-        local[kept] = np.arange(len(kept))
-        word = local[code]
-        there = word >= 0
-        if there.any():
-            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(_positions(row["gaps"])[there], row["gaps"][0]), np.uint8),
-                         "words": _blob(word[there], _small(len(kept))), "word_ids": _blob(ids[kept], np.int64), "heads": b"", "grams": b"", "gram_ids": b""})
-    return pa.Table.from_pylist(rows, schema=_arrow(_RELATION))
+def _packed(lang: str, gaps: np.ndarray, word: np.ndarray, word_id: np.ndarray, heads: np.ndarray | None = None, gram: np.ndarray | None = None,
+            parts: np.ndarray | None = None) -> pa.RecordBatch:
+    """A block's relation as a row."""
+    some = parts is not None
+    return pa.RecordBatch.from_pylist([{
+        "lang": lang, "gaps": _blob(gaps, np.uint8), "words": _blob(word, _small(len(word_id))), "word_ids": _blob(word_id, np.uint64),
+        "heads": _blob(heads, np.uint8) if some else b"", "grams": _blob(gram, _small(len(parts))) if some else b"", "parts": _blob(parts, _small(len(word_id))) if some else b"",
+    }], schema=_arrow(_RELATION))
 
 
 class _Relation:
     """A block's words by position, and its groups of ``k`` words by the place of their first word."""
 
     def __init__(self, row: dict, k: int):
-        self.k, self.position = k, _positions(row["gaps"])
-        self.word_id = np.frombuffer(row["word_ids"], np.int64)
-        self.word = np.frombuffer(row["words"], _small(len(self.word_id)))
+        self.k, self.lang, self.far, self.position = k, row["lang"], row["gaps"][0], _positions(row["gaps"])
+        self.word_id = np.frombuffer(row["word_ids"], np.uint64)
+        n, kind = len(self.word_id), _small(len(self.word_id))
+        self.word = np.frombuffer(row["words"], kind)
         if k == 1:
-            self.start, self.gram, self.gram_id = np.arange(len(self.word)), self.word, self.word_id
+            self.start, self.gram, self.parts = np.arange(len(self.word)), self.word, np.arange(n).reshape(n, 1)
         else:
-            self.gram_id = np.frombuffer(row["gram_ids"], np.int64)
+            self.parts = np.frombuffer(row["parts"], kind).reshape(-1, k)
             self.start = np.flatnonzero(np.frombuffer(row["heads"], np.uint8))
-            self.gram = np.frombuffer(row["grams"], _small(len(self.gram_id)))
+            self.gram = np.frombuffer(row["grams"], _small(len(self.parts)))
 
     def extended(self) -> tuple[np.ndarray, np.ndarray]:
         """Merge join: (row of the group, row of the word) where the word follows the group in its piece,
-        and the group's other words with it are a frequent group as well."""
+        and the group's other words with it are a group as well."""
         after = self.position[self.start] + self.k
         at = np.searchsorted(self.position, after)
         found = at < len(self.position)
@@ -188,80 +223,69 @@ class _Relation:
     def keys(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
         return self.gram[rows].astype(np.int64) * len(self.word_id) + self.word[at]
 
-    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(key in the block, number of the earlier group, number of the next word, occurrences) of each longer group."""
-        key, n = np.unique(self.keys(*self.extended()), return_counts=True)
-        return key, self.gram_id[key // max(1, len(self.word_id))], self.word_id[key % max(1, len(self.word_id))], n
-
-
-def _batches(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    batch = pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()})
-    for at in range(0, batch.num_rows, ROWS):
-        yield batch.slice(at, ROWS)
+    def longer(self, key: np.ndarray) -> np.ndarray:
+        """The words, by their numbers in the block, of groups of k + 1 words."""
+        n = max(1, len(self.word_id))
+        return np.concatenate([self.parts[key // n], (key % n)[:, None]], axis=1)
+
+    def kept(self, sieve: Sieve) -> pa.RecordBatch | None:
+        """The occurrences of the longer groups that pass the sieve, and the words that these cover."""
+        rows, at = self.extended()
+        key, of = np.unique(self.keys(rows, at), return_inverse=True)
+        parts = self.longer(key)
+        ok = sieve.passes(_group_hash(self.word_id[parts].T))
+        start, gram = self.start[rows[ok[of]]], (np.cumsum(ok) - 1)[of[ok[of]]]
+        if not len(start):
+            return None
+        edge = np.zeros(len(self.word) + 1, np.int64)
+        np.add.at(edge, start, 1)
+        np.add.at(edge, start + self.k + 1, -1)
+        covered = np.cumsum(edge)[:-1] > 0
+        heads = np.zeros(len(self.word), np.uint8)
+        heads[start] = 1
+        return _packed(self.lang, _gaps(self.position[covered], self.far), self.word[covered], self.word_id, heads[covered], gram, parts[ok])
 
 
 def _count_groups(k: int):
+    """(the hashes of its words, occurrences) of each block's groups of k + 1 words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                _, pre, last, n = _Relation(row, k).groups()
-                yield from _batches({"pre": pre, "last": last, "n": n})
+                r = _Relation(row, k)
+                key, n = np.unique(r.keys(*r.extended()), return_counts=True)
+                for at in range(0, len(key), ROWS):
+                    ids = r.word_id[r.longer(key[at: at + ROWS])].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in ids.T), pa.array(n[at: at + ROWS], pa.int64())], [*_words(k + 1), "n"])
 
     return run
 
 
-def _pair_hash(pre: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return mixed(mixed(pre.view(np.uint64)) ^ last.view(np.uint64))
+def _words(k: int) -> list[str]:
+    return [f"w{i}" for i in range(k)]
+
+
+def _group_hash(ids: np.ndarray) -> np.ndarray:
+    """One hash of the words' hashes, given word by word."""
+    h = mixed(ids[0])
+    for x in ids[1:]:
+        h = mixed(h ^ x)
+    return h
 
 
 def _hash_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        h = _pair_hash(batch.column("pre").to_numpy(), batch.column("last").to_numpy())
+        h = _group_hash([c.to_numpy().view(np.uint64) for c in batch.columns])
         yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64))})
 
 
-def _likely_groups(k: int, sieve: Sieve):
-    """The groups of each block that pass the sieve."""
-
+def _keep_groups(k: int, sieve: Sieve):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
-                key, pre, last, _ = _Relation(row, k).groups()
-                ok = sieve.passes(_pair_hash(pre, last))
-                yield from _batches({"block": np.full(int(ok.sum()), row["block"]), "code": key[ok], "pre": pre[ok], "last": last[ok]})
-
-    return run
-
-
-def _keep_groups(k: int):
-    """A block's occurrences of the frequent groups of k + 1 words, and the words that these cover."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = []
-        for row in _rows(left):
-            r = _Relation(row, k)
-            code, ids = right.column("code").to_numpy(), right.column("id").to_numpy()
-            order = np.argsort(code)
-            code, ids = code[order], ids[order]
-            held, at = r.extended()
-            key = r.keys(held, at)
-            gram = np.searchsorted(code, key)
-            ok = gram < len(code)
-            ok[ok] = code[gram[ok]] == key[ok]
-            start, gram = r.start[held[ok]].astype(np.int64), gram[ok]
-            if not len(start):
-                continue
-            edge = np.zeros(len(r.word) + k + 2, np.int64)
-            np.add.at(edge, start, 1)
-            np.add.at(edge, start + k + 1, -1)
-            covered = np.cumsum(edge)[: len(r.word)] > 0
-            place = np.cumsum(covered) - 1
-            heads = np.zeros(int(covered.sum()), np.uint8)
-            heads[place[start]] = 1
-            rows.append({"block": row["block"], "lang": row["lang"], "gaps": _blob(_gaps(r.position[covered], row["gaps"][0]), np.uint8),
-                         "words": _blob(r.word[covered], _small(len(r.word_id))), "word_ids": row["word_ids"], "heads": heads.tobytes(),
-                         "grams": _blob(gram, _small(len(ids))), "gram_ids": _blob(ids, np.int64)})
-        return pa.Table.from_pylist(rows, schema=_arrow(_RELATION))
+                out = _Relation(row, k).kept(sieve)
+                if out is not None:
+                    yield out
 
     return run
 
@@ -274,32 +298,24 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_co
     count. Further columns, whatever their names, don't matter.
     """
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    far = longest + 1
-    first = stored(texts.mapInArrow(_word_blocks(far), _FIRST), "setm-words", compression="zstd")
+    first = stored(texts.mapInArrow(_word_blocks(longest + 1), _FIRST), "setm-words", compression="zstd")
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    entries = first.select("lang", F.explode(F.arrays_zip("distinct", "counts")).alias("e")).select("lang", F.col("e.distinct").alias("phrase"), F.col("e.counts").alias("n"))
-    often = entries.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    words = stored(often.select(F.monotonically_increasing_id().alias("id"), "lang", F.lit(1).alias("len"), "phrase", "f"), "setm-frequent")
-    sieve = make_sieve(words.select("lang", "phrase").mapInArrow(_hash_words, "h long"))
-    numbered = first.select("block", "lang", "distinct").mapInArrow(_likely_words(sieve), "of long, lang string, code long, phrase string")
-    numbered = numbered.join(words.select("lang", "phrase", "id"), ["lang", "phrase"]).select("of", "code", "id")
-    relation = first.select("block", "lang", "gaps", "words", F.size("distinct").alias("distinct")).groupBy("block").cogroup(numbered.groupBy("of")).applyInArrow(_number_words, _RELATION)
-    relation = stored(relation, "setm-1", compression="zstd")
-    found, before = words, words
+    words, sieve, seed = _frequent_words(first, least)
+    relation = stored(first.mapInArrow(_first_relation(sieve, seed), _RELATION), "setm-1", compression="zstd")
+    found = words.select(F.array("h").alias("ids"), "f")
     for k in range(1, longest):
-        counts = relation.mapInArrow(_count_groups(k), "pre long, last long, n long").groupBy("pre", "last").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-        counts = stored(counts.select(F.monotonically_increasing_id().alias("id"), "pre", "last", "f"), "setm-groups")
+        of = _words(k + 1)
+        counts = relation.mapInArrow(_count_groups(k), ", ".join(f"{w} long" for w in [*of, "n"])).groupBy(*of).agg(F.sum("n").alias("f"))
+        counts = stored(counts.filter(F.col("f") >= least), "setm-groups")
+        found = found.unionByName(counts.select(F.array(*of).alias("ids"), "f"))
         if k + 1 < longest:
-            sieve = make_sieve(counts.select("pre", "last").mapInArrow(_hash_groups, "h long"))
-            likely = relation.mapInArrow(_likely_groups(k, sieve), "block long, code long, pre long, last long")
-            kept = likely.join(counts.select("pre", "last", "id"), ["pre", "last"]).select(F.col("block").alias("of"), "code", "id")
-            relation = stored(relation.groupBy("block").cogroup(kept.groupBy("of")).applyInArrow(_keep_groups(k), _RELATION), f"setm-{k + 1}", compression="zstd")
-        head = before.select(F.col("id").alias("pre"), "lang", F.col("phrase").alias("head"))
-        tail = words.select(F.col("id").alias("last"), F.col("phrase").alias("tail"))
-        named = counts.join(head, "pre").join(tail, "last")
-        before = stored(named.select("id", "lang", F.lit(k + 1).alias("len"), F.concat_ws(" ", "head", "tail").alias("phrase"), "f"), "setm-frequent")
-        found = found.unionByName(before)
-    return found.select("lang", "len", "phrase", "f"), totals
+            sieve = make_sieve(counts.select(*of).mapInArrow(_hash_groups, "h long"))
+            relation = stored(relation.mapInArrow(_keep_groups(k, sieve), _RELATION), f"setm-{k + 1}", compression="zstd")
+    # words get their letters back; a group with a word that isn't frequent can't be
+    named = found.select("ids", "f", F.posexplode("ids").alias("at", "h")).join(words.select("h", "lang", "phrase"), "h")
+    named = named.groupBy("ids").agg(F.first("f").alias("f"), F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "phrase"))).alias("words"))
+    named = named.select("lang", F.size("ids").alias("len"), F.array_join("words.phrase", " ").alias("phrase"), "f")
+    return stored(named, "setm-phrases"), totals
 
 
 def _part(first: str, n: str) -> str:
