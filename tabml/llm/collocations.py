@@ -121,13 +121,12 @@ def _block_words(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, pa.Arr
 
 
 def _count_words(seed: int):
-    """The words of each block under their hashes, with another hash to tell those of different words."""
+    """The words of each block under their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, words, h, n in _block_words(batch, seed):
-                other = _word_hash(lang, words, seed + 1_000_003)
-                full = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(other.view(np.int64)), n], ["h", "other", "n"])
+            for _, _, h, n in _block_words(batch, seed):
+                full = pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), n], ["h", "n"])
                 for at in range(0, len(h), ROWS):
                     yield full.slice(at, ROWS)
 
@@ -150,19 +149,19 @@ def _frequent_words(first: DataFrame, least: int) -> tuple[DataFrame, Sieve, int
     """(h, lang, phrase, f) of the words that occur ``least`` times, their sieve, and the seed of their hashes.
 
     Words are known by their hashes from here on, so they are tried out: under a seed that gives a frequent word
-    and any other of any language the same hash (by a second hash of 64 bits), the next one is taken.
+    and any other of any language the same hash, the next one is taken.
     """
-    seed = 0
+    blocks, seed = first.select("lang", "distinct", "counts"), 0
     while True:
-        counts = first.select("lang", "distinct", "counts").mapInArrow(_count_words(seed), "h long, other long, n long").groupBy("h")
-        often = counts.agg(F.sum("n").alias("f"), F.min("other").alias("one"), F.max("other").alias("other")).filter(F.col("f") >= least)
-        often = stored(often, "setm-words-often")
-        if often.filter("one != other").isEmpty():
-            break
+        counts = blocks.mapInArrow(_count_words(seed), "h long, n long").groupBy("h").agg(F.sum("n").alias("f"))
+        often = stored(counts.filter(F.col("f") >= least), "setm-words-often")
+        sieve = make_sieve(often)
+        # every word with the hash of a frequent one passes the sieve
+        letters = blocks.mapInArrow(_spell(sieve, seed), "h long, lang string, phrase string").distinct()
+        words = stored(often.join(letters, "h"), "setm-frequent")
+        if words.count() == often.count():
+            return words, sieve, seed
         seed += 1
-    sieve = make_sieve(often)
-    letters = first.select("lang", "distinct", "counts").mapInArrow(_spell(sieve, seed), "h long, lang string, phrase string").distinct()
-    return stored(often.select("h", "f").join(letters, "h"), "setm-frequent"), sieve, seed
 
 
 def _first_relation(sieve: Sieve, seed: int):
@@ -344,10 +343,10 @@ def collocations(
     inside = inside.selectExpr("lang", "f", "words", "m", "explode(sequence(1, len - m + 1)) as s").selectExpr("lang", f"{_part('s', 'm')} as phrase", "f")
     most = inside.groupBy("lang", "phrase").agg(F.max("f").alias("within"))
     cuts = longer.selectExpr("lang", "phrase", "f as a", "words", "len", "explode(sequence(1, len - 1)) as k")
-    cuts = cuts.selectExpr("lang", "phrase", "a", "k", f"{_part('1', 'k')} as head", f"{_part('k + 1', 'len - k')} as rest")
+    cuts = cuts.selectExpr("lang", "a", "k", f"{_part('1', 'k')} as head", f"{_part('k + 1', 'len - k')} as rest")
     cuts = cuts.join(f.selectExpr("lang", "phrase as head", "f as l"), ["lang", "head"]).join(f.selectExpr("lang", "phrase as rest", "f as r"), ["lang", "rest"])
     cuts = cuts.withColumn("score", F.expr(f"cast(cast(a as decimal(20, 0)) * {scale} div cast(l + r as decimal(20, 0)) as bigint)"))
-    best = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    best = cuts.groupBy("lang", F.concat_ws(" ", "head", "rest").alias("phrase")).agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     left = best.join(most, ["lang", "phrase"], "left").filter(F.expr(f"within is null or 100 * within < {inside_percent} * a"))
     ranked = left.selectExpr("lang", "phrase", "a", "cut.l as l", "cut.r as r", "cut.score as score")
     order = "row_number() over (partition by lang order by score desc, a desc, phrase)"
