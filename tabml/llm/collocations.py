@@ -109,15 +109,12 @@ def _word_blocks(far: int):
     return run
 
 
-def _word_hash(lang: str, words: pa.Array, seed: int) -> np.ndarray:
-    return hashes(words, xxhash.xxh64_intdigest(lang, seed) & 0xFFFFFFFF)
-
-
-def _block_words(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[str, pa.Array, np.ndarray, pa.Array]]:
-    """(language, words, their hashes, their occurrences) of each block."""
+def _block_words(batch: pa.RecordBatch, seed: int, bits: int = 64) -> Iterator[tuple[str, pa.Array, np.ndarray, pa.Array]]:
+    """(language, words, their hashes of so many bits, their occurrences) of each block."""
     for i in range(batch.num_rows):
         lang, words = batch.column("lang")[i].as_py(), batch.column("distinct")[i].values
-        yield lang, words, _word_hash(lang, words, seed), batch.column("counts")[i].values
+        h = hashes(words, xxhash.xxh64_intdigest(lang, seed) & 0xFFFFFFFF) >> np.uint64(64 - bits)
+        yield lang, words, h, batch.column("counts")[i].values
 
 
 def _count_words(seed: int):
@@ -133,44 +130,48 @@ def _count_words(seed: int):
     return run
 
 
-def _spell(sieve: Sieve, seed: int):
+def _spell(sieve: Sieve, seed: int, bits: int):
     """The words that pass the sieve, with their letters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, words, h, _ in _block_words(batch, seed):
-                ok = sieve.passes(h)
+            for lang, words, h, _ in _block_words(batch, seed, bits):
+                ok = sieve.passes(mixed(h))
                 yield pa.RecordBatch.from_arrays([pa.array(h[ok].view(np.int64)), pa.repeat(lang, int(ok.sum())), words.filter(pa.array(ok))], ["h", "lang", "phrase"])
 
     return run
 
 
-def _frequent_words(first: DataFrame, least: int) -> tuple[DataFrame, Sieve, int]:
-    """(h, lang, phrase, f) of the words that occur ``least`` times, their sieve, and the seed of their hashes.
+def _frequent_words(first: DataFrame, least: int) -> tuple[DataFrame, Sieve, int, int]:
+    """(h, lang, phrase, f) of the words that occur ``least`` times, their sieve, the seed of their hashes and the bits of h.
 
-    Words are known by their hashes from here on, so they are tried out: under a seed that gives a frequent word
-    and any other of any language the same hash, the next one is taken.
+    Words are known by h from here on: as many bits of their hashes as make it unlikely (1 in 128) that a frequent
+    word and any other of any language share them. That is tried out, and where two do, the next seed is taken.
     """
     blocks, seed = first.select("lang", "distinct", "counts"), 0
+    listed = first.agg(F.sum(F.size("distinct"))).first()[0] or 0
     while True:
         counts = blocks.mapInArrow(_count_words(seed), "h long, n long").groupBy("h").agg(F.sum("n").alias("f"))
         often = stored(counts.filter(F.col("f") >= least), "setm-words-often")
-        sieve = make_sieve(often)
-        # every word with the hash of a frequent one passes the sieve
-        letters = blocks.mapInArrow(_spell(sieve, seed), "h long, lang string, phrase string").distinct()
+        n = often.count()
+        bits = min(64, max(1, (n * listed * 128).bit_length()))
+        often = often.select((F.shiftrightunsigned("h", 64 - bits) if bits < 64 else F.col("h")).alias("h"), "f")
+        sieve = make_sieve(often.select("h").mapInArrow(_hash_groups, "h long"))
+        # every word with the h of a frequent one passes the sieve
+        letters = blocks.mapInArrow(_spell(sieve, seed, bits), "h long, lang string, phrase string").distinct()
         words = stored(often.join(letters, "h"), "setm-frequent")
-        if words.count() == often.count():
-            return words, sieve, seed
+        if words.count() == n:
+            return words, sieve, seed, bits
         seed += 1
 
 
-def _first_relation(sieve: Sieve, seed: int):
+def _first_relation(sieve: Sieve, seed: int, bits: int):
     """A block's occurrences of the words that pass the sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (lang, _, h, _) in enumerate(_block_words(batch, seed)):
-                kept = np.flatnonzero(sieve.passes(h))
+            for i, (lang, _, h, _) in enumerate(_block_words(batch, seed, bits)):
+                kept = np.flatnonzero(sieve.passes(mixed(h)))
                 local = np.full(len(h), -1, np.int32)
                 local[kept] = np.arange(len(kept))
                 word = local[np.frombuffer(batch.column("words")[i].as_py(), _small(len(h)))]
@@ -292,29 +293,29 @@ def _keep_groups(k: int, sieve: Sieve):
 def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Phrases of 1 to ``longest`` words that occur ``least`` times or more in a language, and the words of each language.
 
-    (lang, len, phrase, f) with f the contiguous occurrences within pieces, overlaps included; and (lang, n).
-    Languages are those of ``lang_col`` (null: ``und``); a null or empty text has no words. Repeated rows all
-    count. Further columns, whatever their names, don't matter.
+    (lang, phrase, words, f, each) with f the contiguous occurrences within pieces, overlaps included, and each those
+    of the words by themselves; and (lang, n). Languages are those of ``lang_col`` (null: ``und``); a null or empty text
+    has no words. Repeated rows all count. Further columns, whatever their names, don't matter.
     """
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     first = stored(texts.mapInArrow(_word_blocks(longest + 1), _FIRST), "setm-words", compression="zstd")
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    words, sieve, seed = _frequent_words(first, least)
-    relation = stored(first.mapInArrow(_first_relation(sieve, seed), _RELATION), "setm-1", compression="zstd")
-    found = words.select(F.array("h").alias("ids"), "f")
+    words, sieve, seed, bits = _frequent_words(first, least)
+    relation = stored(first.mapInArrow(_first_relation(sieve, seed, bits), _RELATION), "setm-1", compression="zstd")
+    found = words.select("lang", "phrase", F.array("phrase").alias("words"), "f", F.array("f").alias("each"))
     for k in range(1, longest):
         of = _words(k + 1)
         counts = relation.mapInArrow(_count_groups(k), ", ".join(f"{w} long" for w in [*of, "n"])).groupBy(*of).agg(F.sum("n").alias("f"))
-        counts = stored(counts.filter(F.col("f") >= least), "setm-groups")
-        found = found.unionByName(counts.select(F.array(*of).alias("ids"), "f"))
+        counts = stored(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "setm-groups")
+        # words get their letters back; a group with a word that isn't frequent can't be
+        member = counts.select("id", F.posexplode(F.array(*of)).alias("at", "h")).join(words.select("h", "lang", "phrase", F.col("f").alias("each")), "h")
+        member = member.groupBy("id").agg(F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "phrase", "each"))).alias("m"))
+        named = member.join(counts.select("id", "f"), "id").select("lang", F.array_join("m.phrase", " ").alias("phrase"), F.col("m.phrase").alias("words"), "f", F.col("m.each").alias("each"))
+        found = found.unionByName(stored(named, "setm-phrases"))
         if k + 1 < longest:
             sieve = make_sieve(counts.select(*of).mapInArrow(_hash_groups, "h long"))
             relation = stored(relation.mapInArrow(_keep_groups(k, sieve), _RELATION), f"setm-{k + 1}", compression="zstd")
-    # words get their letters back; a group with a word that isn't frequent can't be
-    named = found.select("ids", "f", F.posexplode("ids").alias("at", "h")).join(words.select("h", "lang", "phrase"), "h")
-    named = named.groupBy("ids").agg(F.first("f").alias("f"), F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "phrase"))).alias("words"))
-    named = named.select("lang", F.size("ids").alias("len"), F.array_join("words.phrase", " ").alias("phrase"), "f")
-    return stored(named, "setm-phrases"), totals
+    return found, totals
 
 
 def _part(first: str, n: str) -> str:
@@ -336,17 +337,22 @@ def collocations(
     gives no rows; long texts are read whole; repeated rows count each time; other columns don't matter.
     """
     phrases, totals = frequent_phrases(docs, least, longest, lang_col, text_col)
-    f = phrases.select("lang", "phrase", "f")
-    longer = phrases.filter("len > 1").withColumn("words", F.split("phrase", " "))
+    candidates = phrases.withColumn("len", F.size("words")).filter("len > 1")
+    pairs, longer = candidates.filter("len = 2"), candidates.filter("len > 2")
     # contiguous shorter phrases of each candidate: few, whatever the data
-    inside = longer.filter("len > 2").selectExpr("lang", "len", "f", "words", "explode(sequence(2, len - 1)) as m")
+    inside = longer.selectExpr("lang", "len", "f", "words", "explode(sequence(2, len - 1)) as m")
     inside = inside.selectExpr("lang", "f", "words", "m", "explode(sequence(1, len - m + 1)) as s").selectExpr("lang", f"{_part('s', 'm')} as phrase", "f")
     most = inside.groupBy("lang", "phrase").agg(F.max("f").alias("within"))
-    cuts = longer.selectExpr("lang", "phrase", "f as a", "words", "len", "explode(sequence(1, len - 1)) as k")
-    cuts = cuts.selectExpr("lang", "a", "k", f"{_part('1', 'k')} as head", f"{_part('k + 1', 'len - k')} as rest")
-    cuts = cuts.join(f.selectExpr("lang", "phrase as head", "f as l"), ["lang", "head"]).join(f.selectExpr("lang", "phrase as rest", "f as r"), ["lang", "rest"])
+    # parts of one word have their occurrences beside them, others are looked up
+    cuts = longer.selectExpr("lang", "f as a", "words", "each", "len", "explode(sequence(1, len - 1)) as k").selectExpr(
+        "lang", "a", "k", f"{_part('1', 'k')} as head", f"{_part('k + 1', 'len - k')} as rest", "if(k = 1, each[0], null) as l", "if(k = len - 1, each[k], null) as r")
+    for part, known in (("head", "l"), ("rest", "r")):
+        f = candidates.select("lang", F.col("phrase").alias(part), F.col("f").alias("looked"))
+        cuts = cuts.join(f, ["lang", part], "left").withColumn(known, F.coalesce(known, "looked")).drop("looked")
+    cuts = cuts.select("lang", F.concat_ws(" ", "head", "rest").alias("phrase"), "a", "k", "l", "r")
+    cuts = cuts.unionByName(pairs.selectExpr("lang", "phrase", "f as a", "1 as k", "each[0] as l", "each[1] as r"))
     cuts = cuts.withColumn("score", F.expr(f"cast(cast(a as decimal(20, 0)) * {scale} div cast(l + r as decimal(20, 0)) as bigint)"))
-    best = cuts.groupBy("lang", F.concat_ws(" ", "head", "rest").alias("phrase")).agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    best = cuts.groupBy("lang", "phrase").agg(F.first("a").alias("a"), F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     left = best.join(most, ["lang", "phrase"], "left").filter(F.expr(f"within is null or 100 * within < {inside_percent} * a"))
     ranked = left.selectExpr("lang", "phrase", "a", "cut.l as l", "cut.r as r", "cut.score as score")
     order = "row_number() over (partition by lang order by score desc, a desc, phrase)"
