@@ -76,6 +76,20 @@ def _words(text: str, word: str = WORD) -> str:
     return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{word}')"
 
 
+OP11 = f"""
+WITH d AS (SELECT doc_id, {_words('text')} AS w FROM documents),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM n),
+m AS (SELECT doc_id, 100 - 75 + (75 * n * big_n) // big_l AS m FROM n, s),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, s GROUP BY term, big_n),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_words('text')}) AS term FROM benchmark) GROUP BY ALL),
+x AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN t USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0) WHERE rank <= 10
+"""
+
 OP12 = f"""
 WITH d AS (SELECT doc_id, {_words('text')} AS w FROM documents),
 i AS (SELECT item_id, {_words('text')} AS w FROM benchmark),
@@ -110,4 +124,4 @@ ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DES
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """
 
-ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8, "op12_decontamination": OP12, "op13_collocations": OP13}
+ORACLE = {"op1_suffix_dedup": OP1, "op2_warc": OP2, "op3_licenses": _op3(), "op8_embeddings": OP8, "op11_lexical_search": OP11, "op12_decontamination": OP12, "op13_collocations": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabml.llm import collocations, decontamination, embedding_dedup, imatch, language_id, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
+from tabml.llm import collocations, decontamination, embedding_dedup, imatch, language_id, lexical_search, licenses, packing, piece_codec, simhash, suffix_dedup, toxicity, warc
 from tabml.llm.common import ship
 from tabml.llm.oracles import ORACLE  # noqa: F401 - for the entry
 
@@ -104,6 +104,11 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10)
+
+
 @query
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
