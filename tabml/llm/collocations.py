@@ -35,6 +35,8 @@ TABLE = byte_table(lambda b: b in (0x20, 0x09), b".,;:!?\n\x0b\x0c\r")
 BLOCK_BYTES, BLOCKS_HELD, BATCH_ROWS = 8 << 20, 4, 65_536
 #: Rows of a batch that a worker returns.
 ROWS = 65_536
+#: Bits of a word's hash beyond those that number all pairs of a frequent word and any other.
+SPARE_BITS = 7
 
 # words are numbers within a block, of a place in word_ids; groups are numbers of a row of parts (their words); heads marks
 # where a group starts. Without parts, each word is a group
@@ -154,7 +156,7 @@ def _frequent_words(first: DataFrame, least: int) -> tuple[DataFrame, Sieve, int
         counts = blocks.mapInArrow(_count_words(seed), "h long, n long").groupBy("h").agg(F.sum("n").alias("f"))
         often = stored(counts.filter(F.col("f") >= least), "setm-words-often")
         n = often.count()
-        bits = min(64, max(1, (n * listed * 128).bit_length()))
+        bits = min(64, max(1, (n * listed).bit_length() + SPARE_BITS))
         often = often.select((F.shiftrightunsigned("h", 64 - bits) if bits < 64 else F.col("h")).alias("h"), "f")
         sieve = make_sieve(often.select("h").mapInArrow(_hash_groups, "h long"))
         # every word with the h of a frequent one passes the sieve
