@@ -81,10 +81,10 @@ def test_counts_beyond_64_bits_of_the_product(llm):
 
 
 def test_words_with_equal_hashes_take_another_seed(llm, monkeypatch):
-    """Six words under a few bits: seeds are tried until all frequent words differ."""
+    """Ten words under a few bits: seeds are tried until all frequent words differ."""
     real, tried = collocations._spell, []
     monkeypatch.setattr(collocations, "_spell", lambda sieve, seed, bits: tried.append((seed, bits)) or real(sieve, seed, bits))
-    monkeypatch.setattr(collocations, "SPARE_BITS", -3)
-    rows = [("ab cd ef gh ij kl ab cd ef gh ij kl", "en")] * 3
+    monkeypatch.setattr(collocations, "SPARE_BITS", -4)
+    rows = [("ab cd ef gh ij kl mn op qr st ab cd ef gh ij kl", "en")] * 3
     assert got(collocations.collocations(table(llm, rows), 2)) == plain(rows, 2)
     assert len(tried) > 1 and all(b < 8 for _, b in tried)
