@@ -326,7 +326,7 @@ def q_prediction_distribution(spark, d):
 def gappy_input(spark: SparkSession, d: str) -> DataFrame:
     """The correlation columns with others that miss values, each its own: null
     where the discount is 0, NaN where the tax is 0, null for returned items,
-    and one that has a value in few rows."""
+    one that has a value in few rows, and two with infinities."""
     li = tables.read_table(spark, d, "lineitem")
     q, p, disc, tax = (F.col(c) for c in FEATURES)
     return li.select(
@@ -334,15 +334,18 @@ def gappy_input(spark: SparkSession, d: str) -> DataFrame:
         F.nullif(disc, F.lit(0.0)).alias("some_discount"),
         F.when(tax == 0, F.lit(float("nan"))).otherwise(tax).alias("some_tax"),
         F.when(F.col("l_returnflag") != "R", p).alias("kept_price"),
-        F.when(q < 5, q * tax).alias("few"), (p / q).alias("unit_price"), (q * q).alias("quantity_2"))
+        F.when(q < 5, q * tax).alias("few"), (p / q).alias("unit_price"), (q * q).alias("quantity_2"),
+        F.when(disc == 0, F.lit(float("inf"))).otherwise(q / disc).alias("per_discount"),
+        F.when(tax == 0, F.lit(float("-inf"))).when(q > 45, F.lit(float("inf"))).otherwise(p).alias("bounded_price"))
 
 
-GAPPY_COLUMNS = [*CORR_COLUMNS, "some_discount", "some_tax", "kept_price", "few", "unit_price", "quantity_2"]
+GAPPY_COLUMNS = [*CORR_COLUMNS, "some_discount", "some_tax", "kept_price", "few", "unit_price", "quantity_2", "per_discount", "bounded_price"]
 GAPPY_SQL = (f"SELECT {', '.join(FEATURES)}, l_extendedprice * (1 - l_discount) AS net_price, {LABEL_SQL} AS {LABEL}, "
              "NULLIF(l_discount, 0) AS some_discount, CASE WHEN l_tax <> 0 THEN l_tax END AS some_tax, "
              "CASE WHEN l_returnflag <> 'R' THEN l_extendedprice END AS kept_price, "
              "CASE WHEN l_quantity < 5 THEN l_quantity * l_tax END AS few, l_extendedprice / l_quantity AS unit_price, "
-             "l_quantity * l_quantity AS quantity_2 FROM lineitem")
+             "l_quantity * l_quantity AS quantity_2, CASE WHEN l_discount <> 0 THEN l_quantity / l_discount END AS per_discount, "
+             "CASE WHEN l_tax <> 0 AND l_quantity <= 45 THEN l_extendedprice END AS bounded_price FROM lineitem")
 
 
 def _corr_sql(cols: list[str], rounded: bool = True) -> str:

@@ -136,3 +136,49 @@ def test_describe_all_types_and_many_columns(spark):
     wide = spark.range(50).selectExpr(*[f"id * {i} as c{i}" for i in range(100)])
     assert {r["column"]: r["max"] for r in profile.describe_columns(wide, wide.columns).collect()} == {f"c{i}": 49.0 * i for i in range(100)}
 
+
+
+def _corr_table(df, cols):
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in correlation.corr_pairs(df, cols, digits=None).collect()}
+    return [[float("nan") if got[a, b] is None else got[a, b] for b in cols] for a in cols]
+
+
+def test_correlation_with_infinities_as_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    inf, nan = float("inf"), float("nan")
+    small = pd.DataFrame({"a": [1.0, 2, 3, 4, inf], "b": [1.0, 2, 5, 4, nan], "c": [2.0, 1, -inf, 3, 9]})
+    rng = np.random.default_rng(3)
+    big = pd.DataFrame(rng.normal(size=(3000, 6)) * [1, 1e-6, 1e9, 1, 1, 1] + [0, 5, 1e12, 1e6, 0, 0], columns=list("abcdef"))
+    big["e"] = big["a"] * 2 + big["b"]
+    big["f"] = 7.5
+    for c, bad in (("a", inf), ("b", -inf), ("c", nan), ("d", inf)):
+        big.loc[rng.integers(0, 3000, 400), c] = bad
+    for p in (small, big):
+        want = p.corr().to_numpy()
+        df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(p.itertuples(index=False))],
+                                   ", ".join(f"{c} double" for c in p.columns)).repartition(7)
+        got = np.array(_corr_table(df, list(p.columns)))
+        off = ~np.eye(len(want), dtype=bool)
+        assert np.allclose(got[off], want[off], atol=1e-9, equal_nan=True)
+
+
+def test_pair_moments_of_parts_merge_to_those_of_the_whole(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(correlation, "FAN_IN", 3)
+    rng = np.random.default_rng(5)
+    rows = [(float(x), float(x * 3 + y), None if x > 1 else float(y)) for x, y in rng.normal(size=(500, 2)) + 1e5]
+    cols = ["a", "b", "c"]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    whole = correlation.corr_of_moments(correlation.pair_moments(df.repartition(2), cols), cols).collect()
+    parts = [correlation.pair_moments(spark.createDataFrame(rows[i::4], df.schema).repartition(5), cols) for i in range(4)]
+    states = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    assert states.count() >= 48
+    assert sorted(map(tuple, correlation.corr_of_moments(states, cols).collect()), key=str) == sorted(map(tuple, whole), key=str)
+
+
+def test_correlation_reads_its_input_once(spark, tmp_path):
+    spark.range(50).selectExpr("cast(id as double) a", "cast(id * id as double) b").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = correlation.corr_pairs(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
