@@ -27,7 +27,7 @@ from tabml.functions.expressions import round_half_up, split_label
 from tabml.operators import columns as cols_op
 from tabml.operators import correlation, metrics, outliers, profile, quantiles, split, transform
 from tabml.operators.transform import ASSEMBLED, NORMALIZED, STANDARDIZED
-from tabml.plans import models, tuning
+from tabml.plans import l1, models, tuning
 from tabml.session import scratch_path
 from tabml.sources import delimited, tables
 from tabml.sources import models as model_io
@@ -585,6 +585,42 @@ def q_lr_l1_classify(spark, d):
     return _scored(_fit(pipe, train), test, ["label"])
 
 
+def _l1(train: DataFrame) -> l1.L1Model:
+    return l1.fit_logistic(_narrow(train), FEATURES, LABEL, reg=0.01, elastic_net=1.0)
+
+
+@register("lr_l1_newton")
+def q_lr_l1_newton(spark, d):
+    """The same model as ``lr_l1_classify`` by the library's own solver, to its optimum; predictions are labels."""
+    train, test = _split(spark, d)
+    return _l1(train).predict(test, probability="probability").select(*KEYS, LABEL, "prediction", "probability")
+
+
+@register("lr_l1_kkt",
+          f"SELECT CAST(c.{LABEL} AS VARCHAR) AS class, f.feature, n.n_rows, TRUE AS optimal, TRUE AS few_passes "
+          f"FROM (SELECT DISTINCT {LABEL} FROM ({LABELLED_SQL}) s WHERE {SPLIT_SQL} = 'train') c, "
+          f"(VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in FEATURES)}, (NULL)) f(feature), "
+          f"(SELECT count(*) AS n_rows FROM ({LABELLED_SQL}) s WHERE {SPLIT_SQL} = 'train') n")
+def q_lr_l1_kkt(spark, d):
+    """Optimality of every coefficient and intercept, from gradients that built-in aggregates compute anew over the training rows."""
+    train, _ = _split(spark, d)
+    model = _l1(train)
+    p = model.predict(train, probability="p").where("p is not null")
+    sums = []
+    for k, label in enumerate(model.labels):
+        off = F.col("p")[k] - F.when(F.col(LABEL) == label, 1.0).otherwise(0.0)
+        sums += [F.avg(off * (F.col(c) / float(s))).alias(f"g{k}_{j}") for j, (c, s) in enumerate(zip(FEATURES, model.deviations))]
+        sums.append(F.avg(off).alias(f"g{k}_{len(FEATURES)}"))
+    one = p.agg(F.count("*").alias("n_rows"), *sums).first()
+    rows = []
+    for r in model.certificate(spark).collect():
+        k, j = [str(x) for x in model.labels].index(r["class"]), FEATURES.index(r["feature"]) if r["feature"] else len(FEATURES)
+        g, w, bound = one[f"g{k}_{j}"], r["coefficient"], 0.01 if r["feature"] else 0.0
+        optimal = abs(g + bound * ((w > 0) - (w < 0))) if w or not r["feature"] else max(0.0, abs(g) - bound)
+        rows.append((r["class"], r["feature"], one["n_rows"], optimal < 1e-6 and r["residual"] < 1e-6, model.passes <= 15))
+    return spark.createDataFrame(rows, "class string, feature string, n_rows long, optimal boolean, few_passes boolean")
+
+
 @register("rf_classify")
 def q_rf_classify(spark, d):
     train, test = _split(spark, d)
@@ -736,6 +772,13 @@ def q_lr_l1_classify_check(spark, d):
     return _held_out(q_lr_l1_classify(spark, d), "prediction between 0 and 5 and prediction = floor(prediction)", compare="label", floor=0.4)
 
 
+@register("lr_l1_newton_check", _held_out_sql())
+def q_lr_l1_newton_check(spark, d):
+    good = ("prediction between 3 and 8 and size(probability) = 6 and abs(aggregate(probability, 0D, (a, x) -> a + x) - 1) < 1e-9 "
+            "and probability[prediction - 3] = array_max(probability)")
+    return _held_out(q_lr_l1_newton(spark, d), good, floor=0.4)
+
+
 @register("rf_classify_check", _held_out_sql())
 def q_rf_classify_check(spark, d):
     return _held_out(q_rf_classify(spark, d), "prediction between 3 and 8 and prediction = floor(prediction)", floor=0.6)
