@@ -23,18 +23,40 @@ def sql_str(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: Copies of a row that stay together in a layout, and chunks of them that are listed at once.
+CHUNK, CHUNKS = 64, 65_536
+
+
 def fixed_layout(df: DataFrame, keys: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """``df`` dealt out by a hash of ``keys`` (default: all columns) over
-    ``partitions`` (default: ``spark.sql.shuffle.partitions``), each partition
-    in the order of all columns.
+    """``df`` dealt out over ``partitions`` (default: ``spark.sql.shuffle.partitions``) by a hash
+    of ``keys``, or by default evenly (:func:`copies_apart`), each partition in the order of all columns.
 
     What a partition holds then depends on the rows alone, not on files, splits
     or tasks: work that is sensitive to it (a forest samples its rows by
     partition and place) gives the same result on any layout of the input.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    every = [qcol(c) for c in df.columns]
-    return df.repartition(n, *([qcol(k) for k in keys] if keys else every)).sortWithinPartitions(*every)
+    if not keys:
+        return copies_apart(df, n)
+    return df.repartition(n, *[qcol(k) for k in keys]).sortWithinPartitions(*[qcol(c) for c in df.columns])
+
+
+def copies_apart(df: DataFrame, partitions: int) -> DataFrame:
+    """``df`` dealt out by its rows alone, with the copies of a row in chunks of ``CHUNK`` by their ordinal.
+
+    Equal rows are counted (combined before the shuffle, so that a row which a third of the table repeats is one row per
+    task), and their chunks are dealt out like any other rows: copies are spread over all partitions, and the same number
+    of them lies in each on any layout of the input. -0.0 and 0.0 are equal here and become 0.0; so are all NaN.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    counted = df.toDF(*names).groupBy(*names).agg(F.count("*").alias("n"))
+    wide = CHUNK * CHUNKS
+    blocks = counted.select(*names, "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {wide})")).alias("block"))
+    blocks = blocks.select(*names, "block", F.expr(f"least(n - block * {wide}, {wide}L)").alias("n"))
+    chunks = blocks.select(*names, "block", "n", F.explode(F.expr(f"sequence(0L, (n - 1) div {CHUNK})")).alias("chunk"))
+    dealt = chunks.repartition(partitions, *names, "block", "chunk")
+    copies = dealt.select(*names, F.explode(F.expr(f"sequence(1L, least(n - chunk * {CHUNK}, {CHUNK}L))")).alias("copy"))
+    return copies.select(*names).sortWithinPartitions(*names).toDF(*df.columns)
 
 
 def feature_columns(df: DataFrame, label: str, by: str = "type") -> list[str]:

@@ -9,6 +9,7 @@ shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -104,6 +105,75 @@ def group_mean_ci(df: DataFrame, group: str, value: str, z: float = 1.96,
                       F.round("ci", digits).alias("ci"))
 
 
+#: A prime below 2^31: hashes of a row and a replicate are whole numbers below it, and their products fit in 63 bits.
+PRIME = 2_147_483_647
+#: Distribution of how often a row is drawn when n of n rows are drawn with replacement, n large: Poisson with mean 1.
+DRAWS = 12
+DRAWN_BELOW = [int(PRIME * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(DRAWS)]
+
+
+def draws(key, replicate, seed: int):
+    """How often a replicate draws the row with a key (both arrays of whole numbers, or both numbers): 0 to ``DRAWS``."""
+    import numpy as np
+
+    x = (np.mod(key, PRIME) * 48_271 + np.mod(replicate + seed * 7_919 + 1, PRIME) * 69_621) % PRIME
+    for _ in range(3):
+        x = (x * x + replicate + 1) % PRIME
+        x = (x * 16_807 + 12_345) % PRIME
+    return np.searchsorted(np.array(DRAWN_BELOW), x, side="right")
+
+
+def group_mean_bootstrap(df: DataFrame, group: str, value: str, key: str, replicates: int = 1000, level: float = 0.95,
+                         seed: int = 1, digits: int | None = DIGITS) -> DataFrame:
+    """Per group ``(group, n, mean, low, high)``: the mean and its percentile interval over bootstrap samples.
+
+    Each replicate draws each row a Poisson number of times that a hash of the row's ``key`` (a whole number) and
+    the replicate decides, so the interval is the same on any layout. No sample is made: in each Arrow batch the
+    draws are a matrix (rows by replicates) whose products with the values and with one are the sums of all
+    replicates, and a task returns a row per group and replicate that it has met. Rows whose value is null, NaN or infinite
+    don't count; nor do replicates that draw no row of a group. A null key is 0.
+    """
+    import numpy as np
+
+    x = qcol(value).cast("double")
+    rows = df.select(qcol(group).alias("g"), F.coalesce(qcol(key).cast("long"), F.lit(0)).alias("k"), x.alias("x")).where(F.abs(F.col("x")) < float("inf"))
+    kind = rows.schema["g"].dataType.simpleString()
+
+    def run(batches):
+        import pyarrow as pa
+
+        sums: dict = {}
+        each = np.arange(replicates)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                w = draws(part.column(1).to_numpy(zero_copy_only=False)[:, None], each[None, :], seed).astype(float)
+                v = part.column(2).to_numpy(zero_copy_only=False)
+                groups = part.column(0).dictionary_encode(null_encoding="encode")
+                of = groups.indices.to_numpy(zero_copy_only=False)
+                for i, g in enumerate(groups.dictionary):
+                    own = of == i
+                    if own.any():
+                        total = sums.setdefault(g, np.zeros((2, replicates)))
+                        total += np.stack([w[own].sum(axis=0), v[own] @ w[own]])
+        for g, (n, s) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([g.as_py()] * replicates, g.type), pa.array(each, pa.int32()), pa.array(n), pa.array(s)], ["g", "r", "n", "s"])
+
+    parts = rows.mapInArrow(run, f"g {kind}, r int, n double, s double").groupBy("g", "r").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    means = parts.where("n > 0").select("g", (F.col("s") / F.col("n")).alias("m"))
+    tail = (1 - level) / 2
+    # a group has one value per replicate; between two of them lies a share of the way
+    bounds = means.groupBy("g").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    for side, p in (("low", tail), ("high", 1 - tail)):
+        at = (F.size("m") - 1) * F.lit(p)
+        below, above = (F.element_at("m", (f(at) + 1).cast("int")) for f in (F.floor, F.ceil))
+        bounds = bounds.withColumn(side, below + (above - below) * (at - F.floor(at)))
+    plain = rows.groupBy("g").agg(F.count("*").alias("n"), F.avg("x").alias("mean"))
+    out = plain.join(bounds.select(F.col("g").alias("h"), "low", "high"), F.col("g").eqNullSafe(F.col("h")), "left")
+    out = out.select(F.col("g").alias(group), "n", "mean", "low", "high")
+    return out if digits is None else out.select(qcol(group), "n", *[F.round(c, digits).alias(c) for c in ("mean", "low", "high")])
+
+
 def value_counts(df: DataFrame, column: str, count_col: str = "count") -> DataFrame:
     """Rows per value of any column (e.g. predicted classes), ordered by value."""
     return label_distribution(df, column, count_col)

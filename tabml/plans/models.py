@@ -22,7 +22,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 
 from tabml.functions.expressions import is_missing
-from tabml.operators.columns import multipass
+from tabml.operators.columns import fixed_layout, persisted
 from tabml.operators.transform import (
     ASSEMBLED,
     NORMALIZED,
@@ -149,12 +149,19 @@ def scorable(model: PipelineModel) -> PipelineModel:
 def fit(pipeline: Pipeline, df: DataFrame, *, keys: Sequence[str] | None = None,
         partitions: int | None = None, persist: bool = True) -> PipelineModel:
     """Fit on the rows of ``df`` that have a label. Every fitted stage (scaler,
-    label index, model) reads the input several times, so it is dealt out once
-    by ``keys`` (``operators.columns.multipass``) and kept: the same rows give
-    the same model on any layout of the input and any number of cores, at
-    every size. ``partitions`` (default: the session's shuffle partitions) is
-    part of what the model depends on."""
-    with multipass(trainable(pipeline, df), keys, partitions, persist) as src:
+    label index, model) reads the input several times, so it is kept for the
+    fit unless ``persist`` is False. A forest samples its rows by partition and
+    place: for one the input is dealt out first (``operators.columns.fixed_layout``, by
+    ``keys`` or evenly), so that the same rows give the same model on any
+    layout of the input and any number of cores, at every size; ``partitions``
+    (default: the session's shuffle partitions) is part of what the model
+    depends on. Logistic regression sums over all rows in each pass, so its input stays where it is."""
+    rows = trainable(pipeline, df)
+    if not isinstance(model_stage_spec(pipeline), LogisticRegression):
+        rows = fixed_layout(rows, keys, partitions)
+    if not persist:
+        return scorable(pipeline.fit(rows))
+    with persisted(rows) as src:
         return scorable(pipeline.fit(src))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tabml.functions.expressions import DIGITS as D
 from tabml.functions.expressions import round_half_up, split_label
 from tabml.operators import columns as cols_op
-from tabml.operators import correlation, metrics, outliers, profile, quantiles, split, transform
+from tabml.operators import correlation, metrics, numbering, outliers, profile, quantiles, split, transform
 from tabml.operators.transform import ASSEMBLED, NORMALIZED, STANDARDIZED
 from tabml.plans import l1, models, tuning
 from tabml.session import scratch_path
@@ -315,6 +315,28 @@ def q_group_mean_ci(spark, d):
     return profile.group_mean_ci(labelled(spark, d), LABEL, "l_discount")
 
 
+REPLICATES = 60
+
+
+_BOOT_SQL = f"""
+WITH e AS (SELECT event_type, event_id, CAST(value AS DOUBLE) AS value FROM events WHERE isfinite(CAST(value AS DOUBLE))),
+h0 AS (SELECT event_type, value, r, ((event_id % {profile.PRIME}) * 48271 + ((r + 7919 + 1) % {profile.PRIME}) * 69621) % {profile.PRIME} AS x
+       FROM e, range({REPLICATES}) t(r)),
+h1 AS (SELECT event_type, value, r, (((x * x + r + 1) % {profile.PRIME}) * 16807 + 12345) % {profile.PRIME} AS x FROM h0),
+h2 AS (SELECT event_type, value, r, (((x * x + r + 1) % {profile.PRIME}) * 16807 + 12345) % {profile.PRIME} AS x FROM h1),
+h3 AS (SELECT event_type, value, r, (((x * x + r + 1) % {profile.PRIME}) * 16807 + 12345) % {profile.PRIME} AS x FROM h2),
+w AS (SELECT event_type, value, r, {' + '.join(f'CAST(x >= {b} AS INTEGER)' for b in profile.DRAWN_BELOW)} AS w FROM h3),
+m AS (SELECT event_type, r, sum(w * value) / sum(w) AS m FROM w GROUP BY event_type, r HAVING sum(w) > 0),
+q AS (SELECT event_type, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM m GROUP BY event_type)
+SELECT event_type, count(*) AS n, round(avg(value), {D}) AS mean, round(any_value(low), {D}) AS low, round(any_value(high), {D}) AS high
+FROM e JOIN q USING (event_type) GROUP BY event_type"""
+
+
+@register("group_mean_bootstrap", _BOOT_SQL)
+def q_group_mean_bootstrap(spark, d):
+    return profile.group_mean_bootstrap(tables.read_table(spark, d, "events"), "event_type", "value", "event_id", replicates=REPLICATES)
+
+
 @register("prediction_distribution",
           f"SELECT prediction, count(*) AS \"count\" FROM ({RULED_SQL}) q GROUP BY prediction ORDER BY prediction")
 def q_prediction_distribution(spark, d):
@@ -475,6 +497,40 @@ def q_hash_split(spark, d):
     return li.withColumn("split", split_label("l_orderkey", 70))
 
 
+_ROW_COLUMNS = [*KEYS, *FEATURES, "l_returnflag"]
+
+
+@register("row_numbers",
+          f"SELECT {', '.join(_ROW_COLUMNS)}, row_number() OVER (ORDER BY l_extendedprice DESC, {', '.join(_ROW_COLUMNS)}) AS row_number FROM lineitem")
+def q_row_numbers(spark, d):
+    li = tables.read_table(spark, d, "lineitem").select(*_ROW_COLUMNS)
+    return numbering.row_numbers(li, [("l_extendedprice", "desc"), *_ROW_COLUMNS])
+
+
+@register("row_id_join", ORACLE["corr_matrix_wide"])
+def q_row_id_join(spark, d):
+    """The original's matrix without names, and its names, brought together by row number."""
+    pairs = correlation.corr_long(gappy_input(spark, d), GAPPY_COLUMNS)
+    matrix = pairs.groupBy("pos_a").pivot("feature_b", GAPPY_COLUMNS).agg(F.first("corr"))
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(GAPPY_COLUMNS)], "at int, feature string")
+    return numbering.join_by_position(names, ["at"], matrix, ["pos_a"]).drop("at", "pos_a")
+
+
+@register("index_keys",
+          "WITH f AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS r FROM lineitem GROUP BY l_partkey) "
+          "SELECT l_orderkey, l_linenumber, l_partkey, CAST(r AS DOUBLE) AS index FROM lineitem JOIN f USING (l_partkey)")
+def q_index_keys(spark, d):
+    return numbering.index_keys(tables.read_table(spark, d, "lineitem").select(*KEYS, "l_partkey"), "l_partkey")
+
+
+@register("exact_split",
+          "WITH o AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY "
+          "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 15) AS BIGINT), o_orderkey) AS r, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) "
+          "SELECT o_orderkey, o_orderpriority, CASE WHEN r <= (n * 70) // 100 THEN 'train' ELSE 'test' END AS split FROM o")
+def q_exact_split(spark, d):
+    return split.exact_split(tables.read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey", "o_orderpriority", 70)
+
+
 @register("random_split")
 def q_random_split(spark, d):
     li = tables.read_table(spark, d, "lineitem").select(*KEYS)
