@@ -6,9 +6,9 @@ prediction sink.
 The pipeline's own assembler decides which columns it reads, so extra
 columns in the new data are ignored (nothing is dropped by name). When the
 label column is present, weighted F1 and accuracy are printed in percent,
-computed from one confusion table. With ``--output`` the model runs once:
-the predictions are written, and the metrics read back only the label and
-prediction columns.
+computed from one confusion table. The model runs once: with ``--output`` the
+predictions are written and the metrics read back only the label and
+prediction columns, else those columns are kept for the metrics.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabml.jobs.common import emit, read_input
 from tabml.operators import metrics
-from tabml.operators.columns import qcol
+from tabml.operators.columns import persisted, qcol
 from tabml.plans.models import ORDINAL
 from tabml.sources.models import load_pipeline
 
@@ -72,12 +72,14 @@ def run(spark: SparkSession, args) -> dict:
         scored = spark.read.parquet(args.output)
     if label in scored.columns:
         index = label_index(model, args.label)
-        if index is not None:
-            known = scored.select(F.count_if(qcol(args.label).isNotNull()).alias("given"),
-                                  F.count_if(qcol(label) < len(index.labels)).alias("known")).first()
-            if known["given"] and not known["known"]:
-                raise ValueError(f"no value of {args.label!r} is among the labels of the pipeline: {index.labels[:10]}")
-        out = metrics.metric_values(scored, label, pred)
+        # the model runs once for the test of the labels and for the metrics
+        with persisted(scored.select(*[qcol(c) for c in dict.fromkeys([args.label, label, pred])])) as judged:
+            if index is not None:
+                known = judged.select(F.count_if(qcol(args.label).isNotNull()).alias("given"),
+                                      F.count_if(qcol(label) < len(index.labels)).alias("known")).first()
+                if known["given"] and not known["known"]:
+                    raise ValueError(f"no value of {args.label!r} is among the labels of the pipeline: {index.labels[:10]}")
+            out = metrics.metric_values(judged, label, pred)
         emit(step="score", **{f"{k}_pct": None if out[k] is None else round(out[k] * 100, 1) for k in ("f1", "accuracy")})
     return out
 

@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from tabml.functions.expressions import DIGITS as D
 from tabml.functions.expressions import round_half_up, split_label
+from tabml.jobs import score as score_job
+from tabml.jobs import train as train_job
+from tabml.jobs.common import read_input
 from tabml.operators import columns as cols_op
-from tabml.operators import correlation, metrics, numbering, outliers, profile, quantiles, split, transform
+from tabml.operators import correlation, metrics, numbering, outliers, profile, profile_state, quantiles, split, transform
 from tabml.operators.transform import ASSEMBLED, NORMALIZED, STANDARDIZED
-from tabml.plans import l1, models, tuning
+from tabml.plans import l1, models, trees, tuning
 from tabml.session import scratch_path
-from tabml.sources import delimited, tables
+from tabml.sources import delimited, inference, tables
 from tabml.sources import models as model_io
 
 # Fixed fixture values (must equal the oracle side exactly).
@@ -159,6 +162,33 @@ def q_csv_text_roundtrip(spark, d):
     return delimited.read_delimited(spark, _csv_copy(spark, d, "documents", escapes=True), schema=schema, escapes=True)
 
 
+_INFERRED = {"l_orderkey": "int", "l_quantity": "double", "l_discount": "string", "l_returnflag": "string", "l_shipdate": "timestamp", "l_tax": "double",
+             "l_linenumber": "int", "flag": "boolean", "day": "date", "big": "bigint"}
+
+
+@register("infer_types",
+          "SELECT c AS \"column\", t AS type, n.n_rows, n.n_texts FROM (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in _INFERRED.items()) + ") v(c, t), "
+          f"(SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_texts FROM lineitem) n")
+def q_infer_types(spark, d):
+    """A delimited copy of lineitem in which one single row, the last, holds a text among the discounts."""
+    li = tables.read_table(spark, d, "lineitem")
+    last = li.agg(F.max(F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount"))).first()[0]
+    is_last = F.lit(True)
+    for c in ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount"):
+        is_last = is_last & (F.col(c) == F.lit(last[c]))
+    rows = numbering.row_numbers(li.withColumn("_last", is_last), ["_last", "l_orderkey"])
+    shown = rows.orderBy("row_number").select(
+        "l_orderkey", "l_quantity", F.when(F.col("_last"), "none").otherwise(F.col("l_discount").cast("string")).alias("l_discount"), "l_returnflag", "l_shipdate",
+        F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("l_tax"), "l_linenumber", (F.col("l_quantity") > 5).alias("flag"), F.to_date("l_shipdate").alias("day"),
+        (F.col("l_orderkey") * 10_000_000_000).alias("big"))
+    path = scratch_path(spark, "untyped")
+    delimited.write_delimited(shown, path)
+    text = delimited.read_delimited(spark, path)
+    kinds = inference.infer_types(text)
+    n = inference.typed(text).agg(F.count("*").alias("n_rows"), F.count_if(F.col("l_discount") == "none").alias("n_texts")).first()
+    return spark.createDataFrame([(c, t, n["n_rows"], n["n_texts"]) for c, t in kinds.items()], "column string, type string, n_rows long, n_texts long")
+
+
 @register("clean_headers", "SELECT * FROM lineitem")
 def q_clean_headers(spark, d):
     schema = tables.read_table(spark, d, "lineitem").schema
@@ -264,6 +294,26 @@ def q_describe_all(spark, d):
             F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("l_tax"), F.nullif(F.col("l_returnflag"), F.lit("R")).alias("l_returnflag")))
 
 
+@register("profile_parts",
+          f"WITH t AS ({NULLS_SQL})\n" + _union([
+              f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({x}) AS missing, round(avg({x}), {D}) AS mean, round(stddev_samp({x}), {D}) AS stddev, "
+              f"round(min({x}), {D}) AS \"min\", round(max({x}), {D}) AS \"max\", TRUE AS quartiles_hold FROM t"
+              for c, x in ((c, f"CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END") for c in ("l_quantity", "l_discount", "l_tax", "l_orderkey"))]))
+def q_profile_parts(spark, d):
+    """Two parts of a table, each scanned once and kept; the profile is that of the kept states, its quartiles are within 1.2 % of those of the whole."""
+    cols = ["l_quantity", "l_discount", "l_tax", "l_orderkey"]
+    whole, path = with_nulls(spark, d), scratch_path(spark, "profile")
+    for part, rows in (("a", whole.where("l_linenumber < 3")), ("b", whole.where("l_linenumber >= 3"))):
+        profile_state.add_part(spark, path, part, rows, cols)
+    got = profile_state.profile_of(profile_state.read_states(spark, path), (0.25, 0.75))
+    exact = quantiles.quartiles(whole.withColumn("l_tax", F.nanvl("l_tax", F.lit(None))), cols, exact=True)
+
+    def near(i: int, q: str):
+        return F.abs(F.col("quantiles")[i] - F.col(q)) <= 0.012 * F.abs(F.col(q)) + 1e-9
+
+    return got.join(exact, "column").select("column", "rows", "missing", "mean", "stddev", "min", "max", (near(0, "q1") & near(1, "q3")).alias("quartiles_hold"))
+
+
 @register("quartiles_exact",
           f"WITH t AS ({LABELLED_SQL})\n" + _union([
               f"SELECT '{c}' AS \"column\", round(quantile_cont(CAST({c} AS DOUBLE), 0.25), {D}) AS q1, "
@@ -880,6 +930,99 @@ def q_model_summary_check(spark, d):
                                             (F.col("total_nodes") > 25).alias("has_nodes"))
 
 
+@register("model_nodes_check", "SELECT t.tree, TRUE AS sound, TRUE AS all_nodes FROM (SELECT unnest(range(25))::INTEGER AS tree) t, (SELECT count(*) AS n FROM lineitem) n WHERE n.n > 0")
+def q_model_nodes_check(spark, d):
+    """Every tree's node table: numbered without gaps, one more leaf than inner nodes, children of the right rows."""
+    train, _ = _split(spark, d)
+    model = _fit(_ordinal(), train)
+    nodes = trees.model_nodes(spark, model)
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("rows").alias("child_rows"))
+    inner = nodes.where("left is not null").select("tree", "node", "rows", F.explode(F.array("left", "right")).alias("child"))
+    split_rows = inner.join(child, ["tree", "child"]).groupBy("tree", "node").agg(F.first("rows").alias("rows"), F.sum("child_rows").alias("below"), F.count("*").alias("k"))
+    wrong = split_rows.groupBy("tree").agg(F.count_if((F.col("rows") != F.col("below")) | (F.col("k") != 2)).alias("wrong"), F.count("*").alias("inner"))
+    per_tree = nodes.groupBy("tree").agg(F.count("*").alias("n"), F.max("node").alias("last"), F.count_if(F.expr("feature between 0 and 3 and threshold between 0 and 1")).alias("splits"))
+    total = nodes.count() == models.model_stage(model).totalNumNodes
+    return per_tree.join(wrong, "tree").select("tree", F.expr("wrong = 0 and n = last + 1 and n = 2 * inner + 1 and splits = inner").alias("sound"), F.lit(total).alias("all_nodes"))
+
+
+@register("forest_table_check", _held_out_sql())
+def q_forest_table_check(spark, d):
+    """Predictions from the node table against the fitted forest, row by row."""
+    train, test = _split(spark, d)
+    fitted = _fit(_ordinal(), train)
+    both = trees.predict_by_nodes(fitted, fitted.transform(test).select(*KEYS, *FEATURES, LABEL, F.col("prediction").alias("before"), models.ORDINAL))
+    return _held_out(both, "abs(prediction - before) < 1e-9", pred=models.ORDINAL, floor=0.8)
+
+
+def _job_inputs(spark, d) -> tuple[str, str]:
+    """Folders with the training and the held-out rows, as a job's user has them: features and label."""
+    folders = []
+    for name, part in zip(("job-train", "job-test"), _split(spark, d)):
+        folders.append(scratch_path(spark, name) + ".parquet")
+        part.select(*FEATURES, LABEL).write.parquet(folders[-1])
+    return folders[0], folders[1]
+
+
+def _train_job(spark, d, *more: str):
+    """(the job's report, folder of its models, folder of the held-out rows) of the training job, run as from its command line."""
+    train, test = _job_inputs(spark, d)
+    saved = scratch_path(spark, "job-models")
+    args = train_job.parse_args(["--train_dataset", train, "--test_dataset", test, "--save_model_path", saved, *more])
+    return train_job.run(spark, args), saved, test
+
+
+_JOBS = {"rf": (["--max_depth", "12", "--num_trees", "10"], 0.8), "rf_classifier": (["--model", "rf_classifier", "--max_depth", "8", "--num_trees", "10"], 0.6),
+         "lr": (["--model", "lr", "--max_iter", "20"], 0.4)}
+
+
+@register("train_job",
+          "SELECT m.model, CAST(4 AS INTEGER) AS features, TRUE AS f1_reached, TRUE AS consistent, n.n_rows AS scored_rows "
+          f"FROM (VALUES {', '.join(f'({chr(39)}{m}{chr(39)})' for m in _JOBS)}) m(model), (SELECT count(*) AS n_rows {HELD_SQL}) n")
+def q_train_job(spark, d):
+    """The training job with each of its models: its report, and the rows that its saved pipeline scores."""
+    rows = []
+    for name, (options, floor) in _JOBS.items():
+        report, saved, test = _train_job(spark, d, *options)
+        scored = model_io.load_pipeline(f"{saved}/pipeline").transform(read_input(spark, test))
+        n = scored.where("prediction is not null").count()
+        rows.append((report["model"], len(report["features"]), report["f1"] >= floor, 0 < report["accuracy"] <= 1 and report["features"] == FEATURES, n))
+    return spark.createDataFrame(rows, "model string, features int, f1_reached boolean, consistent boolean, scored_rows long")
+
+
+@register("train_job_grid", "SELECT CAST(4 AS INTEGER) AS features, TRUE AS f1_reached, TRUE AS best_saved FROM (SELECT count(*) AS n FROM lineitem) n WHERE n > 0")
+def q_train_job_grid(spark, d):
+    """The training job with its grid search (a small grid): the best model is saved and as good as reported."""
+    report, saved, test = _train_job(spark, d, "--max_depth", "6", "--num_trees", "5", "--enable_grid_search", "--grid_trees", "3,5", "--grid_depth", "4,8", "--folds", "2")
+    best = model_io.load_pipeline(f"{saved}/best").transform(read_input(spark, test))
+    f1 = metrics.metric_values(best, LABEL, models.ORDINAL)["f1"]
+    return spark.createDataFrame([(len(report["features"]), report["f1"] >= 0.7 and report["grid_best"]["f1"] >= 0.8, abs(f1 - report["grid_best"]["f1"]) < 1e-9)],
+                                 "features int, f1_reached boolean, best_saved boolean")
+
+
+@register("score_job", _held_out_sql())
+def q_score_job(spark, d):
+    """The scoring job on a saved pipeline: its written predictions, whose F1 is the one it reports."""
+    _, saved, test = _train_job(spark, d, *_JOBS["rf"][0])
+    out = scratch_path(spark, "job-scored")
+    report = score_job.run(spark, score_job.parse_args(["--model_path", f"{saved}/pipeline", "--new_data", test, "--output", out]))
+    scored = spark.read.parquet(out)
+    checked = _held_out(scored, _ORDINAL_GOOD, pred=models.ORDINAL, floor=0.8)
+    same = abs(metrics.metric_values(scored, LABEL, models.ORDINAL)["f1"] - report["f1"]) < 1e-9
+    return checked.withColumn("f1_reached", F.col("f1_reached") & F.lit(same))
+
+
+@register("uri_paths", f"SELECT {', '.join(_ROW_COLUMNS)} FROM lineitem")
+def q_uri_paths(spark, d):
+    """Paths are URIs of any store that Hadoop knows: written under one, read by a pattern, in both formats."""
+    path = scratch_path(spark, "uri")
+    li = tables.read_table(spark, d, "lineitem").select(*_ROW_COLUMNS)
+    halves = [li.where("l_orderkey % 2 = 0"), li.where("l_orderkey % 2 = 1")]
+    halves[0].write.parquet(f"{path}/as-parquet/a")
+    delimited.write_delimited(halves[1], f"{path}/as-text/b")
+    text = delimited.read_delimited(spark, f"{path}/as-text/*", schema=li.schema)
+    return spark.read.schema(li.schema).parquet(f"{path}/as-parquet/*").unionByName(text)
+
+
 _GRID_SQL = ("SELECT CAST(row_number() OVER (ORDER BY t, m) - 1 AS INTEGER) AS point, 'maxDepth=' || m || ', numTrees=' || t AS params, "
              "TRUE AS sound FROM (VALUES (10), (20), (30)) a(t), (VALUES (5), (10), (15)) b(m)")
 
