@@ -30,7 +30,7 @@ from tabml.jobs.common import read_input
 from tabml.operators import columns as cols_op
 from tabml.operators import correlation, metrics, numbering, outliers, profile, profile_state, quantiles, split, transform
 from tabml.operators.transform import ASSEMBLED, NORMALIZED, STANDARDIZED
-from tabml.plans import l1, models, trees, tuning
+from tabml.plans import l1, models, search, trees, tuning
 from tabml.session import scratch_path
 from tabml.sources import delimited, inference, tables
 from tabml.sources import models as model_io
@@ -798,6 +798,26 @@ def q_cv_rmse(spark, d):
     return _scored(cvm.bestModel, test, [models.ORDINAL])
 
 
+def _search(spark, d, metric: str, folds: int):
+    train, test = _split(spark, d)
+    pipe = models.forest_regressor(FEATURES, LABEL, num_trees=20, max_depth=5)
+    return search.search_forest(pipe, GRID, _narrow(train), metric=metric, folds=folds, fold_keys="l_orderkey", keys=["l_orderkey"], parallelism=4), test
+
+
+@register("search_f1_15")
+def q_search_f1_15(spark, d):
+    """The original's search by F1 with its 15 folds: one fit per fold gives all points."""
+    found, test = _search(spark, d, "f1", 15)
+    return _scored(found.best_model, test, [models.ORDINAL])
+
+
+@register("search_rmse_20")
+def q_search_rmse_20(spark, d):
+    """The original's search by RMSE with its 20 folds."""
+    found, test = _search(spark, d, "rmse", 20)
+    return _scored(found.best_model, test, [models.ORDINAL])
+
+
 # Binary label on text shape: documents joined with labels (whole texts).
 # One explicit whitespace class for both engines (Java and RE2 disagree on \s).
 _WS = r"[ \t\n\r\f]+"
@@ -1047,6 +1067,24 @@ def q_cv_rmse_check(spark, d):
     return _grid_check(spark, _cv(spark, d, tuning.rmse_evaluator(LABEL))[0], min)
 
 
+def _search_check(spark, found, folds: int, better) -> DataFrame:
+    """The grid's points with a sound metric in every fold; the model refitted is of the best point."""
+    chosen = models.model_stage(found.best_model)
+    won = found.points[found.averages.index(better(found.averages))]
+    right = {"numTrees": chosen.getNumTrees, "maxDepth": chosen.getMaxDepth()} == found.best == won and found.fits == folds + 1 and all(len(m) == folds for m in found.metrics)
+    return found.table(spark).select("point", "params", (F.col("metric").between(0, 1) & F.lit(right)).alias("sound"))
+
+
+@register("search_f1_15_check", _GRID_SQL)
+def q_search_f1_15_check(spark, d):
+    return _search_check(spark, _search(spark, d, "f1", 15)[0], 15, max)
+
+
+@register("search_rmse_20_check", _GRID_SQL)
+def q_search_rmse_20_check(spark, d):
+    return _search_check(spark, _search(spark, d, "rmse", 20)[0], 20, min)
+
+
 _DOC_SPLIT_SQL = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 70"
 
 
