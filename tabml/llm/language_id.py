@@ -1,9 +1,9 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads the bytes of a segment (a run without white space, cut after
-``SEGMENT`` bytes) forwards and backwards and labels every position; a
+The network reads the bytes of a segment forwards and backwards and labels every position; a
 document's probabilities are the mean over the positions of all its segments.
-Segments start from a zero state, so equal segments have equal labels and a
+A segment is a run without white space; one longer than a model's ``segment`` bytes is cut, between characters.
+Segments start from a zero state, so the network's context is a segment, equal segments have equal labels and a
 worker computes each of them once. Weights are learned in numpy by
 backpropagation through time with Adam on a bounded sample of the documents
 of each label.
@@ -12,6 +12,7 @@ of each label.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,18 +24,22 @@ from pyspark.sql import functions as F
 
 from tabml.llm.common import id_text, pieces, schema_of, texts_of, with_row_of
 
-#: Bytes of a segment, and segments that are remembered per worker (a memory that is full becomes the old one).
-SEGMENT, MEMORY = 32, 200_000
+#: Segments that are remembered per worker (a memory that is full becomes the old one); results don't depend on it.
+MEMORY = 200_000
 UNKNOWN = "und"
 
 
-def segments(text: str) -> Counter[bytes]:
-    """How often each segment occurs in the whole text, letter case aside."""
+def segments(text: str, size: int = 32) -> Counter[bytes]:
+    """How often each segment of at most ``size`` bytes (4 or more) occurs in the whole text, letter case aside."""
     found = Counter(text.lower().encode().split())
-    for long in [s for s in found if len(s) > SEGMENT]:
-        n = found.pop(long)
-        for k in range(0, len(long), SEGMENT):
-            found[long[k:k + SEGMENT]] += n
+    for long in [s for s in found if len(s) > size]:
+        n, at = found.pop(long), 0
+        while at < len(long):
+            end = at + size
+            while end < len(long) and long[end] & 0xC0 == 0x80:  # inside a character
+                end -= 1
+            found[long[at:end]] += n
+            at = end
     return found
 
 
@@ -106,6 +111,7 @@ class LanguageModel:
     back: Gru
     w: np.ndarray  # (2h, labels)
     b: np.ndarray
+    segment: int = 32
 
     def _both(self, segs: list[bytes], keep: bool = False):
         codes, size = _batch(segs)
@@ -149,16 +155,16 @@ class LanguageModel:
         return [self.ahead.x, self.ahead.u, self.ahead.c, self.back.x, self.back.u, self.back.c, self.w, self.b]
 
 
-def train(samples: list[tuple[str, str]], hidden: int = 16, steps: int = 300, batch: int = 512, rate: float = 0.02, seed: int = 7) -> LanguageModel:
-    """Fits the network to (text, language) samples; ``steps`` of Adam on ``batch`` segments each."""
+def train(samples: list[tuple[str | list[bytes], str]], hidden: int = 16, steps: int = 300, batch: int = 512, rate: float = 0.02, seed: int = 7, segment: int = 32) -> LanguageModel:
+    """Fits the network to samples of (text, or segments, and language); ``steps`` of Adam on ``batch`` segments each."""
     rng = np.random.default_rng(seed)
     labels = sorted({lang for _, lang in samples})
     h, n = hidden, len(labels)
-    model = LanguageModel(labels, Gru.random(h, rng), Gru.random(h, rng), rng.normal(0, 0.1, (2 * h, n)).astype(np.float32), np.zeros(n, np.float32))
+    model = LanguageModel(labels, Gru.random(h, rng), Gru.random(h, rng), rng.normal(0, 0.1, (2 * h, n)).astype(np.float32), np.zeros(n, np.float32), segment)
     segs, y = [], []
     for text, lang in samples:
-        found = segments(text)
-        segs += found.keys()
+        found = list(segments(text, segment)) if isinstance(text, str) else text
+        segs += found
         y += [labels.index(lang)] * len(found)
     y = np.array(y)
     if not len(y) or n < 2:
@@ -200,21 +206,36 @@ def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample:
     return rows.join(F.broadcast(cuts), "l").filter("v < below").select("v", "l", "t")
 
 
-def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 600, sample_chars: int = 4000, **train_args) -> LanguageModel:
+def _some_segments(segment: int, most: int):
+    """Of each whole text its different segments, or the ``most`` with the smallest hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "t", 2 << 20):
+            found = [sorted(segments(t, segment), key=lambda s: (zlib.crc32(s), s))[:most] for t in b.column("t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("l"), b.column("v"), pa.array(found, pa.list_(pa.binary()))], ["l", "v", "segs"])
+
+    return run
+
+
+def fit_language_model(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 600, sample_segments: int = 512, segment: int = 32, **train_args
+) -> LanguageModel:
     """Trains on at most ``sample`` different labelled rows of each label: those with the smallest hash of id and text.
 
     Every label that has a text is learned, however rare. The bound holds for
-    the fit alone; of a sampled text the first ``sample_chars`` are used there.
+    the fit alone; sampled texts are read whole, in the tasks, and the driver receives of each its different segments,
+    or the ``sample_segments`` with the smallest hash if there are more.
     Rows without label, or whose text is null or blank, are left out.
     """
-    rows = _sampled(docs, id_col, text_col, lang_col, sample).dropDuplicates(["l", "v"]).select("l", "v", F.substring("t", 1, sample_chars).alias("t")).collect()
+    chosen = _sampled(docs, id_col, text_col, lang_col, sample).dropDuplicates(["l", "v"]).select("l", "v", "t")
+    rows = chosen.mapInArrow(_some_segments(segment, sample_segments), "l string, v long, segs array<binary>").collect()
     taken: Counter[str] = Counter()
     samples = []
     for r in sorted(rows, key=lambda r: (r.l, r.v)):
         taken[r.l] += 1
         if taken[r.l] <= sample:
-            samples.append((r.t, r.l))
-    return train(samples, **train_args)
+            samples.append(([bytes(s) for s in r.segs], r.l))
+    return train(samples, segment=segment, **train_args)
 
 
 def least_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.01, part: float = 0.75, sample: int = 600) -> dict[str, float]:
@@ -251,7 +272,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
             counts = []
             for t in texts_of(b, text_col).to_pylist():
                 # a text has a letter if any of its characters is one
-                counts.append(segments(t) if t and model.labels and any(map(str.isalpha, t)) else None)
+                counts.append(segments(t, model.segment) if t and model.labels and any(map(str.isalpha, t)) else None)
             new = list({s for c in counts if c for s in c if s not in known})
             if new:
                 if len(known) + len(new) > MEMORY:  # keep what this batch needs

@@ -1,13 +1,14 @@
 """Packing of tokenized documents into fixed-length sequences by the sum-of-squares rule.
 
 State of a pack: the number N(g) of open sequences with each residual gap g. A
-document goes where the sum of the N(g)^2 becomes smallest, be it into an open
-gap or a new sequence; that keeps many different gaps on offer (Csirik et al.,
-"On the Sum-of-Squares Algorithm for Bin Packing", 2006). Order is free: of a
-few orders (documents above a size first and the rest after, both in hash
-order; or by falling length) the best result counts.
-
-Documents are dealt into packs of bounded size by hash. The emptiest sequences
+document goes where the sum of the N(g)^2 becomes smallest; that keeps many
+different gaps on offer (Csirik et al., "On the Sum-of-Squares Algorithm for Bin
+Packing", 2006). Order is free, as all documents of a pack are there: the longest
+come first. The rule chooses among the open gaps that hold the document; a new sequence is
+opened where none does (``any_fit``). Left to weigh a new sequence too, as for documents that come one
+by one, the rule opens more of them (README has the figures).
+
+Documents are dealt into packs of bounded size by a hash of their row. The emptiest sequences
 of a pack, an eighth of its documents at most, go on to the next round, where
 eight packs meet in one, until one is left; the others are final. A round keeps
 the arrangement that it was given unless its own has fewer sequences.
@@ -30,9 +31,6 @@ from tabml.llm.common import id_text, pieces, shuffle_partitions, stored
 
 #: Documents of a pack, and packs of a round that meet in one pack of the next.
 PACK, MERGE = 8192, 8
-#: Parts of a sequence above which documents come first, tried one after the other; None: from the longest to the
-#: shortest, and a new sequence only where nothing else fits.
-CUTS = (None, 0.16, 0.2, 0.24, 0.5)
 #: Only here do the two libraries surely agree on letters and spaces.
 _PLAIN = re.compile("[^\t\n\r -~À-ÖØ-öø-ɏ]")
 
@@ -97,8 +95,8 @@ def token_pieces(docs: DataFrame, tokenizer: tuple[str, str | None, str | None],
     return id_text(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
-def sum_of_squares(sizes: np.ndarray, capacity: int, thrifty: bool = False) -> np.ndarray:
-    """The sequence number of each size, placed in the given order; ``thrifty``: a new one only where nothing else fits."""
+def sum_of_squares(sizes: np.ndarray, capacity: int, any_fit: bool = False) -> np.ndarray:
+    """The sequence number of each size, placed in the given order; ``any_fit``: a new one only where no open gap is large enough."""
     count = np.zeros(capacity + 1, np.int64)
     open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
     where, made = np.empty(len(sizes), np.int64), 0
@@ -107,7 +105,7 @@ def sum_of_squares(sizes: np.ndarray, capacity: int, thrifty: bool = False) -> n
         change = 2 * (count[:capacity + 1 - s] - count[s:]) + 2
         change[0] -= 2 * count[0] + 1  # a gap of 0 is no open sequence
         change[:-1][count[s:capacity] == 0] = 1 << 60
-        change[-1] = 1 << 59 if thrifty else 2 * count[capacity - s] + 1 if s < capacity else 0
+        change[-1] = 1 << 59 if any_fit else 2 * count[capacity - s] + 1 if s < capacity else 0
         gap = s + int(change.argmin())
         if gap == capacity:
             bin_, made = made, made + 1
@@ -122,15 +120,11 @@ def sum_of_squares(sizes: np.ndarray, capacity: int, thrifty: bool = False) -> n
 
 
 def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
-    """The best of the orders of ``CUTS``: a sequence number for each size."""
-    best = None
-    for cut in CUTS:
-        order = np.argsort(-sizes if cut is None else sizes <= cut * capacity, kind="stable")
-        where = np.empty(len(sizes), np.int64)
-        where[order] = sum_of_squares(sizes[order], capacity, cut is None)
-        if best is None or where.max() < best.max():
-            best = where
-    return best
+    """A sequence number for each size, placed from the longest to the shortest."""
+    order = np.argsort(-sizes, kind="stable")
+    where = np.empty(len(sizes), np.int64)
+    where[order] = sum_of_squares(sizes[order], capacity, any_fit=True)
+    return where
 
 
 def _packed(capacity: int, level: int, pack_size: int):
@@ -185,5 +179,5 @@ def pack_documents(docs: DataFrame, tokenizer: tuple[str, str | None, str | None
     """
     cut = token_pieces(docs, tokenizer, end_id, capacity, keep_ids, id_col, text_col)
     cut = stored(cut.withColumn("uid", F.monotonically_increasing_id()), "packing")
-    placed = best_fit(cut.select("uid", "length", F.xxhash64("doc_id", "piece").alias("h")), capacity, pack_size)
+    placed = best_fit(cut.select("uid", "length", F.xxhash64("uid").alias("h")), capacity, pack_size)
     return cut.join(placed, "uid").drop("uid")

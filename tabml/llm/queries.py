@@ -76,7 +76,7 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = language_id.held_out(docs["doc_id"], 4, 2)
-    model = language_id.fit_language_model(docs.filter(~held), hidden=12, steps=200)
+    model = language_id.fit_language_model(docs.filter(~held), hidden=12, steps=400)
     out = language_id.predict_languages(docs, model)
     return out.withColumn("held_out", language_id.held_out(out["doc_id"], 4, 2))
 

@@ -73,11 +73,28 @@ def position_sets(max_bits: int) -> list[tuple[int, ...]]:
     return [t for t in combinations(range(8), 3) if (c := count(t))[0][0] == 3 or c[0][0] == 2 and c[1][1] == (c[0][1] + 1) % 3]
 
 
-def _near(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
-    """Which pairs share enough positional bytes and are within the bit distance."""
-    x = np.bitwise_xor(a, b)
-    tally = (np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape, 8) == 0).sum(-1)
-    return (tally >= 8 - max_bits) & (np.bitwise_count(x) <= max_bits)
+_LOW = np.uint64(0x0101010101010101)
+
+
+def _different_bytes(x: np.ndarray) -> np.ndarray:
+    """How many positional bytes each pair does not share, from the exclusive or of its fingerprints."""
+    x = x | x >> np.uint64(4)  # the lowest bit of each byte gathers the others
+    x = x | x >> np.uint64(2)
+    x = x | x >> np.uint64(1)
+    return np.bitwise_count(x & _LOW)
+
+
+def _near(x: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which pairs, by their exclusive or, are within the bit distance: those whose tally of shared positional bytes
+    reaches the 8 - ``max_bits`` that such pairs have at least are verified, the others are no candidates."""
+    kept = np.flatnonzero(_different_bytes(x) <= max_bits)
+    near = np.zeros(len(x), bool)
+    near[kept] = _within(x[kept], max_bits)
+    return near
+
+
+def _within(x: np.ndarray, max_bits: int) -> np.ndarray:
+    return np.bitwise_count(x) <= max_bits
 
 
 def _search(fp: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -87,9 +104,9 @@ def _search(fp: np.ndarray, max_bits: int) -> tuple[list[np.ndarray], list[np.nd
         queue, left = [int(left[0])], left[1:]
         while queue and len(left):
             p = queue.pop()
-            hit = np.bitwise_count(fp[left] ^ fp[p]) <= max_bits
+            hit = _near(fp[left] ^ fp[p], max_bits)
             if hit.any():
-                new = left[hit][_near(fp[left[hit]], np.full(hit.sum(), fp[p]), max_bits)]
+                new = left[hit]
                 out_a.append(np.full(len(new), p))
                 out_b.append(new)
                 queue.extend(new.tolist())
@@ -109,7 +126,7 @@ def _links(group: np.ndarray, fp: np.ndarray, v: np.ndarray, max_bits: int) -> t
         few = few[few + step < end[few]]
         if not len(few):
             break
-        hit = few[_near(fp[few], fp[few + step], max_bits)]
+        hit = few[_near(fp[few] ^ fp[few + step], max_bits)]
         out_a.append(v[hit])
         out_b.append(v[hit + step])
     for k in np.flatnonzero(size > SMALL):

@@ -302,7 +302,7 @@ def _removal(window: int, buckets: int):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        kinds, names = [pa.int64(), pa.int64(), span, pa.binary(), docs.schema.field("rows").type.value_type], ["doc_id", "n_bytes", "spans", "kept", "row"]
+        kinds, names = [pa.int64(), pa.int64(), span, pa.binary(), pa.string(), docs.schema.field("rows").type.value_type], ["doc_id", "n_bytes", "spans", "kept", "kept_text", "row"]
         if not docs.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in kinds], names)
         _, ids, texts = _only(docs)
@@ -338,11 +338,15 @@ def _removal(window: int, buckets: int):
             part = None if removed is None else removed[begin:begin + len(t)]
             begin += len(t)
             if part is None or not part.any():
-                rows.append((i, len(t), [], t, r))
+                rows.append((i, len(t), [], t, None, r))
                 continue
             turn = np.flatnonzero(np.diff(np.r_[False, part, False].astype(np.int8)))
             spans = [{"start": int(x), "end": int(y)} for x, y in zip(turn[::2], turn[1::2], strict=True)]
-            rows.append((i, len(t), spans, np.frombuffer(t, np.uint8)[~part].tobytes(), r))
+            raw = np.frombuffer(t, np.uint8)
+            # a character that lost a byte is no longer one
+            char = np.cumsum((raw & 0xC0) != 0x80)
+            whole = np.bincount(char[part], minlength=char[-1] + 1) == 0
+            rows.append((i, len(t), spans, raw[~part].tobytes(), raw[whole[char]].tobytes().decode(), r))
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
     return run
@@ -358,8 +362,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Removes repeated byte strings from every whole text.
 
     Returns doc_id, n_bytes, spans (removed byte ranges, start and end, maximal
-    and in order), kept (the remaining bytes) and row (the other columns of the
-    input row, as a struct), one row per input row. A null
+    and in order), kept (the remaining bytes), kept_text (null if nothing is removed, else the characters that are
+    whole) and row (the other columns of the input row, as a struct), one row per input row. A null
     text is empty. Rows with one id don't remove from each other; rows without
     an id come after all others, and their doc_id stays null.
     """
@@ -383,4 +387,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = batches.groupBy("batch").cogroup(bits.groupBy("batch")).applyInArrow(_context_rows(window, buckets), "bucket int, batch long, sizes binary, bytes binary, least binary")
     answers = stored(contexts.groupBy("bucket").applyInArrow(_least_ids(window), "batch long, bucket int, answers binary"), "suffix-answers")
     known = bits.withColumn("answers", F.lit(None).cast("binary")).unionByName(answers.withColumn("bits", F.lit(None).cast("binary")))
-    return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_removal(window, buckets), schema_of("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", chosen))
+    return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_removal(window, buckets), schema_of("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_text string", chosen))

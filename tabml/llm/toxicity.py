@@ -19,7 +19,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabml.llm.common import id_text, pieces, schema_of, texts_of, with_row_of
+from tabml.llm.common import id_text, pieces, schema_of, stored, texts_of, with_row_of
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER", "END"
 # General English words of each class.
@@ -160,32 +160,44 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * worst + c * total))))
 
 
-def _features_of(text: str) -> tuple[set[str], set[str]]:
-    words = set(_TOKEN.findall(text.lower()))
-    return words, {w[:k] for w in words for k in range(_SHORTEST, min(len(w), _LONGEST + 1))}
+def _beginnings(words: Iterable[str]) -> set[str]:
+    return {w[:k] for w in words for k in range(_SHORTEST, min(len(w), _LONGEST + 1))}
 
 
-def _distinct(samples: list[tuple[str, int]]) -> list[tuple[str, int]]:
+def _words_of(text: str) -> list[str]:
+    return sorted(set(_TOKEN.findall(text.lower())))
+
+
+@dataclass(frozen=True)
+class Sample:
+    """A labelled document as its different words."""
+
+    key: int
+    words: list[str]
+    toxic: int
+
+
+def _distinct(samples: list[Sample]) -> list[Sample]:
     """Without near copies of earlier samples: those that share most of their lowest word hashes."""
     seen, out = set(), []
-    for text, y in samples:
-        low = sorted({zlib.crc32(w.encode()) for w in _TOKEN.findall(text.lower()) if len(w) > 5})[:8] or [text]
-        if sum((h, y) in seen for h in low) * 2 <= len(low):
-            out.append((text, y))
-        seen.update((h, y) for h in low)
+    for x in samples:
+        low = sorted({zlib.crc32(w.encode()) for w in x.words if len(w) > 5})[:8] or [" ".join(x.words)]
+        if sum((h, x.toxic) in seen for h in low) * 2 <= len(low):
+            out.append(x)
+        seen.update((h, x.toxic) for h in low)
     return out
 
 
-def _lexicons(samples: list[tuple[str, int]], evidence: float, ratio: float) -> list[dict[str, float]]:
-    toxic, clean = [t for t, y in samples if y], [t for t, y in samples if not y]
+def _lexicons(samples: list[Sample], evidence: float, ratio: float) -> list[dict[str, float]]:
+    toxic, clean = [x.words for x in samples if x.toxic], [x.words for x in samples if not x.toxic]
     bad = (Counter(), Counter())
-    for t in toxic:
-        for c, found in zip(bad, _features_of(t), strict=True):
+    for words in toxic:
+        for c, found in zip(bad, (words, _beginnings(words)), strict=True):
             c.update(found)
     few = [{x for x, n in c.items() if n >= 4} for c in bad]
     good = (Counter(), Counter())
-    for t in clean:
-        for c, found, wanted in zip(good, _features_of(t), few, strict=True):
+    for words in clean:
+        for c, found, wanted in zip(good, (set(words), _beginnings(words)), few, strict=True):
             c.update(found & wanted)
     most = Counter()  # the commonest word of each beginning: a beginning that is nearly one word teaches nothing more
     for w, n in bad[0].items():
@@ -205,24 +217,24 @@ def _lexicons(samples: list[tuple[str, int]], evidence: float, ratio: float) ->
     return out
 
 
-def learn(samples: Iterable[tuple[str, int]], evidence: float = 18.0, ratio: float = 12.0) -> ToxicityModel:
-    """Learns from (text, 0/1) samples; near copies count once.
+def learn_from(samples: list[Sample], features: Callable[[list[tuple[ToxicityModel, list[int]]]], dict[int, tuple[float, float]]], evidence: float = 18.0, ratio: float = 12.0) -> ToxicityModel:
+    """Learns from samples; near copies count once.
 
     A word or strict beginning is taken if toxic samples hold it at least
     ``ratio`` times as often as clean ones and its log-likelihood gain over
     the base rate is at least ``evidence``. The logistic function is fitted to
-    scores that each half of the samples gets from the other half's lexicon.
+    scores that each half of the samples gets from the other half's lexicon: ``features`` gives those of
+    the clauses of whole texts, by key, for each model and the keys of its texts.
     """
-    samples = _distinct(list(samples))
+    samples = _distinct(samples)
     model = ToxicityModel(*_lexicons(samples, evidence, ratio))
-    if {bool(y) for _, y in samples} == {True, False}:
-        halves = [[s for k, s in enumerate(sorted(samples, key=lambda s: s[1])) if k % 2 == h] for h in (0, 1)]
-        x, y = [], []
-        for one, other in (halves, halves[::-1]):
-            part = ToxicityModel(*_lexicons(one, evidence, ratio))
-            x += [(1.0, *part.features(t)) for t, _ in other]
-            y += [float(bool(k)) for _, k in other]
-        x, y, w = np.array(x), np.array(y), np.zeros(3)
+    if {bool(x.toxic) for x in samples} == {True, False}:
+        halves = [[s for k, s in enumerate(sorted(samples, key=lambda s: s.toxic)) if k % 2 == h] for h in (0, 1)]
+        parts = [(ToxicityModel(*_lexicons(one, evidence, ratio)), [s.key for s in other]) for one, other in (halves, halves[::-1])]
+        found = features(parts)
+        judged = halves[1] + halves[0]
+        x = np.array([(1.0, *found[s.key]) for s in judged])
+        y, w = np.array([float(bool(s.toxic)) for s in judged]), np.zeros(3)
         for _ in range(25):  # Newton steps with a small ridge
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
@@ -231,11 +243,36 @@ def learn(samples: Iterable[tuple[str, int]], evidence: float = 18.0, ratio: flo
     return model
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: tuple[int, int] = (1200, 2400), sample_chars: int = 20_000) -> ToxicityModel:
+def learn(samples: Iterable[tuple[str, int]], evidence: float = 18.0, ratio: float = 12.0) -> ToxicityModel:
+    """:func:`learn_from` (text, 0/1) samples that are here."""
+    given = list(samples)
+    marked = [Sample(k, _words_of(t), int(y)) for k, (t, y) in enumerate(given)]
+    return learn_from(marked, lambda parts: {k: m.features(given[k][0]) for m, keys in parts for k in keys}, evidence, ratio)
+
+
+def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, "t", 2 << 20):
+        words = pa.array([_words_of(t) for t in b.column("t").to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), words], ["k", "y", "words"])
+
+
+def _sample_features(parts: list[tuple[ToxicityModel, list[int]]]):
+    by_key = {k: m for m, keys in parts for k in keys}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "t", 2 << 20):
+            rows = [(k, *by_key[k].features(t)) for k, t in zip(b.column("k").to_pylist(), b.column("t").to_pylist(), strict=True) if k in by_key]
+            cols = list(zip(*rows)) if rows else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.float64())], ["k", "worst", "total"])
+
+    return run
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: tuple[int, int] = (1200, 2400)) -> ToxicityModel:
     """Learns from at most ``sample`` (toxic, clean) labelled documents, those with the smallest hash of the id modulo 2^20.
 
-    The bounds hold for the fit alone, as does ``sample_chars``, the part of a
-    sampled text that it reads. Of the texts of a repeated id the one with the
+    The bounds hold for the fit alone. Sampled texts are read whole, in the tasks: the driver receives the different words of
+    each, and then two numbers. Of the texts of a repeated id the one with the
     smallest hash counts. Rows without id, text or label are left out.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("int").alias("y")).filter("k is not null and y is not null")
@@ -250,10 +287,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if not chosen:
         return learn([])
     picked = docs.sparkSession.createDataFrame([(r.k, r.y) for r in chosen], "k long, y int")  # as many as ``sample`` says
-    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.substring(F.col(text_col), 1, sample_chars).alias("t"))
+    texts = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t"))
     # one text of each id: a task sends one however often the id is repeated
-    rows = texts.filter("t is not null").join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")).collect()
-    return learn((r.t, r.y) for r in sorted(rows, key=lambda r: (r.k, r.t)))
+    rows = texts.filter("t is not null").join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = stored(rows, "toxicity-sample")
+    samples = [Sample(r.k, list(r.words), r.y) for r in rows.mapInArrow(_sample_words, "k long, y int, words array<string>").collect()]
+
+    def features(parts: list[tuple[ToxicityModel, list[int]]]) -> dict[int, tuple[float, float]]:
+        found = rows.select("k", "t").mapInArrow(_sample_features(parts), "k long, worst double, total double").collect()
+        return {r.k: (r.worst, r.total) for r in found}
+
+    return learn_from(sorted(samples, key=lambda s: s.key), features)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:

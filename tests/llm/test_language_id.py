@@ -95,3 +95,50 @@ def language_sample(docs, sample):
     finally:
         language_id.train = was
     return given
+
+
+def test_long_segments_are_cut_between_characters():
+    for text in ("é" * 100, "漢字" * 50, "a" * 70, "😀" * 30 + "é", "x" * 31 + "é" * 5, "ab cd"):
+        for size in (4, 7, 32):
+            found = language_id.segments(text, size)
+            assert all(0 < len(s) <= size and s.decode() for s in found)
+            assert sum(len(s) * n for s, n in found.items()) == len(text.encode()) - text.count(" ")
+
+
+def test_forward_pass_against_plain_loops():
+    """The network position by position, in scalar Python, for segments of different lengths in one batch."""
+    import math
+
+    model = language_id.train([("abc def", "x"), ("ghi jkl mno", "y"), ("ééé zz", "z")], hidden=3, steps=5, batch=8)
+    sig = lambda v: 1 / (1 + math.exp(-v))
+
+    def states(gru, codes):
+        h, out = [0.0] * 3, []
+        for c in codes:
+            x = gru.x[c]
+            z = [sig(x[j] + sum(h[i] * gru.u[i, j] for i in range(3))) for j in range(3)]
+            r = [sig(x[3 + j] + sum(h[i] * gru.u[i, 3 + j] for i in range(3))) for j in range(3)]
+            new = [math.tanh(x[6 + j] + sum(r[i] * h[i] * gru.c[i, j] for i in range(3))) for j in range(3)]
+            h = [h[j] + z[j] * (new[j] - h[j]) for j in range(3)]
+            out.append(h)
+        return out
+
+    segs = [b"abc", b"g", "éz".encode(), b"mnopqrstuv"]
+    got = model.pooled(segs)
+    for s, g in zip(segs, got):
+        ahead, back = states(model.ahead, s), states(model.back, s[::-1])[::-1]
+        total = [0.0] * 3
+        for f, b in zip(ahead, back):
+            e = [math.exp(sum(v * model.w[i, k] for i, v in enumerate(f + b)) + model.b[k]) for k in range(3)]
+            total = [t + v / sum(e) for t, v in zip(total, e)]
+        assert np.allclose(g, total, atol=1e-4)
+
+
+def test_the_fit_reads_whole_texts(llm):
+    """Two languages that differ beyond 20,000 characters only."""
+    rows = [(i, " ".join(["same"] * 5000 + [("zuzu" if i % 2 else "kiki") + "abcdefgh"[(i * j) % 8] for j in range(400)]), "zz" if i % 2 else "kk") for i in range(40)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    model = language_id.fit_language_model(docs, hidden=8, steps=150)
+    short = llm.createDataFrame([(i, ("zuzu" if i % 2 else "kiki") + "abcdefgh"[i]) for i in range(8)], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language_id.predict_languages(short, model).collect()}
+    assert got == {i: "zz" if i % 2 else "kk" for i in range(8)}

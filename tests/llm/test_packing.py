@@ -72,3 +72,31 @@ def test_beats_first_fit_and_nears_the_bound():
 def test_both_libraries_agree(text):
     t = packing.Tokens(*byte_bpe())
     assert t.ids(text).tolist() == t.slow.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_without_an_id_are_dealt_out_like_others(llm):
+    """A third of the rows without an id, a third with one id: no pack holds more than its size."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, "word " * (i % 40)) for i in range(3000)]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    out = packing.pack_documents(df, byte_bpe(), 2, capacity=64, pack_size=256).collect()
+    assert len(out) == 3000
+    fill = {}
+    for r in out:
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    assert max(fill.values()) <= 64 and len(fill) <= 1.05 * sum(fill.values()) / 64 + 1
+
+
+def test_any_fit_opens_a_sequence_only_where_nothing_fits():
+    rng = np.random.default_rng(2)
+    sizes = np.sort(rng.integers(1, 60, 400))[::-1]
+    where, fill = packing.sum_of_squares(sizes, 64, any_fit=True), {}
+    for s, w in zip(sizes.tolist(), where.tolist()):
+        if w not in fill:
+            assert all(f + s > 64 for f in fill.values())
+        else:
+            def squares(f):
+                gaps = [64 - x for x in f.values() if x < 64]
+                return sum(gaps.count(g) ** 2 for g in set(gaps))
+            assert squares({**fill, w: fill[w] + s}) == min(squares({**fill, b: f + s}) for b, f in fill.items() if f + s <= 64)
+        fill[w] = fill.get(w, 0) + s
+    assert max(fill.values()) <= 64

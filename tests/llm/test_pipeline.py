@@ -39,7 +39,7 @@ def test_registered(llm, stages):
 def test_language_stage(llm, stages):
     given, kept, _ = stages["language_id"]
     docs = llm.createDataFrame(given)
-    model = language_id.fit_language_model(docs.filter(~language_id.held_out(docs["doc_id"], 4, 2)), hidden=12, steps=200)
+    model = language_id.fit_language_model(docs.filter(~language_id.held_out(docs["doc_id"], 4, 2)), hidden=12, steps=400)
     want = set()
     for r in given:
         c = language_id.segments(r.text)
@@ -105,3 +105,42 @@ def test_language_stage_rejects_what_it_has_not_learned(llm):
                 assert kept.get(truth, 0) <= (1 - hidden if truth == missing else 0.5) * n, (missing, truth, kept)
             else:
                 assert kept[truth] >= 0.99 * n, (missing, truth, kept)
+
+
+def test_columns_with_the_names_of_helpers(llm):
+    """Extra columns named like any column that a stage makes on the way."""
+    names = ["kept_id", "id", "row", "first", "component_id", "kept", "kept_text", "spans", "of", "least", "score", "predicted", "lang_pred", "batch", "uid", "h", "pack", "sequence_id", "ids", "t", "k", "y"]
+    docs = llm.read.parquet(f"{SF001}/documents.parquet")
+    plain_docs, wide = docs, docs.select("*", *[F.lit(f"extra {n}").alias(n) for n in names])
+    for name, stage in P.STAGES:
+        plain_docs, wide = (stored(stage(llm, d, SF001), "test") for d in (plain_docs, wide))
+        if name != P.STAGES[-1][0]:
+            assert wide.columns == docs.columns + names, name
+            assert all(r[n] == f"extra {n}" for r in wide.limit(20).collect() for n in names)
+            assert sorted(map(tuple, wide.select(docs.columns).collect()), key=str) == sorted(map(tuple, plain_docs.collect()), key=str), name
+    assert wide.count() == plain_docs.count()
+
+
+def test_a_replacement_character_of_the_text_stays(llm):
+    """Characters that were cut go; a U+FFFD that the text itself holds is none of them."""
+    passage = "é" * 40
+    rows = [(1, f"begin {passage} end", "en", "s", 0), (2, f"own \ufffd words é{passage}è and \ufffd more", "en", "s", 0), (3, "only \ufffd here", "en", "s", 0)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in dict(P.STAGES)["suffix_array_dedup"](llm, docs, SF001).collect()}
+    want = {i: k for i, n, s, k in brute([(r[0], r[1]) for r in rows])}
+    assert got[1] == rows[0][1] and got[3] == rows[2][1]
+    assert got[2].startswith("own \ufffd words ") and got[2].endswith(" and \ufffd more") and len(got[2]) < len(rows[1][1]) - 30
+    assert want[2].decode(errors="ignore") == got[2]
+
+
+def test_packed_ids_are_the_texts(llm, stages):
+    from tabml.llm.packing import Tokens
+    from tabml.llm.queries import byte_bpe
+    given, rows, _ = stages["best_fit_packing"]
+    slow = Tokens(byte_bpe()[0]).slow
+    by_doc = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        assert len(r.ids) == r.length
+        by_doc.setdefault(r.doc_id, []).extend(r.ids)
+    for r in given:
+        assert by_doc[r.doc_id][-1] == 2 and slow.decode(by_doc[r.doc_id][:-1], skip_special_tokens=False) == r.text

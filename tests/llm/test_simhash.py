@@ -89,3 +89,24 @@ def test_components_of_paths_stars_and_loops(llm):
     got = dict(map(tuple, components.components(llm.createDataFrame(edges, "a long, b long").repartition(6)).collect()))
     assert got == {**{i: 100 for i in range(101, 181)}, **{i: 200 for i in [*range(201, 260), 300]}, 901: 900}
     assert components.components(llm.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_bits_are_tested_on_pairs_with_enough_shared_bytes_alone(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    fp = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    fp[::2] = fp[1::2] ^ np.uint64(0b11 << 20)
+    fp[100:600] = (fp[100] & np.uint64(0xFFFFFF)) | (fp[100:600] << np.uint64(24))  # a list that shares three bytes
+    x = fp[:-1] ^ fp[1:]
+    want = np.array([bin(int(v)).count("1") <= 4 for v in x])
+    shared = np.array([sum((int(v) >> 8 * k & 255) == 0 for k in range(8)) for v in x])
+    assert (8 - simhash._different_bytes(x) == shared).all()
+    tested = []
+    real = simhash._within
+    monkeypatch.setattr(simhash, "_within", lambda v, k: tested.append(len(v)) or real(v, k))
+    assert (simhash._near(x, 4) == want).all()
+    assert sum(tested) == (shared >= 4).sum() < len(x) * 0.7 and (shared[want] >= 4).all()
+    # a list whose pairs share three bytes each: the tally leaves few of them
+    tested.clear()
+    simhash._links(np.zeros(500, np.int64), fp[100:600], np.arange(500), 4)
+    assert sum(tested) < 0.1 * 500 * 499 / 2

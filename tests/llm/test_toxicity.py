@@ -78,6 +78,22 @@ def test_a_repeated_id_is_one_sample(llm, monkeypatch):
     docs = llm.createDataFrame([(k % 3, f"text {k}") for k in range(90)], "doc_id long, text string").repartition(6)
     labels = llm.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
     given = []
-    monkeypatch.setattr(toxicity, "learn", lambda samples: given.extend(samples))
+    monkeypatch.setattr(toxicity, "learn_from", lambda samples, features: given.extend(samples))
     toxicity.fit_toxicity(docs, labels)
-    assert sorted(y for _, y in given) == [0, 0, 1]
+    assert sorted(s.toxic for s in given) == [0, 0, 1] and sorted(s.key for s in given) == [0, 1, 2]
+
+
+def test_the_fit_reads_whole_texts(llm):
+    """What tells toxic documents stands beyond 20,000 characters."""
+    rng = random.Random(3)
+    filler = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(3200))
+    rows = [(i, f"{filler()} {'zorbulen' if i % 3 == 0 else 'harmless'} end") for i in range(180)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = llm.createDataFrame([(i, int(i % 3 == 0)) for i in range(180)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert model.words.keys() == {"zorbulen"} and min(len(t) for _, t in rows) > 20_000
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, model).collect()}
+    assert got == {i: int(i % 3 == 0) for i in range(180)}
+    # the same as from the texts themselves
+    here = toxicity.learn([(t, int(i % 3 == 0)) for i, t in rows])
+    assert here.words == model.words and here.coef == pytest.approx(model.coef)
