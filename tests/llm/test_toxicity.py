@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import pytest
@@ -97,3 +98,65 @@ def test_the_fit_reads_whole_texts(llm):
     # the same as from the texts themselves
     here = toxicity.learn([(t, int(i % 3 == 0)) for i, t in rows])
     assert here.words == model.words and here.coef == pytest.approx(model.coef)
+
+
+def by_scanning(model, text):
+    """Scores of the clauses, each match judged by looking back over its clause."""
+    f, out = model.factors, []
+    for clause in re.split(r"[.!?;\n]", text.lower()):
+        words = re.findall(r"[^\W\d_]+", clause)
+        kinds = [model.symbol(w) for w in words]
+        score, any_match = 0.0, False
+        for i, (kind, weight) in enumerate(kinds):
+            if weight:
+                before = [k for k, _ in kinds[:i]]
+                x = f["reported"] if toxicity.REPORT in before else 1.0
+                x *= f["negated"] if toxicity.NEGATION in before[-2:] else 1.0
+                x *= f["targeted"] if toxicity.TARGET in before[-4:] else 1.0
+                x *= f["unaimed"] if kind == toxicity.THREAT and toxicity.TARGET not in before else 1.0
+                x *= f["repeated"] if kind == toxicity.INSULT and toxicity.INSULT in before else 1.0
+                score, any_match = score + weight * x, True
+        if any_match:
+            out.append(score)
+    return out
+
+
+def test_clause_scores_against_scanning():
+    rng = random.Random(5)
+    words = ["idiot", "Moron", "kill", "hurt", "you", "they", "not", "never", "said", "wrote", "tree", "house", "zorb", ".", "!", "\n", "7"]
+    model = toxicity.ToxicityModel({"zorb": 3.0, "you": 9.0, "kill": 5.0}, {}, factors={"targeted": 1.5, "negated": 0.1, "reported": 0.3, "unaimed": 0.2, "repeated": 0.7})
+    assert model.symbol("you") == (toxicity.TARGET, 0.0) and model.symbol("kill") == (toxicity.THREAT, 5.0)  # learned words keep their class
+    for _ in range(500):
+        text = " ".join(rng.choices(words, k=rng.randrange(40)))
+        assert [s for s, _ in model.clauses(text)] == pytest.approx(by_scanning(model, text))
+
+
+def in_context(rng, n):
+    """(text, toxic): both kinds hold the same insults; in clean ones they are denied or reported."""
+    fill = lambda: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(6))
+    out = []
+    for i in range(n):
+        bad = rng.choice(["zorbulen", "quaxotil", "idiot"])
+        said = rng.choice([f"he is not {bad}", f"the paper said {fill()} {bad}", f"she called him {bad}"])
+        out.append((f"{fill()}. {said}. {fill()}", 0) if i % 2 else (f"{fill()}. {fill()} you {bad} {fill()}. {fill()}", 1))
+    return out
+
+
+def area(model, held):
+    bad, good = [model.score(t) for t, y in held if y], [model.score(t) for t, y in held if not y]
+    return sum((p > n) + (p == n) / 2 for p in bad for n in good) / len(bad) / len(good)
+
+
+def test_the_grammar_decides_where_words_do_not():
+    rng = random.Random(8)
+    model, held = toxicity.learn(in_context(rng, 600)), in_context(rng, 300)
+    assert {"zorbulen", "quaxotil"} <= model.words.keys()
+    assert model.factors["negated"] < 0.1 and model.factors["reported"] < 0.2
+    flat = toxicity.ToxicityModel(model.words, model.starts, model.coef, dict.fromkeys(toxicity.FACTORS, 1.0))
+    assert area(model, held) > 0.99 > 0.7 > area(flat, held)
+    assert sum((model.score(t) >= 0.5) == bool(y) for t, y in held) > 0.98 * len(held)
+
+
+def test_factors_without_evidence_stay():
+    assert toxicity.fit_factors([]) == toxicity.FACTORS
+    assert toxicity.fit_factors([(0, True), (0, False)]) == toxicity.FACTORS
