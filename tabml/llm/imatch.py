@@ -12,6 +12,7 @@ of any length have some with few terms, which survive an edit elsewhere.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -76,23 +77,44 @@ def likeness(a: str, b: str, fp_a: str, fp_b: str) -> Column:
     return F.expr(f"IF({fp_a} = {fp_b}, 1D, IF({either} = 0, 0D, {same} / CAST({either} AS double)))")
 
 
-def _buckets(docs: DataFrame, parts: int) -> tuple[Column, DataFrame]:
-    """A bucket for each id, in order and about equally full, and the guests: the id that follows each bucket.
+def _literal(k: int) -> str:
+    return f"{k}L" if k != _FIRST else "(-9223372036854775807L - 1L)"
 
-    At most ``8 * parts`` rows reach the driver.
-    """
+
+def _bounds(docs: DataFrame, parts: int) -> tuple[list[int], dict[int, int]]:
+    """At most ``parts`` + 1 ids that cut ``docs`` in about equal parts, and the ids that fill several parts, with how many."""
     cut = [k / parts for k in range(1, parts)]
     row = docs.select(F.percentile_approx("k", cut or [0.5]).alias("p"), F.min("k").alias("a"), F.max("k").alias("z")).first()
-    bounds = sorted({row.a, *(row.p or []), row.z}) if row.a is not None else [0]
-    level = f"size(filter(array({', '.join(f'{b}L' if b != _FIRST else '(-9223372036854775807L - 1L)' for b in bounds)}), b -> b < k))"
+    if row.a is None:
+        return [0], {}
+    return sorted({row.a, *(row.p or []), row.z}), {k: n for k, n in Counter(row.p or []).items() if n > 1}
+
+
+def _bucket(bounds: list[int], hot: dict[int, int]) -> Column:
+    """A bucket for each row: in the order of ids, and within a hot id (a bound, so the largest of its bucket) by falling hash ``th`` of its text."""
+    level = f"size(filter(array({', '.join(map(_literal, bounds))}), b -> b < k))"
     # eight steps of equal width inside the span between two bounds
     low, high = (F.lit(0.0) + F.element_at(F.array(*[F.lit(float(b)) for b in bounds]), F.greatest(F.lit(1), F.expr(level) + d)) for d in (0, 1))
     inside = F.floor((F.col("k").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * 8)
     number = F.expr(level).cast("long") * 8 + F.when(F.expr(level) == 0, F.lit(0)).otherwise(F.least(F.lit(7), F.greatest(F.lit(0), inside)))
-    ends = sorted((r.bucket, r.z) for r in docs.groupBy(number.alias("bucket")).agg(F.max("k").alias("z")).collect())
+    if not hot:
+        return number
+    # the smallest hash comes first in the order, so it has the last of the id's own buckets
+    steps = F.expr(f"CASE {' '.join(f'WHEN k = {_literal(k)} THEN {8 * n}' for k, n in hot.items())} ELSE 0 END")
+    share = (F.col("th").cast("double") + F.lit(float(1 << 63))) / F.lit(float(1 << 64))
+    own = F.when(steps > 0, steps - F.least(steps - 1, F.floor(share * steps))).otherwise(F.lit(0))
+    return number * (8 * max(hot.values()) + 1) + own
+
+
+def _guests(rows: DataFrame) -> DataFrame:
+    """For each bucket the row that follows its last one: the first of the bucket before, by id and hash of the text.
+
+    One row a bucket reaches the driver, at most 16 for each shuffle partition.
+    """
+    firsts = rows.groupBy("bucket").agg(F.max(F.struct("k", F.bitwise_not("th").alias("nth"))).alias("m"))
+    ends = sorted((r.bucket, r.m.k, ~r.m.nth) for r in firsts.collect())
     # after the smallest id of a bucket comes the largest of the bucket before; after the last of all, the first
-    guests = [(b, ends[i - 1][1]) for i, (b, _) in enumerate(ends)]
-    return number, docs.sparkSession.createDataFrame(guests, "bucket long, g long")
+    return rows.sparkSession.createDataFrame([(b, *ends[i - 1][1:]) for i, (b, *_) in enumerate(ends)], "to_bucket long, g long, gh long")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", band: tuple[float, float] = IDF_BAND) -> DataFrame:
@@ -105,24 +127,42 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near_edited, near_next (likeness to the edited text's and to the next
     document's fingerprint, 0 to 1). A null text is empty; rows without id
     come last; rows with equal ids follow in the order of their texts; equal
-    texts have equal fingerprints; a single document is its own next.
+    texts have equal fingerprints; a single document is its own next. An id
+    (or its absence) that many rows share is dealt out by the hash of the
+    texts, and its equal rows are worked on once.
     """
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     chosen = chosen.withColumn("k", F.coalesce("doc_id", F.lit(_FIRST).cast("long")))
     known = lexicon(chosen, "text", band)
-    number, guests = _buckets(chosen.select("k"), shuffle_partitions(docs.sparkSession))
-    own = chosen.withColumn("bucket", number).withColumn("guest", F.lit(False))
-    invited = chosen.join(F.broadcast(guests), chosen.k == guests.g).select("doc_id", "text", "k", "bucket", F.lit(True).alias("guest"))
-    rows = own.select("doc_id", "text", "k", "bucket", "guest").union(invited)
+    chosen = chosen.withColumn("th", F.xxhash64("text"))
+    bounds, hot = _bounds(chosen.select("k"), shuffle_partitions(docs.sparkSession))
+    own = chosen.withColumn("copies", F.lit(1).cast("long"))
+    if hot:
+        often = F.expr(f"k IN ({', '.join(map(_literal, hot))})")
+        # tasks send one row for each text of a hot id
+        once = chosen.filter(often).groupBy("doc_id", "text", "k", "th").agg(F.count("*").alias("copies"))
+        own = own.filter(~often).unionByName(once)
+    own = own.withColumn("bucket", _bucket(bounds, hot))
+    # without hot ids the guests are known by their id, and no text is read for them
+    th = F.col("th") if hot else F.lit(0).cast("long").alias("th")
+    guests = _guests(chosen.select("k", th, _bucket(bounds, hot).alias("bucket")))
+    names = ("doc_id", "text", "k", "th", "copies")
+    invited = own.join(F.broadcast(guests), (own.k == guests.g) & (own.th == guests.gh) if hot else own.k == guests.g).select(*names, F.col("to_bucket").alias("bucket"), F.lit(True).alias("guest"))
+    rows = own.select(*names, "bucket", F.lit(False).alias("guest")).union(invited)
     rows = rows.withColumn("parts", subset_hashes("text", known))
-    after = W.partitionBy("bucket").orderBy(F.col("guest"), F.col("k").desc(), F.xxhash64("text"), F.col("text"))
+    after = W.partitionBy("bucket").orderBy(F.col("guest"), F.col("k").desc(), F.col("th"), F.col("text"))
     rows = rows.withColumn("next_text", F.lead("text").over(after)).withColumn("next_parts", F.lead("parts").over(after)).filter(~F.col("guest"))
+    if hot:
+        # all copies but the last are followed by their own text
+        rows = rows.withColumn("times", F.explode(F.when(F.col("copies") > 1, F.array(F.lit(1).cast("long"), -(F.col("copies") - 1))).otherwise(F.array(F.lit(1).cast("long")))))
+        rows = rows.withColumn("next_text", F.when(F.col("times") < 0, F.col("text")).otherwise(F.col("next_text")))
+        rows = rows.withColumn("next_parts", F.when(F.col("times") < 0, F.col("parts")).otherwise(F.col("next_parts")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half)))
     rows = rows.withColumn("edited_parts", subset_hashes("edited", known))
     rows = rows.withColumn("fingerprint", fingerprint("parts", "text")).withColumn("edited_fingerprint", fingerprint("edited_parts", "edited")).withColumn("next_fingerprint", fingerprint("next_parts", "next_text"))
-    return rows.select(
+    out = rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
@@ -130,4 +170,6 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "edited_fingerprint",
         likeness("parts", "edited_parts", "fingerprint", "edited_fingerprint").alias("near_edited"),
         likeness("parts", "next_parts", "fingerprint", "next_fingerprint").alias("near_next"),
+        *(["times"] if hot else []),
     )
+    return out.withColumn("times", F.explode(F.sequence(F.lit(1), F.abs("times")))).drop("times") if hot else out
