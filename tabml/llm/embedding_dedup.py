@@ -13,10 +13,12 @@ of its links, not the links.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabml.llm.common import stored
@@ -26,19 +28,8 @@ from tabml.llm.components import components, forest
 CELL, MOST_CELLS, BLOCK = 2048, 4096, 2048
 #: Sampled vectors for each cell, and rounds, of the k-means fit.
 SAMPLE, ROUNDS = 32, 8
-
-
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 11) -> np.ndarray:
-    """Unit centres of the unit rows of ``x``: assignment by cosine, means scaled to length one."""
-    rng = np.random.default_rng(seed)
-    centres = x[rng.choice(len(x), min(k, len(x)), replace=False)]
-    for _ in range(rounds):
-        home = (x @ centres.T).argmax(1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, home, x)
-        size = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(size > 1e-12, sums / np.maximum(size, 1e-12), centres)
-    return centres
+#: Cosines that a task holds at once.
+PRODUCTS = 1 << 20
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
@@ -47,27 +38,86 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit_centres(vectors: DataFrame, cell: int = CELL, most: int = MOST_CELLS) -> dict[tuple[int, int], np.ndarray]:
+def _chunks(rows: int, columns: int) -> Iterator[slice]:
+    """Slices of rows whose cosines with ``columns`` centres are at most ``PRODUCTS`` numbers (one row at least)."""
+    step = max(1, PRODUCTS // max(1, columns))
+    return (slice(k, k + step) for k in range(0, rows, step))
+
+
+Centres = dict[tuple[int, int], np.ndarray]
+
+
+def _partial_sums(centres: Centres):
+    """The sum of a task's vectors for each nearest centre."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {}
+        for pdf in batches:
+            for key, g in pdf.groupby(["label", "dim"], sort=False):
+                c, x = centres[key], _unit(g["x"])
+                total, met = sums.setdefault(key, (np.zeros_like(c), np.zeros(len(c), bool)))
+                for part in _chunks(len(x), len(c)):
+                    home = (x[part] @ c.T).argmax(1)
+                    np.add.at(total, home, x[part])
+                    met[home] = True
+        for (label, dim), (total, met) in sums.items():
+            cells = np.flatnonzero(met)
+            yield pd.DataFrame({"label": label, "dim": dim, "cell": cells, "s": list(total[cells])})
+
+    return run
+
+
+def _sum_of(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.iloc[:1].assign(s=[np.sum(pdf["s"].tolist(), axis=0)])
+
+
+def spherical_kmeans(sample: DataFrame, centres: Centres, rounds: int = ROUNDS) -> Centres:
+    """Unit centres of the vectors of ``sample`` (label, dim, x), from the given ones: assignment by cosine, means scaled to length one.
+
+    A round sums in the tasks and then by centre; the driver holds the centres alone.
+    """
+    kinds = "label long, dim int, cell int, s array<double>"
+    for _ in range(rounds):
+        sums = sample.mapInPandas(_partial_sums(centres), kinds).groupBy("label", "dim", "cell").applyInPandas(_sum_of, kinds)
+        centres = {key: c.copy() for key, c in centres.items()}
+        for r in sums.toLocalIterator():
+            s = np.array(r.s)
+            size = np.linalg.norm(s)
+            if size > 1e-12:
+                centres[r.label, r.dim][r.cell] = s / size
+    return centres
+
+
+def fit_centres(vectors: DataFrame, cell: int = CELL, most: int = MOST_CELLS) -> Centres:
     """Centres of each (label, dimension) with more than a cell's vectors.
 
-    At most ``most`` cells in all, fitted to a sample of ``SAMPLE`` vectors for
-    each, those with the smallest hash of the id. The bound holds for the fit
-    alone; all vectors are assigned.
+    At most ``most`` cells in all, fitted to a sample of about ``SAMPLE`` vectors for
+    each, chosen by a hash of the id. The bound holds for the fit alone; all
+    vectors are assigned. The sample stays on the executors.
     """
     total = vectors.count()
     cell = max(cell, -(-total // most))
     large = vectors.groupBy("label", "dim").agg(F.count("*").alias("n")).filter(F.col("n") > cell)
-    cells = {(r.label, r.dim): -(-r.n // cell) for r in large.collect()}
-    if not cells:
+    large = vectors.sparkSession.createDataFrame(large.collect(), large.schema)  # fewer than cells
+    cells = large.withColumn("cells", F.ceil(F.col("n") / cell)).drop("n")
+    if not large.head(1):
         return {}
-    sample = (
-        vectors.join(F.broadcast(large.select("label", "dim")), ["label", "dim"], "left_semi")
-        .orderBy(F.xxhash64("v"), "v").limit(SAMPLE * sum(cells.values())).select("label", "dim", "x").toPandas()
-    )
-    return {key: spherical_kmeans(_unit(g["x"]), cells[key]) for key, g in sample.groupby(["label", "dim"]) if key in cells}
+    share = min(1.0, SAMPLE / cell)
+    picked = vectors.filter(F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < math.ceil(share * (1 << 30))).select("label", "dim", "v", "x")
+    sample = stored(picked.join(F.broadcast(cells), ["label", "dim"]), "embedding-sample")
+    # the first centres: of each label, vectors with the smallest of another hash; ids alone are ordered
+    order = W.partitionBy("label", "dim").orderBy(F.xxhash64(F.lit(5), "v"), "v")
+    first = sample.select("label", "dim", "v", "cells").withColumn("r", F.row_number().over(order)).filter("r <= cells").select("v", "r")
+    start: dict[tuple[int, int], list[np.ndarray]] = {}
+    for r in sample.select("label", "dim", "v", "x").join(first, "v").orderBy("label", "dim", "r").toLocalIterator():
+        start.setdefault((r.label, r.dim), []).append(_unit(pd.Series([r.x]))[0])
+    if not start:
+        return {}
+    held = F.broadcast(vectors.sparkSession.createDataFrame(list(start), "label long, dim int"))
+    return spherical_kmeans(sample.join(held, ["label", "dim"], "left_semi").select("label", "dim", "x"), {key: np.array(c) for key, c in start.items()})
 
 
-def _assign(centres: dict[tuple[int, int], np.ndarray], far: float):
+def _assign(centres: Centres, far: float):
     """Home cell of each vector, and the cells whose plane is within the angle; cosines of both."""
 
     def run(batches):
@@ -78,16 +128,16 @@ def _assign(centres: dict[tuple[int, int], np.ndarray], far: float):
                 if c is None or len(c) < 2:
                     yield g.assign(home=0, cell=0, to=1.0)[["label", "dim", "v", "m", "x", "home", "cell", "to"]]
                     continue
-                cos = x @ c.T
-                home = cos.argmax(1)
-                apart = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-30))
-                # signed distance from the plane between the own centre and each other
-                plane = (cos[np.arange(len(x)), home][:, None] - cos) / apart[home]
-                near = (plane <= far + 1e-9) & (np.arange(len(c)) < home[:, None])
-                near[np.arange(len(x)), home] = True
-                row, cell = np.nonzero(near)
-                out = g.iloc[row]
-                yield out.assign(home=home[row], cell=cell, to=cos[row, cell])[["label", "dim", "v", "m", "x", "home", "cell", "to"]]
+                for part in _chunks(len(x), len(c)):
+                    cos = x[part] @ c.T
+                    home, at = cos.argmax(1), np.arange(len(cos))
+                    apart = np.sqrt(np.maximum(2 - 2 * (c[home] @ c.T), 1e-30))
+                    # signed distance from the plane between the own centre and each other
+                    near = (cos[at, home][:, None] - cos <= (far + 1e-9) * apart) & (np.arange(len(c)) < home[:, None])
+                    near[at, home] = True
+                    row, cell = np.nonzero(near)
+                    out = g.iloc[part].iloc[row]
+                    yield out.assign(home=home[row], cell=cell, to=cos[row, cell])[["label", "dim", "v", "m", "x", "home", "cell", "to"]]
 
     return run
 

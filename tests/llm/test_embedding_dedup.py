@@ -87,3 +87,28 @@ def test_vectors_of_equal_hash_stay_apart(llm):
     df = llm.createDataFrame([(1, [1.0, 0.5], 0), (2, [x, y], 0)], "vec_id long, embedding array<double>, label int")
     assert df.selectExpr("xxhash64(embedding) h").distinct().count() == 1
     assert sorted(map(tuple, embedding_dedup.embedding_groups(df, threshold=0.999).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_centres_are_spherical_means(llm, monkeypatch):
+    """The distributed rounds against loops over the same vectors, in parts of a few products."""
+    monkeypatch.setattr(embedding_dedup, "PRODUCTS", 7)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 5))
+    start = x[:4] / np.linalg.norm(x[:4], axis=1, keepdims=True)
+    df = llm.createDataFrame([(3, 5, list(map(float, v))) for v in x], "label long, dim int, x array<double>").repartition(5)
+    got = embedding_dedup.spherical_kmeans(df, {(3, 5): start}, rounds=3)[3, 5]
+    want, unit = start, x / np.linalg.norm(x, axis=1, keepdims=True)
+    for _ in range(3):
+        home = (unit @ want.T).argmax(1)
+        want = np.array([unit[home == k].sum(0) if (home == k).any() else want[k] for k in range(4)])
+        want /= np.linalg.norm(want, axis=1, keepdims=True)
+    assert np.allclose(got, want)
+
+
+def test_cells_are_fitted_to_about_their_number(llm):
+    rng = np.random.default_rng(9)
+    rows = [(int(k % 10 == 0), 4, k, list(map(float, rng.normal(size=4)))) for k in range(3000)]
+    df = llm.createDataFrame(rows, "label long, dim int, v long, x array<double>").repartition(3)
+    centres = embedding_dedup.fit_centres(df, cell=400)
+    assert {k: len(c) for k, c in centres.items()} == {(0, 4): 7}  # 2700 vectors of one label, 300 of the other
+    assert embedding_dedup.fit_centres(df.limit(0)) == {} == embedding_dedup.fit_centres(df, cell=5000)
