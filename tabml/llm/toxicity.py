@@ -220,12 +220,12 @@ def _beginnings(words: Iterable[str]) -> set[str]:
 
 
 def _words_of(text: str) -> tuple[list[str], list[str]]:
-    """The different words, and those that also stand outside the reach of negations and reporting words."""
+    """The different words, and those that stand only within the reach of negations and reporting words."""
     tokens = _TOKEN.findall(text.lower())
     words = sorted(set(tokens))
     triggers = {w: kind for kind in (NEGATION, REPORT) for w in WORDS[kind].split()}
     if triggers.keys().isdisjoint(tokens):
-        return words, words
+        return words, []
     guard = _marker(REPORT, None, 0.0) >> _marker(NEGATION, NEGATION_REACH, 0.0)
     state, out = guard.start, set()
     for w in tokens:
@@ -234,16 +234,16 @@ def _words_of(text: str) -> tuple[list[str], list[str]]:
         _, factor, state = guard.arcs[state, kind]
         if factor:
             out.add(w)
-    return words, sorted(out)
+    return words, sorted(set(words) - out)
 
 
 @dataclass(frozen=True)
 class Sample:
-    """A labelled document as its different words, and those outside the reach of negations and reporting words."""
+    """A labelled document as its different words, and those only within the reach of negations and reporting words."""
 
     key: int
     words: list[str]
-    bare: list[str]
+    reached: list[str]
     toxic: int
 
 
@@ -260,7 +260,7 @@ def _distinct(samples: list[Sample]) -> list[Sample]:
 
 def _lexicons(samples: list[Sample], evidence: float, ratio: float) -> list[dict[str, float]]:
     """Words and beginnings with their weights: the larger of those from all places and from those outside any reach."""
-    views = [_lexicons_of([(getattr(x, view), x.toxic) for x in samples], evidence, ratio) for view in ("words", "bare")]
+    views = [_lexicons_of([(sorted(set(x.words).difference(x.reached if bare else ())), x.toxic) for x in samples], evidence, ratio) for bare in (False, True)]
     return [{w: max(one.get(w, 0.0), two.get(w, 0.0)) for w in one.keys() | two.keys()} for one, two in zip(*views, strict=True)]
 
 
@@ -356,8 +356,8 @@ def learn(samples: Iterable[tuple[str, int]], evidence: float = 18.0, ratio: flo
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, "t", 2 << 20):
         found = [_words_of(t) for t in b.column("t").to_pylist()]
-        words, bare = (pa.array([w[k] for w in found], pa.list_(pa.string())) for k in (0, 1))
-        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), words, bare], ["k", "y", "words", "bare"])
+        words, reached = (pa.array([w[k] for w in found], pa.list_(pa.string())) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), words, reached], ["k", "y", "words", "reached"])
 
 
 def _sample_features(parts: list[tuple[ToxicityModel, list[int]]]):
@@ -396,7 +396,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     # one text of each id: a task sends one however often the id is repeated
     rows = texts.filter("t is not null").join(F.broadcast(picked), "k").groupBy("k", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
     rows = stored(rows, "toxicity-sample")
-    samples = [Sample(r.k, list(r.words), list(r.bare), r.y) for r in rows.mapInArrow(_sample_words, "k long, y int, words array<string>, bare array<string>").collect()]
+    samples = [Sample(r.k, list(r.words), list(r.reached), r.y) for r in rows.mapInArrow(_sample_words, "k long, y int, words array<string>, reached array<string>").collect()]
 
     def features(parts: list[tuple[ToxicityModel, list[int]]]) -> dict[int, tuple[float, float, int]]:
         found = rows.select("k", "t").mapInArrow(_sample_features(parts), "k long, worst double, total double, marks int").collect()
