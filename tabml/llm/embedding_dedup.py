@@ -17,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,20 +69,16 @@ def _partial_sums(centres: Centres):
     return run
 
 
-def _sum_of(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.iloc[:1].assign(s=[np.sum(pdf["s"].tolist(), axis=0)])
-
-
 def spherical_kmeans(sample: DataFrame, centres: Centres, rounds: int = ROUNDS) -> Centres:
     """Unit centres of the vectors of ``sample`` (label, dim, x), from the given ones: assignment by cosine, means scaled to length one.
 
-    A round sums in the tasks and then by centre; the driver holds the centres alone.
+    A round sums in the tasks and then by centre; one sum for each centre reaches the driver.
     """
     kinds = "label long, dim int, cell int, s array<double>"
     for _ in range(rounds):
-        sums = sample.mapInPandas(_partial_sums(centres), kinds).groupBy("label", "dim", "cell").applyInPandas(_sum_of, kinds)
+        sums = sample.mapInPandas(_partial_sums(centres), kinds).groupBy("label", "dim", "cell").agg(Summarizer.sum(array_to_vector("s")).alias("s"))
         centres = {key: c.copy() for key, c in centres.items()}
-        for r in sums.toLocalIterator():
+        for r in sums.select("label", "dim", "cell", vector_to_array("s").alias("s")).collect():
             s = np.array(r.s)
             size = np.linalg.norm(s)
             if size > 1e-12:
@@ -109,7 +107,8 @@ def fit_centres(vectors: DataFrame, cell: int = CELL, most: int = MOST_CELLS) ->
     order = W.partitionBy("label", "dim").orderBy(F.xxhash64(F.lit(5), "v"), "v")
     first = sample.select("label", "dim", "v", "cells").withColumn("r", F.row_number().over(order)).filter("r <= cells").select("v", "r")
     start: dict[tuple[int, int], list[np.ndarray]] = {}
-    for r in sample.select("label", "dim", "v", "x").join(first, "v").orderBy("label", "dim", "r").toLocalIterator():
+    chosen = sample.select("label", "dim", "v", "x").join(F.broadcast(first), "v").collect()
+    for r in sorted(chosen, key=lambda r: (r.label, r.dim, r.r)):
         start.setdefault((r.label, r.dim), []).append(_unit(pd.Series([r.x]))[0])
     if not start:
         return {}
