@@ -14,7 +14,10 @@ by content, so that no task sees more than its share:
    the task of the anchor's hash.
 4. There, distinct contexts of all batches are sorted by two-stage suffix
    sorting, adjacent common prefixes of at least ``window`` bytes bind equal
-   windows, and the smallest id of each goes back to the batches.
+   windows, and the smallest id of each goes back to the batches. An anchor
+   with more contexts than a task should sort (a phrase with many different
+   surroundings) is split: its windows are dealt out by hashes of their own
+   bytes, so equal windows still meet.
 5. A batch removes the windows that have a smaller id than the document.
 
 Hashes only choose what is compared; equality is that of the sorted bytes.
@@ -42,6 +45,8 @@ SEED_BYTES = 20
 BATCH, CHUNK = 4 << 20, 1 << 20
 #: Buckets of hashes for each shuffle partition: what a bucket sorts must fit beside the JVM.
 BUCKETS = 16
+#: Contexts of one anchor that a task sorts; the windows of an anchor with more are dealt out over several.
+HOT = 1 << 16
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
 _LOW = np.uint64((1 << 40) - 1)
@@ -59,10 +64,10 @@ def _loosened(raw: bytes) -> bytes:
     return _codec().decompress(raw[4:], struct.unpack_from("<I", raw)[0], asbytes=True)
 
 
-def hashes(text: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the SEED_BYTES bytes from each place; ``text``: uint8 with that many spare bytes."""
-    n = len(text) - SEED_BYTES
-    at = lambda k, kind: np.ndarray((n,), kind, text, offset=k, strides=(1,))
+def hashes(text: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the SEED_BYTES bytes from each place (or the given ones); ``text``: uint8 with that many spare bytes."""
+    n, of = len(text) - SEED_BYTES, slice(None) if places is None else places
+    at = lambda k, kind: np.ndarray((n,), kind, text, offset=k, strides=(1,))[of]
     h = at(0, "<u8") * np.uint64(0x9E3779B97F4A7C15)
     x = at(8, "<u8") * np.uint64(0xC2B2AE3D27D4EB4F)
     h ^= h >> np.uint64(29)
@@ -79,7 +84,7 @@ def hashes(text: np.ndarray) -> np.ndarray:
 
 
 class Runs:
-    """The runs of windows with one anchor in a batch: hash, first and last window, document."""
+    """The runs of windows with one anchor in a batch: hash, first and last window, both ends' hash, document."""
 
     def __init__(self, texts: list[bytes], window: int) -> None:
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -108,9 +113,11 @@ class Runs:
                 reach += step
             anchor = (low[ok] & np.uint64((1 << 22) - 1)).astype(np.int64)
             cut = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (ok[1:] != ok[:-1] + 1)])
-            found.append((h[anchor[cut]], ok[cut] + c, ok[np.r_[cut[1:] - 1, len(ok) - 1]] + c))
-        cols = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)]
-        self.hash, self.first, self.last = cols
+            first, last = ok[cut], ok[np.r_[cut[1:] - 1, len(ok) - 1]]
+            found.append((h[anchor[cut]], first + c, last + c, h[first] * np.uint64(3) + h[last + window - SEED_BYTES]))
+        kinds = (np.uint64, np.int64, np.int64, np.uint64)
+        cols = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.empty(0, k) for k in kinds]
+        self.hash, self.first, self.last, self.ends = cols
         self.doc = np.searchsorted(self.begin, self.first, side="right") - 1
         self.sizes = sizes
 
@@ -174,54 +181,98 @@ def _anchor_rows(window: int, buckets: int):
                 batch, ids, texts = (rows.column(c)[k].as_py() for c in range(3))
                 r, ids = Runs(texts, window), _ids(ids)
                 keys = r.keys(buckets)
-                by = np.argsort(keys, kind="stable")
-                keys, doc = keys[by], ids[r.doc[by]]
+                by = np.lexsort((r.ends, keys))
+                keys, doc, ends = keys[by], ids[r.doc[by]], r.ends[by]
                 first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
                 several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(first) else np.empty(0, bool)
+                # contexts that differ at an end: about as many as there are
+                other = np.r_[True, (keys[1:] != keys[:-1]) | (ends[1:] != ends[:-1])][:len(keys)]
+                many = np.minimum(np.add.reduceat(other, first, dtype=np.int64), 65_535).astype("<u2") if len(first) else np.empty(0, "<u2")
                 keys = keys[first]
-                out = [(b, batch, _five(keys[x:y]), np.packbits(several[x:y]).tobytes()) for b, x, y in _slices((keys >> np.uint64(40)).astype(np.int64))]
+                out = [(b, batch, _five(keys[x:y]), np.packbits(several[x:y]).tobytes(), _squeezed(many[x:y].tobytes())) for b, x, y in _slices((keys >> np.uint64(40)).astype(np.int64))]
                 if out:
-                    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "batch", "keys", "several"])
+                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "batch", "keys", "several", "many"])
 
     return run
 
 
-def _shared_bits(rows: pa.Table) -> pa.Table:
-    """For each batch of a bucket a bit per key: whether two documents have it."""
-    batch = rows.column("batch").to_pylist()
-    keys = [_eight(x) for x in rows.column("keys").to_pylist()]
-    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(rows.column("several").to_pylist(), keys, strict=True)])
-    _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    both = n > 1
-    np.logical_or.at(both, at, several > 0)
-    bits = np.split(both[at], np.cumsum([len(k) for k in keys])[:-1])
-    kept = [(b, rows.column("bucket")[0].as_py(), np.packbits(x).tobytes()) for b, x in zip(batch, bits, strict=True) if x.any()]
-    kinds = [pa.int64(), pa.int32(), pa.binary()]
-    return pa.Table.from_arrays([pa.array([k[c] for k in kept], t) for c, t in enumerate(kinds)], ["batch", "bucket", "bits"])
+def _shared_bits(hot: int, window: int):
+    def run(rows: pa.Table) -> pa.Table:
+        """For each batch of a bucket a bit per key: whether two documents have it; and (place of the key, parts) of those split."""
+        batch = rows.column("batch").to_pylist()
+        keys = [_eight(x) for x in rows.column("keys").to_pylist()]
+        several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(k)) for x, k in zip(rows.column("several").to_pylist(), keys, strict=True)])
+        many = np.frombuffer(b"".join(_loosened(x) for x in rows.column("many").to_pylist()), "<u2")
+        _, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        both = n > 1
+        np.logical_or.at(both, at, several > 0)
+        total = np.bincount(at, many).astype(np.int64)
+        # cut into single windows at worst
+        parts = np.where(total > hot, -(-total * (window - SEED_BYTES + 1) // hot), 1)
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        kept = []
+        for b, x, p in zip(batch, np.split(both[at], ends), np.split(parts[at], ends), strict=True):
+            if x.any():
+                split = np.flatnonzero(x & (p > 1))
+                pairs = np.stack([split, p[split]], axis=1).astype("<u4").tobytes() if len(split) else None
+                kept.append((b, rows.column("bucket")[0].as_py(), np.packbits(x).tobytes(), pairs))
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        return pa.Table.from_arrays([pa.array([k[c] for k in kept], t) for c, t in enumerate(kinds)], ["batch", "bucket", "bits", "splits"])
+
+    return run
+
+
+def _dealt(r: Runs, window: int, used: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place among ``used``, first window, last window, part) of the used runs, those of several parts (from 1) cut where the part changes.
+
+    A window's part is a hash of its bytes at both ends and in the middle, so equal windows have the same.
+    """
+    whole, cut = np.flatnonzero(parts == 1), np.flatnonzero(parts > 1)
+    if not len(cut):
+        return whole, r.first[used], r.last[used], np.zeros(len(used), np.int64)
+    size = r.last[used[cut]] - r.first[used[cut]] + 1
+    of = np.repeat(cut, size)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + r.first[used[of]]
+    h = hashes(r.text, place)
+    for k in ((window - SEED_BYTES) // 2, window - SEED_BYTES):
+        h = (h ^ h >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + hashes(r.text, place + k)
+    h ^= h >> np.uint64(32)
+    part = 1 + (h % parts[of].astype(np.uint64)).astype(np.int64)
+    edge = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (part[1:] != part[:-1])])
+    stop = np.r_[edge[1:], len(of)] - 1
+    return np.r_[whole, of[edge]], np.r_[r.first[used[whole]], place[edge]], np.r_[r.last[used[whole]], place[stop]], np.r_[np.zeros(len(whole), np.int64), part[edge]]
 
 
 class Contexts:
-    """The distinct contexts of a batch's shared anchors, in order of bucket and first place."""
+    """The distinct contexts of a batch's shared anchors, in order of group and first place.
+
+    A group is a bucket; parts of a split anchor are groups of their own behind the buckets.
+    """
 
-    def __init__(self, texts: list[bytes], bits: dict[int, bytes], window: int, buckets: int) -> None:
-        self.runs = r = Runs(texts, window)
+    def __init__(self, texts: list[bytes], bits: dict[int, bytes], splits: dict[int, bytes | None], window: int, buckets: int) -> None:
+        r = Runs(texts, window)
         keys, at = np.unique(r.keys(buckets), return_inverse=True)
-        shared = np.zeros(len(keys), bool)
+        shared, parts = np.zeros(len(keys), bool), np.ones(len(keys), np.int64)
         for b, x, y in _slices((keys >> np.uint64(40)).astype(np.int64)):
             if b in bits:
                 shared[x:y] = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=y - x)
-        #: Runs of shared anchors, and the number of the context of each.
-        self.used = np.flatnonzero(shared[at]) if len(at) else np.empty(0, np.int64)
+                pairs = np.frombuffer(splits[b] or b"", "<u4").reshape(-1, 2).astype(np.int64)
+                parts[x + pairs[:, 0]] = pairs[:, 1]
+        used = np.flatnonzero(shared[at]) if len(at) else np.empty(0, np.int64)
+        of, self.first, last, part = _dealt(r, window, used, parts[at[used]] if len(used) else np.empty(0, np.int64))
+        #: Runs of shared anchors: first window, document, and the number of the context of each.
+        self.doc, self.sizes = r.doc[used[of]], r.sizes
         raw, seen = r.text.tobytes(), {}
-        number = [seen.setdefault(raw[a:b], len(seen)) for a, b in zip(r.first[self.used].tolist(), (r.last[self.used] + window).tolist(), strict=True)]
+        group = (keys[at[used[of]]] >> np.uint64(40)).astype(np.int64) + buckets * part if len(used) else np.empty(0, np.int64)
+        number = [seen.setdefault((g, raw[a:b]), len(seen)) for g, a, b in zip(group.tolist(), self.first.tolist(), (last + window).tolist(), strict=True)]
         number = np.array(number, np.int64)
         bucket = np.zeros(len(seen), np.int64)
-        bucket[number] = (keys[at[self.used]] >> np.uint64(40)).astype(np.int64)
+        bucket[number] = group
         by = np.argsort(bucket, kind="stable")
         place = np.empty(len(seen), np.int64)
         place[by] = np.arange(len(seen))
-        values = list(seen)
+        values = [v for _, v in seen]
         self.values, self.bucket, self.number = [values[i] for i in by], bucket[by], place[number]
 
 
@@ -232,13 +283,14 @@ def _only(table: pa.Table) -> tuple[int, list[int | None], list[bytes]]:
 
 def _context_rows(window: int, buckets: int):
     def run(docs: pa.Table, bits: pa.Table) -> pa.Table:
-        kinds, names = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], ["bucket", "batch", "sizes", "bytes", "least"]
+        kinds, names = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()], ["bucket", "batch", "sizes", "bytes", "least"]
         out = []
         if docs.num_rows and bits.num_rows:
             batch, ids, texts = _only(docs)
-            c = Contexts(texts, dict(zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist(), strict=True)), window, buckets)
+            of, bit, split = (bits.column(x).to_pylist() for x in ("bucket", "bits", "splits"))
+            c = Contexts(texts, dict(zip(of, bit, strict=True)), dict(zip(of, split, strict=True)), window, buckets)
             least = np.full(len(c.values), LAST, np.int64)
-            np.minimum.at(least, c.number, _ids(ids)[c.runs.doc[c.used]])
+            np.minimum.at(least, c.number, _ids(ids)[c.doc])
             for b, x, y in _slices(c.bucket):
                 sizes = np.array([len(v) for v in c.values[x:y]], "<u4").tobytes()
                 out.append((b, batch, _squeezed(sizes), _squeezed(b"".join(c.values[x:y])), _squeezed(least[x:y].tobytes())))
@@ -292,7 +344,7 @@ def _least_ids(window: int):
             which = np.repeat(np.arange(len(number)), n)
             packed = which.astype("<u4").tobytes() + a[pick].astype("<u2").tobytes() + b[pick].astype("<u2").tobytes() + best[pick].astype("<i8").tobytes()
             out.append((batch, rows.column("bucket")[0].as_py(), _squeezed(packed)))
-        kinds = [pa.int64(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
         return pa.Table.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)], ["batch", "bucket", "answers"])
 
     return run
@@ -308,12 +360,13 @@ def _removal(window: int, buckets: int):
         _, ids, texts = _only(docs)
         given = docs.column("rows")[0].as_py()
         number = _ids(ids)
-        cols = {c: known.column(c).to_pylist() for c in ("bucket", "bits", "answers")}
+        cols = {c: known.column(c).to_pylist() for c in ("bucket", "bits", "splits", "answers")}
         bits = {b: x for b, x in zip(cols["bucket"], cols["bits"], strict=True) if x is not None}
+        splits = {b: x for b, x, y in zip(cols["bucket"], cols["splits"], cols["bits"], strict=True) if y is not None}
         answers = {b: x for b, x in zip(cols["bucket"], cols["answers"], strict=True) if x is not None}
         edges = None
         if answers:
-            c = Contexts(texts, bits, window, buckets)
+            c = Contexts(texts, bits, splits, window, buckets)
             of, a, b, best = [], [], [], []
             for k, x, _ in _slices(c.bucket):
                 raw = _loosened(answers[k])
@@ -326,10 +379,10 @@ def _removal(window: int, buckets: int):
             at = np.searchsorted(of, np.arange(len(c.values) + 1))
             n = at[c.number + 1] - at[c.number]
             pick = np.repeat(at[c.number] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            run_ = np.repeat(c.used, n)
-            gone = best[pick] < number[c.runs.doc[run_]]
-            start = c.runs.first[run_[gone]]
-            edges = np.zeros(int(c.runs.sizes.sum()) + 1, np.int32)
+            run_ = np.repeat(np.arange(len(c.first)), n)
+            gone = best[pick] < number[c.doc[run_]]
+            start = c.first[run_[gone]]
+            edges = np.zeros(int(c.sizes.sum()) + 1, np.int32)
             np.add.at(edges, start + a[pick[gone]], 1)
             np.add.at(edges, start + b[pick[gone]] + window, -1)
         rows, begin = [], 0
@@ -358,14 +411,14 @@ def _forget(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, batch_bytes: int = BATCH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, batch_bytes: int = BATCH, hot: int = HOT) -> DataFrame:
     """Removes repeated byte strings from every whole text.
 
     Returns doc_id, n_bytes, spans (removed byte ranges, start and end, maximal
     and in order), kept (the remaining bytes), kept_text (null if nothing is removed, else the characters that are
     whole) and row (the other columns of the input row, as a struct), one row per input row. A null
     text is empty. Rows with one id don't remove from each other; rows without
-    an id come after all others, and their doc_id stays null.
+    an id come after all others, and their doc_id stays null. ``hot``: contexts of one anchor that a task sorts.
     """
     if not 24 <= window <= 60_000:
         raise ValueError("the window must be 24 to 60000 bytes")
@@ -382,9 +435,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     atexit.register(_forget, spark, name)
     batches = spark.table(name)
 
-    anchors = batches.mapInArrow(_anchor_rows(window, buckets), "bucket int, batch long, keys binary, several binary")
-    bits = stored(anchors.groupBy("bucket").applyInArrow(_shared_bits, "batch long, bucket int, bits binary"), "suffix-bits")
-    contexts = batches.groupBy("batch").cogroup(bits.groupBy("batch")).applyInArrow(_context_rows(window, buckets), "bucket int, batch long, sizes binary, bytes binary, least binary")
-    answers = stored(contexts.groupBy("bucket").applyInArrow(_least_ids(window), "batch long, bucket int, answers binary"), "suffix-answers")
-    known = bits.withColumn("answers", F.lit(None).cast("binary")).unionByName(answers.withColumn("bits", F.lit(None).cast("binary")))
+    anchors = batches.mapInArrow(_anchor_rows(window, buckets), "bucket long, batch long, keys binary, several binary, many binary")
+    bits = stored(anchors.groupBy("bucket").applyInArrow(_shared_bits(hot, window), "batch long, bucket long, bits binary, splits binary"), "suffix-bits")
+    contexts = batches.groupBy("batch").cogroup(bits.groupBy("batch")).applyInArrow(_context_rows(window, buckets), "bucket long, batch long, sizes binary, bytes binary, least binary")
+    answers = stored(contexts.groupBy("bucket").applyInArrow(_least_ids(window), "batch long, bucket long, answers binary"), "suffix-answers")
+    none = F.lit(None).cast("binary")
+    known = bits.withColumn("answers", none).unionByName(answers.withColumns({"bits": none, "splits": none}))
     return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(_removal(window, buckets), schema_of("doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, kept_text string", chosen))

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabml.llm import suffix_array, suffix_dedup
@@ -41,6 +42,54 @@ def test_odd_documents(odd, odd_rows, size):
     assert {r.row.batch for r in got} == {"clash", None}
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_split_anchors_give_the_same(odd, odd_rows, hot):
+    got = suffix_dedup.remove_repeats(odd, batch_bytes=1500, hot=hot).collect()
+    assert as_set([(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept) for r in got]) == as_set(brute([(r[0], r[1]) for r in odd_rows]))
+
+
+def hot_texts(n):
+    """A third of the texts hold one phrase of the length of a seed, whose hash is small, in surroundings of their own."""
+    rng = random.Random(3)
+    letters = lambda k: "".join(rng.choice("abcdefghijklmnop") for _ in range(k)).encode()
+    seeds = [letters(20) for _ in range(4000)]
+    seed = min(seeds, key=lambda b: int(suffix_dedup.hashes(np.frombuffer(b + bytes(1), np.uint8))[0]))
+    return [letters(60) + (seed if i % 3 == 0 else b"") + letters(60) for i in range(n)]
+
+
+def groups(texts, hot, batches=4, buckets=16, window=50):
+    """Contexts of each task that sorts, by the steps of the operator."""
+    held = [pa.record_batch([pa.array([k]), pa.array([list(range(k, len(texts), batches))]), pa.array([texts[k::batches]])], ["batch", "ids", "texts"]) for k in range(batches)]
+    anchors = pa.Table.from_batches(suffix_dedup._anchor_rows(window, buckets)(iter(held))).to_pandas()
+    shared = suffix_dedup._shared_bits(hot, window)
+    bits = pa.concat_tables([shared(pa.Table.from_pandas(x)) for _, x in anchors.groupby("bucket")]).to_pandas()
+    size = {}
+    for k in range(batches):
+        of = bits[bits["batch"] == k]
+        c = suffix_dedup.Contexts(texts[k::batches], dict(zip(of["bucket"], of["bits"])), dict(zip(of["bucket"], of["splits"])), window, buckets)
+        for g in c.bucket.tolist():
+            size[g] = size.get(g, 0) + 1
+    return size
+
+
+def test_a_hot_anchor_is_split():
+    texts = hot_texts(6000)
+    whole, split = groups(texts, 1 << 16), groups(texts, 100)
+    assert max(whole.values()) >= 2000  # all surroundings of the phrase in one task
+    assert len(split) > 16
+    for hot in (200, 1000):
+        size = groups(texts, hot)
+        assert max(n for g, n in size.items() if g >= 16) <= 1.4 * hot and max(n for g, n in size.items() if g < 16) <= 200
+
+
+def test_hot_anchor_against_brute_force(llm):
+    texts = hot_texts(900)
+    texts = [(i, (t + texts[i // 2] if i % 5 == 0 else t).decode()) for i, t in enumerate(texts)]
+    df = llm.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(df, batch_bytes=20_000, hot=16).collect()
+    assert as_set([(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept) for r in got]) == as_set(brute(texts))
+
+
 def test_other_window(odd, odd_rows):
     got = suffix_dedup.remove_repeats(odd, window=24).collect()
     assert as_set([(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept) for r in got]) == as_set(brute([(r[0], r[1]) for r in odd_rows], 24))
