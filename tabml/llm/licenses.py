@@ -1,12 +1,14 @@
 """Licence scan by a positional index of rare licence words, in built-in functions only.
 
-Templates are short licence statements. Word frequencies over all documents
-give every template word its inverse document frequency; the index holds the
-postings (template, position) of each template's rarest words. A file's
-occurrences of indexed words are looked up; each posting fixes where the
-template would start, and the template's words are intersected with the file's
-at those relative positions. A template counts if enough of its
-idf mass stands in place and its mandatory key phrases are there verbatim.
+Templates are licence statements, short references and whole notices. Word
+frequencies over all documents give every template word its inverse document
+frequency. A template can only stand where its mandatory key phrases do, so the
+index holds one posting of each: the position of the highest-idf word of its
+key phrases. A file looks up those of its words that are in the index; a
+posting fixes where the template would start, the places of the key phrases'
+words are intersected with the file's at those relative positions, and a
+template counts if enough of its idf mass, one of its rarest words included,
+stands in place. Ordinary files hold no word of the index and go no further.
 """
 
 from __future__ import annotations
@@ -67,6 +69,41 @@ TEMPLATES = (
     template("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", "for any purpose with or without fee"),
     template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software "
+             "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+             "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all "
+             "copies or substantial portions of the software", "permission is hereby granted free of charge", "without limitation the rights to use copy modify merge publish distribute sublicense"),
+    template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+             "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+             "without warranties or conditions of any kind either express or implied", "apache license version 2", "except in compliance with the license"),
+    template("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer 2 redistributions in binary form must "
+             "reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+             "redistributions of source code must retain the above copyright notice", "redistributions in binary form must reproduce the above copyright notice"),
+    template("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+             "specific prior written permission", "endorse or promote products derived from this software"),
+    template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this "
+             "permission notice appear in all copies", "for any purpose with or without fee is hereby granted"),
+    template("gpl-2.0", "free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either "
+             "version 2 of the license or at your option any later version", "gnu general public license", "version 2 of the license"),
+    template("gpl-3.0", "free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either "
+             "version 3 of the license or at your option any later version", "gnu general public license", "version 3 of the license"),
+    template("lgpl-2.1", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either "
+             "version 2 1 of the license or at your option any later version", "gnu lesser general public license", "version 2 1 of the license"),
+    template("lgpl-3.0", "free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either "
+             "version 3 of the license or at your option any later version", "gnu lesser general public license", "version 3 of the license"),
+    template("agpl-3.0", "free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either "
+             "version 3 of the license or at your option any later version", "gnu affero general public license", "version 3 of the license"),
+    template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
+             "mozilla public license v 2 0", "if a copy of the mpl was not distributed"),
+    template("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial "
+             "or non commercial and by any means", "either in source code form or as a compiled binary"),
+    template("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the "
+             "following restrictions", "alter it and redistribute it freely"),
+    template("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license "
+             "the software to use reproduce display distribute execute and transmit the software", "any person or organization obtaining a copy of the software and accompanying documentation"),
+    template("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0"),
+    template("cc-by-sa-4.0", "licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike 4 0"),
+    template("cc-by-nc-4.0", "licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial 4 0"),
 )
 
 
@@ -104,7 +141,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_labels, labels (those and the templates'; distinct, sorted,
     comma-joined), score (0 to 1: the largest share of a template's idf mass
     in place among those that count; 0 without any) and matches (label, start
-    word and share of each). ``rare``: indexed words of a template; ``least``:
+    word and share of each). ``rare``: a template counts where one of that many of its
+    highest-idf words stands; ``least``:
     share that counts. A null text is empty: no words, no labels. A null id
     stays null; repeated rows come back as often as given.
     """
@@ -112,14 +150,19 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     bodies = [t.text.split() for t in templates]
     n = document_frequencies(words, sorted({w for b in bodies for w in b}))
     idf = {w: math.log((1 + n.get("", 0)) / (1 + n.get(w, 0))) + 1e-3 for b in bodies for w in b}
-    postings: dict[str, set[tuple[int, int]]] = {}
-    for k, b in enumerate(bodies):
-        for w in sorted(set(b), key=lambda w: (-idf[w], w))[:rare]:
-            postings.setdefault(w, set()).update((k, i) for i, x in enumerate(b) if x == w)
-    needed = sorted({min(p.split(), key=lambda w: (n.get(w, 0), w)) for p in base})
-    looked = sorted({*postings, *needed})
-
-    places = {p: f"IF(array_contains(words, '{min(p.split(), key=lambda w: (n.get(w, 0), w))}'), {_starts(p)}, array())" for p in base}
+    rarest = lambda of: min(of, key=lambda w: (n.get(w, 0), w))
+    # word -> (template, position): every match of the template has that word there
+    postings: dict[str, list[tuple[int, int]]] = {}
+    some = []
+    for k, (t, b) in enumerate(zip(templates, bodies, strict=True)):
+        keys = [i for at, size in t.keys for i in range(at, at + size)]
+        word = rarest(b[i] for i in keys)
+        postings.setdefault(word, []).append((k, next(i for i in keys if b[i] == word)))
+        top = sorted(set(b), key=lambda w: (-idf[w], w))[:rare]
+        some.append([i for i, w in enumerate(b) if w in top])
+    looked = sorted({*postings, *(rarest(p.split()) for p in base)})
+
+    places = {p: f"IF(array_contains(words, '{rarest(p.split())}'), {_starts(p)}, array())" for p in base}
     hits = words.withColumn("hit", F.arrays_overlap("words", F.array(*map(F.lit, looked))))
     for k, (_, sql) in enumerate(places.items()):
         hits = hits.withColumn(f"base_{k}", F.expr(f"IF(hit, CAST({sql} AS array<int>), CAST(array() AS array<int>))"))
@@ -135,12 +178,13 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     table = "array(" + ", ".join(
         f"named_struct('label', '{t.label}', 'words', {_strings(b)}, 'idf', array({', '.join(f'{idf[w]!r}D' for w in b)}), 'mass', {sum(idf[w] for w in b)!r}D, "
-        f"'keys', array({', '.join(str(i) for at, size in t.keys for i in range(at, at + size))}))"
-        for t, b in zip(templates, bodies, strict=True)
+        f"'keys', array({', '.join(str(i) for at, size in t.keys for i in range(at, at + size))}), 'some', array({', '.join(map(str, r))}))"
+        for t, b, r in zip(templates, bodies, some, strict=True)
     ) + ")"
     # key phrases first: exact and cheap; a start before the text finds no words there
     at = "IF(c.d + {0} < 0, NULL, get(words, c.d + {0}))"
-    kept = f"filter(starts, c -> forall(element_at(templates, c.t + 1).keys, k -> {at.format('k')} <=> element_at(element_at(templates, c.t + 1).words, k + 1)))"
+    same = f"k -> {at.format('k')} <=> element_at(element_at(templates, c.t + 1).words, k + 1)"
+    kept = f"filter(starts, c -> forall(element_at(templates, c.t + 1).keys, {same}) AND exists(element_at(templates, c.t + 1).some, {same}))"
     share = (
         "aggregate(sequence(0, size(element_at(templates, c.t + 1).words) - 1), 0D, (s, j) -> s + "
         f"IF({at.format('j')} <=> element_at(element_at(templates, c.t + 1).words, j + 1), element_at(element_at(templates, c.t + 1).idf, j + 1), 0D)) / element_at(templates, c.t + 1).mass"

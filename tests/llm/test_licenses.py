@@ -59,6 +59,21 @@ def test_matches_name_the_place(llm):
     assert got[1] == [("mit", 1)] and got[3] == []
 
 
+def test_whole_notices_and_a_selective_index(llm):
+    notice = {t.label: t.text for t in licenses.TEMPLATES}  # the longer ones come last
+    filler = "all of this is ordinary prose by people for the public and it may be used under many terms "
+    rows = [(k, filler + t.text.upper().replace(" ", ",\n ") + " " + filler) for k, t in enumerate(licenses.TEMPLATES)]
+    rows += [(100, notice["mit"].replace("merge publish", "publish")), (101, notice["zlib"].replace("anyone", "everyone").replace("commercial applications", "paid ones"))]
+    rows += [(200 + k, filler) for k in range(100)]
+    found = {r.doc_id: r for r in licenses.scan_licenses(llm.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert columns(licenses.scan_licenses(llm.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    for k, t in enumerate(licenses.TEMPLATES):
+        assert t.label in found[k].labels.split(",") and found[k].score > 1 - 1e-9, t
+    assert "mit" in found[100].labels  # one key phrase of the notice is broken: the short statement still counts
+    assert found[101].labels == "zlib" and 0.6 <= found[101].score < 1  # edited, with its key phrase
+    assert all(not found[200 + k].labels and not found[200 + k].matches for k in range(100))
+
+
 def test_empty_table(none):
     assert licenses.scan_licenses(none).collect() == []
 
