@@ -7,8 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabml import queries as Q
-from tabml.operators import metrics
-from tabml.plans import models, search, trees
+from tabml.operators import metrics, split
+from tabml.plans import models, search, trees, tuning
 
 from .conftest import SF001
 
@@ -84,3 +84,22 @@ def test_what_can_be_searched(data):
         search.search_forest(pipe(), {"numTrees": [1]}, data, fold_keys="l_orderkey")
     with pytest.raises(ValueError, match="regression forests"):
         search.search_forest(models.forest_classifier(Q.FEATURES, Q.LABEL), GRID, data, fold_keys="l_orderkey")
+
+
+def test_deep_points_keep_the_nodes_of_their_rows(spark, data):
+    """How a fit finds a row's node goes by the depth of the point, not of the spec that is searched; the trees are the same."""
+    shallow, deep = {"numTrees": [2], "maxDepth": [2]}, {"numTrees": [2], "maxDepth": [models.DEEP + 2]}
+    spec = models.model_stage_spec(pipe())
+    assert not spec.getOrDefault("cacheNodeIds")
+    found = {n: search.search_forest(pipe(), g, data, metric="rmse", folds=2, fold_keys="l_orderkey", keys=["l_orderkey"]) for n, g in (("shallow", shallow), ("deep", deep))}
+    assert not models.model_stage(found["shallow"].best_model)._java_obj.getCacheNodeIds() and models.model_stage(found["deep"].best_model)._java_obj.getCacheNodeIds()
+    searched = pipe()
+    grid = tuning.param_grid(models.model_stage_spec(searched), deep)
+    cvm = tuning.cross_validate(searched, grid, tuning.rmse_evaluator(Q.LABEL), split.with_folds(data, "l_orderkey", 2), folds=2, keys=["l_orderkey"])
+    assert models.model_stage(cvm.bestModel)._java_obj.getCacheNodeIds()
+    assert cvm.getEstimatorParamMaps() == grid and tuning.cv_table(spark, cvm).first().params == f"maxDepth={models.DEEP + 2}, numTrees=2"
+    walked = models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=2, max_depth=models.DEEP + 2)
+    models.model_stage_spec(walked).setCacheNodeIds(False)
+    m = models.fit(walked, data, keys=["l_orderkey"])
+    nodes = [trees.model_nodes(spark, x).drop("stats", "gain").orderBy("tree", "node").collect() for x in (m, found["deep"].best_model)]
+    assert nodes[0] == nodes[1]
