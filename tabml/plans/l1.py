@@ -14,7 +14,7 @@ The result carries its certificate: the residual of the optimality (Karush-Kuhn-
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -64,12 +64,12 @@ class L1Model:
             inside = inside & F.coalesce(F.abs(qcol(c).cast("double")) < float("inf"), F.lit(False))
         z = F.array(*self.margins())
         labels = F.array(*map(F.lit, self.labels))
-        best = F.get(labels, (F.array_position(z, F.array_max(z)) - 1).cast("int"))
+        best = F.get(labels, (_once(z, lambda z: F.array_position(z, F.array_max(z))) - 1).cast("int"))
         out = df.withColumn(prediction, F.when(inside, best))
         if probability:
-            e = F.transform(z, lambda v: F.exp(v - F.array_max(z)))
-            total = F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
-            out = out.withColumn(probability, F.when(inside, F.transform(e, lambda v: v / total)))
+            e = _once(z, lambda z: _once(F.array_max(z), lambda top: F.transform(z, lambda v: F.exp(v - top))))
+            shares = _once(e, lambda e: _once(F.aggregate(e, F.lit(0.0), lambda a, v: a + v), lambda total: F.transform(e, lambda v: v / total)))
+            out = out.withColumn(probability, F.when(inside, shares))
         return out
 
     def certificate(self, spark: SparkSession) -> DataFrame:
@@ -82,6 +82,11 @@ class L1Model:
         return spark.createDataFrame(rows, "class string, feature string, coefficient double, gradient double, residual double")
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row: named inside another lambda it would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _blocks(n: int) -> list[tuple[int, int]]:
     return [(k, m) for k in range(n) for m in range(k, n)]
 

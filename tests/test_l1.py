@@ -86,3 +86,14 @@ def test_one_class_and_certificate(spark, table):
     assert c.passes == 2 and c.residual.max() > 1e-8  # the certificate tells that it isn't there yet
     rows = c.certificate(spark).collect()
     assert len(rows) == 15 and sum(r["feature"] is None for r in rows) == 3
+
+
+def test_shares_are_computed_once_a_row(table):
+    """A margin named inside a lambda is computed again for each class, and its exponential for each class of each class."""
+    m = l1.fit_logistic(table, COLS, "y", reg=0.01)
+    plan = m.predict(table, probability="p").select("p")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("exp(") == 1 and plan.count("array_max(") == 1
+    z = np.array([[r[c] for c in COLS] for r in table.collect()]) @ m.coefficients.T + m.intercepts
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    got = np.array([r.p for r in m.predict(table, probability="p").select("p").collect()])
+    assert np.allclose(got, e / e.sum(axis=1, keepdims=True), atol=1e-12)
