@@ -176,7 +176,8 @@ def q_infer_types(spark, d):
     is_last = F.lit(True)
     for c in ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_discount"):
         is_last = is_last & (F.col(c) == F.lit(last[c]))
-    rows = numbering.row_numbers(li.withColumn("_last", is_last), ["_last", "l_orderkey"])
+    used = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
+    rows = numbering.row_numbers(li.select(*used, is_last.alias("_last")), ["_last", "l_orderkey"])
     shown = rows.orderBy("row_number").select(
         "l_orderkey", "l_quantity", F.when(F.col("_last"), "none").otherwise(F.col("l_discount").cast("string")).alias("l_discount"), "l_returnflag", "l_shipdate",
         F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("l_tax"), "l_linenumber", (F.col("l_quantity") > 5).alias("flag"), F.to_date("l_shipdate").alias("day"),
@@ -185,7 +186,7 @@ def q_infer_types(spark, d):
     delimited.write_delimited(shown, path)
     text = delimited.read_delimited(spark, path)
     kinds = inference.infer_types(text)
-    n = inference.typed(text).agg(F.count("*").alias("n_rows"), F.count_if(F.col("l_discount") == "none").alias("n_texts")).first()
+    n = inference.typed(text, kinds=kinds).agg(F.count("*").alias("n_rows"), F.count_if(F.col("l_discount") == "none").alias("n_texts")).first()
     return spark.createDataFrame([(c, t, n["n_rows"], n["n_texts"]) for c, t in kinds.items()], "column string, type string, n_rows long, n_texts long")
 
 

@@ -7,7 +7,7 @@ in any order and needs one number per column and task, so the last row of a file
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +19,29 @@ from tabml.operators.columns import qcol
 TYPES = ("boolean", "int", "bigint", "double", "date", "timestamp", "string")
 _ALL = (1 << len(TYPES)) - 1
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(Infinity|NaN)$"
+_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?$"
 
 
 def accepting(text: Column) -> Column:
-    """The types that accept a text, as bits in the order of ``TYPES``; a null is accepted by all."""
-    whole = text.rlike(r"^[+-]?\d+$")
-    day = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
-    time = text.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?$") & text.try_cast("timestamp").isNotNull()
-    tests = {"boolean": text.rlike("^(?i)(true|false)$"), "int": whole & text.try_cast("int").isNotNull(), "bigint": whole & text.try_cast("bigint").isNotNull(),
-             "double": text.rlike(_NUMBER), "date": day, "timestamp": day | time, "string": F.lit(True)}
-    bits = sum((F.when(tests[t], F.lit(1 << i)).otherwise(F.lit(0)) for i, t in enumerate(TYPES)), F.lit(0))
-    return F.when(text.isNull(), F.lit(_ALL)).otherwise(bits)
+    """The types that accept a text, as bits in the order of ``TYPES``; a null is accepted by all.
+
+    The kinds of text exclude each other, so the first that fits is the last that is tried; the first character rules most out.
+    """
+    def bits(*kinds: str) -> Column:
+        return F.lit(sum(1 << TYPES.index(t) for t in kinds))
+
+    def readable(kind: str) -> Column:
+        return F.when(text.try_cast(kind).isNotNull(), bits(kind)).otherwise(0)
+
+    first, only = F.substring(text, 1, 1), bits("string")
+    return (F.when(text.isNull(), F.lit(_ALL))
+            .when(first.isin(*"tTfF"), F.when(text.rlike("^(?i)(true|false)$"), bits("boolean", "string")).otherwise(only))
+            .when(~first.isin(*"+-.0123456789IN"), only)
+            .when(text.rlike(r"^[+-]?\d+$"), bits("double", "string") + readable("int") + readable("bigint"))
+            .when(text.rlike(_NUMBER), bits("double", "string"))
+            .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.when(text.try_cast("date").isNotNull(), bits("date", "timestamp", "string")).otherwise(only))
+            .when(text.rlike(_TIME) & text.try_cast("timestamp").isNotNull(), bits("timestamp", "string"))
+            .otherwise(only))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None, nulls: Sequence[str] = ("",)) -> dict[str, str]:
@@ -46,9 +58,9 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None, nulls: Sequ
     return {c: next(t for k, t in enumerate(TYPES) if left[f"t{i}"] >> k & 1) if left[f"n{i}"] else "string" for i, c in enumerate(cols)}
 
 
-def typed(df: DataFrame, columns: Sequence[str] | None = None, nulls: Sequence[str] = ("",)) -> DataFrame:
-    """``df`` with its text columns in the types of :func:`infer_types`."""
-    kinds = infer_types(df, columns, nulls)
+def typed(df: DataFrame, columns: Sequence[str] | None = None, nulls: Sequence[str] = ("",), kinds: Mapping[str, str] | None = None) -> DataFrame:
+    """``df`` with its text columns in the types of :func:`infer_types`; ``kinds`` are those, where they are known already."""
+    kinds = infer_types(df, columns, nulls) if kinds is None else kinds
     return df.select(*[F.when(~qcol(c).isin(*nulls), qcol(c)).cast(kinds[c]).alias(c) if kinds.get(c, "string") != "string" else qcol(c) for c in df.columns])
 
 

@@ -86,3 +86,18 @@ def test_nodes_with_categories(spark):
     assert trees.model_nodes(spark, m).where("categories is not null").count() > 0
     both = trees.predict_by_nodes(m, m.transform(df).select("a", "b", "y", F.col("prediction").alias("before")))
     assert both.count() == 600 and both.where("abs(prediction - before) > 1e-9").count() == 0
+
+
+def test_known_types_are_not_inferred_again(spark):
+    unread = spark.range(1).select(F.raise_error(F.lit("read")).cast("string").alias("c"))
+    assert inference.typed(unread, kinds={"c": "int"}).schema.simpleString() == "struct<c:int>"
+
+
+def test_a_text_is_matched_until_its_kind_is_found(spark):
+    """The kinds exclude each other: five patterns at most, each in one branch."""
+    df = spark.createDataFrame([("7",), ("-0.5",), ("2020-01-01",), ("2020-01-01 10:00",), ("true",), ("n",), ("",), (None,)], "c string")
+    bits = df.select("c", inference.accepting(F.col("c")).alias("b"))
+    assert bits._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") <= 5
+    kinds = {r.c: {t for i, t in enumerate(inference.TYPES) if r.b >> i & 1} for r in bits.collect()}
+    assert kinds == {"7": {"int", "bigint", "double", "string"}, "-0.5": {"double", "string"}, "2020-01-01": {"date", "timestamp", "string"},
+                     "2020-01-01 10:00": {"timestamp", "string"}, "true": {"boolean", "string"}, "n": {"string"}, "": {"string"}, None: set(inference.TYPES)}
