@@ -7,13 +7,15 @@ in the order of the text. For each length
 1. the relation of the occurrences so far is merge-joined with that of the
    words, by piece and adjacent position, within each block;
 2. the joined rows are counted by group (the words of the earlier group, and the next): each block
-   counts its own, and a grouped sum adds the blocks up;
+   counts its own, and a grouped sum adds the blocks up. That is done twice: by 32 bits of the group's hash, which takes
+   two bytes or so of the shuffle a group, and by the words of the groups whose bits occur often enough;
 3. groups that occur often enough are stored, each block's occurrences are
    semi-joined with them, and what is left is persisted and extended next.
 
 The semi-join is one with a Bloom filter of bounded size (``words.Sieve``), so occurrences stay where they are. It loses no
 frequent group; one that it passes wrongly is counted again with its next word and can't be frequent then, as no group is more
-frequent than a part of it. Words are known by hashes that are checked to differ.
+frequent than a part of it. Words are known by hashes that are checked to differ. Groups that share their 32 bits
+only pass the first count more easily; the second is by their words.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ TABLE = byte_table(lambda b: b in (0x20, 0x09), b".,;:!?\n\x0b\x0c\r")
 BLOCK_BYTES, BLOCKS_HELD, BATCH_ROWS = 8 << 20, 4, 65_536
 #: Rows of a batch that a worker returns.
 ROWS = 65_536
+#: Occurrences of words for each bucket that counts are added up in: no bucket receives more groups than about so many.
+BUCKET = 1 << 21
 #: Bits of a word's hash beyond those that number all pairs of a frequent word and any other.
 SPARE_BITS = 7
 
@@ -42,7 +46,9 @@ SPARE_BITS = 7
 # where a group starts. Without parts, each word is a group
 _RELATION = "lang string, gaps binary, words binary, word_ids binary, heads binary, grams binary, parts binary"
 _FIRST = "lang string, gaps binary, words binary, n_words long, distinct array<string>, counts array<long>"
-_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
+# a block's counts in one bucket: columns of numbers, packed, the last of them the occurrences
+_PARCEL = "bucket int, size int, columns array<binary>"
+_KINDS = {"int": pa.int32(), "array<binary>": pa.list_(pa.binary()), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64())}
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -248,21 +254,91 @@ class _Relation:
         return _packed(self.lang, _gaps(self.position[covered], self.far), self.word[covered], self.word_id, heads[covered], gram, parts[ok])
 
 
-def _count_groups(k: int):
-    """(the hashes of its words, occurrences) of each block's groups of k + 1 words."""
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers by byte of equal weight, compressed: those of sorted or small numbers are much alike."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T), codec="zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(data, size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(width, size).T).view(kind).ravel()
+
+
+def _parcels(mark: np.ndarray, columns: list[np.ndarray], n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A block's counts ``n`` of the keys in ``columns``, dealt out to buckets by ``mark`` (32 bits)."""
+    bucket = (mark.astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.lexsort([*columns[::-1], bucket])
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some = np.flatnonzero(np.diff(edge))
+    columns = [c[order] for c in [*columns, n.astype(np.uint32)]]
+    packed = [[_squeezed(c[edge[i]: edge[i + 1]]) for c in columns] for i in some]
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.diff(edge)[some], pa.int32()), pa.array(packed, pa.list_(pa.binary()))], schema=_arrow(_PARCEL))
+
+
+def _often(kind: type, names: list[str], least: int):
+    """The keys of a bucket's parcels that occur ``least`` times or more, and how often."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes, packed = table.column("size").to_pylist(), table.column("columns").to_pylist()
+        *keys, n = (np.concatenate([_unsqueezed(p[c], size, of) for size, p in zip(sizes, packed)])
+                    for c, of in enumerate([*[kind] * len(names), np.uint32]))
+        order = np.lexsort(keys[::-1])
+        keys = [key[order] for key in keys]
+        new = np.ones(len(n), bool)
+        new[1:] = np.any([key[1:] != key[:-1] for key in keys], axis=0)
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(n[order].astype(np.int64), first)
+        kept = first[f >= least]
+        return pa.table([*(pa.array(key[kept].astype(np.uint64).view(np.int64)) for key in keys), pa.array(f[f >= least])], names=[*names, "f"])
+
+    return run
+
+
+def _mark(h: np.ndarray) -> np.ndarray:
+    """The 32 bits of a group's hash that it is first counted by."""
+    return (h >> np.uint64(32)).astype(np.uint32)
+
+
+def _count_marks(k: int, buckets: int):
+    """Each block's groups of k + 1 words, counted by their marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 r = _Relation(row, k)
                 key, n = np.unique(r.keys(*r.extended()), return_counts=True)
-                for at in range(0, len(key), ROWS):
-                    ids = r.word_id[r.longer(key[at: at + ROWS])].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in ids.T), pa.array(n[at: at + ROWS], pa.int64())], [*_words(k + 1), "n"])
+                mark = _mark(_group_hash(r.word_id[r.longer(key)].T))
+                yield _parcels(mark, [mark], n, buckets)
 
     return run
 
 
+def _count_groups(k: int, sieve: Sieve, buckets: int):
+    """Each block's groups of k + 1 words whose marks pass the sieve, counted by the hashes of their words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                r = _Relation(row, k)
+                key, n = np.unique(r.keys(*r.extended()), return_counts=True)
+                ids = r.word_id[r.longer(key)].T
+                mark = _mark(_group_hash(ids))
+                ok = sieve.passes(mixed(mark))
+                yield _parcels(mark[ok], list(ids[:, ok]), n[ok], buckets)
+
+    return run
+
+
+def _frequent_groups(relation: DataFrame, k: int, least: int, buckets: int) -> DataFrame:
+    """(w0 .. wk, f): the groups of k + 1 words that occur ``least`` times or more, and no other."""
+    marks = relation.mapInArrow(_count_marks(k, buckets), _PARCEL).groupBy("bucket").applyInArrow(_often(np.uint32, ["h"], least), "h long, f long")
+    sieve = make_sieve(stored(marks.select("h"), "setm-marks").mapInArrow(_hash_groups, "h long"))
+    of = _words(k + 1)
+    groups = relation.mapInArrow(_count_groups(k, sieve, buckets), _PARCEL).groupBy("bucket")
+    return groups.applyInArrow(_often(np.uint64, of, least), ", ".join(f"{w} long" for w in [*of, "f"]))
+
+
 def _words(k: int) -> list[str]:
     return [f"w{i}" for i in range(k)]
 
@@ -302,13 +378,13 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_co
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     first = stored(texts.mapInArrow(_word_blocks(longest + 1), _FIRST), "setm-words", compression="zstd")
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    buckets = 1 + (first.agg(F.sum("n_words")).first()[0] or 0) // BUCKET
     words, sieve, seed, bits = _frequent_words(first, least)
     relation = stored(first.mapInArrow(_first_relation(sieve, seed, bits), _RELATION), "setm-1", compression="zstd")
     found = words.select("lang", "phrase", F.array("phrase").alias("words"), "f", F.array("f").alias("each"))
     for k in range(1, longest):
         of = _words(k + 1)
-        counts = relation.mapInArrow(_count_groups(k), ", ".join(f"{w} long" for w in [*of, "n"])).groupBy(*of).agg(F.sum("n").alias("f"))
-        counts = stored(counts.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "setm-groups")
+        counts = stored(_frequent_groups(relation, k, least, buckets).withColumn("id", F.monotonically_increasing_id()), "setm-groups")
         # words get their letters back; a group with a word that isn't frequent can't be
         member = counts.select("id", F.posexplode(F.array(*of)).alias("at", "h")).join(words.select("h", "lang", "phrase", F.col("f").alias("each")), "h")
         member = member.groupBy("id").agg(F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("at", "phrase", "each"))).alias("m"))

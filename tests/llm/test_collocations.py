@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabml.llm import collocations
@@ -88,3 +90,41 @@ def test_words_with_equal_hashes_take_another_seed(llm, monkeypatch):
     rows = [("ab cd ef gh ij kl mn op qr st ab cd ef gh ij kl", "en")] * 3
     assert got(collocations.collocations(table(llm, rows), 2)) == plain(rows, 2)
     assert len(tried) > 1 and all(b < 8 for _, b in tried)
+
+
+def test_counts_travel_packed():
+    """A block's counts are a row for each bucket, of a few bytes a group, whatever the number of its groups."""
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(0, 1 << 63, 50_000).astype(np.uint64))
+    n = rng.integers(1, 4, len(h))
+    mark = collocations._mark(h << np.uint64(1))
+    sent = collocations._parcels(mark, [mark], n, 3)
+    assert sent.num_rows == 3 and sum(sent.column("size").to_pylist()) == len(h)
+    assert sum(len(c) for r in sent.column("columns").to_pylist() for c in r) < 4 * len(h)
+
+
+def test_buckets_add_up_to_the_exact_counts():
+    """Blocks that share keys, keys that share a mark: each key of a bucket once, with all its occurrences."""
+    rng = np.random.default_rng(4)
+    want, sent = Counter(), []
+    for _ in range(4):
+        ids = np.unique(rng.integers(0, 9, (60, 2)).astype(np.uint64) << np.uint64(59), axis=0)
+        n = rng.integers(1, 40, len(ids))
+        want.update(dict(zip(map(tuple, ids.tolist()), n.tolist())))
+        mark = np.where(ids[:, 0] < ids[0, 0] + (5 << 59), 7, 0xFFFFFFFF).astype(np.uint32)
+        sent.append(collocations._parcels(mark, list(ids.T), n, 2))
+    table = pa.Table.from_batches(sent)
+    got = {}
+    for bucket in (0, 1):
+        out = collocations._often(np.uint64, ["w0", "w1"], 50)(table.filter(pa.array([b == bucket for b in table.column("bucket").to_pylist()])))
+        for w0, w1, f in zip(*(out.column(c).to_pylist() for c in ("w0", "w1", "f"))):
+            assert (w0 % (1 << 64), w1 % (1 << 64)) not in got
+            got[w0 % (1 << 64), w1 % (1 << 64)] = f
+    assert got == {k: f for k, f in want.items() if f >= 50} and got
+
+
+def test_many_buckets(llm, monkeypatch):
+    monkeypatch.setattr(collocations, "BUCKET", 20)
+    rng = random.Random(9)
+    rows = [(" ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 30))), rng.choice(["en", None])) for _ in range(80)]
+    assert got(collocations.collocations(table(llm, rows), 4)) == plain(rows, 4)
