@@ -103,3 +103,33 @@ def test_deep_points_keep_the_nodes_of_their_rows(spark, data):
     m = models.fit(walked, data, keys=["l_orderkey"])
     nodes = [trees.model_nodes(spark, x).drop("stats", "gain").orderBy("tree", "node").collect() for x in (m, found["deep"].best_model)]
     assert nodes[0] == nodes[1]
+
+
+def test_walk_of_arrays_is_that_of_the_node_table(spark):
+    """Splits by threshold and by categories, NaN, leaves above the cut, a first tree that is a root alone."""
+    nodes = spark.createDataFrame([
+        (1, 0, 1, 4, 0, 0.5, None, 1.0), (1, 1, 2, 3, 1, None, [0.0, 2.0], 2.0), (1, 2, None, None, None, None, None, 3.0),
+        (1, 3, None, None, None, None, None, 4.0), (1, 4, None, None, None, None, None, 5.0), (0, 0, None, None, None, None, None, 10.0),
+    ], "tree int, node int, left int, right int, feature int, threshold double, categories array<double>, prediction double")
+    nodes = nodes.withColumn("stats", F.lit(None).cast("array<double>")).repartition(3)
+    xs = [[0.1, 0.0], [0.5, 1.0], [0.2, 2.0], [0.6, 0.0], [math.nan, 1.0]]
+    held = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "id int, x array<double>").repartition(2)
+    with trees.depth_predictions(held, nodes, [3, 0, 1], [2, 1]) as walked:
+        assert walked.columns == ["id", "p"]
+        got = {r.id: r.p for r in walked.collect()}
+    deep, shallow = [3.0, 4.0, 3.0, 5.0, 5.0], [2.0, 2.0, 2.0, 5.0, 5.0]
+    assert got == {i: [10.0, 5.5, 10.0, (10 + shallow[i]) / 2, 10.0, (10 + deep[i]) / 2] for i in range(len(xs))}
+    rows = held.select("id", "x", F.explode(F.array(F.lit(0), F.lit(1))).alias("tree"))
+    joined = trees.walk(rows, nodes, [1, 3]).groupBy("id").agg(F.avg("at_1.prediction").alias("a"), F.avg("at_3.prediction").alias("b")).collect()
+    assert {r.id: (r.a, r.b) for r in joined} == {i: (p[3], p[5]) for i, p in got.items()}
+
+
+def test_metrics_need_no_row_per_tree(spark, data):
+    """Held-out rows walk down all trees where they are: no id, no join, one shuffle of the points' sums."""
+    m = models.fit(pipe(2), data)
+    held = m.transform(data.limit(50)).select(F.col(Q.LABEL).cast("double").alias("y"), vector_to_array("normalizedFeatures").alias("x"))
+    nodes = trees.model_nodes(spark, m)
+    with trees.depth_predictions(held, nodes, [3], [2]) as walked:
+        plan = walked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    assert len(search._fold_metrics(held, nodes, [{"numTrees": 2, "maxDepth": 3}], "rmse")) == 1
