@@ -133,3 +133,24 @@ def test_metrics_need_no_row_per_tree(spark, data):
         plan = walked._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "hashpartitioning" not in plan
     assert len(search._fold_metrics(held, nodes, [{"numTrees": 2, "maxDepth": 3}], "rmse")) == 1
+
+
+@pytest.mark.parametrize("metric", ["f1", "rmse"])
+def test_depths_share_a_fit_and_keep_their_metrics(spark, data, metric, monkeypatch):
+    """Each point's metrics are those of Spark's own cross validation, which fits every point on every fold."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    evaluator = tuning.f1_evaluator(Q.LABEL) if metric == "f1" else tuning.rmse_evaluator(Q.LABEL)
+    rows, spec = split.with_folds(data, "l_orderkey", 2), pipe()
+    grid = tuning.param_grid(models.model_stage_spec(spec), {"numTrees": [2, 4], "maxDepth": [2, 12, 5]})
+    fits, real = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *a: fits.append(self.getMaxDepth()) or real(self, *a))
+    found = tuning.cross_validate(spec, grid, evaluator, rows, folds=2, keys=["l_orderkey"])
+    assert sorted(fits) == [12] * 5
+    monkeypatch.setattr(tuning, "_by_depth", lambda stage, grid: [[i] for i in range(len(grid))])
+    plain = tuning.cross_validate(spec, grid, evaluator, rows, folds=2, keys=["l_orderkey"])
+    assert len(fits) == 5 + 13
+    assert found.avgMetrics == pytest.approx(plain.avgMetrics, abs=1e-12) and found.stdMetrics == pytest.approx(plain.stdMetrics, abs=1e-12)
+    assert found.getEstimatorParamMaps() == plain.getEstimatorParamMaps() == grid
+    a, b = (trees.model_nodes(spark, m.bestModel).drop("stats", "gain").orderBy("tree", "node").collect() for m in (found, plain))
+    assert a == b
