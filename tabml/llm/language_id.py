@@ -27,6 +27,8 @@ from tabml.llm.common import id_text, pieces, schema_of, texts_of, with_row_of
 #: Segments that are remembered per worker (a memory that is full becomes the old one); results don't depend on it.
 MEMORY = 200_000
 UNKNOWN = "und"
+#: Steps between scores 0 and 1 by which the scores of all held-out rows are counted.
+GRAIN = 4096
 
 
 def segments(text: str, size: int = 32) -> Counter[bytes]:
@@ -189,15 +191,20 @@ def held_out(id_col: Column, modulus: int, rest: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % modulus == rest
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """v, l, t: a hash of id and text, label and text; rows without label, or whose text is null or blank, are left out."""
+    return docs.select(
+        F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 10).alias("v"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")
+    ).filter(F.col("l").isNotNull() & F.col("t").rlike(r"\S"))
+
+
 def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int) -> DataFrame:
     """v, l, t: the rows of each label with the smallest hash v of id and text, somewhat more than ``sample`` different ones if there are as many.
 
     Rows without label, or whose text is null or blank, are left out. Every
     other label has a row at least; the driver receives one row per label.
     """
-    rows = docs.select(
-        F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 10).alias("v"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).cast("string").alias("t")
-    ).filter(F.col("l").isNotNull() & F.col("t").rlike(r"\S"))
+    rows = _labelled(docs, id_col, text_col, lang_col)
     given = rows.groupBy("l").agg(F.approx_count_distinct("v", 0.02).alias("n"), F.min("v").alias("first")).collect()
     # a share with room for the spread of a draw and of the count
     many = 1.1 * sample + 6 * math.sqrt(sample)
@@ -238,22 +245,32 @@ def fit_language_model(
     return train(samples, segment=segment, **train_args)
 
 
-def least_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.01, part: float = 0.75, sample: int = 600) -> dict[str, float]:
+def least_scores(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = 0.01, part: float = 0.75) -> dict[str, float]:
     """For each learned label the score from which on a long text counts as one of that language.
 
     It lies ``part`` of the way from chance (one over the number of labels) to
     the low ``quantile`` of the scores of rightly predicted labelled rows, and
-    nearer to chance the fewer they are (half of that with 10). About ``sample``
-    rows of each label are scored, whole; they must not be rows that the model
-    was fitted to. A label without such rows is left out. With a single label
+    nearer to chance the fewer they are (half of that with 10). All labelled rows
+    are scored, whole, and repeated ones count once; they must not be rows that the model
+    was fitted to. Scores are counted by steps of one in ``GRAIN``, rounded down, so that the driver receives no
+    more counts a label. A label without such rows is left out. With a single label
     every score is 1, and nothing can be told apart.
     """
-    held = predict_languages(_sampled(docs, id_col, text_col, lang_col, sample), model, "v", "t", with_row=True)
-    scores: dict[str, list[float]] = {}
-    for r in held.filter("lang_pred = row.l").select("doc_id", "lang_pred", "score").distinct().collect():
-        scores.setdefault(r.lang_pred, []).append(r.score)
+    held = predict_languages(_labelled(docs, id_col, text_col, lang_col), model, "v", "t", with_row=True).filter("lang_pred = row.l")
+    steps = held.select("doc_id", "lang_pred", F.floor(F.col("score") * GRAIN).alias("at")).distinct()
+    counts: dict[str, list[tuple[int, int]]] = {}
+    for r in steps.groupBy("lang_pred", "at").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r.lang_pred, []).append((r["at"], r.n))
     chance = 1 / max(1, len(model.labels))
-    return {lang: chance + part * len(x) / (len(x) + 10) * (float(np.quantile(x, quantile)) - chance) for lang, x in scores.items()}
+    least = {}
+    for lang, found in counts.items():
+        at, n = np.array(sorted(found)).T
+        upto = np.cumsum(n)
+        place = quantile * (upto[-1] - 1)
+        low, high = at[np.searchsorted(upto, [math.floor(place), math.ceil(place)], side="right")] / GRAIN
+        reached = low + (high - low) * (place - math.floor(place))
+        least[lang] = float(chance + part * upto[-1] / (upto[-1] + 10) * (reached - chance))
+    return least
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -142,3 +143,28 @@ def test_the_fit_reads_whole_texts(llm):
     short = llm.createDataFrame([(i, ("zuzu" if i % 2 else "kiki") + "abcdefgh"[i]) for i in range(8)], "doc_id long, text string")
     got = {r.doc_id: r.lang_pred for r in language_id.predict_languages(short, model).collect()}
     assert got == {i: "zz" if i % 2 else "kk" for i in range(8)}
+
+
+def test_least_scores_are_of_all_held_out_rows(llm):
+    """The low quantile is that of every row, however many; repeated rows count once, wrong and unlabelled ones not at all."""
+    rng = random.Random(5)
+    words = {"xx": ["abba", "baab", "acab", "cab"], "yy": ["oppo", "pop", "quip", "pqp"]}
+    model = language_id.train([(" ".join(w), lang) for lang, w in words.items()], hidden=4, steps=40)
+    rows = []
+    for i in range(3000):
+        lang = rng.choice(["xx", "yy"])
+        other = rng.choice(list(words.values()))
+        rows.append((i, " ".join(rng.choice(words[lang] if rng.random() < 0.8 else other) for _ in range(rng.randint(1, 9))), lang))
+    rows += [rows[0]] * 500 + [(9000, "abba", None), (9001, None, "xx"), (9002, " ", "yy")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = {i: lang for i, _, lang in rows}
+    scores = {lang: {} for lang in words}
+    for r in language_id.predict_languages(docs, model).collect():
+        if r.lang_pred == labels[r.doc_id]:
+            scores[r.lang_pred][r.doc_id] = r.score
+    for quantile in (0.0, 0.002, 0.01, 0.5):
+        got = language_id.least_scores(docs, model, quantile=quantile)
+        for lang, found in scores.items():
+            assert len(found) > 1000
+            want = 0.5 + 0.75 * len(found) / (len(found) + 10) * (np.quantile(list(found.values()), quantile) - 0.5)
+            assert want - 1 / language_id.GRAIN < got[lang] <= want + 1e-9
