@@ -128,3 +128,13 @@ def test_a_model_depends_on_the_rows_and_not_on_their_layout(spark, persist):
         fitted = models.fit(pipe, df.repartition(n), keys=["id"], partitions=4, persist=persist)
         sums.add(fitted.transform(df).agg(F.sum("prediction")).first()[0])
     assert len({round(s, 9) for s in sums}) == 1
+
+
+def test_a_fit_keeps_what_its_pipeline_reads(spark, data, monkeypatch):
+    train, _ = data
+    kept, persisted = [], models.persisted
+    monkeypatch.setattr(models, "persisted", lambda df: (kept.append(df.columns), persisted(df))[1])
+    wide = train.select(*Q.KEYS, *Q.FEATURES, Q.LABEL)
+    models.fit(models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=2, max_depth=2), wide, keys=["l_orderkey"])
+    models.fit(models.logistic_regression(Q.FEATURES, Q.LABEL, max_iter=2), wide)
+    assert kept == [[*Q.FEATURES, Q.LABEL]] * 2
