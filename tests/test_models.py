@@ -138,3 +138,18 @@ def test_a_fit_keeps_what_its_pipeline_reads(spark, data, monkeypatch):
     models.fit(models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=2, max_depth=2), wide, keys=["l_orderkey"])
     models.fit(models.logistic_regression(Q.FEATURES, Q.LABEL, max_iter=2), wide)
     assert kept == [[*Q.FEATURES, Q.LABEL]] * 2
+
+
+def test_checks_score_the_held_out_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scored(x):
+        seen.add(1)
+        return float(x % 3)
+
+    rows = spark.range(300).select((F.col("id") % 2).cast("int").alias("y"), F.udf(scored, "double")("id").alias("prediction"))
+    got = Q._held_out(rows, "prediction < 2", label="y", compare="y", floor=0.9).collect()
+    assert seen.value == 300
+    assert [tuple(r) for r in got] == [(300, 150, 100, False)]
+    none = Q._held_out(rows.limit(0), "prediction < 2", label="y", compare="y")
+    assert [tuple(r) for r in none.collect()] == [(0, None, 0, False)]
