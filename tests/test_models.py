@@ -153,3 +153,11 @@ def test_checks_score_the_held_out_rows_once(spark):
     assert [tuple(r) for r in got] == [(300, 150, 100, False)]
     none = Q._held_out(rows.limit(0), "prediction < 2", label="y", compare="y")
     assert [tuple(r) for r in none.collect()] == [(0, None, 0, False)]
+
+
+def test_train_job_writes_its_inputs_once(spark, monkeypatch):
+    from .conftest import SF001
+    written, inputs = [], Q._job_inputs
+    monkeypatch.setattr(Q, "_job_inputs", lambda *a: (written.append(a), inputs(*a))[1])
+    got = {r["model"]: r["scored_rows"] for r in Q.q_train_job(spark, SF001).collect()}
+    assert len(written) == 1 and len(got) == 3 and len(set(got.values())) == 1
