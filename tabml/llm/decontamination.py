@@ -160,7 +160,7 @@ def find_passages(
     without items or documents nothing is hit. Further columns don't matter.
     """
     asked = items.select(items[item_col].cast("string").alias("item"), F.coalesce(items[item_text_col].cast("string"), F.lit("")).alias("text"))
-    seen = stored(asked.mapInArrow(_item_windows(size), _ITEM).distinct(), "winnow-items")
+    seen = asked.mapInArrow(_item_windows(size), _ITEM).distinct()
     # the items of a window, under one number however many windows have them
     owners = seen.groupBy("size", "print", "whole").agg(F.array_sort(F.collect_set("item")).alias("items"))
     owners = stored(owners.withColumn("owners", F.md5(F.to_json("items"))), "winnow-windows")
@@ -173,9 +173,9 @@ def find_passages(
     hits = likely.join(owners.select("size", "print", "whole", "owners"), ["size", "print", "whole"])
     hits = hits.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("found"), F.array_sort(F.collect_set("owners")).alias("owners"))
-    hits = stored(hits.select("row", "found.start", "found.end", "owners").mapInArrow(_merge, f"row long, spans {_SPANS}, owners array<string>"), "winnow-hits")
+    hits = hits.select("row", "found.start", "found.end", "owners").mapInArrow(_merge, f"row long, spans {_SPANS}, owners array<string>")
 
-    # documents with the same windows' owners share a list of items
+    # hits are not stored, as both uses below share the exchange by row; documents with the same windows' owners share a list of items
     named = owners.select(F.col("owners").alias("owner"), "items").dropDuplicates(["owner"])
     lists = hits.select("owners").distinct().withColumn("owner", F.explode("owners")).join(named, "owner")
     lists = lists.select("owners", F.explode("items").alias("item")).groupBy("owners").agg(F.array_sort(F.collect_set("item")).alias("items"))

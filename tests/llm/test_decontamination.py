@@ -93,3 +93,16 @@ def test_windows_choose_fingerprints_by_their_words_alone():
         assert (one[1][0], one[2][0]) == (least[s], whole[s])
     # far fewer fingerprints than windows: the others need no look-up
     assert len(set(least)) < 0.45 * len(start)
+
+
+def test_only_what_several_jobs_read_is_stored_and_hits_are_found_once(llm, monkeypatch):
+    """Each stored table is a file for each task; the two uses of the hits share their exchange."""
+    names, kept = [], decontamination.stored
+    monkeypatch.setattr(decontamination, "stored", lambda df, name: (names.append(name), kept(df, name))[1])
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows, items = [(i, f"{passage} {i}" if i % 2 else f"no {i}") for i in range(60)], [("a", passage), ("b", f"{passage} more"), ("c", "no 4")]
+    got = decontamination.find_passages(llm.createDataFrame(rows, "doc_id long, text string").repartition(4), items_of(llm, items))
+    assert found(got) == plain(rows, items)
+    assert names == ["winnow-windows", "winnow-documents"]
+    got.collect()
+    assert "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
