@@ -161,3 +161,23 @@ def test_train_job_writes_its_inputs_once(spark, monkeypatch):
     monkeypatch.setattr(Q, "_job_inputs", lambda *a: (written.append(a), inputs(*a))[1])
     got = {r["model"]: r["scored_rows"] for r in Q.q_train_job(spark, SF001).collect()}
     assert len(written) == 1 and len(got) == 3 and len(set(got.values())) == 1
+
+
+def test_a_deep_forest_keeps_its_rows_nodes_only_where_the_memory_holds_them(spark, data, monkeypatch):
+    train, _ = data
+    pipe = models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=5, max_depth=12, seed=7)
+    assert models.storage_memory(spark) > 1 << 28
+    kept = models.model_stage(models.fit(pipe, train))
+    monkeypatch.setattr(models, "storage_memory", lambda spark: 1 << 20)
+    walked = models.model_stage(models.fit(pipe, train))
+    assert kept._java_obj.getCacheNodeIds() and not walked._java_obj.getCacheNodeIds()
+    assert kept.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
+    assert models.model_stage_spec(pipe).getCacheNodeIds()
+    # a shallow forest walks anyway, and a regression has no such choice
+    assert models.node_params(models.forest_regressor(Q.FEATURES, Q.LABEL, max_depth=5), train) == {}
+    assert models.node_params(models.logistic_regression(Q.FEATURES, Q.LABEL), train) == {}
+
+
+def test_memory_of_a_forests_rows_grows_with_rows_and_trees():
+    assert models.node_ids_fit(1_000_000, 25, 4, 1 << 30) and not models.node_ids_fit(3_000_000, 25, 4, 1 << 30)
+    assert not models.node_ids_fit(1_000_000, 100, 4, 1 << 30) and models.node_ids_fit(0, 25, 4, 0)
