@@ -43,8 +43,9 @@ from tabml.llm.suffix_array import common_prefixes, two_stage
 SEED_BYTES = 20
 #: Bytes of text in a batch, and windows that are looked at in one go.
 BATCH, CHUNK = 4 << 20, 1 << 20
-#: Buckets of hashes for each shuffle partition: what a bucket sorts must fit beside the JVM.
-BUCKETS = 16
+#: Buckets of hashes for each shuffle partition at least, and bytes of text for each bucket at most (there are more buckets for more
+#: text): what a bucket sorts must fit beside the JVM however few the partitions are.
+BUCKETS, BUCKET_BYTES = 16, 2 << 20
 #: Contexts of one anchor that a task sorts; the windows of an anchor with more are dealt out over several.
 HOT = 1 << 16
 #: Rows without an id come after all others.
@@ -122,8 +123,11 @@ class Runs:
         self.sizes = sizes
 
     def keys(self, buckets: int) -> np.ndarray:
-        """Bucket of the hash in the upper bits, 40 of its bits below: sorted keys are grouped by bucket."""
-        bucket = ((self.hash >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        """Bucket of the hash in the upper bits, 40 of its bits below: sorted keys are grouped by bucket.
+
+        Anchors have the smallest hashes of their windows, so the hash is mixed once more: else the first buckets hold most of them.
+        """
+        bucket = (((self.hash * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         return (bucket << np.uint64(40)) | (self.hash & _LOW)
 
 
@@ -146,11 +150,12 @@ def _slices(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def _batches(size: int):
-    """Rows of (batch, ids, texts, rows) with a few MB of text each; names are new in every attempt."""
+    """Rows of (batch, ids, texts, rows, n_bytes) with a few MB of text each; names are new in every attempt."""
 
     def out(ids, texts, rows, kind):
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(kind)]
-        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([uuid.uuid4().int >> 65, ids, texts, rows], kinds, strict=True)], ["batch", "ids", "texts", "rows"])
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(kind), pa.int64()]
+        values = [uuid.uuid4().int >> 65, ids, texts, rows, sum(map(len, texts))]
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(values, kinds, strict=True)], ["batch", "ids", "texts", "rows", "n_bytes"])
 
     def run(docs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, rows, held, kind = [], [], [], 0, pa.null()
@@ -424,16 +429,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("the window must be 24 to 60000 bytes")
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    buckets = BUCKETS * parts
     name = f"suffix_dedup_{uuid.uuid4().hex}"
     rest = F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row")
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), rest)
     kind = chosen.schema["row"].dataType
-    held = StructType.fromDDL("batch long, ids array<long>, texts array<binary>").add("rows", ArrayType(kind))
+    held = StructType.fromDDL("batch long, ids array<long>, texts array<binary>").add("rows", ArrayType(kind)).add("n_bytes", "long")
     batched = chosen.mapInArrow(_batches(batch_bytes), held)
     batched.write.bucketBy(parts, "batch").option("path", scratch_path(spark, name)).option("compression", "zstd").saveAsTable(name)
     atexit.register(_forget, spark, name)
-    batches = spark.table(name)
+    kept = spark.table(name)
+    buckets = max(BUCKETS * parts, -(-(kept.agg(F.sum("n_bytes")).first()[0] or 0) // BUCKET_BYTES))
+    batches = kept.drop("n_bytes")
 
     anchors = batches.mapInArrow(_anchor_rows(window, buckets), "bucket long, batch long, keys binary, several binary, many binary")
     bits = stored(anchors.groupBy("bucket").applyInArrow(_shared_bits(hot, window), "batch long, bucket long, bits binary, splits binary"), "suffix-bits")

@@ -124,3 +124,20 @@ def test_two_stage_order(seed):
     for k in range(1, len(order)):
         same = next((j for j in range(depth) if starts[k - 1][j] != starts[k][j]), depth)
         assert lcp[k] == same
+
+
+def test_buckets_get_even_shares_of_the_anchors():
+    """An anchor is the smallest hash of its window, so anchors crowd at the low end of the hashes."""
+    rng = random.Random(8)
+    keys = suffix_dedup.Runs([bytes(rng.choices(range(97, 123), k=60_000)) for _ in range(4)], 50).keys(64)
+    share = np.bincount((keys >> np.uint64(40)).astype(np.int64), minlength=64)
+    assert len(keys) > 10_000 and share.max() < 1.5 * share.mean() and share.min() > 0.5 * share.mean()
+
+
+def test_buckets_grow_with_the_text_whatever_the_partitions(odd, odd_rows, monkeypatch):
+    used, real = [], suffix_dedup._anchor_rows
+    monkeypatch.setattr(suffix_dedup, "_anchor_rows", lambda window, buckets: used.append(buckets) or real(window, buckets))
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 300)
+    got = suffix_dedup.remove_repeats(odd, batch_bytes=1500).collect()
+    assert used == [-(-sum(len((r[1] or "").encode()) for r in odd_rows) // 300)] and used[0] > suffix_dedup.BUCKETS * suffix_dedup.shuffle_partitions(odd.sparkSession)
+    assert as_set([(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept) for r in got]) == as_set(brute([(r[0], r[1]) for r in odd_rows]))
