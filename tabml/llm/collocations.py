@@ -35,6 +35,8 @@ from tabml.llm.words import Sieve, byte_table, cut, hashes, make_sieve, mixed, w
 TABLE = byte_table(lambda b: b in (0x20, 0x09), b".,;:!?\n\x0b\x0c\r")
 #: Text of a block; a worker holds a few of them, one for each language that it meets.
 BLOCK_BYTES, BLOCKS_HELD, BATCH_ROWS = 8 << 20, 4, 65_536
+#: Blocks in a file of a relation, as a task has a file's blocks in memory.
+PER_FILE = 4
 #: Rows of a batch that a worker returns.
 ROWS = 65_536
 #: Occurrences of words for each bucket that counts are added up in: no bucket receives more groups than about so many.
@@ -376,11 +378,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_co
     has no words. Repeated rows all count. Further columns, whatever their names, don't matter.
     """
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    first = stored(texts.mapInArrow(_word_blocks(longest + 1), _FIRST), "setm-words", compression="zstd")
+    first = stored(texts.mapInArrow(_word_blocks(longest + 1), _FIRST), "setm-words", compression="zstd", rows_per_file=PER_FILE)
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
     buckets = 1 + (first.agg(F.sum("n_words")).first()[0] or 0) // BUCKET
     words, sieve, seed, bits = _frequent_words(first, least)
-    relation = stored(first.mapInArrow(_first_relation(sieve, seed, bits), _RELATION), "setm-1", compression="zstd")
+    relation = stored(first.mapInArrow(_first_relation(sieve, seed, bits), _RELATION), "setm-1", compression="zstd", rows_per_file=PER_FILE)
     found = words.select("lang", "phrase", F.array("phrase").alias("words"), "f", F.array("f").alias("each"))
     for k in range(1, longest):
         of = _words(k + 1)
@@ -392,7 +394,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, longest: int = 4, lang_co
         found = found.unionByName(stored(named, "setm-phrases"))
         if k + 1 < longest:
             sieve = make_sieve(counts.select(*of).mapInArrow(_hash_groups, "h long"))
-            relation = stored(relation.mapInArrow(_keep_groups(k, sieve), _RELATION), f"setm-{k + 1}", compression="zstd")
+            relation = stored(relation.mapInArrow(_keep_groups(k, sieve), _RELATION), f"setm-{k + 1}", compression="zstd", rows_per_file=PER_FILE)
     return found, totals
 
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tabml.llm import collocations
 
@@ -128,3 +129,15 @@ def test_many_buckets(llm, monkeypatch):
     rng = random.Random(9)
     rows = [(" ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 30))), rng.choice(["en", None])) for _ in range(80)]
     assert got(collocations.collocations(table(llm, rows), 4)) == plain(rows, 4)
+
+
+def test_a_file_of_a_relation_holds_few_blocks(llm, monkeypatch):
+    """Parquet's reader has thousands of rows of a file in memory, and a block is megabytes."""
+    kept, real = {}, collocations.stored
+    monkeypatch.setattr(collocations, "stored", lambda df, name, **how: kept.update({name: real(df, name, **how)}) or kept[name])
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 100)
+    docs = llm.createDataFrame([(i, "en", "a b c d e f g h. " * 8) for i in range(90)], "doc_id long, lang string, text string").coalesce(1)
+    assert {r.a for r in collocations.collocations(docs).collect()} == {720}
+    for name in ("setm-words", "setm-1", "setm-2", "setm-3"):
+        files = [r["count"] for r in kept[name].groupBy(F.input_file_name()).count().collect()]
+        assert sum(files) > 40 and max(files) <= collocations.PER_FILE
