@@ -59,7 +59,7 @@ def test_cells_do_not_grow_with_the_rows_and_draw_what_their_rows_would(spark):
 def test_a_forest_of_cells_is_a_forest(spark, data, many):
     train, test = data
     spec = models.forest_regressor(Q.FEATURES, Q.LABEL, num_trees=10, max_depth=8)
-    fitted = models.fit(spec, train)
+    fitted = models.fit(spec, train, by_cells=True)
     forest = models.model_stage(fitted)
     assert forest._java_obj.getNumTrees() == forest.getNumTrees == len(forest.trees) == 10 and forest.getMaxDepth() == 8 and max(t.depth for t in forest.trees) == 8
     scored = fitted.transform(test)
@@ -72,7 +72,7 @@ def test_a_forest_of_cells_is_a_forest(spark, data, many):
     roots = [r.rows for r in nodes.where("node = 0").collect()]
     assert len(set(roots)) > 1 and all(abs(r - n) < 6 * math.sqrt(n) for r in roots)
     # the same rows in other places give the same trees
-    other = models.model_stage(models.fit(spec, train.repartition(3)))
+    other = models.model_stage(models.fit(spec, train.repartition(3), by_cells=True))
     assert other.toDebugString.split("\n", 1)[1] == forest.toDebugString.split("\n", 1)[1]
 
 
@@ -80,7 +80,7 @@ def test_a_classifier_of_cells_knows_all_classes(spark, data, many):
     train, test = data
     for index in (False, True):
         spec = models.forest_classifier(Q.FEATURES, Q.LABEL, num_trees=6, max_depth=9, index_label=index)
-        fitted = models.fit(spec, train)
+        fitted = models.fit(spec, train, by_cells=True)
         forest = models.model_stage(fitted)
         assert forest.numClasses == (6 if index else 9)
         scored = fitted.transform(test)
